@@ -85,10 +85,9 @@ def upper_quartiles(matrix: DataFrame, lib: DataFrame, p: float = 0.75) -> DataF
     """
     n_features = matrix.agg(F.count_distinct("feature_id")).scalar()
     values = matrix.groupBy("sample_id", "count").agg(F.count(F.lit(1)).alias("n"))
-    absent = matrix.groupBy("sample_id").agg(F.count(F.lit(1)).alias("nnz")).select(
-        "sample_id", F.lit(0.0).alias("count"), (n_features - F.col("nnz")).alias("n")
-    ).filter("n > 0")
-    q = exact_quantiles(values.unionByName(absent), ["sample_id"], "count", {"q": p}, weight="n")
+    absent = matrix.groupBy("sample_id").agg((n_features - F.count(F.lit(1))).alias("n")).select(
+        "sample_id", F.lit(0.0).alias("count"), "n").filter("n > 0")
+    q = values.unionByName(absent).groupBy("sample_id").agg(F.percentile("count", p, F.col("n")).alias("q"))
     return q.join(lib, "sample_id").select("sample_id", "lib_size", (F.col("q") / F.col("lib_size")).alias("q"))
 
 
@@ -101,8 +100,13 @@ def tmm_factors(
     limit on M (or A) is the same as a value limit, so the trimming needs per-sample bounds only
     and the wide rows are never ranked or sorted themselves.
     """
-    lib = stage(library_size(matrix) if lib is None else lib.select("sample_id", "lib_size"))
-    uq = stage(upper_quartiles(matrix, lib))
+    sizes = matrix.groupBy("sample_id").agg(F.sum("count").alias("lib_size"), F.count(F.lit(1)).alias("nnz"))
+    if lib is not None:
+        sizes = sizes.drop("lib_size").join(lib.select("sample_id", "lib_size"), "sample_id")
+    sizes = stage(sizes)
+    largest = sizes.agg(F.max("nnz")).first()[0] or 0
+    lib = sizes.drop("nnz")
+    uq = upper_quartiles(matrix, lib)
     mean_q = uq.agg(F.avg("q")).scalar()
     ref = uq.withColumn("_d", F.round(F.abs(F.col("q") - mean_q), 12)).orderBy("_d", "sample_id").limit(1)
     ref_counts = (
@@ -122,7 +126,7 @@ def tmm_factors(
     ))
 
     def bounds(value: str, trim: float) -> DataFrame:
-        r = value_ranks(ma, ["sample_id"], value, weight="n")
+        r = value_ranks(ma, ["sample_id"], value, weight="n", known_rows=largest)
         avg_rank = F.col("below") + (F.col("n") + 1) / 2
         cut = F.floor(F.col("total") * trim)
         inside = avg_rank.between(cut + 1, F.col("total") - cut)

@@ -29,18 +29,22 @@ def _largest_group(df: DataFrame, by: Sequence[str]) -> int:
 
 def value_ranks(
     df: DataFrame, by: Sequence[str], value: str, weight: str | None = None,
-    group_rows: int = GROUP_ROWS, tiles: int = TILES,
+    group_rows: int = GROUP_ROWS, tiles: int = TILES, known_rows: int | None = None,
 ) -> DataFrame:
     """One row per distinct value of each group: ``by, value, tile, n, below, total``.
 
     ``below`` counts the rows with a smaller value, so the average rank of a tie is
-    ``below + (n + 1) / 2`` and the last rank is ``below + n``.
+    ``below + (n + 1) / 2`` and the last rank is ``below + n``. A caller that knows the size of the
+    largest group passes it as ``known_rows`` and saves the staging and the size check.
     """
     by = list(by)
     n = F.sum(weight) if weight else F.count(F.lit(1))
     known = F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))
-    distinct = stage(df.filter(known).groupBy(*by, value).agg(n.alias("n")))
-    if _largest_group(distinct, by) <= group_rows:
+    distinct = df.filter(known).groupBy(*by, value).agg(n.alias("n"))
+    if known_rows is None or known_rows > group_rows:
+        distinct = stage(distinct)
+        known_rows = _largest_group(distinct, by)
+    if known_rows <= group_rows:
         smaller = W.partitionBy(*by).orderBy(value).rowsBetween(W.unboundedPreceding, -1)
         return distinct.select(
             *by, value, F.lit(0).alias("tile"), "n",
