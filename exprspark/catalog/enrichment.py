@@ -240,3 +240,59 @@ def simplify_terms(spark, d):
     t = stage(enrich.ora(query_lists(spark, d), sets).filter("direction = 'ALL'").select("term_id", "p_value"))
     edges, _ = network.term_similarity(sets, 0.05)
     return enrich.simplify_terms(t, stage(edges), 0.05)
+
+
+@query("a13_differential_expression")
+def differential_expression(spark, d):
+    """TMM-scaled NB test of two regions, then the annotated table."""
+    from exprspark.catalog.counts import kept_matrix
+    from exprspark.operators.clean import annotate
+    m = kept_matrix(spark, d)
+    lib = stage(normalize.tmm_factors(m))
+    t = de.differential_expression(m, lib, inputs.samples(spark, d), inputs.REF_GROUP, inputs.TRT_GROUP)
+    return annotate(t, inputs.annotations(spark, d).drop("length"))
+
+
+cte("c_cells", "SELECT CAST(c_custkey AS VARCHAR) AS cell_id, CAST(c_nationkey AS VARCHAR) AS sample_id, c_mktsegment AS grp FROM customer")
+cte("c_cm", """
+    SELECT upper(left(p_type, 2)) || '-' || p_size AS feature_id, CAST(o_custkey AS VARCHAR) AS cell_id, sum(l_quantity) AS cnt
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey GROUP BY 1, 2""")
+
+
+@query("a30_hurdle_de", """
+    WITH c AS (SELECT * FROM c_cells WHERE grp IN ('BUILDING', 'MACHINERY')),
+    nc AS (SELECT count(*) FILTER (grp = 'BUILDING') AS n0, count(*) FILTER (grp = 'MACHINERY') AS n1 FROM c),
+    x AS (SELECT feature_id, grp = 'MACHINERY' AS t, log2(cnt + 1) AS v FROM c_cm JOIN c USING (cell_id)),
+    g AS (SELECT feature_id, count(*) FILTER (NOT t) AS k0, count(*) FILTER (t) AS k1, sum(v * v) AS ss, sum(v) FILTER (NOT t) AS s0, sum(v) FILTER (t) AS s1, n0, n1 FROM x, nc GROUP BY ALL),
+    s AS (SELECT feature_id, k0 / n0 AS pct_ref, k1 / n1 AS pct_trt,
+      2 * (k0 * ln(k0 / n0) + (n0 - k0) * ln(1 - k0 / n0) + k1 * ln(k1 / n1) + (n1 - k1) * ln(1 - k1 / n1)
+         - (k0 + k1) * ln((k0 + k1) / (n0 + n1)) - (n0 + n1 - k0 - k1) * ln(1 - (k0 + k1) / (n0 + n1))) AS lr_d,
+      (k0 + k1) * ln((ss - (s0 + s1) * (s0 + s1) / (k0 + k1)) / (ss - s0 * s0 / k0 - s1 * s1 / k1)) AS lr_c,
+      s1 / n1 - s0 / n0 AS log_fc FROM g WHERE k0 > 0 AND k1 > 0 AND k0 < n0 AND k1 < n1 AND k0 + k1 > 3)
+    SELECT feature_id, round(pct_ref, 9) AS pct_ref, round(pct_trt, 9) AS pct_trt, round(lr_d + lr_c, 5) AS statistic, round(exp(-(lr_d + lr_c) / 2), 6) AS p_value,
+           round(log_fc, 6) AS log_fc FROM s""")
+def hurdle(spark, d):
+    """Detection and level of one feature per part type and size, between two market segments."""
+    m = normalize.log2p1(inputs.cell_matrix(spark, d), "count", "value")
+    t = de.hurdle_de(m, inputs.cells(spark, d), "BUILDING", "MACHINERY", value="value")
+    return t.filter("df = 2").select(
+        "feature_id", r("pct_ref", 9).alias("pct_ref"), r("pct_trt", 9).alias("pct_trt"), r("statistic", 5).alias("statistic"),
+        r("p_value").alias("p_value"), r("log_fc").alias("log_fc"))
+
+
+@query("a30_hurdle_de_covariate")
+def hurdle_covariate(spark, d):
+    """The same with the sample's share of the cells of a group as a fixed effect."""
+    c = inputs.cells(spark, d)
+    share = explore.crosstab(c, "sample_id", "group").select("sample_id", "group", "share")
+    m = normalize.log2p1(inputs.cell_matrix(spark, d), "count", "value")
+    return de.hurdle_de(m, c.join(share, ["sample_id", "group"]), "BUILDING", "MACHINERY", ("share",), value="value")
+
+
+@query("a30_pseudobulk_de")
+def pseudobulk_de(spark, d):
+    """Cells summed to (sample, group) libraries, then the NB test: the sample-level form."""
+    c = inputs.cells(spark, d).withColumn("sample_id", F.concat_ws("-", "sample_id", "group"))
+    m = stage(de.pseudobulk(inputs.cell_matrix(spark, d), c))
+    s = c.select("sample_id", "group").distinct()
+    return de.differential_expression(m, stage(normalize.library_size(m)), s, "BUILDING", "MACHINERY")
