@@ -151,13 +151,13 @@ def mean_log_cpm(spark, d):
 
 @query("a8_variance_filter", """
     WITH s AS (SELECT feature_id, round(quantile_cont(x, 0.75) - quantile_cont(x, 0.25), 9) AS iqr FROM c_logdense GROUP BY 1)
-    SELECT feature_id, round(iqr, 6) AS iqr FROM s WHERE iqr > (SELECT quantile_cont(iqr, 0.75) FROM s)""")
+    SELECT feature_id, iqr FROM s WHERE iqr > (SELECT quantile_cont(iqr, 0.75) FROM s)""")
 def variance_filter(spark, d):
     m = kept_matrix(spark, d)
     lib = nz.library_size(m)
     n = lib.agg(F.count(F.lit(1))).scalar()
     spread = nz.feature_spread(nz.log_cpm(m, lib), "log_cpm", n, nz.log_cpm_of_zero(lib))
-    return nz.variance_filter(spread).withColumn("iqr", r("iqr"))
+    return nz.variance_filter(spread)
 
 
 @query("a52_row_zscore", """

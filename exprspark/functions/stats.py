@@ -12,12 +12,21 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_lgamma = np.frompyfunc(math.lgamma, 1, 1)
-_erfc = np.frompyfunc(math.erfc, 1, 1)
+
+def _lgamma(x) -> np.ndarray:
+    return np.array([math.lgamma(v) for v in np.ravel(x)]).reshape(np.shape(x))
+
+
+def _erfc(x) -> np.ndarray:
+    return np.array([math.erfc(v) for v in np.ravel(x)]).reshape(np.shape(x))
 
 
 def log_choose(n, k):
-    return (_lgamma(n + 1.0) - _lgamma(k + 1.0) - _lgamma(n - k + 1.0)).astype(float)
+    return _lgamma(n + 1.0) - _lgamma(k + 1.0) - _lgamma(n - k + 1.0)
+
+
+def normal_two_sided_p(z):
+    return _erfc(np.abs(np.asarray(z, dtype=float)) / math.sqrt(2))
 
 
 def hypergeom_upper(k, m, n, total):
@@ -41,14 +50,14 @@ def hypergeom_upper(k, m, n, total):
 def chi2_upper(x, df):
     """Upper tail for one or two degrees of freedom."""
     x = np.maximum(np.asarray(x, dtype=float), 0)
-    return np.where(np.asarray(df) == 2, np.exp(-x / 2), _erfc(np.sqrt(x / 2)).astype(float))
+    return np.where(np.asarray(df) == 2, np.exp(-x / 2), _erfc(np.sqrt(x / 2)))
 
 
 def poisson_upper(k, mu):
     """P(X >= k): a lower-tail sum below the mean, an upper-tail series above it."""
     k, mu = np.asarray(k, dtype=float), np.asarray(mu, dtype=float)
     safe = np.maximum(mu, 1e-300)
-    logp = k * np.log(safe) - safe - _lgamma(k + 1.0).astype(float)
+    logp = k * np.log(safe) - safe - _lgamma(k + 1.0)
     upper = k > mu
     term, acc, i = np.ones_like(k), np.ones_like(k), k.copy()
     for _ in range(100_000):
@@ -134,7 +143,7 @@ def chi2_sf(x: Column, df: Column | int = 1) -> Column:
 def normal_two_sided(z: Column) -> Column:
     @F.pandas_udf("double")
     def f(z: pd.Series) -> pd.Series:
-        return pd.Series(_erfc(np.abs(z.to_numpy(float)) / math.sqrt(2)).astype(float))
+        return pd.Series(normal_two_sided_p(z))
 
     return f(z)
 

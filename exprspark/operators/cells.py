@@ -1,10 +1,367 @@
+"""Single-cell operators on sparse counts ``(feature_id, cell_id, count)`` and cell vectors ``(cell_id, vec)``.
+
+Zeros stay absent: shares, ranks and variances add the zero block by its size.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from exprspark.functions.stats import normal_two_sided
+from exprspark.operators.ranking import average_rank, bh_adjust, exact_quantiles, value_ranks
+from exprspark.operators.report import top_per_group
+from exprspark.session import stage
+
 
-def merge_samples(parts) -> DataFrame:
+def merge_samples(parts: Sequence[DataFrame]) -> DataFrame:
     """One table of all samples; barcodes become unique by their sample id."""
     merged = reduce(DataFrame.unionByName, parts)
-    return merged.withColumn("cell_id", F.concat_ws("_", "sample_id", "barcode")).drop("barcode").select("cell_id", "sample_id")
+    return merged.withColumn("cell_id", F.concat_ws("_", "sample_id", "barcode")).drop("barcode").select(
+        "cell_id", *[c for c in merged.columns if c != "barcode"])
+
+
+def cell_qc(matrix: DataFrame, mito: str = "^MT-") -> DataFrame:
+    """Features, counts and percent of counts in mitochondrial features per cell, in one aggregation."""
+    return matrix.filter("count > 0").groupBy("cell_id").agg(
+        F.count(F.lit(1)).alias("n_feature"), F.sum("count").alias("n_count"),
+        (F.sum(F.when(F.col("feature_id").rlike(mito), F.col("count")).otherwise(0.0)) * 100 / F.sum("count")).alias("percent_mt"),
+    )
+
+
+def qc_filter(qc: DataFrame, min_feature: int = 200, max_feature: int = 10_000, max_mt: float = 17.4) -> DataFrame:
+    return qc.filter((F.col("n_feature") > min_feature) & (F.col("n_feature") < max_feature) & (F.col("percent_mt") < max_mt))
+
+
+def confidence_filter(
+    scores: DataFrame, classes: Sequence[str], min_score: float = 0.5, min_margin: float = 0.65,
+    keep: Sequence[str] | None = None,
+) -> DataFrame:
+    """Cells with a clear best class: highest score above ``min_score`` and margin to the second above ``min_margin``.
+
+    ``scores`` has one column per class. Adds ``predicted_id``, ``max_score``, ``second_score``, ``margin``.
+    """
+    ranked = F.sort_array(F.array(*[F.struct(F.col(c).alias("s"), F.lit(-i).alias("o"), F.lit(c).alias("c")) for i, c in enumerate(classes)]), asc=False)
+    t = scores.withColumn("_r", ranked).select(
+        *scores.columns, F.col("_r")[0]["c"].alias("predicted_id"), F.col("_r")[0]["s"].alias("max_score"),
+        F.col("_r")[1]["s"].alias("second_score"))
+    t = t.withColumn("margin", (F.col("max_score") - F.col("second_score")) / F.col("max_score"))
+    t = t.filter((F.col("max_score") > min_score) & (F.col("margin") > min_margin))
+    return t if keep is None else t.filter(F.col("predicted_id").isin(list(keep)))
+
+
+def majority_label(cells: DataFrame, cluster: str, label: str) -> DataFrame:
+    """The most frequent label of each cluster (ties: smaller label)."""
+    n = cells.groupBy(cluster, label).agg(F.count(F.lit(1)).alias("n"))
+    best = n.groupBy(cluster).agg(F.min(F.struct((-F.col("n")).alias("n"), F.col(label))).alias("b"), F.sum("n").alias("size"))
+    return best.select(cluster, F.col(f"b.{label}").alias(label), (-F.col("b.n")).alias("n"), "size")
+
+
+def pct_expressed(matrix: DataFrame, cells: DataFrame, group: str = "group") -> DataFrame:
+    """Share of the cells of each group with a count above zero, and the highest share per feature."""
+    size = cells.groupBy(group).agg(F.count(F.lit(1)).alias("_cells"))
+    nnz = matrix.filter("count > 0").join(cells.select("cell_id", group), "cell_id").groupBy("feature_id", group).agg(
+        F.count(F.lit(1)).alias("_nnz"))
+    return nnz.join(size, group).select("feature_id", group, (F.col("_nnz") / F.col("_cells")).alias("pct"))
+
+
+def expressed_in_any(pct: DataFrame, min_pct: float = 0.1) -> DataFrame:
+    """Features whose highest group share reaches the limit."""
+    return pct.groupBy("feature_id").agg(F.max("pct").alias("max_pct")).filter(F.col("max_pct") >= min_pct)
+
+
+def detection_rate(matrix: DataFrame) -> DataFrame:
+    """Detected features per cell, centred and scaled over cells."""
+    n = stage(matrix.filter("count > 0").groupBy("cell_id").agg(F.count(F.lit(1)).alias("n_feature")))
+    m = n.agg(F.struct(F.avg("n_feature").alias("mu"), F.stddev_samp("n_feature").alias("sd"))).scalar()
+    return n.withColumn("_m", m).select(
+        "cell_id", "n_feature", ((F.col("n_feature") - F.col("_m.mu")) / F.col("_m.sd")).alias("detection_rate"))
+
+
+def find_markers(
+    matrix: DataFrame, clusters: DataFrame, value: str = "value", min_pct: float = 0.25, min_log_fc: float = 0.25
+) -> DataFrame:
+    """One-against-rest rank-sum test of every feature and cluster, positive changes only.
+
+    Cells are summed up to (feature, cluster, value) counts first. The zeros of a feature are one tie
+    at the bottom, so their ranks and their share of the tie correction come from their number.
+    ``avg_log2_fc`` is the difference of ``log2(mean + 1)``.
+    """
+    sizes = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("n1"))
+    total = clusters.agg(F.count(F.lit(1))).scalar()
+    cells = stage(
+        matrix.filter(F.col(value) > 0).join(clusters.select("cell_id", "cluster"), "cell_id")
+        .groupBy("feature_id", "cluster", F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    )
+    ranks = value_ranks(cells, ["feature_id"], "v", weight="c").select(
+        "feature_id", "v", F.col("n").alias("t"), "below", F.col("total").alias("nnz"))
+    per_feature = cells.groupBy("feature_id").agg(
+        F.sum("c").alias("nnz"), F.sum(F.col("c") * F.col("v")).alias("sum_all"))
+    t = F.col("t").cast("double")
+    ties = ranks.groupBy("feature_id").agg(F.sum(t * t * t - t).alias("ties"))
+    within = cells.join(ranks.select("feature_id", "v", "t", "below"), ["feature_id", "v"]).groupBy("feature_id", "cluster").agg(
+        F.sum("c").alias("k"), F.sum(F.col("c") * F.col("v")).alias("s"),
+        F.sum(F.col("c") * (F.col("below") + (F.col("t") + 1) / 2)).alias("rank_nz"),
+    )
+    x = within.join(per_feature, "feature_id").join(ties, "feature_id").join(sizes, "cluster").withColumn("n", total)
+    z = (F.col("n") - F.col("nnz")).cast("double")
+    n1, n2 = F.col("n1").cast("double"), (F.col("n") - F.col("n1")).cast("double")
+    # zeros: rank (z+1)/2 each; non-zeros are lifted by z
+    rank_sum = (n1 - F.col("k")) * (z + 1) / 2 + F.col("rank_nz") + F.col("k") * z
+    u = rank_sum - n1 * (n1 + 1) / 2
+    n = F.col("n").cast("double")
+    all_ties = F.col("ties") + z * z * z - z
+    var = n1 * n2 / 12 * ((n + 1) - all_ties / (n * (n - 1)))
+    mean_1, mean_2 = F.col("s") / n1, (F.col("sum_all") - F.col("s")) / n2
+    x = x.select(
+        "cluster", "feature_id", F.col("k").alias("k"), (F.col("k") / n1).alias("pct_1"),
+        ((F.col("nnz") - F.col("k")) / n2).alias("pct_2"),
+        (F.log2(mean_1 + 1) - F.log2(mean_2 + 1)).alias("avg_log2_fc"), u.alias("u"),
+        F.when(var > 0, (u - n1 * n2 / 2) / F.sqrt(var)).otherwise(0.0).alias("z"),
+    ).drop("k")
+    kept = x.filter((F.greatest("pct_1", "pct_2") >= min_pct) & (F.col("avg_log2_fc") >= min_log_fc))
+    return bh_adjust(kept.withColumn("p_value", normal_two_sided(F.col("z"))), by=["cluster"])
+
+
+def top_markers(markers: DataFrame, n: int = 20) -> DataFrame:
+    """The n largest changes per cluster; ties at the limit are kept."""
+    return top_per_group(markers, ["cluster"], n, [F.col("avg_log2_fc").desc()], ties=True)
+
+
+def _residual(x: Column, mu: Column, theta: float, clip: Column) -> Column:
+    raw = (x - mu) / F.sqrt(mu + mu * mu / theta)
+    return F.greatest(F.least(raw, clip), -clip)
+
+
+def _totals(matrix: DataFrame, cells: DataFrame):
+    m = matrix.filter("count > 0").join(cells.select("cell_id", "sample_id"), "cell_id")
+    m = stage(m.select("sample_id", "feature_id", "cell_id", "count"))
+    by_cell = m.groupBy("sample_id", "cell_id").agg(F.sum("count").alias("cell_total"))
+    by_feature = m.groupBy("sample_id", "feature_id").agg(F.sum("count").alias("feature_total"))
+    by_sample = by_cell.groupBy("sample_id").agg(
+        F.sum("cell_total").alias("total"), F.sqrt(F.count(F.lit(1)).cast("double")).alias("clip"))
+    return m, by_cell, by_feature, by_sample
+
+
+def normalize_cells(matrix: DataFrame, cells: DataFrame, theta: float = 100.0) -> DataFrame:
+    """Analytic Pearson residuals per sample: ``(x - mu) / sqrt(mu + mu^2 / theta)``, clipped.
+
+    Returned for the present pairs together with ``zero_residual``, the value an absent pair of the
+    same feature and cell would have.
+    """
+    m, by_cell, by_feature, by_sample = _totals(matrix, cells)
+    mu = F.col("feature_total") * F.col("cell_total") / F.col("total")
+    x = m.join(by_cell, ["sample_id", "cell_id"]).join(by_feature, ["sample_id", "feature_id"]).join(by_sample, "sample_id")
+    return x.select(
+        "sample_id", "feature_id", "cell_id", _residual(F.col("count"), mu, theta, F.col("clip")).alias("residual"),
+        _residual(F.lit(0.0), mu, theta, F.col("clip")).alias("zero_residual"))
+
+
+def residual_variance(matrix: DataFrame, cells: DataFrame, theta: float = 100.0) -> DataFrame:
+    """Variance of the residuals per sample and feature over all cells of the sample.
+
+    The zero residual depends on the cell only through its total, so the zero block of a feature is
+    a sum over the distinct cell totals of its sample, not over cells.
+    """
+    m, by_cell, by_feature, by_sample = _totals(matrix, cells)
+    res = normalize_cells(matrix, cells, theta)
+    present = res.groupBy("sample_id", "feature_id").agg(
+        F.sum(F.col("residual") - F.col("zero_residual")).alias("d1"),
+        F.sum(F.col("residual") * F.col("residual") - F.col("zero_residual") * F.col("zero_residual")).alias("d2"))
+    hist = by_cell.groupBy("sample_id", "cell_total").agg(F.count(F.lit(1)).alias("w"))
+    mu = F.col("feature_total") * F.col("cell_total") / F.col("total")
+    zero = _residual(F.lit(0.0), mu, theta, F.col("clip"))
+    zeros = by_feature.join(hist, "sample_id").join(by_sample, "sample_id").groupBy("sample_id", "feature_id").agg(
+        F.sum(F.col("w") * zero).alias("z1"), F.sum(F.col("w") * zero * zero).alias("z2"), F.sum("w").alias("n"))
+    s1, s2, n = F.col("z1") + F.col("d1"), F.col("z2") + F.col("d2"), F.col("n")
+    return zeros.join(present, ["sample_id", "feature_id"]).filter("n > 1").select(
+        "sample_id", "feature_id", ((s2 - s1 * s1 / n) / (n - 1)).alias("variance"))
+
+
+def select_features(variance: DataFrame, n: int = 10_000, top: int | None = None) -> DataFrame:
+    """Features that are most often among the ``top`` most variable of a sample, then by median rank."""
+    v = variance.withColumn("_neg", -F.round("variance", 9))
+    ranked = average_rank(stage(v), "_neg", by=["sample_id"], out="r")
+    hits = ranked.filter(F.col("r") <= (top or n))
+    med = exact_quantiles(hits, ["feature_id"], "r", {"median_rank": 0.5})
+    return med.withColumnRenamed("n", "n_samples").orderBy(F.col("n_samples").desc(), "median_rank", "feature_id").limit(n)
+
+
+def _euclid(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    d = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1) - 2 * (a @ b.T)
+    return np.sqrt(np.maximum(d, 0))
+
+
+def knn(
+    queries: DataFrame, reference: DataFrame, k: int, pivots: int | None = None, block: int = 2048
+) -> DataFrame:
+    """Exact k nearest reference vectors: ``query_id, ref_id, distance, place``.
+
+    Both tables are ``cell_id, vec``. A reference that fits one block needs no pivots. Else reference vectors are assigned to their nearest pivot (a few
+    of the reference vectors, at most 512). A query first searches the blocks of its own pivot, whose k-th
+    distance bounds the answer; then only the pivots whose ball can hold something closer. Pivots
+    with many members are cut into blocks of bounded size on both sides, and a task multiplies two
+    blocks and keeps k rows per query, so neither all pairs nor a large group ever exist.
+    """
+    spark = queries.sparkSession
+    ref = reference.select(F.col("cell_id").alias("ref_id"), F.col("vec").alias("rv"))
+    n_ref = ref.count()
+    if pivots is None:
+        pivots = 1 if n_ref <= block else int(n_ref ** 0.5) // 2
+    wanted = min(512, max(1, pivots))
+    chosen = ref.orderBy(F.xxhash64("ref_id"), "ref_id").limit(wanted).toPandas()
+    if chosen.empty:
+        return spark.createDataFrame([], "query_id string, ref_id string, distance double, place int")
+    centre = np.stack(chosen["rv"].to_numpy()).astype(float)
+
+    def nearest(batches):
+        for pdf in batches:
+            d = _euclid(np.stack(pdf["v"].to_numpy()).astype(float), centre) if len(pdf) else np.zeros((0, len(centre)))
+            yield pd.DataFrame({"id": pdf["id"], "v": pdf["v"], "pivot": d.argmin(axis=1).astype("int32"), "d": d.min(axis=1) if len(pdf) else []})
+
+    schema = "id string, v array<double>, pivot int, d double"
+    r = ref.select(F.col("ref_id").alias("id"), F.col("rv").alias("v"))
+    q = queries.select(F.col("cell_id").alias("id"), F.col("vec").alias("v"))
+    if wanted == 1:
+        r, q = (t.withColumn("pivot", F.lit(0)).withColumn("d", F.lit(0.0)) for t in (r, q))
+    else:
+        r, q = stage(r.mapInPandas(nearest, schema)), stage(q.mapInPandas(nearest, schema))
+    ball = r.groupBy("pivot").agg(F.max("d").alias("radius"), F.count(F.lit(1)).alias("size")).collect()  # one row per pivot
+    radius = np.full(len(centre), -np.inf)
+    blocks = np.ones(len(centre), dtype=int)
+    for row in ball:
+        radius[row["pivot"]] = row["radius"]
+        blocks[row["pivot"]] = -(-row["size"] // block)
+    block_of = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), F.col("pivot") + 1)
+    r = r.withColumn("rb", F.pmod(F.xxhash64("id"), block_of).cast("int"))
+
+    def search(routes: DataFrame) -> DataFrame:
+        """k best per query and reference block, for ``id, v, pivot, rb`` routes."""
+        sizes = routes.groupBy("pivot", "rb").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).alias("_b"))
+        salted = routes.join(sizes, ["pivot", "rb"]).withColumn("qb", F.pmod(F.xxhash64("id"), F.col("_b")).cast("int"))
+        copies = r.join(sizes, ["pivot", "rb"]).select(
+            "pivot", "rb", "id", "v", F.explode(F.sequence(F.lit(0), (F.col("_b") - 1).cast("int"))).alias("qb"))
+
+        def multiply(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            if left.empty or right.empty:
+                return pd.DataFrame({"query_id": [], "ref_id": [], "distance": []})
+            right = right.sort_values("id")
+            a = np.stack(left["v"].to_numpy()).astype(float)
+            b = np.stack(right["v"].to_numpy()).astype(float)
+            d = np.round(np.stack([np.sqrt(((b - row) ** 2).sum(axis=1)) for row in a]), 9)
+            kk = min(k, len(right))
+            at = np.argsort(d, axis=1, kind="stable")[:, :kk]
+            return pd.DataFrame({
+                "query_id": np.repeat(left["id"].to_numpy(), kk), "ref_id": right["id"].to_numpy()[at.ravel()],
+                "distance": np.take_along_axis(d, at, axis=1).ravel()})
+
+        return salted.groupBy("pivot", "rb", "qb").cogroup(copies.groupBy("pivot", "rb", "qb")).applyInPandas(
+            multiply, "query_id string, ref_id string, distance double")
+
+    per_pivot = F.sequence(F.lit(0), block_of - 1)
+    home = search(q.select("id", "v", "pivot", F.explode(per_pivot).alias("rb")))
+    first = top_per_group(home, ["query_id"], k, [F.col("distance"), F.col("ref_id")])
+    if wanted == 1:
+        return first
+    first = stage(first)
+    bound = first.groupBy("query_id").agg(
+        F.when(F.count(F.lit(1)) >= k, F.max("distance")).otherwise(F.lit(float("inf"))).alias("bound"))
+    todo = q.join(bound, q.id == bound.query_id, "left").select("id", "v", F.col("pivot").alias("home"), F.coalesce("bound", F.lit(float("inf"))).alias("bound"))
+
+    def reach(batches):
+        for pdf in batches:
+            if pdf.empty:
+                yield pd.DataFrame({"id": [], "v": [], "pivots": []})
+                continue
+            d = _euclid(np.stack(pdf["v"].to_numpy()).astype(float), centre)
+            open_ = (d - radius <= pdf["bound"].to_numpy()[:, None] + 1e-6) & np.isfinite(radius)
+            open_[np.arange(len(pdf)), pdf["home"].to_numpy()] = False
+            yield pd.DataFrame({"id": pdf["id"], "v": pdf["v"], "pivots": [np.nonzero(o)[0].astype("int32") for o in open_]})
+
+    routes = todo.mapInPandas(reach, "id string, v array<double>, pivots array<int>").select(
+        "id", "v", F.explode("pivots").alias("pivot"))
+    rest = search(routes.select("id", "v", "pivot", F.explode(per_pivot).alias("rb")))
+    both = first.select("query_id", "ref_id", "distance").unionByName(rest)
+    return top_per_group(both, ["query_id"], k, [F.col("distance"), F.col("ref_id")])
+
+
+def transfer_labels(reference: DataFrame, queries: DataFrame, k: int = 15) -> DataFrame:
+    """Label scores of query cells from their nearest reference cells, weights ``1 / (1 + distance)``.
+
+    Returns ``cell_id, predicted_id, max_score, scores`` (a map from label to score).
+    """
+    near = knn(queries, reference, k).join(
+        reference.select(F.col("cell_id").alias("ref_id"), "label"), "ref_id").withColumn("w", 1 / (1 + F.col("distance")))
+    votes = near.groupBy("query_id", "label").agg(F.sum("w").alias("w"))
+    total = votes.groupBy("query_id").agg(F.sum("w").alias("_t"))
+    scored = votes.join(total, "query_id").select("query_id", "label", F.round(F.col("w") / F.col("_t"), 9).alias("score"))
+    return scored.groupBy(F.col("query_id").alias("cell_id")).agg(
+        F.min(F.struct((-F.col("score")).alias("s"), F.col("label"))).alias("b"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "score")))).alias("scores"),
+    ).select("cell_id", F.col("b.label").alias("predicted_id"), (-F.col("b.s")).alias("max_score"), "scores")
+
+
+def integrate_samples(vectors: DataFrame, sample: str, reference: str, k: int = 5, smooth: int = 5) -> DataFrame:
+    """Move every sample onto the reference sample along its mutual nearest neighbours.
+
+    Pairs that are among each other's ``k`` nearest give a difference vector; a cell is shifted by
+    the mean of the vectors at its ``smooth`` nearest paired cells of the same sample.
+    """
+    base = vectors.filter(F.col(sample) == reference)
+    out = base.select("cell_id", F.col(sample), "vec")
+    others = [row[0] for row in vectors.select(sample).distinct().orderBy(sample).collect() if row[0] != reference]
+    for name in others:  # one job per sample, like a manifest loop
+        own = stage(vectors.filter(F.col(sample) == name))
+        ab = knn(own, base, k).select(F.col("query_id").alias("a"), F.col("ref_id").alias("b"))
+        ba = knn(base, own, k).select(F.col("query_id").alias("b"), F.col("ref_id").alias("a"))
+        mutual = ab.join(ba, ["a", "b"])
+        pairs = mutual.join(own.select(F.col("cell_id").alias("a"), F.col("vec").alias("va")), "a").join(
+            base.select(F.col("cell_id").alias("b"), F.col("vec").alias("vb")), "b")
+        gap = pairs.select("a", F.posexplode(F.zip_with("vb", "va", lambda x, y: x - y)).alias("i", "g"))
+        anchor = gap.groupBy("a", "i").agg(F.avg("g").alias("g"))
+        anchor = stage(anchor.groupBy("a").agg(F.array_sort(F.collect_list(F.struct("i", "g"))).alias("s")).select(
+            F.col("a").alias("cell_id"), F.col("s.g").alias("shift")))
+        if anchor.isEmpty():
+            out = out.unionByName(own.select("cell_id", sample, "vec"))
+            continue
+        anchors = anchor.join(own.select("cell_id", "vec"), "cell_id")
+        near = knn(own, anchors.select("cell_id", "vec"), smooth).join(
+            anchor.withColumnRenamed("cell_id", "ref_id"), "ref_id")
+        mean = near.select("query_id", F.posexplode("shift").alias("i", "g")).groupBy("query_id", "i").agg(F.avg("g").alias("g"))
+        mean = mean.groupBy(F.col("query_id").alias("cell_id")).agg(F.array_sort(F.collect_list(F.struct("i", "g"))).alias("s"))
+        moved = own.join(mean, "cell_id").select(
+            "cell_id", sample, F.zip_with("vec", F.col("s.g"), lambda x, y: x + y).alias("vec"))
+        out = out.unionByName(moved)
+    return out
+
+
+def cluster_cells(vectors: DataFrame, k: int, seed: int = 1) -> DataFrame:
+    """k-means clusters of cell vectors, a distributed stand-in for graph communities."""
+    v = vectors.select("cell_id", array_to_vector("vec").alias("features"))
+    model = KMeans(k=k, seed=seed).fit(v)
+    return model.transform(v).select("cell_id", F.col("prediction").cast("string").alias("cluster"))
+
+
+def neighbour_communities(vectors: DataFrame, k: int = 10, rounds: int = 10) -> DataFrame:
+    """Communities of the k-nearest-neighbour graph by label propagation (ties: smaller label)."""
+    near = knn(vectors, vectors, k + 1).filter("query_id <> ref_id").select("query_id", "ref_id")
+    both = stage(near.unionByName(near.select(F.col("ref_id").alias("query_id"), F.col("query_id").alias("ref_id"))).distinct())
+    labels = stage(vectors.select("cell_id", F.col("cell_id").alias("cluster")))
+    for _ in range(rounds):
+        votes = both.join(labels.select(F.col("cell_id").alias("ref_id"), "cluster"), "ref_id").groupBy(
+            F.col("query_id").alias("cell_id"), "cluster").agg(F.count(F.lit(1)).alias("n"))
+        best = votes.groupBy("cell_id").agg(F.min(F.struct((-F.col("n")).alias("n"), F.col("cluster"))).alias("b"))
+        new = stage(labels.withColumnRenamed("cluster", "old").join(best, "cell_id", "left").select(
+            "cell_id", F.coalesce("b.cluster", "old").alias("cluster"), "old"))
+        done = new.filter("cluster <> old").isEmpty()
+        labels = new.select("cell_id", "cluster")
+        if done:
+            break
+    return labels
