@@ -42,10 +42,10 @@ cte("c_logdense", """
     LEFT JOIN c_logcpm USING (feature_id, sample_id)""")
 
 
-def kept_matrix(spark, d):
+def kept_matrix(spark, d, min_cpm=600, min_samples=20):
     """The matrix after the expression filter, staged because libraries are summed again on it."""
     m = inputs.matrix(spark, d)
-    return stage(nz.expressed_filter(m, nz.library_size(m), min_cpm=600, min_samples=20))
+    return stage(nz.expressed_filter(m, nz.library_size(m), min_cpm, min_samples))
 
 
 @query("a1_library_size", """
@@ -174,9 +174,9 @@ def row_zscore(spark, d):
 @query("flagship_mean_log_cpm_top", """
     SELECT feature_id, symbol, biotype, description, round(mean_log_cpm, 6) AS mean_log_cpm
     FROM c_meanlog JOIN c_ann USING (feature_id) ORDER BY round(mean_log_cpm, 6) DESC, feature_id LIMIT 15""")
-def flagship_mean_log_cpm_top(spark, d):
+def flagship_mean_log_cpm_top(spark, d, min_cpm=600, min_samples=20):
     """Counts to the annotated top features: filter, log CPM, annotation, top 15."""
-    m = kept_matrix(spark, d)
+    m = kept_matrix(spark, d, min_cpm, min_samples)
     e = nz.mean_log_cpm(m, nz.library_size(m)).withColumn("mean_log_cpm", r("mean_log_cpm"))
     return (
         e.join(inputs.annotations(spark, d).drop("length"), "feature_id")

@@ -75,6 +75,16 @@ def ora(spark, d):
         r("q_value", 8).alias("q_value"), "count", F.array_join("genes", "/").alias("genes"))
 
 
+@query("j11_term_descriptions", """
+    SELECT term_id, direction, k AS count, CASE WHEN term_id IN ('PROMO', 'LARGE') THEN 'parts of ' || term_id END AS description FROM c_counts WHERE collection = 'type'""")
+def term_descriptions(spark, d):
+    sets = inputs.gene_sets(spark, d).filter("collection = 'type'")
+    c = enrich.overlap_counts(query_lists(spark, d), sets, min_size=1, max_size=None)
+    terms = table(spark, d, "part").filter("p_type in ('PROMO', 'LARGE')").select(
+        F.col("p_type").alias("term_id"), F.concat(F.lit("parts of "), "p_type").alias("description"))
+    return enrich.describe_terms(c, terms).select("term_id", "direction", F.col("k").alias("count"), "description")
+
+
 @query("a21_enrich_table", """
     WITH a AS (SELECT *, round(p, 12) AS rp FROM c_hyper WHERE n >= 20),
     b AS (SELECT *, row_number() OVER (PARTITION BY collection, direction ORDER BY rp) AS rk, count(*) OVER (PARTITION BY collection, direction) AS nt FROM a),

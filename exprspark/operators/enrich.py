@@ -95,6 +95,13 @@ def enrich_table(
     return t if max_p is None else t.filter(F.col(filter_on) < max_p)
 
 
+def describe_terms(results: DataFrame, terms: DataFrame) -> DataFrame:
+    """Attach the description of each term; results without one keep a null."""
+    keys = [c for c in ("collection", "term_id") if c in results.columns and c in terms.columns]
+    one = terms.groupBy(*keys).agg(F.min("description").alias("description"))
+    return results.join(one, keys, "left")
+
+
 def direction_lists(deg: DataFrame, with_all: bool = True) -> DataFrame:
     """ALL, UP and DN lists of a result table as ``direction, feature_id`` rows."""
     labels = [F.when(F.col("log_fc") > 0, "UP"), F.when(F.col("log_fc") < 0, "DN")]
