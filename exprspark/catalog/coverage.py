@@ -235,10 +235,10 @@ cte("c_reads", """
 
 def reads(spark, d):
     """Whole texts as reads of 80 letters: letters become bases, everything else N; quality from the letter."""
-    doc = table(spark, d, "documents").select("doc_id", "source", F.regexp_replace("text", "[^a-zA-Z]", "n").alias("t"))
-    n = F.expr("(length(t) + 79) div 80")
-    w = doc.filter("length(t) > 0").select("doc_id", "source", "t", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("k"))
-    seq = F.translate(F.upper(F.expr("substring(t, cast(k * 80 + 1 as int), 80)")), "BDEFHIJKLMOPQRSUVWXYZ", "ACGTACGTACGTACGTACGTA")
+    letters = F.regexp_replace("text", "[^a-zA-Z]", "n")
+    w = table(spark, d, "documents").select(
+        "doc_id", "source", F.posexplode(F.regexp_extract_all(letters, F.lit(".{1,80}"), F.lit(0))).alias("k", "piece"))
+    seq = F.translate(F.upper("piece"), "BDEFHIJKLMOPQRSUVWXYZ", "ACGTACGTACGTACGTACGTA")
     return w.select(
         F.concat_ws("_", "doc_id", "k").alias("read_id"), F.col("source").alias("sample_id"), (F.col("doc_id") % 2 + 1).cast("int").alias("mate"),
         seq.alias("seq"), F.translate(seq, "ACGTN", "IH5#!").alias("qual"))

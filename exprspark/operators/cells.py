@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from exprspark.functions.stats import normal_two_sided
 from exprspark.operators.ranking import average_rank, bh_adjust, exact_quantiles, value_ranks
 from exprspark.operators.report import top_per_group
-from exprspark.session import stage
+from exprspark.session import spread, stage
 
 
 def merge_samples(parts: Sequence[DataFrame]) -> DataFrame:
@@ -262,7 +262,8 @@ def knn(
                 "query_id": np.repeat(left["id"].to_numpy(), kk), "ref_id": right["id"].to_numpy()[at.ravel()],
                 "distance": np.take_along_axis(d, at, axis=1).ravel()})
 
-        return salted.groupBy("pivot", "rb", "qb").cogroup(copies.groupBy("pivot", "rb", "qb")).applyInPandas(
+        keys = ("pivot", "rb", "qb")
+        return spread(salted, *keys).groupBy(*keys).cogroup(spread(copies, *keys).groupBy(*keys)).applyInPandas(
             multiply, "query_id string, ref_id string, distance double")
 
     per_pivot = F.sequence(F.lit(0), block_of - 1)

@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 from exprspark.functions.stats import chi2_sf
 from exprspark.operators.normalize import effective_library
 from exprspark.operators.ranking import bh_adjust
-from exprspark.session import stage
+from exprspark.session import spread, stage
 
-GRID = np.exp(np.linspace(math.log(1e-4), math.log(10.0), 25))
-BLOCK_CELLS = 2_000_000  # features x samples of one task's dense block
+GRID = np.exp(np.linspace(math.log(1e-4), math.log(10.0), 21))
+BLOCK_CELLS = 1_000_000  # features x samples of one task's dense block
 MAX_SAMPLES = 100_000
 
 
@@ -50,38 +50,48 @@ def _lgamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + tail - shift
 
 
-def _fit_rate(y: np.ndarray, lib: np.ndarray, phi: np.ndarray) -> np.ndarray:
-    """Log rate per feature of ``y ~ NB(lib * rate, phi)`` by Fisher scoring; -inf for all-zero rows."""
+def _fit_rate(y: np.ndarray, lib: np.ndarray, phi: np.ndarray, start: np.ndarray | None = None):
+    """Log rate per feature of ``y ~ NB(lib * rate, phi)`` by Fisher scoring, and the log likelihood.
+
+    The likelihood leaves out the terms that do not depend on the rate. All-zero rows have rate 0.
+    """
     total = y.sum(axis=1)
     some = total > 0
-    beta = np.where(some, np.log(np.where(some, total, 1.0) / lib.sum()), -np.inf)
+    beta = np.log(np.where(some, total, 1.0) / lib.sum()) if start is None else start
+    beta = np.where(some, beta, -700.0)
     p = phi[:, None]
     for _ in range(50):
         mu = np.exp(beta)[:, None] * lib
-        w = 1 + p * mu
-        step = np.where(some, ((y - mu) / w).sum(axis=1) / np.maximum((mu / w).sum(axis=1), 1e-300), 0.0)
-        step = np.clip(step, -3, 3)
-        beta = beta + step
-        if np.abs(step).max(initial=0.0) < 1e-10:
+        w = 1 / (1 + p * mu)
+        step = np.where(some, ((y - mu) * w).sum(axis=1) / np.maximum((mu * w).sum(axis=1), 1e-300), 0.0)
+        beta = beta + np.clip(step, -3, 3)
+        if np.abs(step).max(initial=0.0) < 1e-9:
             break
-    return beta
+    mu = np.exp(beta)[:, None] * lib
+    ll = total * np.where(some, beta, 0.0) + y @ np.log(lib) - ((y + 1 / p) * np.log1p(p * mu)).sum(axis=1)
+    return beta, ll, mu
 
 
-def _log_lik(y: np.ndarray, mu: np.ndarray, phi: np.ndarray) -> np.ndarray:
-    """NB log likelihood per feature without the terms that do not depend on the mean."""
-    p = phi[:, None]
-    m = np.maximum(mu, 1e-300)
-    return (np.where(y > 0, y * (np.log(m) - np.log1p(p * m)), 0.0) - np.log1p(p * m) / p).sum(axis=1)
-
-
-def _profile(y: np.ndarray, lib: np.ndarray, trt: np.ndarray, phi: float) -> np.ndarray:
-    """Adjusted profile likelihood of one dispersion for all features of a block."""
-    p = np.full(len(y), phi)
-    out = (_lgamma(y + 1 / phi) - _lgamma(np.array(1 / phi))).sum(axis=1) + np.log(phi) * y.sum(axis=1)
-    for g in (trt == 0, trt == 1):
-        mu = np.exp(_fit_rate(y[:, g], lib[g], p))[:, None] * lib[g]
-        out = out + _log_lik(y[:, g], mu, p)
-        out = out - 0.5 * np.log(np.maximum((mu / (1 + phi * mu)).sum(axis=1), 1e-10))
+def _profiles(y: np.ndarray, lib: np.ndarray, trt: np.ndarray) -> np.ndarray:
+    """Adjusted profile likelihood over the dispersion grid, one row per feature.
+
+    The gamma terms of a zero count vanish and equal counts share theirs; each grid point starts
+    from the rate of the one before.
+    """
+    values, inverse = np.unique(y, return_inverse=True)
+    inverse = inverse.reshape(y.shape)
+    total = y.sum(axis=1)
+    out = np.empty((len(y), len(GRID)))
+    start: list = [None, None]
+    for j, phi in enumerate(GRID):
+        gamma = np.where(values > 0, _lgamma(values + 1 / phi) - _lgamma(np.array(1 / phi)), 0.0)
+        apl = gamma[inverse].sum(axis=1) + math.log(phi) * total
+        p = np.full(len(y), phi)
+        for k in (0, 1):
+            g = trt == k
+            start[k], ll, mu = _fit_rate(y[:, g], lib[g], p, start[k])
+            apl += ll - 0.5 * np.log(np.maximum((mu / (1 + phi * mu)).sum(axis=1), 1e-10))
+        out[:, j] = apl
     return out
 
 
@@ -113,14 +123,13 @@ def differential_expression(
         raise ValueError("more libraries than a per-feature fit is meant for; sum cells to samples first")
     sizes, group = info["eff"].to_numpy(float), info["trt"].to_numpy(float)
     n = len(info)
-    scale = 1e6 / sizes.mean()
     index = matrix.sparkSession.createDataFrame(
         pd.DataFrame({"sample_id": info["sample_id"], "idx": np.arange(n)}), "sample_id string, idx int")
     # A feature is one array of at most n entries; a block is a bounded number of features.
     rows = matrix.join(F.broadcast(index), "sample_id").groupBy("feature_id").agg(
         F.collect_list(F.struct("idx", "count")).alias("c"))
     n_features = max(1, matrix.agg(F.approx_count_distinct("feature_id")).first()[0])
-    n_blocks = max(8, math.ceil(n_features * n / BLOCK_CELLS))
+    n_blocks = max(32, math.ceil(n_features * n / BLOCK_CELLS))
     blocked = stage(rows.select(
         F.pmod(F.xxhash64("feature_id"), F.lit(n_blocks)).cast("int").alias("block"), "feature_id",
         F.col("c.idx").alias("idx"), F.col("c.count").alias("cnt")))
@@ -133,17 +142,14 @@ def differential_expression(
 
     mean_curve = None
     if dispersion is None:
-        def curve_sums(pdf: pd.DataFrame) -> pd.DataFrame:
-            y = dense(pdf)
-            sums = [float(_profile(y, sizes, group, phi).sum()) for phi in GRID]
-            return pd.DataFrame({"g": range(len(GRID)), "s": sums, "k": len(pdf)})
-
-        sums = (
-            blocked.groupBy("block").applyInPandas(curve_sums, "g int, s double, k long")
-            .groupBy("g").agg(F.sum("s").alias("s"), F.sum("k").alias("k")).orderBy("g").collect()
-        )
-        if sums:
-            mean_curve = np.array([x["s"] / x["k"] for x in sums])
+        def curves(pdf: pd.DataFrame) -> pd.DataFrame:
+            step = max(1, 100_000 // n)
+            parts = [_profiles(dense(pdf.iloc[i : i + step]), sizes, group) for i in range(0, len(pdf), step)]
+            return pdf.assign(curve=list(np.concatenate(parts)))
+
+        fields = "block int, feature_id string, idx array<int>, cnt array<double>, curve array<double>"
+        blocked = stage(spread(blocked, "block", groups=n_blocks).groupBy("block").applyInPandas(curves, fields))
+        mean_curve = np.array(blocked.agg(*[F.avg(F.col("curve")[i]) for i in range(len(GRID))]).first(), dtype=float)
     prior_n = prior_df / max(n - 2, 1)
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -151,13 +157,13 @@ def differential_expression(
         if dispersion is not None:
             phi = np.full(len(y), float(dispersion))
         else:
-            own = np.stack([_profile(y, sizes, group, g) for g in GRID], axis=1)
-            phi = _peak(own + prior_n * mean_curve)
-        b = [_fit_rate(y[:, group == g], sizes[group == g], phi) for g in (0, 1)]
-        full = sum(
-            _log_lik(y[:, group == g], np.exp(b[g])[:, None] * sizes[group == g], phi) for g in (0, 1))
-        null_b = _fit_rate(y, sizes, phi)
-        null = _log_lik(y, np.exp(null_b)[:, None] * sizes, phi)
+            phi = _peak(np.stack(pdf["curve"].to_numpy()) + prior_n * mean_curve)
+        b, full = [], 0.0
+        for g in (0, 1):
+            beta, ll, _ = _fit_rate(y[:, group == g], sizes[group == g], phi)
+            b.append(beta)
+            full = full + ll
+        _, null, _ = _fit_rate(y, sizes, phi)
         low = [math.log(0.125 / sizes[group == g].sum()) for g in (0, 1)]
         fc = (np.maximum(b[1], low[1]) - np.maximum(b[0], low[0])) / math.log(2)
         prior = 2 * sizes / sizes.mean()
@@ -167,7 +173,7 @@ def differential_expression(
             "lr": np.maximum(2 * (full - null), 0.0), "dispersion": phi,
         })
 
-    fitted = blocked.groupBy("block").applyInPandas(
+    fitted = spread(blocked, "block", groups=n_blocks).groupBy("block").applyInPandas(
         fit, "feature_id string, log_fc double, log_cpm double, lr double, dispersion double")
     tested = bh_adjust(fitted.withColumn("p_value", chi2_sf(F.col("lr"))))
     return tested.select("feature_id", "log_fc", "log_cpm", "lr", "p_value", "fdr", "dispersion")
@@ -247,7 +253,7 @@ def hurdle_de(
     sums = matrix.filter(v > 0).join(key, "cell_id").groupBy("feature_id", "pattern").agg(
         F.count(F.lit(1)).alias("k"), F.sum(v).alias("s"), F.sum(v * v).alias("ss"))
     n_features = max(1, matrix.agg(F.approx_count_distinct("feature_id")).first()[0])
-    n_blocks = max(8, math.ceil(n_features * len(pats) / BLOCK_CELLS))
+    n_blocks = max(32, math.ceil(n_features * len(pats) / BLOCK_CELLS))
     in_trt = design_x[:, 1] == 1
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -282,6 +288,7 @@ def hurdle_de(
                         k[~in_trt].sum() / n_cells[~in_trt].sum(), k[in_trt].sum() / n_cells[in_trt].sum()))
         return pd.DataFrame(out, columns=["feature_id", "log_fc", "ci_low", "ci_high", "statistic", "df", "pct_ref", "pct_trt"])
 
-    fitted = sums.groupBy(F.pmod(F.xxhash64("feature_id"), F.lit(n_blocks)).alias("block")).applyInPandas(
+    blocked = sums.withColumn("block", F.pmod(F.xxhash64("feature_id"), F.lit(n_blocks)))
+    fitted = spread(blocked, "block", groups=n_blocks).groupBy("block").applyInPandas(
         fit, "feature_id string, log_fc double, ci_low double, ci_high double, statistic double, df int, pct_ref double, pct_trt double")
     return bh_adjust(fitted.withColumn("p_value", chi2_sf(F.col("statistic"), F.col("df"))))

@@ -13,12 +13,12 @@ from pyspark.sql import functions as F
 
 from exprspark.functions.stats import t_quantile_col
 from exprspark.operators.ranking import exact_quantiles, ordered_index
-from exprspark.session import stage
+from exprspark.session import spread, stage
 
 DRIVER_SAMPLES = 2048  # the largest sample-by-sample matrix that may reach the driver
 
 
-def sample_gram(values: DataFrame, value: str, tile: int = 512, block: int = 4096) -> DataFrame:
+def sample_gram(values: DataFrame, value: str, tile: int = 512, block: int = 1024) -> DataFrame:
     """Dot products of all sample pairs ``(i <= j)`` over features, as blocked matrix products.
 
     Features are hashed into blocks and samples cut into tiles, so a task multiplies two dense
@@ -52,6 +52,7 @@ def sample_gram(values: DataFrame, value: str, tile: int = 512, block: int = 409
         keep = i <= j
         return pd.DataFrame({"i": i[keep], "j": j[keep], "dot": dot[a, b][keep]})
 
+    x = spread(x, "block", "ti", "tj", groups=n_blocks * n_tiles * (n_tiles + 1) // 2)
     parts = x.groupBy("block", "ti", "tj").applyInPandas(product, "i int, j int, dot double")
     return parts.groupBy("i", "j").agg(F.sum("dot").alias("dot")), ids
 

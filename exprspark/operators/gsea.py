@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 
 from exprspark.operators.enrich import storey_q
 from exprspark.operators.ranking import bh_adjust
-from exprspark.session import stage
+from exprspark.session import spread, stage
 
 DIGITS = 9  # scores are rounded before they are compared
 
@@ -97,7 +97,7 @@ def null_scores(ranked: DataFrame, sizes: list[int], nperm: int, seed: int = 1)
             out.append(top if top >= -low else low)
         return pd.DataFrame({"perm": int(pdf["perm"].iloc[0]), "m": wanted, "es": out})
 
-    es = drawn.groupBy("perm").applyInPandas(score, "perm int, m int, es double")
+    es = spread(drawn.select("perm", "pos", "w", "n", "k"), "perm", groups=nperm).groupBy("perm").applyInPandas(score, "perm int, m int, es double")
     return es.groupBy("m").agg(F.collect_list("es").alias("null_es"))
 
 

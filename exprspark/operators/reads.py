@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,19 +21,17 @@ def trim_reads(
 
     Matches are exact. With ``paired`` both mates must pass.
     """
-    seq = F.col("seq")
-    at = F.instr(seq, adapter)
-    cut = F.when(at > 0, at - 1)
-    for size in range(len(adapter) - 1, min_overlap - 1, -1):
-        cut = cut.when(seq.endswith(adapter[:size]), F.length(seq) - size)
-    cut = cut.otherwise(F.length(seq)).cast("int")
-    t = reads.withColumn("_cut", cut)
-    t = t.withColumn("seq", F.substring("seq", F.lit(1), F.col("_cut")))
+    tails = "|".join(re.escape(adapter[:n]) for n in range(len(adapter) - 1, min_overlap - 1, -1))
+    pattern = f"(?s)^(.*?)(?:{re.escape(adapter)}.*{'|' + tails if tails else ''})?$"
+    # A one-element generator computes the cut once per row; filters are not pushed below it and so
+    # do not repeat the expression.
+    cut = F.explode(F.array(F.regexp_extract("seq", pattern, 1)))
+    t = reads.select(*[c for c in reads.columns if c != "seq"], cut.alias("seq"))
     if "qual" in reads.columns:
-        t = t.withColumn("qual", F.substring("qual", F.lit(1), F.col("_cut")))
+        t = t.withColumn("qual", F.substring("qual", F.lit(1), F.length("seq")))
     n_bases = F.length("seq") - F.length(F.translate("seq", "N", ""))
-    ok = (F.col("_cut") >= min_length) & (n_bases <= max_n * F.col("_cut"))
-    t = t.withColumn("_ok", ok).drop("_cut")
+    ok = (F.length("seq") >= min_length) & (n_bases <= max_n * F.length("seq"))
+    t = t.withColumn("_ok", ok)
     if paired:
         both = t.groupBy("read_id").agg(F.bool_and("_ok").alias("_both")).filter("_both").select("read_id")
         return t.drop("_ok").join(both, "read_id", "left_semi").select(*reads.columns)

@@ -49,3 +49,13 @@ def stage(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *cols: str, groups: int | None = None) -> DataFrame:
+    """Hash-partition for a task that computes much on few bytes.
+
+    Adaptive execution merges partitions by size; an explicit number of partitions is kept, so the
+    work still reaches all cores. ``groups`` caps the number where fewer keys exist.
+    """
+    n = 4 * df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(1, min(n, groups) if groups else n), *cols)
