@@ -20,7 +20,7 @@ cte("c_lib", "SELECT sample_id, sum(cnt) AS lib_size FROM c_matrix GROUP BY 1")
 cte("c_cpm", """
     SELECT feature_id, sample_id, cnt, 1e6 * cnt / lib_size AS cpm
     FROM c_matrix JOIN c_lib USING (sample_id)""")
-cte("c_kept", "SELECT feature_id FROM c_cpm WHERE cpm > 600 GROUP BY 1 HAVING count(*) >= 20")
+cte("c_kept", "SELECT feature_id FROM c_cpm WHERE cpm > 2000 GROUP BY 1 HAVING count(*) >= 5")
 cte("c_km", "SELECT * FROM c_matrix WHERE feature_id IN (SELECT feature_id FROM c_kept)")
 cte("c_klib", "SELECT sample_id, sum(cnt) AS lib_size FROM c_km GROUP BY 1")
 cte("c_zero", """
@@ -42,7 +42,7 @@ cte("c_logdense", """
     LEFT JOIN c_logcpm USING (feature_id, sample_id)""")
 
 
-def kept_matrix(spark, d, min_cpm=600, min_samples=20):
+def kept_matrix(spark, d, min_cpm=2000, min_samples=5):
     """The matrix after the expression filter, staged because libraries are summed again on it."""
     m = inputs.matrix(spark, d)
     return stage(nz.expressed_filter(m, nz.library_size(m), min_cpm, min_samples))
@@ -174,7 +174,7 @@ def row_zscore(spark, d):
 @query("flagship_mean_log_cpm_top", """
     SELECT feature_id, symbol, biotype, description, round(mean_log_cpm, 6) AS mean_log_cpm
     FROM c_meanlog JOIN c_ann USING (feature_id) ORDER BY round(mean_log_cpm, 6) DESC, feature_id LIMIT 15""")
-def flagship_mean_log_cpm_top(spark, d, min_cpm=600, min_samples=20):
+def flagship_mean_log_cpm_top(spark, d, min_cpm=2000, min_samples=5):
     """Counts to the annotated top features: filter, log CPM, annotation, top 15."""
     m = kept_matrix(spark, d, min_cpm, min_samples)
     e = nz.mean_log_cpm(m, nz.library_size(m)).withColumn("mean_log_cpm", r("mean_log_cpm"))

@@ -52,7 +52,7 @@ def confidence_filter(
     t = scores.withColumn("_r", ranked).select(
         *scores.columns, F.col("_r")[0]["c"].alias("predicted_id"), F.col("_r")[0]["s"].alias("max_score"),
         F.col("_r")[1]["s"].alias("second_score"))
-    t = t.withColumn("margin", (F.col("max_score") - F.col("second_score")) / F.col("max_score"))
+    t = t.withColumn("margin", F.try_divide(F.col("max_score") - F.col("second_score"), F.col("max_score")))
     t = t.filter((F.col("max_score") > min_score) & (F.col("margin") > min_margin))
     return t if keep is None else t.filter(F.col("predicted_id").isin(list(keep)))
 
@@ -82,7 +82,7 @@ def detection_rate(matrix: DataFrame) -> DataFrame:
     n = stage(matrix.filter("count > 0").groupBy("cell_id").agg(F.count(F.lit(1)).alias("n_feature")))
     m = n.agg(F.struct(F.avg("n_feature").alias("mu"), F.stddev_samp("n_feature").alias("sd"))).scalar()
     return n.withColumn("_m", m).select(
-        "cell_id", "n_feature", ((F.col("n_feature") - F.col("_m.mu")) / F.col("_m.sd")).alias("detection_rate"))
+        "cell_id", "n_feature", F.try_divide(F.col("n_feature") - F.col("_m.mu"), F.col("_m.sd")).alias("detection_rate"))
 
 
 def find_markers(
@@ -118,11 +118,11 @@ def find_markers(
     u = rank_sum - n1 * (n1 + 1) / 2
     n = F.col("n").cast("double")
     all_ties = F.col("ties") + z * z * z - z
-    var = n1 * n2 / 12 * ((n + 1) - all_ties / (n * (n - 1)))
-    mean_1, mean_2 = F.col("s") / n1, (F.col("sum_all") - F.col("s")) / n2
+    var = n1 * n2 / 12 * ((n + 1) - F.try_divide(all_ties, n * (n - 1)))
+    mean_1, mean_2 = F.col("s") / n1, F.coalesce(F.try_divide(F.col("sum_all") - F.col("s"), n2), F.lit(0.0))
     x = x.select(
         "cluster", "feature_id", F.col("k").alias("k"), (F.col("k") / n1).alias("pct_1"),
-        ((F.col("nnz") - F.col("k")) / n2).alias("pct_2"),
+        F.coalesce(F.try_divide(F.col("nnz") - F.col("k"), n2), F.lit(0.0)).alias("pct_2"),
         (F.log2(mean_1 + 1) - F.log2(mean_2 + 1)).alias("avg_log2_fc"), u.alias("u"),
         F.when(var > 0, (u - n1 * n2 / 2) / F.sqrt(var)).otherwise(0.0).alias("z"),
     ).drop("k")

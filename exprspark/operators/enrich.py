@@ -111,7 +111,7 @@ def direction_lists(deg: DataFrame, with_all: bool = True) -> DataFrame:
 
 
 def overlap_test(a: DataFrame, b: DataFrame, total: int | Column, key: str = "feature_id") -> DataFrame:
-    """Chi-squared test with continuity correction on the 2x2 table of two lists."""
+    """Chi-squared test with continuity correction on the 2x2 table of two lists (null for an empty margin)."""
     total = F.lit(total) if isinstance(total, int) else total
     flags = a.select(key).distinct().withColumn("_a", F.lit(1)).join(
         b.select(key).distinct().withColumn("_b", F.lit(1)), key, "full")
@@ -122,7 +122,7 @@ def overlap_test(a: DataFrame, b: DataFrame, total: int | Column, key: str = "fe
     w, x, y, z = (F.col(c).cast("double") for c in ("both", "only_a", "only_b", "neither"))
     n = w + x + y + z
     gap = F.greatest(F.lit(0.0), F.abs(w * z - x * y) - n / 2)
-    stat = n * gap * gap / ((w + x) * (y + z) * (w + y) * (x + z))
+    stat = F.try_divide(n * gap * gap, (w + x) * (y + z) * (w + y) * (x + z))
     return t.withColumn("statistic", stat).withColumn("p_value", chi2_sf(F.col("statistic")))
 
 

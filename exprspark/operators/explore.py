@@ -71,7 +71,7 @@ def sample_correlation(values: DataFrame, value: str, n_features: int | Column,
     b = sums.select(F.col("idx").alias("j"), F.col("sample_id").alias("sample_2"), F.col("s").alias("s2"), F.col("ss").alias("q2"))
     num = n * F.col("dot") - F.col("s1") * F.col("s2")
     den = F.sqrt((n * F.col("q1") - F.col("s1") * F.col("s1")) * (n * F.col("q2") - F.col("s2") * F.col("s2")))
-    return gram.filter("i < j").join(a, "i").join(b, "j").select("sample_1", "sample_2", (num / den).alias("correlation"))
+    return gram.filter("i < j").join(a, "i").join(b, "j").select("sample_1", "sample_2", F.try_divide(num, den).alias("correlation"))
 
 
 def pca_samples(
@@ -87,6 +87,11 @@ def pca_samples(
     zero = F.lit(zero) if isinstance(zero, (int, float)) else zero
     x = stage(values.select("feature_id", "sample_id", (F.col(value) - zero).alias("x")))
     n = x.select("sample_id").distinct().count()
+    if n == 0:
+        return (
+            spark.createDataFrame([], "sample_id string, pc int, score double"),
+            spark.createDataFrame([], "pc int, sdev double, proportion double, cumulative double"),
+        )
     if n > DRIVER_SAMPLES:
         raise ValueError(f"{n} samples: use pca_vectors, which works over cells as rows")
     if scale == "feature":
@@ -134,7 +139,7 @@ def explained_variance(scores: DataFrame) -> DataFrame:
     """Variance share of each computed component, ``stdev^2 / sum``, from ``(pc, score)`` rows."""
     v = scores.groupBy("pc").agg(F.var_samp("score").alias("variance"))
     total = v.agg(F.sum("variance")).scalar()
-    return v.select("pc", F.sqrt("variance").alias("sdev"), (F.col("variance") / total).alias("proportion"))
+    return v.select("pc", F.sqrt("variance").alias("sdev"), F.try_divide(F.col("variance"), total).alias("proportion"))
 
 
 def covariate_r2(scores: DataFrame, samples: DataFrame, factor: str, pc: int = 1) -> DataFrame:
@@ -147,8 +152,8 @@ def covariate_r2(scores: DataFrame, samples: DataFrame, factor: str, pc: int = 1
     )
     total = F.col("q") - F.col("s") * F.col("s") / F.col("n")
     within = F.col("q") - F.col("b")
-    r2 = 1 - within / total
-    adj = 1 - (1 - r2) * (F.col("n") - 1) / (F.col("n") - F.col("k"))
+    r2 = 1 - F.try_divide(within, total)
+    adj = 1 - F.try_divide((1 - r2) * (F.col("n") - 1), F.col("n") - F.col("k"))
     return t.select(F.lit(factor).alias("covariate"), r2.alias("r2"), adj.alias("adj_r2"))
 
 
@@ -230,7 +235,7 @@ def status_summary(status: DataFrame) -> DataFrame:
     """Counts and shares per sample and read status from ``(sample_id, status, n)`` rows."""
     g = status.groupBy("sample_id", "status").agg(F.sum("n").alias("n"))
     total = g.groupBy("sample_id").agg(F.sum("n").alias("_t"))
-    return g.join(total, "sample_id").select("sample_id", "status", "n", (F.col("n") / F.col("_t")).alias("share"))
+    return g.join(total, "sample_id").select("sample_id", "status", "n", F.try_divide("n", "_t").alias("share"))
 
 
 def five_numbers(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:

@@ -27,7 +27,7 @@ def running_score(ranked: DataFrame, gene_sets: DataFrame, min_size: int = 10, m
     sizes = hits.groupBy("collection", "term_id").agg(F.count(F.lit(1)).alias("m"), F.sum("w").alias("total_w"))
     sizes = sizes.filter(F.col("m").between(min_size, max_size) & (F.col("total_w") > 0))
     seq = W.partitionBy("collection", "term_id").orderBy("rank")
-    x = hits.join(sizes, ["collection", "term_id"]).withColumn("n", n)
+    x = hits.join(sizes, ["collection", "term_id"]).withColumn("n", n).filter("m < n")
     x = x.withColumn("i", F.row_number().over(seq)).withColumn("cum", F.sum("w").over(seq))
     misses = (F.col("rank") - F.col("i")) / (F.col("n") - F.col("m"))
     return x.select(

@@ -94,7 +94,7 @@ def read_summary(reads: DataFrame) -> DataFrame:
     g = reads.groupBy("sample_id", "seq").agg(F.count(F.lit(1)).alias("k"))
     return g.groupBy("sample_id").agg(
         F.sum("k").alias("reads"), (F.sum(F.col("k") * F.length(seq)) / F.sum("k")).alias("mean_length"),
-        (F.sum(F.col("k") * gc) * 100.0 / F.sum(F.col("k") * F.length(seq))).alias("gc_percent"),
+        F.try_divide(F.sum(F.col("k") * gc) * 100.0, F.sum(F.col("k") * F.length(seq))).alias("gc_percent"),
         ((F.sum("k") - F.count(F.lit(1))) * 100.0 / F.sum("k")).alias("duplicate_percent"))
 
 
@@ -116,6 +116,6 @@ def allele_fractions(
         *[F.sum(F.when(F.col("base") == x, F.col("w")).otherwise(0)).alias(x.lower()) for x in "ACGT"])
     ranked = F.sort_array(F.array("a", "c", "g", "t"), asc=False)
     t = by_base.withColumn("coverage", F.col("a") + F.col("c") + F.col("g") + F.col("t")).withColumn("minor", ranked[1])
-    t = t.withColumn("fraction", F.col("minor") / F.col("coverage"))
+    t = t.withColumn("fraction", F.try_divide("minor", "coverage"))
     return t.filter(
         (F.col("coverage") >= min_coverage) & (F.col("minor") >= min_minor) & (F.col("fraction") >= min_fraction))

@@ -8,7 +8,7 @@ import os
 
 import duckdb
 
-SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 def connect(sf_dir: str = SF):
