@@ -156,7 +156,10 @@ def normalize_cells(matrix: DataFrame, cells: DataFrame, theta: float = 100.0) -
     Returned for the present pairs together with ``zero_residual``, the value an absent pair of the
     same feature and cell would have.
     """
-    m, by_cell, by_feature, by_sample = _totals(matrix, cells)
+    return _residuals(*_totals(matrix, cells), theta)
+
+
+def _residuals(m: DataFrame, by_cell: DataFrame, by_feature: DataFrame, by_sample: DataFrame, theta: float) -> DataFrame:
     mu = F.col("feature_total") * F.col("cell_total") / F.col("total")
     x = m.join(by_cell, ["sample_id", "cell_id"]).join(by_feature, ["sample_id", "feature_id"]).join(by_sample, "sample_id")
     return x.select(
@@ -171,7 +174,7 @@ def residual_variance(matrix: DataFrame, cells: DataFrame, theta: float = 100.0)
     a sum over the distinct cell totals of its sample, not over cells.
     """
     m, by_cell, by_feature, by_sample = _totals(matrix, cells)
-    res = normalize_cells(matrix, cells, theta)
+    res = _residuals(m, by_cell, by_feature, by_sample, theta)
     present = res.groupBy("sample_id", "feature_id").agg(
         F.sum(F.col("residual") - F.col("zero_residual")).alias("d1"),
         F.sum(F.col("residual") * F.col("residual") - F.col("zero_residual") * F.col("zero_residual")).alias("d2"))

@@ -72,7 +72,7 @@ def null_scores(ranked: DataFrame, sizes: list[int], nperm: int, seed: int = 1)
     """
     biggest = max(sizes)
     total = ranked.agg(F.count(F.lit(1))).scalar()
-    perms = ranked.select(
+    perms = spread(ranked, "rank").select(
         F.col("rank").alias("pos"), F.abs("score").alias("w"), total.alias("n"),
         F.explode(F.sequence(F.lit(1), F.lit(nperm))).alias("perm"),
     ).withColumn("h", F.substring(F.md5(F.concat_ws(":", F.lit(seed), "perm", "pos").cast("binary")), 1, 16))

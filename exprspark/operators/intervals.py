@@ -112,8 +112,8 @@ def merge_intervals(df: DataFrame, keys: Sequence[str] = ("chrom",), min_length:
 
 def _breakpoints(tracks: DataFrame, tile: int) -> DataFrame:
     """Distinct positions per chromosome with their ordinal and the next position."""
-    pos = tracks.select("chrom", F.explode(F.array("start", "end")).alias("pos")).distinct()
-    return sweep(pos.withColumn("one", F.lit(1).cast("long")), ["chrom"], ["one"], tile=tile).select(
+    pos = tracks.select("chrom", F.explode(F.array("start", "end")).alias("pos"), F.lit(1).cast("long").alias("one"))
+    return sweep(pos, ["chrom"], ["one"], tile=tile, one_per_pos=True).select(
         "chrom", F.col("start"), F.col("end"), F.col("one").alias("seg"))
 
 
@@ -135,13 +135,13 @@ def union_tracks(tracks: DataFrame, tile: int = 1 << 20) -> DataFrame:
 def average_tracks(tracks: DataFrame, n_tracks: int | None = None, tile: int = 1 << 20) -> DataFrame:
     """Mean of all tracks on their common segments, absent stretches counting as zero.
 
-    One sweep over all tracks at once, however many there are; values are summed as decimals, so
-    the running sum returns to exactly zero.
+    One sweep over all tracks at once, however many there are; values are summed as whole billionths,
+    so the running sum returns to exactly zero.
     """
     n = tracks.agg(F.count_distinct("track")).scalar() if n_tracks is None else F.lit(n_tracks)
-    value = F.col("value").cast("decimal(20,9)")
+    value = F.round(F.col("value") * 1e9).cast("long")
     seg = sweep(_events(tracks, ["chrom"], value), ["chrom"], ["delta"], tile=tile).filter("delta <> 0")
-    return seg.select("chrom", "start", "end", (F.col("delta").cast("double") / n).alias("value"))
+    return seg.select("chrom", "start", "end", (F.col("delta") / 1e9 / n).alias("value"))
 
 
 def _bins(start: Column, end: Column, width: int) -> Column:
@@ -168,14 +168,13 @@ def count_overlaps(
         reads = reads.withColumn("_p", five).withColumn("start", F.col("_p")).withColumn("end", F.col("_p") + 1).drop("_p")
     spots = stage(reads.groupBy(*keys, "chrom", "start", "end").agg(F.count(F.lit(1)).alias("n")))
     ids = stage(intervals.select("interval_id", "chrom", "start", "end").distinct())
-    code = F.xxhash64("interval_id").bitwiseAND(F.lit((1 << 40) - 1))
-    marked = ids.withColumn("code", code)
-    edges = marked.select("chrom", F.explode(F.array(
-        F.struct(F.col("start").alias("pos"), F.lit(1).cast("long").alias("k"), F.col("code").cast("decimal(38,0)").alias("c")),
-        F.struct(F.col("end").alias("pos"), F.lit(-1).cast("long").alias("k"), (-F.col("code")).cast("decimal(38,0)").alias("c")),
-    )).alias("_e")).select("chrom", "_e.pos", "_e.k", "_e.c")
-    # where exactly one interval covers a piece the running sum of codes is that interval's code
-    pieces = sweep(edges, ["chrom"], ["k", "c"], tile=tile).filter("k > 0").select("chrom", "start", "end", "k", F.col("c").cast("string").alias("c"))
+    marked = ids.withColumn("code", F.xxhash64("interval_id"))
+    edges = marked.select("chrom", "code", F.explode(F.array(
+        F.struct(F.col("start").alias("pos"), F.lit(1).cast("long").alias("k")),
+        F.struct(F.col("end").alias("pos"), F.lit(-1).cast("long").alias("k")),
+    )).alias("_e")).select("chrom", "_e.pos", "_e.k", F.col("code").alias("c"))
+    # where exactly one interval covers a piece, the running exclusive-or of codes is that interval's code
+    pieces = sweep(edges, ["chrom"], ["k"], tile=tile, xors=["c"]).filter("k > 0")
     p = pieces.select("chrom", F.col("start").alias("ps"), F.col("end").alias("pe"), "k", "c", _bins(F.col("start"), F.col("end"), bin_width).alias("bin"))
     s = spots.select(*keys, "chrom", "start", "end", "n", _bins(F.col("start"), F.col("end"), bin_width).alias("bin"))
     hit = s.join(p, ["chrom", "bin"]).filter((F.col("ps") < F.col("end")) & (F.col("pe") > F.col("start")))
@@ -185,7 +184,7 @@ def count_overlaps(
     sole = (F.col("k") == 1) & F.col("same")
     status = F.when(F.col("k").isNull(), "no_feature").when(sole, "assigned").otherwise("ambiguous")
     counted = found.groupBy(*keys, status.alias("status"), F.when(sole, F.col("c")).alias("c")).agg(F.sum("n").alias("n"))
-    names = marked.select(F.col("code").cast("string").alias("c"), "interval_id").distinct()
+    names = marked.select(F.col("code").alias("c"), "interval_id").distinct()
     return counted.join(names, "c", "left").select(*keys, "status", "interval_id", "n")
 
 

@@ -172,41 +172,52 @@ def mean_of_ranks(df: DataFrame, first: str, second: str, id_col: str) -> DataFr
 
 
 def sweep(
-    events: DataFrame, keys: Sequence[str], deltas: Sequence[str], pos: str = "pos", tile: int = 1 << 20
+    events: DataFrame, keys: Sequence[str], deltas: Sequence[str], pos: str = "pos", tile: int = 1 << 20,
+    xors: Sequence[str] = (), one_per_pos: bool = False,
 ) -> DataFrame:
     """Running sums over positions: ``keys, start, end, <running deltas>`` segments.
 
     ``events`` holds one signed change per row. Changes at one position are summed before the
     shuffle, positions without a net change vanish (so equal neighbours are one segment), and a
     sequence is cut into tiles of ``tile`` positions whose totals are carried over. The last
-    position of a sequence has no end and is not returned.
+    position of a sequence has no end and is not returned. ``xors`` columns run as exclusive-or, where
+    adding and removing a code are the same and nothing overflows. ``one_per_pos`` says that every
+    change is a step of one however often its position occurs.
     """
-    keys, deltas = list(keys), list(deltas)
-    e = events.groupBy(*keys, pos).agg(*[F.sum(d).alias(d) for d in deltas])
+    keys, deltas, xors = list(keys), list(deltas), list(xors)
+    values = [*deltas, *xors]
+
+    def total(c: str) -> Column:
+        return F.bit_xor(c) if c in xors else F.sum(c)
+
+    def plus(a: Column, b: Column, c: str) -> Column:
+        return a.bitwiseXOR(b) if c in xors else a + b
+
+    e = events.groupBy(*keys, pos).agg(*[(F.max(d) if one_per_pos else total(d)).alias(d) for d in values])
     changed = F.lit(False)
-    for d in deltas:
+    for d in values:
         changed = changed | (F.col(d) != 0)
     e = e.filter(changed).withColumn("_tile", F.floor(F.col(pos) / F.lit(tile)))
     seq = W.partitionBy(*keys, "_tile").orderBy(pos)
     run = seq.rowsBetween(W.unboundedPreceding, 0)
     inner = e.select(
         *keys, "_tile", pos, F.lead(pos).over(seq).alias("_next"),
-        *[F.sum(d).over(run).alias(d) for d in deltas],
+        *[total(d).over(run).alias(d) for d in values],
     )
     tiles = e.groupBy(*keys, "_tile").agg(
-        F.min(pos).alias("_first"), *[F.sum(d).alias(d) for d in deltas]
+        F.min(pos).alias("_first"), *[total(d).alias(d) for d in values]
     )
     tseq = W.partitionBy(*keys).orderBy("_tile")
     trun = tseq.rowsBetween(W.unboundedPreceding, -1)
     carry = tiles.select(
         *keys, "_tile", F.lead("_first").over(tseq).alias("_later"),
-        *[F.coalesce(F.sum(d).over(trun), F.lit(0)).alias(f"_c_{d}") for d in deltas],
+        *[F.coalesce(total(d).over(trun), F.lit(0)).alias(f"_c_{d}") for d in values],
     )
     return (
         inner.join(carry, [*keys, "_tile"])
         .select(
             *keys, F.col(pos).alias("start"), F.coalesce("_next", "_later").alias("end"),
-            *[(F.col(d) + F.col(f"_c_{d}")).alias(d) for d in deltas],
+            *[plus(F.col(d), F.col(f"_c_{d}"), d).alias(d) for d in values],
         )
         .filter(F.col("end").isNotNull())
     )

@@ -16,6 +16,9 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8) -> SparkSe
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # small tables on one machine: keep a partition per core instead of merging to 1 MB and 4 MB
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        .config("spark.sql.files.openCostInBytes", "262144")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
