@@ -224,7 +224,7 @@ def _gaussian(x: np.ndarray, k: np.ndarray, s: np.ndarray, ss: float):
 
 def hurdle_de(
     matrix: DataFrame, cells: DataFrame, ref: str, trt: str, covariates: tuple[str, ...] = (),
-    value: str = "count", max_patterns: int = 200_000,
+    value: str = "count", max_patterns: int = 1_000_000,
 ) -> DataFrame:
     """Two-part model per feature: logistic on detection and Gaussian on the values of detecting cells.
 

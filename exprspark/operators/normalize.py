@@ -228,9 +228,9 @@ def row_zscore(values: DataFrame, value: str, n_samples: int | Column, zero: Col
 def densify(values: DataFrame, value: str, samples: DataFrame, zero: Column | float = 0.0) -> DataFrame:
     """All pairs of the given features and samples, for matrices of a few chosen features.
 
-    The sample list travels as one array per feature; it is as long as a row of the output.
+    The chosen features travel as one array, so they must be few (a heatmap); samples may be many.
     """
     zero = F.lit(zero) if isinstance(zero, (int, float)) else zero
-    ids = samples.agg(F.sort_array(F.collect_set("sample_id"))).scalar()
-    grid = values.select("feature_id").distinct().select("feature_id", F.explode(ids).alias("sample_id"))
+    chosen = values.agg(F.sort_array(F.collect_set("feature_id"))).scalar()
+    grid = samples.select("sample_id").distinct().select("sample_id", F.explode(chosen).alias("feature_id"))
     return grid.join(values, ["feature_id", "sample_id"], "left").withColumn(value, F.coalesce(value, zero))
