@@ -42,9 +42,14 @@ cte("c_logdense", """
     LEFT JOIN c_logcpm USING (feature_id, sample_id)""")
 
 
+def staged_matrix(spark, d):
+    """The matrix as a written table, like one read from files, for queries that read it more than once."""
+    return stage(inputs.matrix(spark, d))
+
+
 def kept_matrix(spark, d, min_cpm=2000, min_samples=5):
     """The matrix after the expression filter, staged because libraries are summed again on it."""
-    m = inputs.matrix(spark, d)
+    m = staged_matrix(spark, d)
     return stage(nz.expressed_filter(m, nz.library_size(m), min_cpm, min_samples))
 
 
@@ -60,13 +65,13 @@ def library_size(spark, d):
     (SELECT *, 'top' AS "end" FROM t ORDER BY mean_count DESC, feature_id LIMIT 15)
     UNION ALL (SELECT *, 'bottom' AS "end" FROM t ORDER BY mean_count, feature_id LIMIT 15)""")
 def mean_expression_extremes(spark, d):
-    m = nz.mean_expression(inputs.matrix(spark, d)).withColumn("mean_count", r("mean_count"))
+    m = nz.mean_expression(staged_matrix(spark, d)).withColumn("mean_count", r("mean_count"))
     return nz.extremes(m, "mean_count", "feature_id", 15)
 
 
 @query("a3_cpm", "SELECT feature_id, sample_id, cnt AS count, round(cpm, 6) AS cpm FROM c_cpm")
 def cpm(spark, d):
-    m = inputs.matrix(spark, d)
+    m = staged_matrix(spark, d)
     return nz.cpm(m, nz.library_size(m)).withColumn("cpm", r("cpm"))
 
 
@@ -76,7 +81,7 @@ def cpm(spark, d):
     SELECT feature_id, sample_id, round(rate / rs * 1e6, 5) AS tpm, round(log2(rate / rs * 1e6 + 1), 6) AS log2_tpm
     FROM t JOIN s USING (sample_id)""")
 def tpm_log2(spark, d):
-    t = nz.tpm(inputs.matrix(spark, d), inputs.annotations(spark, d).select("feature_id", "length"))
+    t = nz.tpm(staged_matrix(spark, d), inputs.annotations(spark, d).select("feature_id", "length"))
     return nz.log2p1(t, "tpm", "log2_tpm").select(
         "feature_id", "sample_id", r("tpm", 5).alias("tpm"), r("log2_tpm").alias("log2_tpm"))
 
@@ -116,14 +121,14 @@ cte("c_tmm", """
 
 @query("a6_tmm_factors", "SELECT sample_id, lib_size, round(norm_factor, 8) AS norm_factor FROM c_tmm")
 def tmm_factors(spark, d):
-    return nz.tmm_factors(stage(inputs.matrix(spark, d))).withColumn("norm_factor", r("norm_factor", 8))
+    return nz.tmm_factors(staged_matrix(spark, d)).withColumn("norm_factor", r("norm_factor", 8))
 
 
 @query("a42_scaling_factors", """
     SELECT sample_id, round(lib_size * norm_factor / 1e6, 10) AS scaling_factor,
            round(1e6 / (lib_size * norm_factor), 6) AS multiplier FROM c_tmm""")
 def scaling_factors(spark, d):
-    f = nz.scaling_factors(nz.tmm_factors(stage(inputs.matrix(spark, d))))
+    f = nz.scaling_factors(nz.tmm_factors(staged_matrix(spark, d)))
     return f.select("sample_id", r("scaling_factor", 10).alias("scaling_factor"), r("multiplier").alias("multiplier"))
 
 
@@ -139,7 +144,7 @@ def log_cpm(spark, d):
     FROM c_matrix JOIN (SELECT sample_id, lib_size * norm_factor AS e FROM c_tmm) USING (sample_id),
          (SELECT avg(lib_size * norm_factor) AS me FROM c_tmm)""")
 def log_cpm_normalized(spark, d):
-    m = stage(inputs.matrix(spark, d))
+    m = staged_matrix(spark, d)
     return nz.log_cpm(m, stage(nz.tmm_factors(m))).withColumn("log_cpm", r("log_cpm"))
 
 
@@ -165,7 +170,7 @@ def variance_filter(spark, d):
     SELECT feature_id, sample_id, round((cnt - mu) / sd, 6) AS z, round(-mu / sd, 6) AS zero_z
     FROM c_matrix JOIN s USING (feature_id) WHERE sd > 0""")
 def row_zscore(spark, d):
-    m = inputs.matrix(spark, d)
+    m = staged_matrix(spark, d)
     n = m.agg(F.count_distinct("sample_id")).scalar()
     z = nz.row_zscore(m, "count", n)
     return z.select("feature_id", "sample_id", r("z").alias("z"), r("zero_z").alias("zero_z"))

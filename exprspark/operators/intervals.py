@@ -69,7 +69,10 @@ def _events(df: DataFrame, keys: Sequence[str], weight: Column) -> DataFrame:
         F.struct(F.col("start").alias("pos"), weight.alias("delta")),
         F.struct(F.col("end").alias("pos"), (-weight).alias("delta")),
     ))
-    return df.filter("start < end").select(*keys, edge.alias("_e")).select(*keys, "_e.pos", "_e.delta")
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    return df.filter((F.col("start") < F.col("end")) & known).select(*keys, edge.alias("_e")).select(*keys, "_e.pos", "_e.delta")
 
 
 def coverage(

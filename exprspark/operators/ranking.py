@@ -197,7 +197,9 @@ def sweep(
     changed = F.lit(False)
     for d in values:
         changed = changed | (F.col(d) != 0)
-    e = e.filter(changed).withColumn("_tile", F.floor(F.col(pos) / F.lit(tile)))
+    # A tile that cannot be null leaves the two uses of `e` with equal filters, so that the second
+    # one reuses the first one's shuffle instead of scanning again.
+    e = e.filter(changed).withColumn("_tile", F.coalesce(F.floor(F.col(pos) / F.lit(tile)), F.lit(0)))
     seq = W.partitionBy(*keys, "_tile").orderBy(pos)
     run = seq.rowsBetween(W.unboundedPreceding, 0)
     inner = e.select(
