@@ -60,5 +60,6 @@ def spread(df: DataFrame, *cols: str, groups: int | None = None) -> DataFrame:
     Adaptive execution merges partitions by size; an explicit number of partitions is kept, so the
     work still reaches all cores. ``groups`` caps the number where fewer keys exist.
     """
-    n = 4 * df.sparkSession.sparkContext.defaultParallelism
+    spark = df.sparkSession
+    n = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return df.repartition(max(1, min(n, groups) if groups else n), *cols)
