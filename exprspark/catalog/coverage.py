@@ -250,7 +250,7 @@ def reads(spark, d):
     u AS (SELECT read_id, sample_id, left(seq, cut) AS seq, cut FROM t)
     SELECT read_id, sample_id, seq FROM u WHERE cut >= 31 AND cut - length(replace(seq, 'N', '')) <= 0.2 * cut""")
 def trim_reads(spark, d):
-    return rd.trim_reads(reads(spark, d), adapter="ACGTA", max_n=0.2).select("read_id", "sample_id", "seq")
+    return rd.trim_reads(reads(spark, d), adapter="ACGTA", min_overlap=1, max_n=0.2).select("read_id", "sample_id", "seq")
 
 
 @query("p35_trim_pairs", """

@@ -92,6 +92,20 @@ def count_summary(spark, d):
     return rd.read_count_summary(spark, f"{path}/*/*", SAMPLE_DIR)
 
 
+@query("s4_count_summary_matrix", """
+    SELECT CAST(s_nationkey AS VARCHAR) AS sample_id, CASE l_linestatus WHEN 'F' THEN 'Assigned' ELSE 'Unassigned' END AS status, count(*) AS n
+    FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2""")
+def count_summary_matrix(spark, d):
+    path = folder(spark)
+    li, s = table(spark, d, "lineitem"), table(spark, d, "supplier")
+    names = [row[0] for row in table(spark, d, "nation").select(F.col("n_nationkey").cast("string")).collect()]  # 25 nations
+    w = li.join(s, li.l_suppkey == s.s_suppkey).groupBy(
+        F.when(F.col("l_linestatus") == "F", "Assigned").otherwise("Unassigned").alias("Status")
+    ).pivot("s_nationkey", [int(n) for n in names]).agg(F.count(F.lit(1)))
+    w.select("Status", *[F.col(n).alias(f"dir/{n}.bam") for n in names]).write.options(sep="\t", header=True).csv(path)
+    return rd.read_count_summary_matrix(spark, path).filter("n is not null")
+
+
 @query("s5_merged_matrix", "SELECT split_part(feature_id, '.', 1) AS feature_id, sample_id, q / 4 AS count FROM c_nat")
 def merged_matrix(spark, d):
     path = folder(spark)

@@ -105,6 +105,16 @@ def remove_features(matrix: DataFrame, features: DataFrame) -> DataFrame:
     return matrix.join(features.select("feature_id").distinct(), "feature_id", "left_anti")
 
 
+def remove_mitochondrial(matrix: DataFrame) -> DataFrame:
+    """The matrix without the listed mitochondrial genes."""
+    return matrix.filter(~F.col("feature_id").isin(list(MITOCHONDRIAL_GENES)))
+
+
+def features_with_prefix(matrix: DataFrame, prefix: str = "MT-") -> DataFrame:
+    """Check after a removal: the features that still carry the prefix (should be none)."""
+    return matrix.filter(F.col("feature_id").startswith(prefix)).select("feature_id").distinct()
+
+
 def nonzero_features(matrix: DataFrame, value: str = "count") -> DataFrame:
     """Features with a total above zero."""
     return matrix.groupBy("feature_id").agg(F.sum(value).alias("total")).filter("total > 0").select("feature_id")

@@ -14,7 +14,7 @@ ADAPTER = "AGATCGGAAGAGC"
 
 
 def trim_reads(
-    reads: DataFrame, adapter: str = ADAPTER, min_overlap: int = 1, min_length: int = 31,
+    reads: DataFrame, adapter: str = ADAPTER, min_overlap: int = 3, min_length: int = 31,
     max_n: float = 0.1, paired: bool = False,
 ) -> DataFrame:
     """Cut the adapter (whole, or a prefix of it at the 3' end), then drop short and N-rich reads.

@@ -143,3 +143,24 @@ def test_overlap_count_has_no_nested_loop(spark):
     reads = spark.createDataFrame([("s", "c", 10, 20)], "sample_id string, chrom string, start long, end long")
     plan = iv.count_overlaps(reads, feats)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_mitochondrial_genes_are_gone(spark):
+    m = spark.createDataFrame([("MT-ND1", "c", 1.0), ("MT-CYB", "c", 1.0), ("ACTB", "c", 2.0)], "feature_id string, cell_id string, count double")
+    kept = clean.remove_mitochondrial(m)
+    assert clean.features_with_prefix(kept).isEmpty() and kept.count() == 1
+    assert len(clean.MITOCHONDRIAL_GENES) == 13
+
+
+def test_alignment_flags_and_quality_limits(spark):
+    rows = [(str(f), "chr1", 20, f) for f in (0, 4, 16, 256, 1024, 2048)] + [("q", "chr1", 19, 0), ("m", "chrM", 60, 0), ("c", "chr1,", 60, 0), ("x", "chrX", 60, 0)]
+    df = spark.createDataFrame(rows, "read_id string, chrom string, mapq int, flag int")
+    assert {r["read_id"] for r in iv.filter_alignments(df).collect()} == {"0", "16", "x"}
+    assert {r["read_id"] for r in iv.filter_alignments(df, remove=iv.REMOVE_FLAGS_KEEP_DUPLICATES).collect()} == {"0", "16", "1024", "x"}
+
+
+def test_confidence_ties_and_limits(spark):
+    from exprspark.operators import cells as cl
+    df = spark.createDataFrame([("a", 0.5, 0.1), ("b", 0.9, 0.1), ("c", 0.45, 0.45), ("d", 0.6, 0.4)], "cell_id string, Astro double, Exc double")
+    got = cl.confidence_filter(df, ["Astro", "Exc"]).collect()
+    assert [(r["cell_id"], r["predicted_id"]) for r in got] == [("b", "Astro")]
