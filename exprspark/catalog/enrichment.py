@@ -134,34 +134,39 @@ def figure_rows(spark, d):
 
 
 NPERM = 100
-cte("c_ranked", "SELECT feature_id, log_fc AS score, row_number() OVER (ORDER BY log_fc DESC, feature_id) AS rank FROM c_fc")
-cte("c_running", """
-    WITH h AS (SELECT collection, term_id, feature_id, rank, abs(score) AS w FROM c_sets JOIN c_ranked USING (feature_id)),
-    x AS (SELECT *, count(*) OVER t AS m, sum(w) OVER t AS tw, row_number() OVER s AS i, sum(w) OVER s AS cum, (SELECT count(*) FROM c_ranked) AS n FROM h
+def _gsea_ctes(tag: str, where: str, nperm: int) -> None:
+    cte(f"c_ranked{tag}", f"SELECT feature_id, log_fc AS score, row_number() OVER (ORDER BY log_fc DESC, feature_id) AS rank FROM c_fc WHERE {where}")
+    cte(f"c_running{tag}", f"""
+    WITH h AS (SELECT collection, term_id, feature_id, rank, abs(score) AS w FROM c_sets JOIN c_ranked{tag} USING (feature_id)),
+    x AS (SELECT *, count(*) OVER t AS m, sum(w) OVER t AS tw, row_number() OVER s AS i, sum(w) OVER s AS cum, (SELECT count(*) FROM c_ranked{tag}) AS n FROM h
           WINDOW t AS (PARTITION BY collection, term_id), s AS (PARTITION BY collection, term_id ORDER BY rank ROWS UNBOUNDED PRECEDING))
     SELECT collection, term_id, feature_id, rank, i, m, n, round(cum / tw - (rank - i) / (n - m), 9) AS after, round((cum - w) / tw - (rank - i) / (n - m), 9) AS before
     FROM x WHERE m BETWEEN 10 AND 500 AND tw > 0""")
-cte("c_es", """
-    WITH g AS (SELECT collection, term_id, m, n, max(after) AS top, min(before) AS low FROM c_running GROUP BY 1, 2, 3, 4),
+    cte(f"c_es{tag}", f"""
+    WITH g AS (SELECT collection, term_id, m, n, max(after) AS top, min(before) AS low FROM c_running{tag} GROUP BY 1, 2, 3, 4),
     e AS (SELECT *, CASE WHEN top >= -low THEN top ELSE low END AS es, top >= -low AS up FROM g)
-    SELECT e.*, (SELECT min(rank) FROM c_running x WHERE x.collection = e.collection AND x.term_id = e.term_id AND CASE WHEN up THEN x.after ELSE x.before END = es) AS rank_at_max FROM e""")
-cte("c_null", f"""
+    SELECT e.*, (SELECT min(rank) FROM c_running{tag} x WHERE x.collection = e.collection AND x.term_id = e.term_id AND CASE WHEN up THEN x.after ELSE x.before END = es) AS rank_at_max FROM e""")
+    cte(f"c_null{tag}", f"""
     WITH p AS (SELECT perm, rank AS pos, abs(score) AS w, row_number() OVER (PARTITION BY perm ORDER BY substring(md5('1:' || perm || ':' || rank), 1, 16), rank) AS k
-               FROM c_ranked, (SELECT range AS perm FROM range(1, {NPERM + 1}))),
-    s AS (SELECT DISTINCT m, n FROM c_es),
+               FROM c_ranked{tag}, (SELECT range AS perm FROM range(1, {nperm + 1}))),
+    s AS (SELECT DISTINCT m, n FROM c_es{tag}),
     x AS (SELECT m, n, perm, pos, w, row_number() OVER q AS i, sum(w) OVER q AS cum, sum(w) OVER (PARTITION BY m, perm) AS tw FROM p JOIN s ON k <= m
           WINDOW q AS (PARTITION BY m, perm ORDER BY pos ROWS UNBOUNDED PRECEDING)),
     g AS (SELECT m, perm, round(max(cum / tw - (pos - i) / (n - m)), 9) AS top, round(min((cum - w) / tw - (pos - i) / (n - m)), 9) AS low FROM x GROUP BY 1, 2)
     SELECT m, perm, CASE WHEN top >= -low THEN top ELSE low END AS es FROM g""")
-cte("c_gsea", """
+    cte(f"c_gsea{tag}", f"""
     WITH j AS (SELECT collection, term_id, e.m, e.es, rank_at_max, count(*) FILTER (abs(u.es) >= abs(e.es)) AS more, count(u.es) AS same, avg(abs(u.es)) AS ma
-        FROM c_es e LEFT JOIN c_null u ON u.m = e.m AND (u.es >= 0) = (e.es >= 0) GROUP BY 1, 2, 3, 4, 5),
+        FROM c_es{tag} e LEFT JOIN c_null{tag} u ON u.m = e.m AND (u.es >= 0) = (e.es >= 0) GROUP BY 1, 2, 3, 4, 5),
     k AS (SELECT *, (1 + more) / (1 + same) AS p FROM j),
     b AS (SELECT *, least(1, p * count(*) OVER (PARTITION BY collection) / row_number() OVER (PARTITION BY collection ORDER BY p)) AS raw FROM k),
     c AS (SELECT *, min(raw) OVER (PARTITION BY collection ORDER BY p DESC, raw DESC) AS q0 FROM b)
     SELECT *, min(q0) OVER (PARTITION BY collection, p) AS p_adjust FROM c""")
 
 
+_gsea_ctes("", "true", NPERM)
+_gsea_ctes("_up", "log_fc > 0", 50)
+
+
 def ranked(spark, d):
     t = inputs.fold_changes(spark, d).select("feature_id", F.col("log_fc").alias("score"))
     return ordered_index(t, [F.col("score").desc(), F.col("feature_id")])
@@ -192,12 +197,14 @@ def gsea_core(spark, d):
         F.array_join(F.array_sort("core_enrichment"), "/").alias("core_enrichment"), r("tags", 9).alias("tags"), r("list", 9).alias("list"))
 
 
-@query("a22_gsea_up_list")
+@query("a22_gsea_up_list", """
+    SELECT collection, term_id, m AS set_size, es, round(es / ma, 6) AS nes, round(p, 9) AS p_value, round(p_adjust, 9) AS p_adjust, rank_at_max FROM c_gsea_up""")
 def gsea_up(spark, d):
     """The same on the list of positive scores only."""
     t = inputs.fold_changes(spark, d)
     up = report.ranked_list(t).filter("list = 'UP'").select("feature_id", "score", "rank")
-    return gsea.gsea(up, inputs.gene_sets(spark, d), nperm=50)
+    t = gsea.gsea(up, inputs.gene_sets(spark, d), nperm=50)
+    return t.select("collection", "term_id", "set_size", "es", r("nes").alias("nes"), r("p_value", 9).alias("p_value"), r("p_adjust", 9).alias("p_adjust"), "rank_at_max")
 
 
 @query("a54_gene_concept_edges", """
@@ -244,10 +251,17 @@ def significant_network(spark, d):
     return edges.withColumn("jaccard", r("jaccard", 9))
 
 
-@query("a57_simplify_terms")
+@query("a57_simplify_terms", """
+    WITH RECURSIVE o AS (SELECT term_id, round(p, 8) AS p, row_number() OVER (ORDER BY round(p, 8), term_id) AS rn FROM c_ora WHERE direction = 'ALL'),
+    e AS (SELECT term_1 AS a, term_2 AS b FROM c_pairs WHERE jaccard > 0.05 UNION ALL SELECT term_2, term_1 FROM c_pairs WHERE jaccard > 0.05),
+    nb AS (SELECT a, list(b) AS near FROM e GROUP BY 1),
+    g AS (SELECT 0 :: BIGINT AS rn, [] :: VARCHAR[] AS kept
+          UNION ALL SELECT o.rn, CASE WHEN list_has_any(kept, coalesce(near, [] :: VARCHAR[])) THEN kept ELSE list_append(kept, o.term_id) END
+          FROM g JOIN o ON o.rn = g.rn + 1 LEFT JOIN nb ON nb.a = o.term_id)
+    SELECT term_id, p AS p_value FROM o WHERE list_contains((SELECT kept FROM g ORDER BY rn DESC LIMIT 1), term_id)""")
 def simplify_terms(spark, d):
     sets = inputs.gene_sets(spark, d)
-    t = stage(enrich.ora(query_lists(spark, d), sets).filter("direction = 'ALL'").select("term_id", "p_value"))
+    t = stage(enrich.ora(query_lists(spark, d), sets).filter("direction = 'ALL'").select("term_id", r("p_value", 8).alias("p_value")))
     edges, _ = network.term_similarity(sets, 0.05)
     return enrich.simplify_terms(t, stage(edges), 0.05)
 
