@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from exprspark.llm import bpe, decontaminate, line_dedup, quality_rules, simhash
+from exprspark.llm import bpe, decontaminate, line_dedup, quality_rules, simhash, substring_dedup
 from exprspark.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines and n_removed (lines), the digest of the remaining text (of the empty text for null)."""
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
@@ -97,6 +101,7 @@ FROM v JOIN p USING (lang, source)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op5_substring_dedup": op5_substring_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash": op9_simhash,
