@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from exprspark.llm import bpe, decontaminate, line_dedup, quality_rules, simhash, substring_dedup
+from exprspark.llm import bpe, decontaminate, line_dedup, quality_rules, simhash, substring_dedup, url_filter
 from exprspark.llm.common import table
 
 
@@ -22,6 +22,14 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(RULES, "rule string, verdict string")
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules)
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -62,6 +70,15 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN p USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
+OP2_SQL = r"""
+WITH r(rule, verdict, host, path) AS (VALUES ('com/', 'allow', 'com', '/'), ('example.com/en/', 'block', 'example.com', '/en/'),
+  ('www.example.com/en/', 'allow', 'www.example.com', '/en/'), ('net/es/', 'block', 'net', '/es/'), ('net/fr/', 'block', 'net', '/fr/')),
+u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)\A.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(coalesce(url, ''), '(?s)\A.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages)
+SELECT page_id, u.host, u.path, arg_max(r.rule, length(r.rule)) AS rule, coalesce(arg_max(r.verdict, length(r.rule)), 'allow') AS verdict
+FROM u LEFT JOIN r ON (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path) GROUP BY page_id, u.host, u.path
+"""
+
 OP7_SQL = r"""
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
 n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS j FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
@@ -101,10 +118,11 @@ FROM v JOIN p USING (lang, source)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_url_filter": op2_url_filter,
     "op5_substring_dedup": op5_substring_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
 }
-ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op7_line_dedup": OP7_SQL, "op8_quality_rules": OP8_SQL}
+ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op2_url_filter": OP2_SQL, "op7_line_dedup": OP7_SQL, "op8_quality_rules": OP8_SQL}
