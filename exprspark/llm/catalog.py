@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from exprspark.llm import bpe, decontaminate, line_dedup, quality_rules, simhash, substring_dedup, url_filter
+from exprspark.llm import bpe, decontaminate, hmm, line_dedup, quality_rules, simhash, substring_dedup, url_filter
 from exprspark.llm.common import table
 
 
@@ -30,6 +30,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op3_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -119,6 +123,7 @@ FROM v JOIN p USING (lang, source)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_url_filter": op2_url_filter,
+    "op3_hmm_lm": op3_hmm_lm,
     "op5_substring_dedup": op5_substring_dedup,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality_rules": op8_quality_rules,
