@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from exprspark.llm import bpe, decontaminate, hmm, line_dedup, quality_rules, simhash, substring_dedup, url_filter
+from exprspark.llm import bpe, decontaminate, hmm, html_extract, line_dedup, pu_quality, quality_rules, simhash, substring_dedup, url_filter
 from exprspark.llm.common import table
 
 
@@ -34,10 +34,18 @@ def op3_hmm_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op6_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines and n_removed (lines), the digest of the remaining text (of the empty text for null)."""
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
@@ -124,7 +132,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_url_filter": op2_url_filter,
     "op3_hmm_lm": op3_hmm_lm,
+    "op4_html_crf": op4_html_crf,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_pu_quality": op6_pu_quality,
     "op7_line_dedup": op7_line_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash": op9_simhash,
