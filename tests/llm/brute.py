@@ -56,3 +56,56 @@ def repeated_words(rows: list[tuple[int, str | None]], width: int = 50) -> dict[
                 gone.update(range(i, i + width))
         out[d] = (len(ws), [w for i, w in enumerate(ws) if i not in gone])
     return out
+
+
+def has_word(line: str) -> bool:
+    return bool(split(line))
+
+
+def repeated_lines(rows: list[tuple[int, str | None]]) -> dict[int, list[str]]:
+    """doc_id: lines left after removing those of three-line windows seen before in (doc_id, position) order."""
+    seen, out = set(), {}
+    for d, t in sorted(rows):
+        lines = (t or "").split("\n")
+        full = [i for i, x in enumerate(lines) if has_word(x)]
+        gone = set()
+        for j in range(len(full) - 2):
+            w = tuple(lines[i] for i in full[j:j + 3])
+            if w in seen:
+                gone.update(full[j:j + 3])
+            seen.add(w)
+        out[d] = [x for i, x in enumerate(lines) if i not in gone]
+    return out
+
+
+def benchmark_words(text: str | None) -> list[str]:
+    out, word = [], ""
+    for ch in text or "":
+        ch = ch.lower() if "A" <= ch <= "Z" else ch
+        if ch >= "\x80" or ch.isdigit() or "a" <= ch <= "z":
+            word += ch
+        elif word:
+            out.append(word)
+            word = ""
+    return [*out, word] if word else out
+
+
+def contaminated(docs: list[tuple[int, str | None]], items: list[tuple[int, str | None]]) -> dict[int, tuple[int, set[str]]]:
+    """doc_id: (words hit, items)."""
+    windows: dict[tuple[str, ...], set[str]] = {}
+    for i, t in items:
+        ws = benchmark_words(t)
+        k = min(len(ws), 10)
+        for a in range(len(ws) - k + 1 if k else 0):
+            windows.setdefault(tuple(ws[a:a + k]), set()).add("" if i is None else str(i))
+    sizes, out = {len(w) for w in windows}, {}
+    for d, t in docs:
+        ws, hit, found = benchmark_words(t), set(), set()
+        for k in sizes:
+            for a in range(len(ws) - k + 1):
+                who = windows.get(tuple(ws[a:a + k]))
+                if who:
+                    hit.update(range(a, a + k))
+                    found |= who
+        out[d] = (len(hit), found)
+    return out
