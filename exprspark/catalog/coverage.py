@@ -23,15 +23,16 @@ cte("c_aln", """
 
 
 def sizes(spark, d):
-    """Chromosome sizes: the end of the last interval."""
-    return inputs.intervals(spark, d).groupBy("chrom").agg((F.max("end") + 10).alias("size"))
+    """Chromosome sizes: the end of the last interval; and one sequence without any."""
+    empty = spark.range(1).select(F.lit("chrEmpty").alias("chrom"), F.lit(500).cast("long").alias("size"))
+    return inputs.intervals(spark, d).groupBy("chrom").agg((F.max("end") + 10).alias("size")).unionByName(empty)
 
 
-cte("c_sizes", 'SELECT chrom, max("end") + 10 AS size FROM c_iv GROUP BY 1')
+cte("c_sizes", """SELECT chrom, max("end") + 10 AS size FROM c_iv GROUP BY 1 UNION ALL SELECT 'chrEmpty', 500""")
 
 
 @query("p25_filter_alignments", """
-    SELECT read_id, chrom, flag, mapq FROM c_aln WHERE mapq >= 20 AND flag & 3 = 3 AND flag & 3332 = 0 AND regexp_matches(chrom, '^chr([1-9]|1[0-9]|2[0-2]|X|Y)$')""")
+    SELECT read_id, chrom, flag, mapq FROM c_aln WHERE mapq >= 20 AND flag & 3 = 3 AND flag & 3332 = 0 AND regexp_matches(chrom, 'chr[1-9,X,Y]')""")
 def filter_alignments(spark, d):
     return iv.filter_alignments(inputs.alignments(spark, d), require=3).select("read_id", "chrom", "flag", "mapq")
 
@@ -87,7 +88,9 @@ def coverage_scaled(spark, d):
     WITH b AS (SELECT sample_id, chrom, "start", "end", value FROM c_depth
       UNION ALL SELECT sample_id, chrom, 0, min("start"), 0 FROM c_iv GROUP BY 1, 2 HAVING min("start") > 0
       UNION ALL SELECT sample_id, chrom, max("end"), any_value(size), 0 FROM c_iv JOIN c_sizes USING (chrom) GROUP BY 1, 2)
-    SELECT sample_id, chrom, "start", "end", value FROM b""")
+    SELECT sample_id, chrom, "start", "end", value FROM b
+    UNION ALL SELECT u, z.chrom, 0, size, 0 FROM c_sizes z, (SELECT DISTINCT sample_id AS u FROM c_iv)
+      WHERE NOT EXISTS (SELECT 1 FROM c_iv i WHERE i.chrom = z.chrom AND i.sample_id = u)""")
 def coverage_with_zeros(spark, d):
     return iv.coverage(inputs.intervals(spark, d), ["sample_id", "chrom"], sizes=sizes(spark, d), tile=1 << 13)
 
@@ -160,8 +163,8 @@ def count_by_five_prime(spark, d):
 
 
 @query("a40_frip", """
-    SELECT sample_id, CAST(sum(n) FILTER (status = 'assigned') AS BIGINT) AS assigned, CAST(sum(n) AS BIGINT) AS total,
-           round(sum(n) FILTER (status = 'assigned') / sum(n), 9) AS frip FROM c_assigned GROUP BY 1""")
+    SELECT sample_id, CAST(a AS BIGINT) AS assigned, CAST(a + u AS BIGINT) AS total, round(a / (a + u), 9) AS frip FROM (
+      SELECT sample_id, coalesce(sum(n) FILTER (status = 'assigned'), 0) AS a, coalesce(sum(n) FILTER (status = 'no_feature'), 0) AS u FROM c_assigned GROUP BY 1)""")
 def frip(spark, d):
     return iv.frip(iv.count_overlaps(inputs.intervals(spark, d), features(spark, d))).withColumn("frip", r("frip", 9))
 
@@ -207,6 +210,31 @@ def mark_duplicates(spark, d):
     return m.groupBy("sample_id", "chrom").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_duplicate").alias("duplicates"))
 
 
+cte("c_pairs", """
+    SELECT l_orderkey % 97 || '_' || l_orderkey || '_' || (l_linenumber - 1) // 2 AS read_id, 'chr' || l_suppkey % 3 AS chrom,
+           l_orderkey % 4 * 10 AS "start", l_orderkey % 4 * 10 + 20 + l_partkey % 3 AS "end", CASE WHEN l_linenumber % 2 = 0 THEN '-' ELSE '+' END AS strand,
+           CASE WHEN l_quantity > 45 THEN 256 ELSE 0 END + l_linenumber % 2 AS flag, l_returnflag AS sample_id FROM lineitem""")
+
+
+def pairs(spark, d):
+    """Two records of an order as the mates of a pair, with few positions; some are unmated, some secondary."""
+    n = F.col("l_linenumber")
+    first = F.col("l_orderkey") % 4 * 10
+    return table(spark, d, "lineitem").select(
+        F.concat_ws("_", F.col("l_orderkey") % 97, "l_orderkey", F.expr("(l_linenumber - 1) div 2")).alias("read_id"), F.concat(F.lit("chr"), F.col("l_suppkey") % 3).alias("chrom"),
+        first.alias("start"), (first + 20 + F.col("l_partkey") % 3).alias("end"), F.when(n % 2 == 0, "-").otherwise("+").alias("strand"),
+        (F.when(F.col("l_quantity") > 45, 256).otherwise(0) + n % 2).cast("int").alias("flag"), F.col("l_returnflag").alias("sample_id"))
+
+
+@query("a45_mark_duplicate_pairs", """
+    WITH a AS (SELECT *, chrom || ':' || CASE WHEN strand = '-' THEN "end" ELSE "start" END || ':' || strand AS e FROM c_pairs),
+    p AS (SELECT sample_id, read_id, min(e) AS e1, max(e) AS e2 FROM a WHERE flag & 256 = 0 GROUP BY 1, 2 HAVING count(*) = 2),
+    k AS (SELECT *, read_id <> min(read_id) OVER (PARTITION BY sample_id, e1, e2) AS dup FROM p)
+    SELECT a.sample_id, a.read_id, a.chrom, a."start", a."end", a.strand, CAST(a.flag AS INTEGER) AS flag, coalesce(dup AND flag & 256 = 0, false) AS is_duplicate FROM a LEFT JOIN k USING (sample_id, read_id)""")
+def mark_duplicate_pairs(spark, d):
+    return iv.mark_duplicate_pairs(pairs(spark, d))
+
+
 @query("a46_enriched_windows", """
     WITH w AS (SELECT sample_id, chrom, CAST(floor(("start" + "end") / 2 / 2000) AS BIGINT) AS win, count(*) AS n FROM c_aln GROUP BY 1, 2, 3),
     t AS (SELECT sample_id, sum(n) AS tot FROM w GROUP BY 1), g AS (SELECT sum(ceil(size / 2000)) AS nw FROM (SELECT chrom, max("end") AS size FROM c_aln GROUP BY 1)),

@@ -67,7 +67,7 @@ def overlap_counts(spark, d):
 
 @query("a20_ora", """
     SELECT collection, direction, term_id, k || '/' || n AS gene_ratio, m || '/' || total AS bg_ratio, round(p, 8) AS p_value,
-           round(p_adjust, 8) AS p_adjust, round(p_adjust * pi0, 8) AS q_value, k AS count, genes FROM c_ora""")
+           round(p_adjust, 8) AS p_adjust, round(p_adjust * nullif(pi0, 0), 8) AS q_value, k AS count, genes FROM c_ora""")
 def ora(spark, d):
     t = enrich.ora(query_lists(spark, d), inputs.gene_sets(spark, d))
     return t.select(
@@ -76,13 +76,13 @@ def ora(spark, d):
 
 
 @query("j11_term_descriptions", """
-    SELECT term_id, direction, k AS count, CASE WHEN term_id IN ('PROMO', 'LARGE') THEN 'parts of ' || term_id END AS description FROM c_counts WHERE collection = 'type'""")
+    SELECT collection, term_id, direction, k AS count, CASE WHEN term_id IN ('PROMO', 'LARGE') THEN 'parts of ' || term_id END AS description FROM c_counts""")
 def term_descriptions(spark, d):
-    sets = inputs.gene_sets(spark, d).filter("collection = 'type'")
+    sets = inputs.gene_sets(spark, d)
     c = enrich.overlap_counts(query_lists(spark, d), sets, min_size=1, max_size=None)
     terms = table(spark, d, "part").filter("p_type in ('PROMO', 'LARGE')").select(
         F.col("p_type").alias("term_id"), F.concat(F.lit("parts of "), "p_type").alias("description"))
-    return enrich.describe_terms(c, terms).select("term_id", "direction", F.col("k").alias("count"), "description")
+    return enrich.describe_terms(c, terms).select("collection", "term_id", "direction", F.col("k").alias("count"), "description")
 
 
 @query("a21_enrich_table", """
@@ -115,10 +115,10 @@ def overlap_test(spark, d):
 
 
 @query("j6_compare_enrichment_runs", """
-    SELECT coalesce(a.term_id, b.term_id) AS term_id, round(-log10(a.p), 6) + 0.0 AS log10p_1, round(-log10(b.p), 6) + 0.0 AS log10p_2
-    FROM (SELECT * FROM c_ora WHERE direction = 'UP') a FULL JOIN (SELECT * FROM c_ora2 WHERE direction = 'UP') b ON a.term_id = b.term_id""")
+    SELECT coalesce(a.t, b.t) AS term_id, round(-log10(a.p), 6) + 0.0 AS log10p_1, round(-log10(b.p), 6) + 0.0 AS log10p_2
+    FROM (SELECT *, collection || '|' || direction || '|' || term_id AS t FROM c_ora) a FULL JOIN (SELECT *, collection || '|' || direction || '|' || term_id AS t FROM c_ora2) b ON a.t = b.t""")
 def compare_runs(spark, d):
-    runs = [enrich.ora(query_lists(spark, d, *pair), inputs.gene_sets(spark, d)).filter("direction = 'UP'")
+    runs = [enrich.ora(query_lists(spark, d, *pair), inputs.gene_sets(spark, d)).withColumn("term_id", F.concat_ws("|", "collection", "direction", "term_id"))
             for pair in (("AFRICA", "AMERICA"), ("ASIA", "EUROPE"))]
     t = report.comparison_table(*runs, p="p_value", signed=False)
     return t.select("term_id", (r("log10p_1") + 0.0).alias("log10p_1"), (r("log10p_2") + 0.0).alias("log10p_2"))
@@ -293,15 +293,16 @@ cte("c_cm", """
          - (k0 + k1) * ln((k0 + k1) / (n0 + n1)) - (n0 + n1 - k0 - k1) * ln(1 - (k0 + k1) / (n0 + n1))) AS lr_d,
       (k0 + k1) * ln((ss - (s0 + s1) * (s0 + s1) / (k0 + k1)) / (ss - s0 * s0 / k0 - s1 * s1 / k1)) AS lr_c,
       s1 / n1 - s0 / n0 AS log_fc FROM g WHERE k0 > 0 AND k1 > 0 AND k0 < n0 AND k1 < n1 AND k0 + k1 > 3)
-    SELECT feature_id, round(pct_ref, 9) AS pct_ref, round(pct_trt, 9) AS pct_trt, round(lr_d + lr_c, 5) AS statistic, round(exp(-(lr_d + lr_c) / 2), 6) AS p_value,
-           round(log_fc, 6) AS log_fc FROM s""")
+    SELECT feature_id, round(k0 / n0, 9) AS pct_ref, round(k1 / n1, 9) AS pct_trt, round(lr_d + lr_c, 5) AS statistic, round(exp(-(lr_d + lr_c) / 2), 6) AS p_value,
+           round(log_fc, 6) AS log_fc, CASE WHEN s.feature_id IS NULL THEN NULL ELSE 2 END AS both_parts FROM g LEFT JOIN s USING (feature_id)""")
 def hurdle(spark, d):
     """Detection and level of one feature per part type and size, between two market segments."""
     m = normalize.log2p1(inputs.cell_matrix(spark, d), "count", "value")
     t = de.hurdle_de(m, inputs.cells(spark, d), "BUILDING", "MACHINERY", value="value")
-    return t.filter("df = 2").select(
-        "feature_id", r("pct_ref", 9).alias("pct_ref"), r("pct_trt", 9).alias("pct_trt"), r("statistic", 5).alias("statistic"),
-        r("p_value").alias("p_value"), r("log_fc").alias("log_fc"))
+    both = F.col("df") == 2  # one part alone has no closed form of its own here: its numbers are checked in the tests
+    return t.select(
+        "feature_id", r("pct_ref", 9).alias("pct_ref"), r("pct_trt", 9).alias("pct_trt"), F.when(both, r("statistic", 5)).alias("statistic"),
+        F.when(both, r("p_value")).alias("p_value"), F.when(both, r("log_fc")).alias("log_fc"), F.when(both, F.col("df")).alias("both_parts"))
 
 
 @query("a30_hurdle_de_covariate")

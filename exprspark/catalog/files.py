@@ -1,7 +1,9 @@
 """Readers and writers, checked by writing tables in each file format and reading them back."""
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from exprspark.catalog import coverage, tables  # noqa: F401
@@ -194,11 +196,17 @@ def sam(spark, d):
     return rd.read_alignments(spark, f"{path}/*/*", SAMPLE_DIR).drop("seq")
 
 
-@query("s12_k4_bedgraph", "SELECT chrom, \"start\", \"end\", value FROM c_depth WHERE value <> 0 AND sample_id = 'A'")
+@query("s12_k4_bedgraph", """SELECT sample_id, chrom, "start", "end", value FROM c_depth WHERE value <> 0""")
 def bedgraph(spark, d):
+    """One track file per library, as the format has no column for it."""
     path = folder(spark)
-    wr.write_bedgraph(iv.coverage(inputs.intervals(spark, d).filter("sample_id = 'A'"), ["chrom"]), path)
-    return rd.read_intervals(spark, path, "bedgraph")
+    tracks = stage(iv.coverage(inputs.intervals(spark, d), ["sample_id", "chrom"]))
+    back = []
+    for row in tracks.select("sample_id").distinct().orderBy("sample_id").toLocalIterator():
+        one = f"{path}/{row['sample_id']}"
+        wr.write_bedgraph(tracks.filter(F.col("sample_id") == row["sample_id"]).drop("sample_id"), one)
+        back.append(rd.read_intervals(spark, one, "bedgraph").withColumn("sample_id", F.lit(row["sample_id"])))
+    return reduce(DataFrame.unionByName, back)
 
 
 @query("s12_saf_intervals", """SELECT chrom, "start", "end", strand FROM c_iv""")
@@ -257,15 +265,15 @@ def signature(spark, d):
     return rd.read_signature(spark, path)
 
 
-@query("k3_stage_tables", "SELECT feature_id, sample_id, q FROM (SELECT feature_id, sample_id, CAST(q AS BIGINT) AS q FROM c_nat) WHERE sample_id IN ('3', '4')")
+@query("k3_stage_tables", "SELECT feature_id, sample_id, q FROM (SELECT feature_id, sample_id, CAST(q AS BIGINT) AS q FROM c_nat)")
 def stage_tables(spark, d):
     base = folder(spark)
     wr.save_stage(by_nation(spark, d).select("feature_id", "sample_id", "q"), base, "counts")
-    return wr.load_stage(spark, base, "counts").filter(F.col("sample_id").isin("3", "4")).select("feature_id", "sample_id", "q")
+    return wr.load_stage(spark, base, "counts").select("feature_id", "sample_id", "q")
 
 
 @query("k5_k6_metrics", """
-    SELECT sample_id, round(frip, 9) AS frip FROM (SELECT sample_id, sum(n) FILTER (status = 'assigned') / sum(n) AS frip FROM c_assigned GROUP BY 1) UNION ALL SELECT 'x', 0.5""")
+    SELECT sample_id, round(frip, 9) AS frip FROM (SELECT sample_id, sum(n) FILTER (status = 'assigned') / sum(n) FILTER (status IN ('assigned', 'no_feature')) AS frip FROM c_assigned GROUP BY 1) UNION ALL SELECT 'x', 0.5""")
 def metrics(spark, d):
     base = folder(spark)
     f = stage(iv.frip(iv.count_overlaps(inputs.intervals(spark, d), coverage.features(spark, d))).select("sample_id", r("frip", 9).alias("frip")))

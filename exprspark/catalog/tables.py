@@ -238,14 +238,24 @@ def annotated_values(spark, d):
 
 
 @query("j4_annotate_by_symbol", """
+    SELECT n_name AS feature_id, n_regionkey AS region, p_name AS description, p_type AS biotype
+    FROM nation LEFT JOIN part ON 'NATION_' || substring(p_brand, 7) = n_name""")
+def annotate_by_symbol(spark, d):
+    a = inputs.annotations(spark, d).select(
+        F.concat(F.lit("NATION_"), F.substring("symbol", 7, 9)).alias("feature_id"), "description", "biotype")
+    n = table(spark, d, "nation").select(F.col("n_name").alias("feature_id"), F.col("n_regionkey").alias("region"))
+    return clean.annotate(n, a)
+
+
+@query("j4_annotate_first", """
     SELECT n_name AS feature_id, n_regionkey AS region, description, biotype FROM nation LEFT JOIN (
       SELECT n, t.d AS description, t.b AS biotype FROM (
         SELECT 'NATION_' || substring(p_brand, 7) AS n, min({'d': p_name, 'b': p_type}) AS t FROM part GROUP BY 1)) ON n = n_name""")
-def annotate_by_symbol(spark, d):
+def annotate_first(spark, d):
     a = inputs.annotations(spark, d).select(
         F.concat(F.lit("NATION_"), F.substring("symbol", 7, 9)).alias("feature_id"), "description", "biotype")
     n = table(spark, d, "nation").select(F.col("n_name").alias("feature_id"), F.col("n_regionkey").alias("region"))
-    return clean.annotate(n, a, order="description")
+    return clean.annotate_first(n, a, order="description")
 
 
 @query("j7_j10_id_mapping", """

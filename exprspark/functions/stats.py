@@ -29,8 +29,8 @@ def normal_two_sided_p(z):
     return _erfc(np.abs(np.asarray(z, dtype=float)) / math.sqrt(2))
 
 
-def hypergeom_upper(k, m, n, total):
-    """P(overlap >= k) for a set of m and a query of n out of total, by the term ratio."""
+def hypergeom_log_upper(k, m, n, total):
+    """log P(overlap >= k) for a set of m and a query of n out of total, by the term ratio."""
     k, m, n, total = (np.asarray(x, dtype=float) for x in (k, m, n, total))
     top = np.minimum(m, n)
     i = k.copy()
@@ -44,7 +44,11 @@ def hypergeom_upper(k, m, n, total):
         i = i + live
         live = live & (i < top) & (term > acc * 1e-18)
     first = log_choose(m, k) + log_choose(total - m, n - k) - log_choose(total, n)
-    return np.minimum(1.0, np.exp(first) * acc)
+    return np.minimum(0.0, first + np.log(acc))
+
+
+def hypergeom_upper(k, m, n, total):
+    return np.exp(hypergeom_log_upper(k, m, n, total))
 
 
 def chi2_upper(x, df):
@@ -60,7 +64,7 @@ def poisson_upper(k, mu):
     logp = k * np.log(safe) - safe - _lgamma(k + 1.0)
     upper = k > mu
     term, acc, i = np.ones_like(k), np.ones_like(k), k.copy()
-    for _ in range(100_000):
+    while True:  # the ratio of terms falls below one and goes on falling
         i = i + 1
         term = term * np.where(upper, safe / i, 0.0)
         acc = acc + term
@@ -68,7 +72,7 @@ def poisson_upper(k, mu):
             break
     tail = np.exp(logp) * acc
     term, acc, i = np.ones_like(k), np.zeros_like(k), k.copy()
-    for _ in range(100_000):
+    while True:
         term = term * np.where(upper, 0.0, np.maximum(i, 0) / safe)
         acc = acc + term
         i = i - 1
@@ -132,6 +136,14 @@ def hypergeom_sf(k: Column, m: Column, n: Column, total: Column) -> Column:
     return f(k, m, n, total)
 
 
+def hypergeom_log_sf(k: Column, m: Column, n: Column, total: Column) -> Column:
+    @F.pandas_udf("double")
+    def f(k: pd.Series, m: pd.Series, n: pd.Series, total: pd.Series) -> pd.Series:
+        return pd.Series(hypergeom_log_upper(k, m, n, total))
+
+    return f(k, m, n, total)
+
+
 def chi2_sf(x: Column, df: Column | int = 1) -> Column:
     @F.pandas_udf("double")
     def f(x: pd.Series, df: pd.Series) -> pd.Series:

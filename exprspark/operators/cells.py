@@ -353,19 +353,27 @@ def cluster_cells(vectors: DataFrame, k: int, seed: int = 1) -> DataFrame:
     return model.transform(v).select("cell_id", F.col("prediction").cast("string").alias("cluster"))
 
 
-def neighbour_communities(vectors: DataFrame, k: int = 10, rounds: int = 10) -> DataFrame:
-    """Communities of the k-nearest-neighbour graph by label propagation (ties: smaller label)."""
+def neighbour_communities(vectors: DataFrame, k: int = 10, max_rounds: int = 200) -> DataFrame:
+    """Communities of the k-nearest-neighbour graph by label propagation, run until no cell wants another label.
+
+    A cell wants the label of most of its neighbours (ties: smaller label) if that has more votes than its
+    own. In each round a half of the cells, drawn anew by hash, may change, so neighbours do not swap labels
+    for ever. A graph that has not settled after ``max_rounds`` raises.
+    """
     near = knn(vectors, vectors, k + 1).filter("query_id <> ref_id").select("query_id", "ref_id")
     both = stage(near.unionByName(near.select(F.col("ref_id").alias("query_id"), F.col("query_id").alias("ref_id"))).distinct())
     labels = stage(vectors.select("cell_id", F.col("cell_id").alias("cluster")))
-    for _ in range(rounds):
+    for i in range(max_rounds):
         votes = both.join(labels.select(F.col("cell_id").alias("ref_id"), "cluster"), "ref_id").groupBy(
             F.col("query_id").alias("cell_id"), "cluster").agg(F.count(F.lit(1)).alias("n"))
-        best = votes.groupBy("cell_id").agg(F.min(F.struct((-F.col("n")).alias("n"), F.col("cluster"))).alias("b"))
-        new = stage(labels.withColumnRenamed("cluster", "old").join(best, "cell_id", "left").select(
-            "cell_id", F.coalesce("b.cluster", "old").alias("cluster"), "old"))
-        done = new.filter("cluster <> old").isEmpty()
+        own = labels.withColumnRenamed("cluster", "old")
+        best = votes.join(own, "cell_id").groupBy("cell_id").agg(
+            F.min(F.struct((-F.col("n")).alias("n"), F.col("cluster"))).alias("b"), F.max(F.when(F.col("cluster") == F.col("old"), F.col("n"))).alias("mine"))
+        wants = F.coalesce(-F.col("b.n") > F.coalesce("mine", F.lit(0)), F.lit(False))
+        turn = F.pmod(F.xxhash64("cell_id", F.lit(i)), F.lit(2)) == 0
+        new = stage(own.join(best, "cell_id", "left").select(
+            "cell_id", F.when(wants & turn, F.col("b.cluster")).otherwise(F.col("old")).alias("cluster"), wants.alias("wants")))
         labels = new.select("cell_id", "cluster")
-        if done:
-            break
-    return labels
+        if new.filter("wants").isEmpty():
+            return labels
+    raise RuntimeError(f"communities did not settle in {max_rounds} rounds")

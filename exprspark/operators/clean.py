@@ -133,7 +133,12 @@ def correct_symbols(df: DataFrame, aliases: DataFrame, col: str = "symbol", drop
     return out.filter(F.col(col).isNotNull()) if drop_unmapped else out
 
 
-def annotate(deg: DataFrame, annotations: DataFrame, key: str = "feature_id", order: str | None = None) -> DataFrame:
+def annotate(deg: DataFrame, annotations: DataFrame, key: str = "feature_id") -> DataFrame:
+    """Left join that keeps every annotation of a key; keys without one keep a row with nulls."""
+    return deg.join(annotations, key, "left").select(*deg.columns, *[c for c in annotations.columns if c != key])
+
+
+def annotate_first(deg: DataFrame, annotations: DataFrame, key: str = "feature_id", order: str | None = None) -> DataFrame:
     """Left join with one annotation row per key: the first by ``order`` (default: by all columns)."""
     rest = [c for c in annotations.columns if c != key]
     order_cols = ([order] if order else []) + [c for c in rest if c != order]

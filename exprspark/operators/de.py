@@ -235,7 +235,7 @@ def hurdle_de(
     Cells with equal covariates are one pattern. Counts, sums and sums of squares per (feature,
     pattern) are sufficient for both parts, so cells are summed up map-side and no task ever holds
     the cells of a feature. Returns ``feature_id, log_fc, ci_low, ci_high, statistic, df, pct_ref,
-    pct_trt, p_value, fdr``; features that cannot be fitted are left out.
+    pct_trt, p_value, fdr``; a feature that cannot be fitted has ``df`` 0 and null statistics.
     """
     x = cells.filter(F.col("group").isin(ref, trt)).withColumn("trt", F.when(F.col("group") == trt, 1.0).otherwise(0.0))
     terms = ["trt", *covariates]
@@ -269,9 +269,9 @@ def hurdle_de(
             c1, r1, w1, c_ok = _gaussian(design_x, k, s, ss)
             _, r0, _, c_ok0 = _gaussian(design_x[:, keep], k, s, ss)
             c_ok = c_ok and c_ok0
-            if not (d_ok or c_ok):
-                continue
             stat = (max(2 * (l1 - l0), 0.0) if d_ok else 0.0) + (max(k.sum() * math.log(r0 / r1), 0.0) if c_ok else 0.0)
+            if not (d_ok or c_ok):
+                stat = math.nan
             fc, half = math.nan, math.nan
             if d_ok and c_ok:
                 # expected value at the reference and at the treated level, covariates at their means

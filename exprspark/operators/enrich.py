@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from exprspark.functions.stats import chi2_sf, hypergeom_sf
+from exprspark.functions.stats import chi2_sf, hypergeom_log_sf, hypergeom_sf
 from exprspark.operators.ranking import bh_adjust
 from exprspark.session import stage
 
@@ -42,10 +42,12 @@ def overlap_counts(
 
 
 def storey_q(df: DataFrame, by: list[str], p: str = "p_value", adjusted: str = "p_adjust", lam: float = 0.5) -> DataFrame:
-    """q-values with the share of true nulls estimated at one fixed lambda."""
-    pi0 = df.groupBy(*by).agg(
-        F.least(F.lit(1.0), F.count_if(F.col(p) > lam) / (F.count(p) * (1 - lam))).alias("_pi0")
-    )
+    """q-values with the share of true nulls estimated at one fixed lambda.
+
+    A group without any p-value above lambda has no estimate: its q-values are null.
+    """
+    share = F.least(F.lit(1.0), F.count_if(F.col(p) > lam) / (F.count(p) * (1 - lam)))
+    pi0 = df.groupBy(*by).agg(F.when(F.count_if(F.col(p) > lam) > 0, share).alias("_pi0"))
     return df.join(pi0, by).withColumn("q_value", F.col(adjusted) * F.col("_pi0")).drop("_pi0")
 
 
@@ -78,19 +80,21 @@ def enrich_table(
 ) -> DataFrame:
     """Overlap, p, adjusted p, odds ratio and combined score per list, library and term.
 
-    Lists with fewer than ``min_genes`` distinct features are not tested.
+    Lists with fewer than ``min_genes`` distinct features are not tested. The score takes the logarithm of the
+    tail itself, so it holds where the p-value is too small for a number.
     """
     lists = query.select("direction", "feature_id").distinct()
     long_enough = lists.groupBy("direction").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_genes)
     lists = lists.join(long_enough.select("direction"), "direction", "left_semi")
     c = overlap_counts(lists, library, min_size=1, max_size=max_size)
     t = c.withColumn("p_value", hypergeom_sf(F.col("k"), F.col("m"), F.col("n"), F.col("total")))
+    t = t.withColumn("_log_p", hypergeom_log_sf(F.col("k"), F.col("m"), F.col("n"), F.col("total")))
     t = bh_adjust(t, by=["collection", "direction"], out="adjusted_p_value")
     t = t.withColumn("odds_ratio", odds_ratio(F.col("k"), F.col("m"), F.col("n"), F.col("total")))
     t = t.select(
         "collection", "direction", F.col("term_id").alias("term"), F.concat_ws("/", "k", "m").alias("overlap"),
         "p_value", "adjusted_p_value", "odds_ratio",
-        (-F.log("p_value") * F.col("odds_ratio")).alias("combined_score"), F.array_join("genes", "/").alias("genes"),
+        (-F.col("_log_p") * F.col("odds_ratio")).alias("combined_score"), F.array_join("genes", "/").alias("genes"),
     )
     return t if max_p is None else t.filter(F.col(filter_on) < max_p)
 

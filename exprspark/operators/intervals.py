@@ -13,14 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from exprspark.functions.stats import poisson_sf
-from exprspark.operators.ranking import bh_adjust, exact_quantiles, sweep
+from exprspark.operators.ranking import bh_adjust, exact_quantiles, ordered_index, sweep
 from exprspark.session import stage
 
 # Alignment flag bits.
 PAIRED, PROPER, UNMAPPED, MATE_UNMAPPED, REVERSE = 1, 2, 4, 8, 16
 SECONDARY, QC_FAIL, DUPLICATE, SUPPLEMENTARY = 256, 512, 1024, 2048
 REMOVE_FLAGS, REMOVE_FLAGS_KEEP_DUPLICATES = 3332, 2308
-CHROMOSOMES = r"^chr([1-9]|1[0-9]|2[0-2]|X|Y)$"
+CHROMOSOMES = "chr[1-9,X,Y]"  # found anywhere in the name
 
 
 def has_bits(flag: str | Column, bits: int) -> Column:
@@ -81,8 +81,9 @@ def coverage(
 ) -> DataFrame:
     """Depth segments ``keys, start, end, value``.
 
-    ``sizes`` (``chrom, size``) adds the zero-depth segments of every sequence. ``scale`` is a table
-    ``sample_id, multiplier`` applied to the integer depth at the end.
+    ``sizes`` (``chrom, size``) adds the zero-depth segments of every sequence, also of those without any
+    interval: each sample gets all sequences. ``scale`` is a table ``sample_id, multiplier`` applied to
+    the integer depth at the end.
     """
     keys = list(keys)
     events = _events(df, keys, F.lit(1).cast("long"))
@@ -90,7 +91,9 @@ def coverage(
         seg = sweep(events, keys, ["delta"], tile=tile).filter("delta <> 0")
     else:
         # a second channel with one step per sequence end keeps the zero stretches
-        seqs = df.select(*keys).distinct().join(sizes, "chrom")
+        seqs, others = sizes.select("chrom", "size"), [k for k in keys if k != "chrom"]
+        if others:  # every sample has every sequence, which is part of the result
+            seqs = df.select(*others).distinct().crossJoin(seqs)
         frame = seqs.select(*keys, F.explode(F.array(
             F.struct(F.lit(0).cast("long").alias("pos"), F.lit(1).cast("long").alias("inside")),
             F.struct(F.col("size").cast("long").alias("pos"), F.lit(-1).cast("long").alias("inside")),
@@ -138,13 +141,13 @@ def union_tracks(tracks: DataFrame, tile: int = 1 << 20) -> DataFrame:
 def average_tracks(tracks: DataFrame, n_tracks: int | None = None, tile: int = 1 << 20) -> DataFrame:
     """Mean of all tracks on their common segments, absent stretches counting as zero.
 
-    One sweep over all tracks at once, however many there are; values are summed as whole billionths,
-    so the running sum returns to exactly zero.
+    One sweep over all tracks at once, however many there are; values are summed as decimals of 15 places
+    and 21 digits before the point, so the running sum returns to exactly zero. A value beyond that fails.
     """
     n = tracks.agg(F.count_distinct("track")).scalar() if n_tracks is None else F.lit(n_tracks)
-    value = F.round(F.col("value") * 1e9).cast("long")
+    value = F.col("value").cast("decimal(28,16)")
     seg = sweep(_events(tracks, ["chrom"], value), ["chrom"], ["delta"], tile=tile).filter("delta <> 0")
-    return seg.select("chrom", "start", "end", (F.col("delta") / 1e9 / n).alias("value"))
+    return seg.select("chrom", "start", "end", (F.col("delta").cast("double") / n).alias("value"))
 
 
 def _bins(start: Column, end: Column, width: int) -> Column:
@@ -171,7 +174,8 @@ def count_overlaps(
         reads = reads.withColumn("_p", five).withColumn("start", F.col("_p")).withColumn("end", F.col("_p") + 1).drop("_p")
     spots = stage(reads.groupBy(*keys, "chrom", "start", "end").agg(F.count(F.lit(1)).alias("n")))
     ids = stage(intervals.select("interval_id", "chrom", "start", "end").distinct())
-    marked = ids.withColumn("code", F.xxhash64("interval_id"))
+    numbered = ordered_index(ids.select("interval_id").distinct(), [F.col("interval_id")], out="code")
+    marked = stage(ids.join(numbered, "interval_id"))
     edges = marked.select("chrom", "code", F.explode(F.array(
         F.struct(F.col("start").alias("pos"), F.lit(1).cast("long").alias("k")),
         F.struct(F.col("end").alias("pos"), F.lit(-1).cast("long").alias("k")),
@@ -192,9 +196,10 @@ def count_overlaps(
 
 
 def frip(counts: DataFrame, keys: Sequence[str] = ("sample_id",)) -> DataFrame:
-    """Share of reads in intervals: assigned / (assigned + unassigned)."""
+    """Share of reads in intervals: assigned / (assigned + without a feature). Ambiguous reads are in neither."""
     hit = F.sum(F.when(F.col("status") == "assigned", F.col("n")).otherwise(0))
-    return counts.groupBy(*keys).agg(hit.alias("assigned"), F.sum("n").alias("total"), (hit / F.sum("n")).alias("frip"))
+    total = F.sum(F.when(F.col("status") != "ambiguous", F.col("n")).otherwise(0))
+    return counts.groupBy(*keys).agg(hit.alias("assigned"), total.alias("total"), (hit / F.nullif(total, F.lit(0))).alias("frip"))
 
 
 def mito_read_percent(alignments: DataFrame, mito: str = "chrM") -> DataFrame:
@@ -235,23 +240,44 @@ def insert_size_metrics(histogram: DataFrame) -> DataFrame:
     return mean.join(median, "sample_id")
 
 
+def mark_duplicate_pairs(alignments: DataFrame) -> DataFrame:
+    """Flag both records of every pair but the first (by id) with the same two 5' ends; unmated reads pass unmarked.
+
+    The mates of a pair share ``sample_id, read_id``. Where there are flags, records that are unmapped,
+    secondary or supplementary take no part. The 5' end is that of the aligned part: clipping is not undone.
+    The signature of a pair is built from both ends first; its kept pair is a pre-aggregated minimum.
+    """
+    part = alignments
+    if "flag" in alignments.columns:
+        part = alignments.filter(F.col("flag").bitwiseAND(F.lit(UNMAPPED | SECONDARY | SUPPLEMENTARY)) == 0)
+    five = F.when(F.col("strand") == "-", F.col("end")).otherwise(F.col("start"))
+    end = F.struct("chrom", five.alias("five"), "strand")
+    pairs = part.groupBy("sample_id", "read_id").agg(F.count(F.lit(1)).alias("_n"), F.min(end).alias("_a"), F.max(end).alias("_b")).filter("_n = 2")
+    pairs = stage(pairs.drop("_n"))
+    keepers = pairs.groupBy("sample_id", "_a", "_b").agg(F.min("read_id").alias("_first"))
+    copies = pairs.join(keepers, ["sample_id", "_a", "_b"]).filter("read_id <> _first").select("sample_id", "read_id", F.lit(True).alias("_copy"))
+    takes_part = F.lit(True) if "flag" not in alignments.columns else F.col("flag").bitwiseAND(F.lit(UNMAPPED | SECONDARY | SUPPLEMENTARY)) == 0
+    return alignments.join(copies, ["sample_id", "read_id"], "left").withColumn(
+        "is_duplicate", F.coalesce(F.col("_copy") & takes_part, F.lit(False))).select(*alignments.columns, "is_duplicate")
+
+
 def mark_duplicates(alignments: DataFrame) -> DataFrame:
-    """Flag every read but the first (by id) with the same chromosome, 5' end and strand, mate included if present.
+    """Flag every single read but the first (by id) with the same chromosome, 5' end and strand.
 
     The kept read of each signature is a pre-aggregated minimum and is joined back by its unique
     id, so a signature shared by very many copies never gathers in one task.
     """
     five = F.when(F.col("strand") == "-", F.col("end")).otherwise(F.col("start"))
     signature = ["sample_id", "chrom", "_five", "strand"]
-    mate = [c for c in ("mate_chrom", "mate_start") if c in alignments.columns]
-    keepers = alignments.withColumn("_five", five).groupBy(*signature, *mate).agg(F.min("read_id").alias("read_id"))
+    keepers = alignments.withColumn("_five", five).groupBy(*signature).agg(F.min("read_id").alias("read_id"))
     keepers = keepers.select("sample_id", "read_id").distinct().withColumn("_keep", F.lit(True))
     return alignments.join(keepers, ["sample_id", "read_id"], "left").withColumn(
         "is_duplicate", F.col("_keep").isNull()).drop("_keep").select(*alignments.columns, "is_duplicate")
 
 
-def deduplicate(alignments: DataFrame) -> DataFrame:
-    return mark_duplicates(alignments).filter(~F.col("is_duplicate")).drop("is_duplicate")
+def deduplicate(alignments: DataFrame, paired: bool = False) -> DataFrame:
+    marked = mark_duplicate_pairs(alignments) if paired else mark_duplicates(alignments)
+    return marked.filter(~F.col("is_duplicate")).drop("is_duplicate")
 
 
 def window_counts(df: DataFrame, width: int, keys: Sequence[str] = ("sample_id", "chrom")) -> DataFrame:

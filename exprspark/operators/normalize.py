@@ -100,12 +100,9 @@ def tmm_factors(
     limit on M (or A) is the same as a value limit, so the trimming needs per-sample bounds only
     and the wide rows are never ranked or sorted themselves.
     """
-    sizes = matrix.groupBy("sample_id").agg(F.sum("count").alias("lib_size"), F.count(F.lit(1)).alias("nnz"))
-    if lib is not None:
-        sizes = sizes.drop("lib_size").join(lib.select("sample_id", "lib_size"), "sample_id")
-    sizes = stage(sizes)
-    largest = sizes.agg(F.max("nnz")).first()[0] or 0
-    lib = sizes.drop("nnz")
+    if lib is None:
+        lib = matrix.groupBy("sample_id").agg(F.sum("count").alias("lib_size"))
+    lib = stage(lib.select("sample_id", "lib_size"))
     uq = stage(upper_quartiles(matrix, lib))
     mean_q = uq.agg(F.avg("q")).scalar()
     ref = uq.withColumn("_d", F.round(F.abs(F.col("q") - mean_q), 12)).orderBy("_d", "sample_id").limit(1)
@@ -126,7 +123,7 @@ def tmm_factors(
     ))
 
     def bounds(value: str, trim: float) -> DataFrame:
-        r = value_ranks(ma, ["sample_id"], value, weight="n", known_rows=largest)
+        r = value_ranks(ma, ["sample_id"], value, weight="n")
         avg_rank = F.col("below") + (F.col("n") + 1) / 2
         cut = F.floor(F.col("total") * trim)
         inside = avg_rank.between(cut + 1, F.col("total") - cut)

@@ -16,41 +16,20 @@ from pyspark.sql import Window as W
 from exprspark.session import stage
 
 TILES = 64
-GROUP_ROWS = 200_000  # groups up to this size are ranked by one plain window
-
-
-def _largest_group(df: DataFrame, by: Sequence[str]) -> int:
-    if by:
-        df = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n"))
-    else:
-        df = df.agg(F.count(F.lit(1)).alias("n"))
-    return df.first()["n"] or 0
 
 
 def value_ranks(
-    df: DataFrame, by: Sequence[str], value: str, weight: str | None = None,
-    group_rows: int = GROUP_ROWS, tiles: int = TILES, known_rows: int | None = None,
+    df: DataFrame, by: Sequence[str], value: str, weight: str | None = None, tiles: int = TILES,
 ) -> DataFrame:
     """One row per distinct value of each group: ``by, value, tile, n, below, total``.
 
     ``below`` counts the rows with a smaller value, so the average rank of a tie is
-    ``below + (n + 1) / 2`` and the last rank is ``below + n``. A caller that knows the size of the
-    largest group passes it as ``known_rows`` and saves the staging and the size check.
+    ``below + (n + 1) / 2`` and the last rank is ``below + n``. Null and NaN values have no rank.
     """
     by = list(by)
     n = F.sum(weight) if weight else F.count(F.lit(1))
     known = F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))
-    distinct = df.filter(known).groupBy(*by, value).agg(n.alias("n"))
-    if known_rows is None or known_rows > group_rows:
-        distinct = stage(distinct)
-        known_rows = _largest_group(distinct, by)
-    if known_rows <= group_rows:
-        smaller = W.partitionBy(*by).orderBy(value).rowsBetween(W.unboundedPreceding, -1)
-        return distinct.select(
-            *by, value, F.lit(0).alias("tile"), "n",
-            F.coalesce(F.sum("n").over(smaller), F.lit(0)).alias("below"),
-            F.sum("n").over(W.partitionBy(*by)).alias("total"),
-        )
+    distinct = stage(df.filter(known).groupBy(*by, value).agg(n.alias("n")))
     marks = F.percentile_approx(value, [i / tiles for i in range(1, tiles)])
     if by:
         cut = distinct.join(distinct.groupBy(*by).agg(marks.alias("cuts")), by)
@@ -75,10 +54,10 @@ def value_ranks(
 
 def exact_quantiles(
     df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float],
-    weight: str | None = None, group_rows: int = GROUP_ROWS,
+    weight: str | None = None, tiles: int = TILES,
 ) -> DataFrame:
     """Exact interpolated quantiles (the ``percentile`` definition) for groups of any size."""
-    ranks = value_ranks(df, by, value, weight, group_rows)
+    ranks = value_ranks(df, by, value, weight, tiles)
 
     def at(pos: Column) -> Column:
         hit = (F.col("below") <= pos) & (pos < F.col("below") + F.col("n"))
@@ -99,28 +78,17 @@ def exact_quantiles(
 
 
 def bh_adjust(
-    df: DataFrame, p: str = "p_value", by: Sequence[str] = (), out: str = "fdr",
-    group_rows: int = GROUP_ROWS,
+    df: DataFrame, p: str = "p_value", by: Sequence[str] = (), out: str = "fdr", tiles: int = TILES,
 ) -> DataFrame:
     """Benjamini-Hochberg: ``min over p_j >= p_i of p_j * n / j``, at most 1, per ``by`` group.
 
-    Rows with a null p-value keep a null result and are not counted. The tests are staged once.
-    Small groups take one window; in larger ones equal p-values share the last rank of their
-    value, which gives the same minimum, and tiles carry the minimum of all later tiles.
+    Rows with a null or NaN p-value keep a null result and are not counted. The tests are staged once.
+    Equal p-values share the last rank of their value, which gives the same minimum, and tiles carry
+    the minimum of all later tiles.
     """
     by = list(by)
     tests = stage(df)
-    if _largest_group(tests, by) <= group_rows:
-        known = F.col(p).isNotNull()
-        group = W.partitionBy(*by, known)
-        raw = F.col(p) * F.count(F.lit(1)).over(group) / F.row_number().over(group.orderBy(p))
-        from_top = group.orderBy(F.col(p).desc()).rangeBetween(W.unboundedPreceding, 0)
-        return (
-            tests.withColumn("_raw", F.least(F.lit(1.0), raw))
-            .withColumn(out, F.when(known, F.min("_raw").over(from_top)))
-            .select(*df.columns, out)
-        )
-    raw = value_ranks(tests, by, p, group_rows=group_rows).withColumn(
+    raw = value_ranks(tests, by, p, tiles=tiles).withColumn(
         "raw", F.least(F.lit(1.0), F.col(p) * F.col("total") / (F.col("below") + F.col("n")))
     )
     from_top = W.partitionBy(*by, "tile").orderBy(F.col(p).desc()).rowsBetween(W.unboundedPreceding, 0)

@@ -241,17 +241,23 @@ def read_fastq(spark: SparkSession, path: str, sample: str = FASTQ_NAME, mate: s
 
     A gzipped file is one split, so its lines are grouped in fours where they are read. Plain files
     may be split anywhere; their lines are numbered first and grouped by record number. The two
-    kinds may be mixed under one path.
+    kinds may be mixed under one path. A file that ends inside a record fails; empty lines at its end do not count.
     """
     text = spark.read.text(path).select(F.col(FILE).alias("file"), "value")
 
     def group(batches):
         file, rest = None, []
+
+        def close():
+            if any(rest):
+                raise ValueError(f"{file} ends inside a record")
+
         for pdf in batches:
             out = []
             for name, part in pdf.groupby("file", sort=False):
                 lines = part["value"].tolist()
                 if name != file:
+                    close()
                     file, rest = name, []
                 lines = rest + lines
                 whole = len(lines) // 4 * 4
@@ -260,6 +266,7 @@ def read_fastq(spark: SparkSession, path: str, sample: str = FASTQ_NAME, mate: s
                     "file": name, "head": lines[0:whole:4], "seq": lines[1:whole:4], "qual": lines[3:whole:4]}))
             if out:
                 yield pd.concat(out)
+        close()
 
     schema = "file string, head string, seq string, qual string"
     zipped = text.filter(F.col("file").endswith(".gz")).mapInPandas(group, schema)
@@ -267,7 +274,9 @@ def read_fastq(spark: SparkSession, path: str, sample: str = FASTQ_NAME, mate: s
     k = F.col("line_no") % 4
     plain = plain.groupBy("file", F.floor(F.col("line_no") / 4).alias("record")).agg(
         F.max(F.when(k == 0, F.col("value"))).alias("head"), F.max(F.when(k == 1, F.col("value"))).alias("seq"),
-        F.max(F.when(k == 3, F.col("value"))).alias("qual")).drop("record")
+        F.max(F.when(k == 3, F.col("value"))).alias("qual"), F.count(F.lit(1)).alias("n"), F.max(F.length("value")).alias("longest")).drop("record")
+    cut = F.raise_error(F.concat("file", F.lit(" ends inside a record")))
+    plain = plain.filter("n = 4 OR longest > 0").select("file", "head", "seq", F.when(F.col("n") == 4, F.col("qual")).otherwise(cut).alias("qual"))
     m = name_from_path(mate, "file")
     both = zipped if path.endswith(".gz") else zipped.unionByName(plain)
     return both.select(

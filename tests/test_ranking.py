@@ -1,4 +1,4 @@
-"""Ranks, quantiles and adjustment against numpy, on the small-group and on the tiled path."""
+"""Ranks, quantiles and adjustment against numpy, with few and with many tiles."""
 
 import numpy as np
 import pandas as pd
@@ -28,29 +28,29 @@ def data(spark):
     return pdf, spark.createDataFrame(pdf)
 
 
-@pytest.mark.parametrize("group_rows", [10, 10**6])
-def test_bh(data, group_rows):
+@pytest.mark.parametrize("tiles", [2, 64])
+def test_bh(data, tiles):
     pdf, df = data
-    got = bh_adjust(df, "p", group_rows=group_rows).toPandas().sort_values("id")
+    got = bh_adjust(df, "p", tiles=tiles).toPandas().sort_values("id")
     np.testing.assert_allclose(got["fdr"], bh(pdf["p"].to_numpy()))
     assert (got["fdr"] >= got["p"]).all()
-    by = bh_adjust(df, "p", ["g"], group_rows=group_rows).toPandas().sort_values("id")
+    by = bh_adjust(df, "p", ["g"], tiles=tiles).toPandas().sort_values("id")
     np.testing.assert_allclose(by["fdr"], pdf.groupby("g")["p"].transform(lambda x: bh(x.to_numpy())))
 
 
 def test_bh_keeps_null_rows(spark):
-    df = spark.createDataFrame([(1, 0.01), (2, None), (3, 0.04)], "id int, p double")
+    df = spark.createDataFrame([(1, 0.01), (2, None), (3, 0.04), (4, float("nan"))], "id int, p double")
     got = {r["id"]: r["fdr"] for r in bh_adjust(df, "p").collect()}
-    assert got == {1: 0.02, 2: None, 3: 0.04}
+    assert got == {1: 0.02, 2: None, 3: 0.04, 4: None}
 
 
-@pytest.mark.parametrize("group_rows", [10, 10**6])
-def test_quantiles_and_ranks(data, group_rows):
+@pytest.mark.parametrize("tiles", [2, 64])
+def test_quantiles_and_ranks(data, tiles):
     pdf, df = data
-    q = exact_quantiles(df, ["g"], "p", {"a": 0.1, "b": 0.75}, group_rows=group_rows).toPandas().set_index("g").sort_index()
+    q = exact_quantiles(df, ["g"], "p", {"a": 0.1, "b": 0.75}, tiles=tiles).toPandas().set_index("g").sort_index()
     want = pdf.groupby("g")["p"].quantile([0.1, 0.75]).unstack()
     np.testing.assert_allclose(q[["a", "b"]], want)
-    r = value_ranks(df, [], "p", group_rows=group_rows).toPandas()
+    r = value_ranks(df, [], "p", tiles=tiles).toPandas()
     assert r["n"].sum() == len(pdf) and (r["below"] + r["n"]).max() == len(pdf)
 
 
@@ -74,7 +74,7 @@ def test_same_result_for_any_partitioning(spark, data):
     out = []
     for n in (1, 37):
         spark.conf.set("spark.sql.shuffle.partitions", n)
-        out.append(sorted(map(tuple, bh_adjust(df.repartition(n), "p", ["g"], group_rows=50).collect())))
+        out.append(sorted(map(tuple, bh_adjust(df.repartition(n), "p", ["g"], tiles=8).collect())))
     spark.conf.set("spark.sql.shuffle.partitions", 8)
     assert out[0] == out[1]
 
