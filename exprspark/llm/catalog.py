@@ -118,7 +118,7 @@ u AS (SELECT lang, source, metric, val FROM v UNPIVOT (val FOR metric IN (symbol
 f AS (SELECT lang, source, metric, CASE WHEN val < 64 THEN val ELSE (val >> (length(bin(val)) - 6)) << (length(bin(val)) - 6) END AS lo FROM u),
 lv AS (SELECT 2 AS depth, lang, source, metric, lo FROM f UNION ALL SELECT 1, lang, '', metric, lo FROM f UNION ALL SELECT 0, '', '', metric, lo FROM f),
 q AS (SELECT depth, lang, source, metric, count(*) AS total, quantile_disc(lo, 0.25) AS q1, quantile_disc(lo, 0.75) AS q3 FROM lv GROUP BY ALL),
-cut AS (SELECT *, q3 + greatest(6 * (q3 - q1), CASE metric WHEN 'symbols' THEN 100 WHEN 'dup_lines' THEN 300 WHEN 'repeats' THEN 200 ELSE 300 END) AS cut FROM q),
+cut AS (SELECT *, q3 + greatest(6 * (q3 - q1), CASE metric WHEN 'symbols' THEN 100 WHEN 'dup_lines' THEN 600 ELSE 300 END) AS cut FROM q),
 lim AS (SELECT a.lang, a.source, a.metric, CASE WHEN a.total >= 200 THEN a.cut WHEN b.total >= 200 THEN b.cut ELSE e.cut END AS cut
         FROM cut a JOIN cut b ON b.depth = 1 AND b.lang = a.lang AND b.metric = a.metric JOIN cut e ON e.depth = 0 AND e.metric = a.metric WHERE a.depth = 2),
 p AS (PIVOT lim ON metric IN ('symbols', 'dup_lines', 'repeats', 'word_length') USING max(cut) GROUP BY lang, source)

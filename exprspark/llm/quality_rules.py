@@ -22,7 +22,7 @@ from exprspark.session import stage
 SYMBOLS = r"[^#*$%&|<>]+"
 WINDOW = 8
 #: metric: least distance of its cutoff from the upper quartile
-MARGINS = {"symbols": 100, "dup_lines": 300, "repeats": 200, "word_length": 300}
+MARGINS = {"symbols": 100, "dup_lines": 600, "repeats": 300, "word_length": 300}
 SPREAD = 6
 LEAST_ROWS = 200
 
