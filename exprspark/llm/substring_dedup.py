@@ -30,7 +30,7 @@ from exprspark.session import spread, stage
 
 WIDTH = 50
 GRAM = 8
-BUCKET = 1024
+BUCKET = 8192  # some megabytes of packed strings, under 100 MB of windows while they are sorted
 #: 8-grams in a window, and so windows in a super-k-mer at most
 PLACES = WIDTH - GRAM + 1
 #: words of one piece of a very long text that are numbered together; places take the low bits of an order key
@@ -186,7 +186,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _removed_spans(docs: DataFrame, bucket: int) -> DataFrame:
     """(id, text_hash, spans): the windows to remove; a null mask stands for all ``n`` from ``start`` on."""
     every = stage(docs.mapInArrow(_spans, SPAN))
-    shared = every.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("h")
+    # written first: a join of two tables as they are lets Spark split a hot minimiser, one that holds an aggregate does not
+    shared = stage(every.groupBy("h").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("h"))
     found = stage(every.join(shared, "h", "left_semi"))
     word = ["h", "d1", "d2"]
     first = stage(found.groupBy(*word).agg(F.min(F.struct("id", "text_hash", "start", "n")).alias("c")).select(*word, "c.*"))
@@ -204,7 +205,7 @@ def _removed_spans(docs: DataFrame, bucket: int) -> DataFrame:
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("j"))
     merged = (dealt.join(least, ["w1", "w2"]).filter("id > least").select(*word, bit.alias("bit")).groupBy(*word).agg(F.bit_or("bit").alias("mask")))
     masks = counted.filter("j < 0").select(*word, "mask").distinct().unionByName(merged)
-    heads = first.select(*word, F.col("id").alias("first_id")).join(masks, word, "left")
+    heads = stage(first.select(*word, F.col("id").alias("first_id")).join(masks, word, "left"))
     spans = found.join(heads, word).filter("id > first_id OR mask IS NOT NULL")
     whole = F.when(F.col("id") > F.col("first_id"), F.lit(None)).otherwise(F.col("mask"))
     return spans.groupBy("id", "text_hash").agg(F.collect_list(F.struct("start", "n", whole.alias("mask"))).alias("spans"))
