@@ -159,7 +159,7 @@ def count_overlaps(spark, d):
     h AS (SELECT rid, any_value(sample_id) AS sample_id, count(interval_id) AS n, min(interval_id) AS interval_id FROM i LEFT JOIN c_features f ON f.chrom = i.chrom AND f."start" <= p AND f."end" > p GROUP BY 1)
     SELECT sample_id, CASE WHEN n = 0 THEN 'no_feature' WHEN n = 1 THEN 'assigned' ELSE 'ambiguous' END AS status, CASE WHEN n = 1 THEN interval_id END AS interval_id, count(*) AS n FROM h GROUP BY 1, 2, 3""")
 def count_by_five_prime(spark, d):
-    return iv.count_overlaps(inputs.intervals(spark, d), features(spark, d), by_start=True, bin_width=64, tile=1 << 12)
+    return iv.count_overlaps(inputs.intervals(spark, d), features(spark, d), by_start=True, tile=1 << 12)
 
 
 @query("a40_frip", """

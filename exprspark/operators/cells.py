@@ -21,6 +21,9 @@ from exprspark.operators.report import top_per_group
 from exprspark.session import spread, stage
 
 
+FEATURE_PARTS = 32  # that the features of a sample are dealt over
+
+
 def merge_samples(parts: Sequence[DataFrame]) -> DataFrame:
     """One table of all samples; barcodes become unique by their sample id."""
     merged = reduce(DataFrame.unionByName, parts)
@@ -171,7 +174,8 @@ def residual_variance(matrix: DataFrame, cells: DataFrame, theta: float = 100.0)
     """Variance of the residuals per sample and feature over all cells of the sample.
 
     The zero residual depends on the cell only through its total, so the zero block of a feature is
-    a sum over the distinct cell totals of its sample, not over cells.
+    a sum over the distinct cell totals of its sample, not over cells. The totals are copied to the parts that
+    a sample's features are dealt over, so that a large sample is not one key.
     """
     m, by_cell, by_feature, by_sample = _totals(matrix, cells)
     res = _residuals(m, by_cell, by_feature, by_sample, theta)
@@ -181,7 +185,9 @@ def residual_variance(matrix: DataFrame, cells: DataFrame, theta: float = 100.0)
     hist = by_cell.groupBy("sample_id", "cell_total").agg(F.count(F.lit(1)).alias("w"))
     mu = F.col("feature_total") * F.col("cell_total") / F.col("total")
     zero = _residual(F.lit(0.0), mu, theta, F.col("clip"))
-    zeros = by_feature.join(hist, "sample_id").join(by_sample, "sample_id").groupBy("sample_id", "feature_id").agg(
+    dealt = by_feature.withColumn("_part", F.pmod(F.xxhash64("feature_id"), F.lit(FEATURE_PARTS)))
+    copied = hist.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(FEATURE_PARTS - 1).cast("long"))))
+    zeros = dealt.join(copied, ["sample_id", "_part"]).join(by_sample, "sample_id").groupBy("sample_id", "feature_id").agg(
         F.sum(F.col("w") * zero).alias("z1"), F.sum(F.col("w") * zero * zero).alias("z2"), F.sum("w").alias("n"))
     s1, s2, n = F.col("z1") + F.col("d1"), F.col("z2") + F.col("d2"), F.col("n")
     return zeros.join(present, ["sample_id", "feature_id"]).filter("n > 1").select(

@@ -150,13 +150,26 @@ def average_tracks(tracks: DataFrame, n_tracks: int | None = None, tile: int = 1
     return seg.select("chrom", "start", "end", (F.col("delta").cast("double") / n).alias("value"))
 
 
-def _bins(start: Column, end: Column, width: int) -> Column:
-    return F.explode(F.sequence(F.floor(start / width), F.floor((F.greatest(end, start + 1) - 1) / width)))
+def _counts_up_to(points: DataFrame, marks: DataFrame, tile: int) -> DataFrame:
+    """``chrom, pos, upto``: how many ``marks`` lie at or before each distinct position of ``points``.
+
+    Marks and points of one position are one row before any window; a window sees one tile of positions, and the
+    totals of earlier tiles are carried over.
+    """
+    both = points.select("chrom", "pos", F.lit(0).cast("long").alias("n"), F.lit(1).alias("asked")).unionByName(
+        marks.select("chrom", "pos", F.lit(1).cast("long").alias("n"), F.lit(0).alias("asked")))
+    at = both.groupBy("chrom", "pos").agg(F.sum("n").alias("n"), F.max("asked").alias("asked")).withColumn("_tile", F.floor(F.col("pos") / F.lit(tile)))
+    inside = W.partitionBy("chrom", "_tile").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
+    earlier = W.partitionBy("chrom").orderBy("_tile").rowsBetween(W.unboundedPreceding, -1)
+    carried = at.groupBy("chrom", "_tile").agg(F.sum("n").alias("_n")).select(
+        "chrom", "_tile", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    return (at.withColumn("_run", F.sum("n").over(inside)).join(carried, ["chrom", "_tile"]).filter("asked = 1")
+            .select("chrom", "pos", (F.col("_run") + F.col("_before")).alias("upto")))
 
 
 def count_overlaps(
     reads: DataFrame, intervals: DataFrame, keys: Sequence[str] = ("sample_id",), by_start: bool = False,
-    bin_width: int = 1 << 14, tile: int = 1 << 20,
+    tile: int = 1 << 20,
 ) -> DataFrame:
     """Reads per interval and key, plus the unassigned ones: ``keys, interval_id, n``.
 
@@ -165,7 +178,8 @@ def count_overlaps(
     overlap has the status ``no_feature``. ``by_start`` counts by the 5' end only.
 
     Equal reads are summed up first, and the intervals are cut into disjoint pieces that know how
-    many intervals cover them, so a read meets at most as many pieces as it has breakpoints inside,
+    many intervals cover them. Pieces are numbered along the chromosome, and counting piece ends before a read
+    gives the numbers of the first and last piece that it meets. So a read meets those pieces only, by equality,
     however many intervals are stacked on one spot.
     """
     keys = list(keys)
@@ -181,10 +195,15 @@ def count_overlaps(
         F.struct(F.col("end").alias("pos"), F.lit(-1).cast("long").alias("k")),
     )).alias("_e")).select("chrom", "_e.pos", "_e.k", F.col("code").alias("c"))
     # where exactly one interval covers a piece, the running exclusive-or of codes is that interval's code
-    pieces = sweep(edges, ["chrom"], ["k"], tile=tile, xors=["c"]).filter("k > 0")
-    p = pieces.select("chrom", F.col("start").alias("ps"), F.col("end").alias("pe"), "k", "c", _bins(F.col("start"), F.col("end"), bin_width).alias("bin"))
-    s = spots.select(*keys, "chrom", "start", "end", "n", _bins(F.col("start"), F.col("end"), bin_width).alias("bin"))
-    hit = s.join(p, ["chrom", "bin"]).filter((F.col("ps") < F.col("end")) & (F.col("pe") > F.col("start")))
+    pieces = stage(sweep(edges, ["chrom"], ["k"], tile=tile, xors=["c"]).filter("k > 0"))
+    begins, ends = pieces.select("chrom", F.col("start").alias("pos")), pieces.select("chrom", F.col("end").alias("pos"))
+    last = (F.greatest("end", F.col("start") + 1) - 1).alias("pos")
+    past = _counts_up_to(spots.select("chrom", F.col("start").alias("pos")), ends, tile).select("chrom", F.col("pos").alias("start"), F.col("upto").alias("past"))
+    upto = stage(_counts_up_to(spots.select("chrom", last).unionByName(begins), begins, tile))
+    p = pieces.join(upto, (pieces["chrom"] == upto["chrom"]) & (pieces["start"] == upto["pos"])).select(pieces["chrom"], F.col("upto").alias("ord"), "k", "c")
+    s = spots.withColumn("pos", last).join(upto, ["chrom", "pos"]).join(past, ["chrom", "start"]).filter("upto > past")
+    s = s.select(*keys, "chrom", "start", "end", F.explode(F.sequence(F.col("past") + 1, F.col("upto"))).alias("ord"))
+    hit = s.join(p, ["chrom", "ord"])
     met = hit.groupBy(*keys, "chrom", "start", "end").agg(
         F.max("k").alias("k"), F.min("c").alias("c"), (F.min("c") == F.max("c")).alias("same"))
     found = spots.join(met, [*keys, "chrom", "start", "end"], "left")

@@ -13,6 +13,9 @@ from exprspark.operators.ranking import exact_quantiles, value_ranks
 from exprspark.session import stage
 
 
+PARTS = 64  # that samples of a dense grid are dealt over
+
+
 def library_size(matrix: DataFrame, samples: DataFrame | None = None) -> DataFrame:
     """Sum of counts per sample; with ``samples`` the annotation columns are attached."""
     lib = matrix.groupBy("sample_id").agg(F.sum("count").alias("lib_size"))
@@ -225,9 +228,12 @@ def row_zscore(values: DataFrame, value: str, n_samples: int | Column, zero: Col
 def densify(values: DataFrame, value: str, samples: DataFrame, zero: Column | float = 0.0) -> DataFrame:
     """All pairs of the given features and samples, for matrices of a few chosen features.
 
-    The chosen features travel as one array, so they must be few (a heatmap); samples may be many.
+    The grid is the result itself. Features are copied to the parts that samples are dealt over, so neither side is
+    gathered in one place.
     """
     zero = F.lit(zero) if isinstance(zero, (int, float)) else zero
-    chosen = values.agg(F.sort_array(F.collect_set("feature_id"))).scalar()
-    grid = samples.select("sample_id").distinct().select("sample_id", F.explode(chosen).alias("feature_id"))
+    copies = F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("_part")
+    chosen = values.select("feature_id").distinct().select("feature_id", copies)
+    dealt = samples.select("sample_id").distinct().withColumn("_part", F.pmod(F.hash("sample_id"), F.lit(PARTS)))
+    grid = dealt.join(chosen, "_part").drop("_part")
     return grid.join(values, ["feature_id", "sample_id"], "left").withColumn(value, F.coalesce(value, zero))

@@ -20,7 +20,7 @@ def test_stacked_intervals_and_reads(spark):
         hits = [i for i, x, y in f if x < b and y > a]
         key = ("no_feature", None) if not hits else ("assigned", hits[0]) if len(hits) == 1 else ("ambiguous", None)
         want[key] = want.get(key, 0) + 1
-    got = {(x["status"], x["interval_id"]): x["n"] for x in iv.count_overlaps(reads, feats, bin_width=32, tile=100).collect()}
+    got = {(x["status"], x["interval_id"]): x["n"] for x in iv.count_overlaps(reads, feats, tile=100).collect()}
     assert got == want
 
 
