@@ -281,6 +281,18 @@ def trim_reads(spark, d):
     return rd.trim_reads(reads(spark, d), adapter="ACGTA", min_overlap=1, max_n=0.2).select("read_id", "sample_id", "seq")
 
 
+@query("p35_trim_tolerant", """
+    WITH p AS (SELECT read_id, sample_id, seq, unnest(range(0, length(seq) - 2)) AS i FROM c_reads),
+    o AS (SELECT *, least(length(seq) - i, 10) AS k FROM p),
+    m AS (SELECT read_id, sample_id, seq, i, k, len(list_filter(range(1, k + 1), lambda j: seq[i + j] <> 'ACGTACGTAC'[j])) AS wrong FROM o),
+    c AS (SELECT read_id, min(i) AS cut FROM m WHERE wrong <= floor(k * 0.2) GROUP BY 1),
+    u AS (SELECT r.read_id, sample_id, left(seq, CAST(coalesce(cut, length(seq)) AS INTEGER)) AS seq FROM c_reads r LEFT JOIN c USING (read_id))
+    SELECT * FROM u WHERE length(seq) >= 31 AND length(seq) - length(replace(seq, 'N', '')) <= 0.2 * length(seq)""")
+def trim_tolerant(spark, d):
+    """One substitution for five bases of overlap."""
+    return rd.trim_reads(reads(spark, d), adapter="ACGTACGTAC", max_n=0.2, errors=0.2).select("read_id", "sample_id", "seq")
+
+
 @query("p35_trim_pairs", """
     WITH t AS (SELECT *, CASE WHEN instr(seq, 'ACGTA') > 0 THEN instr(seq, 'ACGTA') - 1 WHEN seq LIKE '%ACGT' THEN length(seq) - 4 WHEN seq LIKE '%ACG' THEN length(seq) - 3 ELSE length(seq) END AS cut,
         CAST(split_part(read_id, '_', 1) AS BIGINT) // 2 || '_' || split_part(read_id, '_', 2) AS pair FROM c_reads),

@@ -9,18 +9,67 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: the common prefix of the sequencing adapters.
+# The common prefix of the sequencing adapters, and the transposase adapter.
 ADAPTER = "AGATCGGAAGAGC"
+TRANSPOSASE_ADAPTER = "CTGTCTCTTATACACATCT"
+
+
+def _cuts(seq: pa.Array, qual: pa.Array | None, adapter: str, min_overlap: int, errors: float, quality: int | None, block: int = 4096) -> np.ndarray:
+    """Bases to keep of every read: before the first place where the adapter fits, after quality trimming.
+
+    All reads of a block are one padded matrix, compared with the adapter one base at a time.
+    """
+    out = np.zeros(len(seq), np.int64)
+    want = np.frombuffer(adapter.encode(), np.uint8)
+    for at in range(0, len(seq), block):
+        texts = [(x or "").encode() for x in seq[at:at + block].to_pylist()]
+        size = np.array([len(x) for x in texts])
+        width = int(size.max(initial=0))
+        keep = size.copy()
+        if quality is not None and qual is not None and width:
+            scores = np.frombuffer(b"".join((x or "").encode()[:width].ljust(width, b"~") for x in qual[at:at + block].to_pylist()), np.uint8).reshape(-1, width).astype(np.int64) - 33
+            scores = np.where(np.arange(width) < size[:, None], quality - scores, 0)
+            tail = np.cumsum(scores[:, ::-1], axis=1)[:, ::-1]  # of each suffix; the worst suffix goes
+            # scores below zero stop the run, as everything before the first good stretch stays
+            blocked = np.maximum.accumulate((tail < 0)[:, ::-1], axis=1)[:, ::-1]
+            tail = np.where(blocked, -1, tail)
+            best = tail.max(axis=1, initial=0)
+            first = np.where(tail == best[:, None], np.arange(width), width).min(axis=1, initial=width)
+            keep = np.where(best > 0, np.minimum(keep, first), keep)
+        bases = np.frombuffer(b"".join(x.ljust(width + want.size, b"\0") for x in texts), np.uint8).reshape(len(texts), -1)
+        wrong = np.zeros((len(texts), width), np.int32)
+        for j, base in enumerate(want.tolist()):
+            wrong += (bases[:, j:j + width] != base) & (np.arange(j, j + width) < keep[:, None])
+        overlap = np.minimum(keep[:, None] - np.arange(width), want.size)
+        fits = (overlap >= min_overlap) & (wrong <= np.floor(overlap * errors + 1e-9))
+        place = np.where(fits, np.arange(width), width).min(axis=1, initial=width)
+        out[at:at + block] = np.minimum(keep, place)
+    return out
 
 
 def trim_reads(
     reads: DataFrame, adapter: str = ADAPTER, min_overlap: int = 3, min_length: int = 31,
-    max_n: float = 0.1, paired: bool = False,
+    max_n: float = 0.1, paired: bool = False, errors: float = 0.0, quality: int | None = None,
 ) -> DataFrame:
     """Cut the adapter (whole, or a prefix of it at the 3' end), then drop short and N-rich reads.
 
-    Matches are exact. With ``paired`` both mates must pass.
+    ``errors`` is the share of the overlap that may differ (substitutions; insertions are not sought), and the first place
+    that fits is cut. ``quality`` first cuts the 3' end whose scores stay furthest below that limit in sum. Exact
+    matches without quality trimming are one regular expression, the rest is compared in Arrow batches. With ``paired``
+    both mates must pass.
     """
+    if errors > 0 or quality is not None:
+        has_quality = "qual" in reads.columns
+
+        @F.arrow_udf("int")
+        def keep(seq: pa.Array, qual: pa.Array) -> pa.Array:
+            return pa.array(_cuts(seq, qual if has_quality else None, adapter, min_overlap, errors, quality), pa.int32())
+
+        t = reads.withColumn("_keep", keep("seq", F.col("qual") if has_quality else F.col("seq")))
+        t = t.withColumn("seq", F.substring("seq", F.lit(1), F.col("_keep")))
+        if has_quality:
+            t = t.withColumn("qual", F.substring("qual", F.lit(1), F.col("_keep")))
+        return _passing(t.drop("_keep"), reads.columns, min_length, max_n, paired)
     tails = "|".join(re.escape(adapter[:n]) for n in range(len(adapter) - 1, min_overlap - 1, -1))
     pattern = f"(?s)^(.*?)(?:{re.escape(adapter)}.*{'|' + tails if tails else ''})?$"
     # A one-element generator computes the cut once per row; filters are not pushed below it and so
@@ -29,13 +78,17 @@ def trim_reads(
     t = reads.select(*[c for c in reads.columns if c != "seq"], cut.alias("seq"))
     if "qual" in reads.columns:
         t = t.withColumn("qual", F.substring("qual", F.lit(1), F.length("seq")))
+    return _passing(t, reads.columns, min_length, max_n, paired)
+
+
+def _passing(t: DataFrame, columns: list[str], min_length: int, max_n: float, paired: bool) -> DataFrame:
     n_bases = F.length("seq") - F.length(F.translate("seq", "N", ""))
     ok = (F.length("seq") >= min_length) & (n_bases <= max_n * F.length("seq"))
     t = t.withColumn("_ok", ok)
     if paired:
         both = t.groupBy("read_id").agg(F.bool_and("_ok").alias("_both")).filter("_both").select("read_id")
-        return t.drop("_ok").join(both, "read_id", "left_semi").select(*reads.columns)
-    return t.filter("_ok").select(*reads.columns)
+        return t.drop("_ok").join(both, "read_id", "left_semi").select(*columns)
+    return t.filter("_ok").select(*columns)
 
 
 def base_quality(reads: DataFrame) -> DataFrame:

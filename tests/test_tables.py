@@ -58,6 +58,15 @@ def test_interleave_needs_equal_lengths():
         report.interleave({"a": 1}, {})
 
 
+def test_trim_reads_with_errors_and_quality(spark):
+    body = "G" * 40
+    rows = [("exact", body + "AGATCGGAAGAGCTT", "I" * 55), ("one", body + "AGATCGGTAGAGC", "I" * 53), ("two", body + "AGTTCGGTAGAGC", "I" * 53), ("tail", body + "AGA", "I" * 43), ("end", body, "I" * 36 + "####"), ("dip", body, "I" * 20 + "#" + "I" * 19), ("none", "", "")]
+    df = spark.createDataFrame(rows, "read_id string, seq string, qual string")
+    got = {r["read_id"]: len(r["seq"]) for r in rd.trim_reads(df, errors=0.1, quality=20, min_length=0).collect()}
+    assert got == {"exact": 40, "one": 40, "two": 53, "tail": 40, "end": 36, "dip": 40, "none": 0}
+    assert len(rd.TRANSPOSASE_ADAPTER) == 19
+
+
 def test_trim_reads(spark):
     rows = [("1", "ACGT" * 10 + "AGATCGGAAGAGCTTT", 1), ("2", "ACGT" * 10 + "AGATC", 1), ("3", "ACGT" * 5, 1), ("4", "N" * 10 + "ACGT" * 10, 1)]
     df = spark.createDataFrame([(i, s, "I" * len(s), m) for i, s, m in rows], "read_id string, seq string, qual string, mate int")
