@@ -264,7 +264,8 @@ def knn(
             right = right.sort_values("id")
             a = np.stack(left["v"].to_numpy()).astype(float)
             b = np.stack(right["v"].to_numpy()).astype(float)
-            d = np.round(np.stack([np.sqrt(((b - row) ** 2).sum(axis=1)) for row in a]), 9)
+            step = max(1, 4_000_000 // max(b.size, 1))  # differences of some queries at a time
+            d = np.round(np.concatenate([np.sqrt(((b - a[i:i + step, None]) ** 2).sum(axis=2)) for i in range(0, len(a), step)]), 9)
             kk = min(k, len(right))
             at = np.argsort(d, axis=1, kind="stable")[:, :kk]
             return pd.DataFrame({
