@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from exprspark.llm.common import LOWER, UPPER, let
 from exprspark.session import shared_dir
 
-MAX_RULES = 2_000_000
+MAX_RULES = 200_000
 ALLOW, BLOCK = "allow", "block"
 SEED = 42  # of Spark's xxhash64
 
