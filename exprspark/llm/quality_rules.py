@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from exprspark.llm.common import HAS_WORD, covered, let, same, words
+from exprspark.llm.common import HAS_WORD, covered, let, words
 from exprspark.session import stage
 
 SYMBOLS = r"[^#*$%&|<>]+"
@@ -112,8 +112,8 @@ def cutoffs(sketch: DataFrame, spread: int = SPREAD, least_rows: int = LEAST_ROW
 
     own, lang, every = quartiles(levels, ["lang", "source"], "own"), quartiles(by_lang, ["lang"], "lang"), quartiles(overall, [], "all")
     lang = lang.withColumnRenamed("lang", "of_lang")
-    both = own.join(lang, own["lang"].eqNullSafe(lang["of_lang"]), "left").crossJoin(F.broadcast(every))  # every: one row
-    pick = lambda k: F.when(F.col("own_rows") >= least_rows, F.col(f"own_{k}")).when(F.col("lang_rows") >= least_rows, F.col(f"lang_{k}")).otherwise(F.col(f"all_{k}"))
+    both = own.join(lang, own["lang"].eqNullSafe(lang["of_lang"]), "left").withColumn("_all", every.select(F.struct(*[f"all_{k}" for k in MARGINS])).scalar())
+    pick = lambda k: F.when(F.col("own_rows") >= least_rows, F.col(f"own_{k}")).when(F.col("lang_rows") >= least_rows, F.col(f"lang_{k}")).otherwise(F.col(f"_all.all_{k}"))
     return both.select("lang", "source", *[pick(k).alias(k) for k in MARGINS])
 
 
