@@ -8,7 +8,9 @@ is what the later-born of y and t inherited: (y, left of t) or (right of y, t) a
 runs the gadgets in order and drops merges whose own arc had been closed; arcs are looked up in the tables and kept.
 
 A word is encoded left to right: the state after each prefix is the only token that ends there and whose arc from the
-state before it is open. Decoding joins the bytes on the arcs.
+state before it is open. Which tokens end at a byte is read from a second table: a trie of the tokens with failure
+links moves by (node, byte), a node names the longest token that ends there, a token the next shorter one.
+Decoding joins the bytes on the arcs.
 
 Defined results: a null text is the empty text, without tokens; the special tokens' strings in a text are those tokens;
 rows are judged one by one, so ties and repeats do not matter; other columns are ignored by the query.
@@ -59,7 +61,8 @@ class Automaton:
                     made.add(w)
         own = set(special.values())
         self.token = {labels[t]: t for t in made if t not in own}
-        self.longest = max(map(len, self.token), default=1)
+        self.size = [len(b) for b in labels]
+        self._recognise()
         self.split = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.word = regex.compile(WORD)
 
@@ -80,6 +83,43 @@ class Automaton:
             else:
                 before, y = by, right[y]
 
+    def _recognise(self) -> None:
+        """Compiles the table of token ends."""
+        self.edge: dict[int, int] = {}  # node << 8 | byte: node of the trie
+        parent, spelled, at = [0], [-1], {}
+        for label, t in sorted(self.token.items(), key=lambda x: len(x[0])):
+            node = 0
+            for byte in label:
+                key = node << 8 | byte
+                nxt = self.edge.get(key)
+                if nxt is None:
+                    nxt = self.edge[key] = len(spelled)
+                    spelled.append(-1)
+                    parent.append(key)
+                node = nxt
+            spelled[node], at[t] = t, node
+        depth = [0] * len(spelled)
+        for node in range(1, len(spelled)):
+            depth[node] = depth[parent[node] >> 8] + 1
+        self.fail, self.ends, self.moves = [0] * len(spelled), [-1] * len(spelled), {}
+        for node in sorted(range(1, len(spelled)), key=depth.__getitem__):
+            above, byte = parent[node] >> 8, parent[node] & 255
+            self.fail[node] = self._move(self.fail[above], byte) if above else 0
+            self.ends[node] = spelled[node] if spelled[node] >= 0 else self.ends[self.fail[node]]
+        self.moves.clear()
+        self.shorter = {t: self.ends[self.fail[node]] for t, node in at.items()}
+
+    def _move(self, node: int, byte: int) -> int:
+        """The node after one more byte; met moves are kept."""
+        start = node
+        while True:
+            nxt = self.edge.get(node << 8 | byte)
+            if nxt is not None or not node:
+                break
+            node = self.fail[node]
+        out = self.moves[start << 8 | byte] = nxt or 0
+        return out
+
     def arc(self, y: int, t: int) -> bool:
         out = self.arcs.get((y, t))
         if out is None:
@@ -90,21 +130,31 @@ class Automaton:
 
     def encode_word(self, word: bytes) -> tuple[int, ...]:
         """Token ids of one pre-split word."""
-        token, longest, arc = self.token, self.longest, self.arc
-        whole = token.get(word)
+        whole = self.token.get(word)
         if whole is not None:
             return (whole,)
-        state = [-1] * (len(word) + 1)
-        for end in range(1, len(word) + 1):
-            for at in range(max(0, end - longest), end):
-                t = token.get(word[at:end])
-                if t is not None and (at == 0 or arc(state[at], t)):
-                    state[end] = t
+        moves, arcs, ends, shorter, size = self.moves, self.arcs, self.ends, self.shorter, self.size
+        if len(moves) >= CACHE:
+            moves.clear()
+        state, node, at = [], 0, 0
+        for byte in word:
+            key = node << 8 | byte
+            node = moves.get(key)
+            if node is None:
+                node = self._move(key >> 8, byte)
+            at += 1
+            t = ends[node]
+            while size[t] < at:
+                y = state[at - size[t] - 1]
+                is_open = arcs.get((y, t))
+                if is_open or is_open is None and self.arc(y, t):
                     break
+                t = shorter[t]
+            state.append(t)
         out, end = [], len(word)
         while end:
-            out.append(state[end])
-            end -= len(self.labels[state[end]])
+            out.append(state[end - 1])
+            end -= size[state[end - 1]]
         return tuple(reversed(out))
 
     def _plain(self, text: str) -> Iterator[tuple[int, ...]]:
