@@ -27,6 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from exprspark.session import stage
 
 MAX_ROWS = 10_000
 HASHED = 512
@@ -131,9 +132,12 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Model:
     return Model(centre, scale, w, b)
 
 
-def _sample(rows: DataFrame) -> np.ndarray:
-    """Features of at most MAX_ROWS rows, one per doc_id, by the smallest hash of it; made in tasks, only numbers come to the driver."""
-    ids = rows.select("doc_id").filter("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_ROWS)
+def _sample(rows: DataFrame, ids: DataFrame) -> np.ndarray:
+    """Features of at most MAX_ROWS rows, one per doc_id, by the smallest hash of it; made in tasks, only numbers come to the driver.
+
+    The ids are chosen without the texts, so that only texts of the sample are shuffled.
+    """
+    ids = stage(ids.select("doc_id").filter("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_ROWS))
     picked = rows.join(F.broadcast(ids), "doc_id", "left_semi").dropDuplicates(["doc_id"])  # ids: MAX_ROWS at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,116 +150,6 @@ def _sample(rows: DataFrame) -> np.ndarray:
     return np.frombuffer(b"".join(found), np.float32).reshape(-1, DENSE + HASHED).astype(float)
 
 
-def training_row(doc_id: Column) -> Column:
-    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 3 != 1
-
-
-def features(texts: pa.Array) -> np.ndarray:
-    """One row of numbers per text."""
-    out = np.zeros((len(texts), DENSE + HASHED))
-    if not len(texts):
-        return out
-    texts = pc.fill_null(texts, "")
-    lists = pc.ascii_split_whitespace(texts)
-    words = lists.flatten()
-    rows = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
-    full = pc.not_equal(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
-    words, rows = words.filter(pa.array(full)), rows[full]
-    n = np.bincount(rows, minlength=len(lists))
-    per = np.maximum(n, 1)
-    coded = pc.dictionary_encode(words)
-    names, code = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    size = pc.utf8_length(names).to_numpy(zero_copy_only=False).astype(float)
-    mean = lambda x: np.bincount(rows, x[code], len(lists)) / per if code.size else np.zeros(len(lists))
-    lower = pc.utf8_lower(names)
-    flag = lambda a: a.to_numpy(zero_copy_only=False).astype(float)
-    shout = flag(pc.and_(pc.utf8_is_upper(names), pc.greater(pc.utf8_length(names), 1)))
-    title, digit = flag(pc.utf8_is_title(names)), flag(pc.match_substring_regex(names, "[0-9]"))
-    link = flag(pc.match_substring_regex(lower, "https?://|www[.]|@"))
-    distinct = np.unique(rows * max(len(names), 1) + code) // max(len(names), 1) if code.size else rows
-    repeat = 1 - np.bincount(distinct, minlength=len(lists)) / per
-    again = np.zeros(len(lists))
-    if code.size > 1:  # a word followed by itself
-        np.add.at(again, rows[1:][(code[1:] == code[:-1]) & (rows[1:] == rows[:-1])], 1)
-    chars = np.maximum(pc.utf8_length(texts).to_numpy(zero_copy_only=False), 1)
-    lines = pc.split_pattern(texts, "\n")
-    n_lines = lines.value_lengths().to_numpy(zero_copy_only=False)
-    line_rows = np.repeat(np.arange(len(lists)), n_lines)
-    line_code = pc.dictionary_encode(lines.flatten()).indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    k = int(line_code.max(initial=0)) + 1
-    line_repeat = 1 - np.bincount(np.unique(line_rows * k + line_code) // k, minlength=len(lists)) / np.maximum(n_lines, 1)
-    dense = [np.log1p(n), mean(size), np.sqrt(np.maximum(mean(size ** 2) - mean(size) ** 2, 0)), mean(shout), mean(title), mean(digit), mean(link),
-             repeat * np.minimum(n, 200) / 200, again / per, line_repeat, np.log1p(per / np.maximum(n_lines, 1)), (n < 20).astype(float)]
-    dense += [pc.count_substring(texts, m).to_numpy(zero_copy_only=False) / per for m in MARKS]
-    out[:, :DENSE] = np.stack(dense, axis=1)
-    # hashed two-letter edges of the words
-    slot = np.zeros((2, len(names)), np.int64)
-    for i, part in enumerate((pc.utf8_slice_codeunits(lower, 0, 2), pc.utf8_slice_codeunits(lower, -2, None))):
-        d = pc.dictionary_encode(part)
-        table = np.array([zlib.crc32(bytes([i]) + x.encode()) % HASHED for x in d.dictionary.to_pylist()], np.int64)
-        if table.size:
-            slot[i] = table[d.indices.to_numpy(zero_copy_only=False)]
-    for i in range(2):
-        if code.size:
-            out[:, DENSE:] += np.bincount(rows * HASHED + slot[i][code], minlength=len(lists) * HASHED).reshape(len(lists), HASHED)
-    out[:, DENSE:] = np.sqrt(out[:, DENSE:] / per[:, None])
-    return out
-
-
-class Model:
-    """A linear model over standardised features."""
-
-    def __init__(self, centre: np.ndarray, scale: np.ndarray, weights: np.ndarray, bias: float):
-        self.centre, self.scale, self.weights, self.bias = centre, scale, weights, bias
-
-    def score(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(np.clip((x - self.centre) / self.scale, -8, 8) @ self.weights + self.bias, -30, 30)))
-
-
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Model:
-    """Adam steps on p R+(positive) + max(0, R-(unlabelled) - p R-(positive)) with the logistic loss."""
-    width = positive.shape[1]
-    if not len(positive) or not len(unlabelled):
-        return Model(np.zeros(width), np.ones(width), np.zeros(width), float(np.log(prior / (1 - prior))))
-    centre, scale = unlabelled.mean(axis=0), unlabelled.std(axis=0) + 1e-3
-    p, u = (np.clip((x - centre) / scale, -8, 8) for x in (positive, unlabelled))
-    w, b = np.zeros(width), float(np.log(prior / (1 - prior)))
-    m, v, t, rng = np.zeros(width + 1), np.zeros(width + 1), 0, np.random.default_rng(11)
-    sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-    loss = lambda z: np.logaddexp(0, z)  # of calling z negative
-    for epoch in range(EPOCHS):
-        steps = max(1, len(u) // BATCH)
-        for us, ps in zip(np.array_split(rng.permutation(len(u)), steps), np.array_split(rng.permutation(max(len(p), steps)) % len(p), steps)):
-            zu, zp = u[us] @ w + b, p[ps] @ w + b
-            negative = loss(zu).mean() - prior * loss(zp).mean()
-            gu, gp = sig(zu) / len(us), sig(zp) / len(ps)  # of the two losses of calling negative
-            if negative >= 0:
-                du, dp = gu, -prior * (1 - sig(zp)) / len(ps) - prior * gp
-            else:  # undo the over-fit part
-                du, dp = -gu, prior * gp
-            g = np.append(u[us].T @ du + p[ps].T @ dp + DECAY * w, du.sum() + dp.sum())
-            t += 1
-            m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-            step = RATE / (1 + epoch / 10) * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
-            w, b = w - step[:-1], b - step[-1]
-    return Model(centre, scale, w, b)
-
-
-def _sample(rows: DataFrame) -> np.ndarray:
-    """Features of at most MAX_ROWS rows, by the smallest hash; they are made in tasks, only numbers come to the driver."""
-    order = F.xxhash64("doc_id", "text")
-    picked = rows.select("text", order.alias("o")).orderBy("o").limit(MAX_ROWS)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, b.num_rows, 500):
-                x = features(b.column("text").slice(at, 500)).astype(np.float32)
-                yield pa.record_batch([b.column("o").slice(at, 500), pa.array([r.tobytes() for r in x], pa.binary())], ["o", "x"])
-
-    found = picked.mapInArrow(run, "o long, x binary").toArrow().sort_by("o").column("x").to_pylist()
-    return np.frombuffer(b"".join(found), np.float32).reshape(-1, DENSE + HASHED).astype(float)
-
-
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fits on training rows only."""
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").filter(training_row(F.col("doc_id")))
@@ -263,8 +157,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     n, ones = known.agg(F.count("*"), F.coalesce(F.sum("quality"), F.lit(0))).first()
     prior = min(max(ones / n, 0.05), 0.95) if n else 0.5
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(training_row(F.col("doc_id")))
-    positive = rows.join(known.filter("quality = 1").select("doc_id"), "doc_id", "left_semi")
-    return fit(_sample(positive), _sample(rows), prior)
+    ids = rows.select("doc_id")
+    positive = ids.join(known.filter("quality = 1").select("doc_id"), "doc_id", "left_semi")
+    return fit(_sample(rows, positive), _sample(rows, ids), prior)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
