@@ -210,7 +210,7 @@ def mark_duplicates(spark, d):
     return m.groupBy("sample_id", "chrom").agg(F.count(F.lit(1)).alias("n"), F.count_if("is_duplicate").alias("duplicates"))
 
 
-cte("c_pairs", """
+cte("c_mates", """
     SELECT l_orderkey % 97 || '_' || l_orderkey || '_' || (l_linenumber - 1) // 2 AS read_id, 'chr' || l_suppkey % 3 AS chrom,
            l_orderkey % 4 * 10 AS "start", l_orderkey % 4 * 10 + 20 + l_partkey % 3 AS "end", CASE WHEN l_linenumber % 2 = 0 THEN '-' ELSE '+' END AS strand,
            CASE WHEN l_quantity > 45 THEN 256 ELSE 0 END + l_linenumber % 2 AS flag, l_returnflag AS sample_id FROM lineitem""")
@@ -227,7 +227,7 @@ def pairs(spark, d):
 
 
 @query("a45_mark_duplicate_pairs", """
-    WITH a AS (SELECT *, chrom || ':' || CASE WHEN strand = '-' THEN "end" ELSE "start" END || ':' || strand AS e FROM c_pairs),
+    WITH a AS (SELECT *, chrom || ':' || CASE WHEN strand = '-' THEN "end" ELSE "start" END || ':' || strand AS e FROM c_mates),
     p AS (SELECT sample_id, read_id, min(e) AS e1, max(e) AS e2 FROM a WHERE flag & 256 = 0 GROUP BY 1, 2 HAVING count(*) = 2),
     k AS (SELECT *, read_id <> min(read_id) OVER (PARTITION BY sample_id, e1, e2) AS dup FROM p)
     SELECT a.sample_id, a.read_id, a.chrom, a."start", a."end", a.strand, CAST(a.flag AS INTEGER) AS flag, coalesce(dup AND flag & 256 = 0, false) AS is_duplicate FROM a LEFT JOIN k USING (sample_id, read_id)""")
