@@ -134,6 +134,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that share no window with the benchmark, with all their columns."""
-    n_hit, _ = matches(docs, benchmark)
+    # written first: with its size known, Spark broadcasts a short list instead of shuffling all texts
+    found = stage(matches(docs, benchmark)[0].select("doc_id", "text_hash"))
     rows = docs.select(F.struct("*").alias("_row"), "doc_id", F.xxhash64("text").alias("text_hash"))
-    return rows.join(n_hit, same(rows, n_hit, "doc_id", "text_hash"), "left_anti").select("_row.*")
+    return rows.join(found, same(rows, found, "doc_id", "text_hash"), "left_anti").select("_row.*")

@@ -141,7 +141,11 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
 
 def keep_documents(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with all their columns. Metrics are computed once and written beside the rows."""
-    measured = stage(docs.select(F.struct("*").alias("_row"), "lang", "source", metrics(F.col("text")).alias("_m")))
-    judged = judge(measured, stage(cutoffs(sketches(measured))))
+    """The documents that pass, with all their columns.
+
+    Metrics are computed for the sketches and again for the verdict: that costs less than a second copy of all texts on disk.
+    The generator keeps Spark from moving the verdict's conditions below it, which would compute them once more for each.
+    """
+    measured = docs.select(F.struct("*").alias("_row"), "lang", "source", F.explode_outer(F.array(metrics(F.col("text")))).alias("_m"))
+    judged = judge(measured, stage(cutoffs(sketches(measured.drop("_row")))))
     return judged.filter("_kept").select("_row.*")
