@@ -6,8 +6,9 @@ capital, last letters). States emit classes, a class emits its tokens by their c
 
     log10 P(text) = log10 P(classes), by the scaled forward recursion, + sum of log10 P(token | class).
 
-Baum-Welch counts are summed per task, then across partitions, and the bounded sums come to the driver for the next
-round: ``WARM`` rounds on one ``SLICES``-th of the training texts each, then ``ROUNDS`` rounds on all of them.
+Baum-Welch counts of all training texts are summed per task, then across partitions, and the bounded sums come to the
+driver for the next round. Rounds go on until the log-likelihood of the training texts, together with that of the one
+token of weight spread over each distribution, gains less than ``GAIN`` of itself; no round can lower that sum.
 
 Counts of tokens with at least one ``HEAD``-th of all tokens are broadcast (at most ``HEAD``). The others, none of
 them frequent, meet their counts in a join; nothing there grows into a hot key.
@@ -31,7 +32,9 @@ from pyspark.sql import functions as F
 from exprspark.llm.common import same
 from exprspark.session import stage
 
-STATES, WARM, SLICES, ROUNDS = 6, 8, 32, 2
+STATES = 6
+#: training ends with the first round that gains less than this share of the log-likelihood
+GAIN = 1e-5
 CLASSES, SHAPES, HEAD = 8192, 2048, 1 << 20
 ADD = 0.1
 #: tokens in one block of the recursions, which bounds their memory
@@ -202,6 +205,10 @@ class Model:
         start, move, emit = start + 1 / STATES, move + 1 / STATES, emit + share[:, None]
         return cls(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
+    def prior(self, share: np.ndarray) -> float:
+        """Log-likelihood of the weight that ``counted`` spreads."""
+        return float((np.log(self.start).sum() + np.log(self.move).sum()) / STATES + (share[:, None] * np.log(self.emit)).sum())
+
     def blocks(self, sequences: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Sequences in blocks of similar length: their numbers, classes by time, and how many go on at each time."""
         order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
@@ -241,12 +248,14 @@ class Model:
             out[mine] = np.bincount(who, np.log10(scale), mine.size)
         return out
 
-    def expect(self, sequences: list[np.ndarray], sums: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
-        """Adds expected starts, moves and emissions."""
+    def expect(self, sequences: list[np.ndarray], sums: tuple[np.ndarray, np.ndarray, np.ndarray]) -> float:
+        """Adds expected starts, moves and emissions; the log-likelihood of the sequences."""
         start, move, emitted = sums
+        likelihood = 0.0
         for _, cls, live in self.blocks(sequences):
             alpha, scale, emit = self.forward(cls, live)
-            ends, beta, after = np.cumsum(live), np.ones((0, STATES)), None
+            likelihood += float(np.log(scale).sum())
+            ends, after = np.cumsum(live), None
             for t in range(live.size - 1, -1, -1):
                 n, e = int(live[t]), int(ends[t])
                 s = e - n
@@ -260,6 +269,7 @@ class Model:
             start += alpha[:int(live[0])].sum(axis=0)
             for j in range(STATES):
                 emitted[:, j] += np.bincount(cls, alpha[:, j], emitted.shape[0])
+        return likelihood
 
 
 def _sequences(column: pa.Array) -> list[np.ndarray]:
@@ -267,16 +277,17 @@ def _sequences(column: pa.Array) -> list[np.ndarray]:
 
 
 def _expect(model):
-    """Counts of one task: a row per class, and rows below zero for start and moves."""
+    """Counts of one task: a row per class, and rows below zero for the log-likelihood, moves and start."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         sums = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros_like(m.emit)
+        likelihood = np.zeros((1, STATES))
         for b in batches:
-            m.expect(_sequences(b.column("classes")), sums)
+            likelihood[0, 0] += m.expect(_sequences(b.column("classes")), sums)
         used = np.flatnonzero(sums[2].any(axis=1))
-        rows = np.concatenate((np.arange(-1 - STATES, 0), used))
-        values = np.concatenate((sums[1], sums[0][None], sums[2][used]))
+        rows = np.concatenate((np.arange(-2 - STATES, 0), used))
+        values = np.concatenate((likelihood, sums[1], sums[0][None], sums[2][used]))
         yield pa.record_batch([pa.array(rows), *[pa.array(values[:, j].copy()) for j in range(STATES)]], ["at", *[f"v{j}" for j in range(STATES)]])
 
     return run
@@ -295,17 +306,19 @@ def _train(rows: DataFrame, vocabulary: Vocabulary) -> Model:
     spark, model = rows.sparkSession, Model.first(vocabulary.share)
     schema = "at long, " + ", ".join(f"v{j} double" for j in range(STATES))
     known = rows.filter("NOT held_out")
-    for i in range(WARM + ROUNDS):
-        part = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(SLICES)) == i) if i < WARM else known
+    before = -np.inf
+    while True:
         shared = spark.sparkContext.broadcast(model)
-        found = part.select("classes").mapInArrow(_expect(shared), schema).groupBy("at").agg(*[F.sum(f"v{j}").alias(f"v{j}") for j in range(STATES)]).toArrow()
+        found = known.select("classes").mapInArrow(_expect(shared), schema).groupBy("at").agg(*[F.sum(f"v{j}").alias(f"v{j}") for j in range(STATES)]).toArrow()
+        shared.unpersist()
         at = found.column("at").to_numpy()
         values = np.stack([found.column(f"v{j}").to_numpy() for j in range(STATES)], axis=1) if len(at) else np.zeros((0, STATES))
-        table = np.zeros((vocabulary.classes + STATES + 1, STATES))
-        table[at + STATES + 1] = values
-        if table.any():
-            model = Model.counted(table[STATES], table[:STATES], table[STATES + 1:], vocabulary.share)
-        shared.unpersist()
+        table = np.zeros((vocabulary.classes + STATES + 2, STATES))
+        table[at + STATES + 2] = values
+        reached = table[0, 0] + model.prior(vocabulary.share)
+        if not table.any() or reached - before < GAIN * abs(reached):
+            break
+        before, model = reached, Model.counted(table[STATES + 1], table[1:STATES + 1], table[STATES + 2:], vocabulary.share)
     return model
 
 

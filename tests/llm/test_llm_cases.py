@@ -266,6 +266,28 @@ def test_hmm_recursions():
         assert np.allclose(a, b)
 
 
+def test_hmm_trains_on_all_texts_until_settled(spark, monkeypatch):
+    """The trained model is that of plain Baum-Welch over every training text, and its last round gained next to nothing."""
+    docs = spark.createDataFrame([(i % 30, prose(40 + i, i)) for i in range(90)], "doc_id long, text string")  # doc_ids repeat
+    seen = []
+    monkeypatch.setattr(hmm, "_train", lambda rows, vocabulary, real=hmm._train: seen.append((rows, vocabulary, real(rows, vocabulary))) or seen[0][2])
+    hmm.score_documents(docs).count()
+    rows, vocabulary, model = seen[0]
+    texts = hmm._sequences(rows.filter("NOT held_out").select("classes").toArrow().column("classes").combine_chunks())
+    plain, gains, before = hmm.Model.first(vocabulary.share), [], -np.inf
+    while True:
+        sums = np.zeros(hmm.STATES), np.zeros((hmm.STATES, hmm.STATES)), np.zeros_like(plain.emit)
+        reached = plain.expect(texts, sums) + plain.prior(vocabulary.share)
+        assert reached > before
+        gains.append((reached - before) / abs(reached))
+        if gains[-1] < hmm.GAIN:
+            break
+        before, plain = reached, hmm.Model.counted(*sums, vocabulary.share)
+    assert len(gains) > 3 and sum(len(t) for t in texts) == vocabulary.total
+    for a, b in zip((model.start, model.move, model.emit), (plain.start, plain.move, plain.emit)):
+        assert np.allclose(a, b, rtol=1e-6, atol=1e-9)
+
+
 def test_hmm_rare_join(spark, monkeypatch):
     """The same scores whether counts come by broadcast or by join."""
     docs = spark.createDataFrame([(i, prose(50, i) + f" rare{i % 7} once{i}") for i in range(60)] * 2, "doc_id long, text string")
