@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,8 @@ from exprspark.operators.ranking import exact_quantiles, ordered_index
 from exprspark.session import spread, stage
 
 DRIVER_SAMPLES = 2048  # the largest sample-by-sample matrix that may reach the driver
+EXTRA = 10  # directions iterated besides the wanted components
+RESIDUAL = 1e-7  # largest residual of a settled component, as a share of the first eigenvalue
 
 
 def sample_gram(values: DataFrame, value: str, tile: int = 512, block: int = 4096) -> DataFrame:
@@ -80,8 +83,9 @@ def pca_samples(
     """Principal components of samples: ``(sample_id, pc, score)`` and ``(pc, sdev, proportion, cumulative)``.
 
     ``scale="sample"`` standardizes each sample over the features, ``scale="feature"`` each feature
-    over the samples; then features are centred. Only the sample-by-sample matrix reaches the
-    driver, and only up to ``DRIVER_SAMPLES`` samples; for more use :func:`pca_vectors`.
+    over the samples; then features are centred. Up to ``DRIVER_SAMPLES`` samples the sample-by-sample
+    matrix is solved in the driver; beyond, the first ``k`` components come from
+    :func:`_leading_components`, with the same results up to ``RESIDUAL``.
     """
     spark = values.sparkSession
     zero = F.lit(zero) if isinstance(zero, (int, float)) else zero
@@ -92,12 +96,13 @@ def pca_samples(
             spark.createDataFrame([], "sample_id string, pc int, score double"),
             spark.createDataFrame([], "pc int, sdev double, proportion double, cumulative double"),
         )
-    if n > DRIVER_SAMPLES:
-        raise ValueError(f"{n} samples: use pca_vectors, which works over cells as rows")
+    samples = x.select("sample_id").distinct()
     if scale == "feature":
         m = x.groupBy("feature_id").agg(F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("ss"))
         sd = m.select("feature_id", F.sqrt((F.col("ss") - F.col("s") * F.col("s") / n) / (n - 1)).alias("sd")).filter("sd > 1e-12")
         x = x.join(sd, "feature_id").select("feature_id", "sample_id", (F.col("x") / F.col("sd")).alias("x"))
+    if n > DRIVER_SAMPLES:
+        return _leading_components(x, samples, k, n, n_features if scale == "sample" else None)
     gram, ids = sample_gram(x, "x")
     g = np.zeros((n, n))
     entries = gram.toPandas()
@@ -125,6 +130,107 @@ def pca_samples(
     )
 
 
+def _leading_components(x: DataFrame, samples: DataFrame, k: int, n: int, n_features: int | None) -> tuple[DataFrame, DataFrame]:
+    """The first ``k`` components of ``n`` samples, by subspace iteration over the long matrix.
+
+    Directions are a table of arrays by sample. A product with the sample-by-sample matrix is two joins and sums, to
+    features and back; the directions grow by the residuals of the best ones and are cut back to these when they are
+    many. Only matrices of directions by directions reach the driver. With ``n_features`` samples are standardized first.
+    """
+    spark = x.sparkSession
+    width = min(n, k + EXTRA)
+    if n_features is None:
+        ids = samples.select("sample_id", F.lit(0.0).alias("a"), F.lit(0.0).alias("m"))
+    else:
+        sums = x.groupBy("sample_id").agg(F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("ss"))
+        sd = stage(sums.select("sample_id", "s", F.sqrt((F.col("ss") - F.col("s") * F.col("s") / n_features) / (n_features - 1)).alias("sd")))
+        constant = sd.filter("NOT coalesce(sd, 0) > 0 OR isnan(sd)").count()
+        if constant:
+            raise ValueError(f"{constant} samples have the same value in all features and cannot be standardized")
+        x = x.join(sd, "sample_id").select("feature_id", "sample_id", (F.col("x") / F.col("sd")).alias("x"))
+        ids = sd.select("sample_id", (F.col("s") / F.col("sd")).alias("a"), (F.col("s") / F.col("sd") / n_features).alias("m"))
+    x, ids = stage(x), stage(ids)
+
+    def times(q: DataFrame, size: int) -> DataFrame:
+        """(sample_id, q, u): centred products ``u`` with the matrix of all samples."""
+        q = stage(q)
+        c = q.join(ids, "sample_id").agg(*[F.sum(F.col("m") * F.col("q")[j]) for j in range(size)]).first()
+        to_features = x.join(q, "sample_id").groupBy("feature_id").agg(F.array(*[F.sum(F.col("x") * F.col("q")[j]) for j in range(size)]).alias("t"))
+        back = x.join(to_features, "feature_id").groupBy("sample_id").agg(F.array(*[F.sum(F.col("x") * F.col("t")[j]) for j in range(size)]).alias("u"))
+        out = q.join(ids, "sample_id").join(back, "sample_id", "left")
+        out = stage(out.select("sample_id", "q", F.array(*[F.coalesce(F.col("u")[j], F.lit(0.0)) - F.col("a") * F.lit(float(c[j])) for j in range(size)]).alias("u")))
+        mean = out.agg(*[F.avg(F.col("u")[j]) for j in range(size)]).first()
+        return out.withColumn("u", F.array(*[F.col("u")[j] - F.lit(float(mean[j])) for j in range(size)]))
+
+    def products(basis: DataFrame, size: int) -> np.ndarray:
+        """Dot products of all columns of ``q`` and ``u``, summed per task first."""
+
+        def run(batches):
+            total = np.zeros((2 * size, 2 * size))
+            for b in batches:
+                z = np.concatenate([np.reshape(b.column(c).flatten().to_numpy(zero_copy_only=False), (-1, size)) for c in ("q", "u")], axis=1)
+                total += z.T @ z
+            yield pa.record_batch([pa.array(np.arange(total.size)), pa.array(total.ravel())], ["at", "v"])
+
+        found = basis.select("q", "u").mapInArrow(run, "at long, v double").groupBy("at").agg(F.sum("v").alias("v")).toArrow()
+        out = np.zeros(4 * size * size)
+        out[found.column("at").to_numpy()] = found.column("v").to_numpy()
+        return out.reshape(2 * size, 2 * size)
+
+    def turned(basis: DataFrame, size: int, keep: np.ndarray, best: np.ndarray, values: np.ndarray) -> DataFrame:
+        """The directions ``keep``, and the residuals ``r`` of the directions ``best``."""
+
+        def run(batches):
+            for b in batches:
+                q, u = (np.reshape(b.column(c).flatten().to_numpy(zero_copy_only=False), (-1, size)) for c in ("q", "u"))
+                parts = q @ keep, u @ keep, u @ best - (q @ best) * values
+                yield pa.record_batch([b.column("sample_id"), *[
+                    pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1, dtype=np.int32) * p.shape[1]), pa.array(p.ravel())) for p in parts]], ["sample_id", "q", "u", "r"])
+
+        kind = basis.schema["sample_id"].dataType.simpleString()
+        return stage(basis.mapInArrow(run, f"sample_id {kind}, q array<double>, u array<double>, r array<double>"))
+
+    start = stage(ids.select("sample_id", F.array(*[F.xxhash64("sample_id", F.lit(j)) / F.lit(2.0**63) for j in range(width)]).alias("q")))
+    mean = start.agg(*[F.avg(F.col("q")[j]) for j in range(width)]).first()
+    basis, size = stage(times(start.select("sample_id", F.array(*[F.col("q")[j] - F.lit(float(mean[j])) for j in range(width)]).alias("q")), width)), width
+    while True:
+        dots = products(basis, size)
+        same, cross, square = dots[:size, :size], dots[:size, size:], dots[size:, size:]
+        norm = np.sqrt(np.maximum(np.diag(same), 1e-300))
+        w, v = np.linalg.eigh(same / np.outer(norm, norm))
+        white = (v / np.sqrt(np.maximum(w, 1e-300)))[:, w > 1e-10 * w.max()] / norm[:, None]
+        small = white.T @ cross @ white
+        values, v = np.linalg.eigh((small + small.T) / 2)
+        values, found = values[::-1], (white @ v)[:, ::-1]
+        best, top = found[:, :width], values[:width]
+        rest = np.einsum("ij,ij->j", best, square @ best) - 2 * top * np.einsum("ij,ij->j", best, cross @ best) + top**2
+        rest = np.sqrt(np.maximum(rest, 0)) / max(values[0], 1e-300)
+        if (rest[:k] <= RESIDUAL).all() or found.shape[1] >= n - 1:
+            break
+        open_ = rest > RESIDUAL
+        keep = found if found.shape[1] + open_.sum() <= 4 * width else found[:, :2 * width]
+        scale = 1 / (rest[open_] * values[0])
+        both = turned(basis, size, keep, best[:, open_] * scale, top[open_])
+        more = int(open_.sum())
+        new = times(both.select("sample_id", F.col("r").alias("q")), more).select("sample_id", F.col("q").alias("q2"), F.col("u").alias("u2"))
+        basis = stage(both.join(new, "sample_id").select("sample_id", F.concat("q", "q2").alias("q"), F.concat("u", "u2").alias("u")))
+        size = keep.shape[1] + more
+
+    count = min(k, found.shape[1])
+    values, found = np.maximum(values[:count], 0), found[:, :count]
+    last = turned(basis, size, found * np.sqrt(values), found, values).select("sample_id", "q")
+    side = last.agg(*[F.max_by(F.col("q")[j], F.abs(F.col("q")[j])) for j in range(count)]).first()
+    scores = last.select("sample_id", F.explode(F.array(*[
+        F.struct(F.lit(j + 1).alias("pc"), (F.col("q")[j] * F.lit(-1.0 if side[j] < 0 else 1.0)).alias("score")) for j in range(count)])).alias("_x")).select("sample_id", "_x.*")
+    a, am, c = ids.agg(F.sum("a"), F.sum(F.col("a") * F.col("m")), F.sum("m")).first()
+    squares = x.agg(F.coalesce(F.sum(F.col("x") * F.col("x")), F.lit(0.0))).first()[0]
+    by_feature = x.groupBy("feature_id").agg(F.sum("x").alias("t")).agg(F.coalesce(F.sum(F.col("t") * F.col("t")), F.lit(0.0))).first()[0]
+    total = squares - am - (by_feature - c * a) / n
+    share = values / total
+    importance = [(j + 1, float(np.sqrt(values[j] / (n - 1))), float(share[j]), float(share[:j + 1].sum())) for j in range(count)]
+    return scores, spark.createDataFrame(importance, "pc int, sdev double, proportion double, cumulative double")
+
+
 def pca_vectors(vectors: DataFrame, k: int, id_col: str = "cell_id", vec: str = "vec") -> tuple[DataFrame, DataFrame]:
     """PCA over many rows: ``(id, scores array)`` and ``(pc, proportion)``; the covariance is summed on the executors."""
     v = vectors.select(id_col, array_to_vector(vec).alias("_v"))
