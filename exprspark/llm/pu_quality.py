@@ -6,10 +6,9 @@ negatives' risk without bias; where a batch makes it negative the step goes back
 
 The prior is estimated from the labels: the share of 1 among the labelled training rows, within [0.05, 0.95].
 Features are counts over the whole text: its make-up (word length, symbols, marks, capitals, digits, repeats of words and of
-lines, size) and hashed short letter groups of a word's edges, as rates. Only the fit uses a sample: at most
-``MAX_ROWS`` positives and as many unlabelled rows, those with the smallest hash of the doc_id, one
-row per doc_id. Scores use the
-text alone.
+lines, size) and hashed short letter groups of a word's edges, as rates. Their centre and scale are taken over every
+training row. Only the gradient steps use a sample: at most ``MAX_ROWS`` positives and as many unlabelled rows, those with
+the smallest hash of the doc_id, one row per doc_id. Scores use the text alone.
 
 Defined results: a null or empty text is scored like any other, from zero rates; a null doc_id has the checksum of the
 empty string; labels that disagree for a doc_id count as 1 if their mean is over 0.5, null labels are dropped; without
@@ -103,12 +102,16 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(np.clip((x - self.centre) / self.scale, -8, 8) @ self.weights + self.bias, -30, 30)))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Model:
-    """Adam steps on p R+(positive) + max(0, R-(unlabelled) - p R-(positive)) with the logistic loss."""
+def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, spread: tuple[np.ndarray, np.ndarray] | None = None) -> Model:
+    """Adam steps on p R+(positive) + max(0, R-(unlabelled) - p R-(positive)) with the logistic loss.
+
+    ``spread`` is the mean and deviation of each feature; without it, those of ``unlabelled``.
+    """
     width = positive.shape[1]
     if not len(positive) or not len(unlabelled):
         return Model(np.zeros(width), np.ones(width), np.zeros(width), float(np.log(prior / (1 - prior))))
-    centre, scale = unlabelled.mean(axis=0), unlabelled.std(axis=0) + 1e-3
+    centre, scale = spread or (unlabelled.mean(axis=0), unlabelled.std(axis=0))
+    scale = scale + 1e-3
     p, u = (np.clip((x - centre) / scale, -8, 8) for x in (positive, unlabelled))
     w, b = np.zeros(width), float(np.log(prior / (1 - prior)))
     m, v, t, rng = np.zeros(width + 1), np.zeros(width + 1), 0, np.random.default_rng(11)
@@ -150,6 +153,25 @@ def _sample(rows: DataFrame, ids: DataFrame) -> np.ndarray:
     return np.frombuffer(b"".join(found), np.float32).reshape(-1, DENSE + HASHED).astype(float)
 
 
+def _spread(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and deviation of each feature over all rows: counts, sums and square sums per task, then over all tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total, square = 0, np.zeros(DENSE + HASHED), np.zeros(DENSE + HASHED)
+        for b in batches:
+            for at in range(0, b.num_rows, 1000):
+                x = features(b.column("text").slice(at, 1000))
+                n, total, square = n + len(x), total + x.sum(axis=0), square + (x * x).sum(axis=0)
+        yield pa.record_batch([pa.array(np.arange(total.size)), pa.array(np.full(total.size, n)), pa.array(total), pa.array(square)], ["at", "n", "s", "q"])
+
+    found = rows.select("text").mapInArrow(run, "at long, n long, s double, q double").groupBy("at").agg(*[F.sum(c).alias(c) for c in "nsq"]).toArrow().sort_by("at")
+    if not len(found):
+        return np.zeros(DENSE + HASHED), np.zeros(DENSE + HASHED)
+    n, s, q = (found.column(c).to_numpy() for c in "nsq")
+    mean = s / np.maximum(n, 1)
+    return mean, np.sqrt(np.maximum(q / np.maximum(n, 1) - mean * mean, 0))
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fits on training rows only."""
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").filter(training_row(F.col("doc_id")))
@@ -159,7 +181,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(training_row(F.col("doc_id")))
     ids = rows.select("doc_id")
     positive = ids.join(known.filter("quality = 1").select("doc_id"), "doc_id", "left_semi")
-    return fit(_sample(rows, positive), _sample(rows, ids), prior)
+    return fit(_sample(rows, positive), _sample(rows, ids), prior, _spread(rows))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -307,6 +309,18 @@ def test_pu_quality(spark, docs, none):
     assert {r["score"] for r in pu_quality.score_documents(docs, labels.limit(0)).collect()} == {0.5}
 
 
+def test_pu_statistics_cover_all_training_rows(spark, monkeypatch):
+    """Centre and scale are those of every training row, also where the fit takes few of them."""
+    texts = [(i, prose(20 + i, i) + " #" * (i % 7)) for i in range(120)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(d, d % 2, 0) for d, _ in texts], "doc_id long, quality int, toxic int")
+    monkeypatch.setattr(pu_quality, "MAX_ROWS", 10)
+    m = pu_quality.train(docs, labels)
+    x = pu_quality.features(pa.array([t for d, t in texts if zlib.crc32(str(d).encode()) % 3 != 1]))
+    assert len(x) > 20 and m.weights.any()
+    assert np.allclose(m.centre, x.mean(axis=0)) and np.allclose(m.scale, x.std(axis=0) + 1e-3, atol=1e-7)
+
+
 def test_pu_fit_needs_no_negatives():
     r = np.random.default_rng(1)
     good, bad = r.normal(1, 1, (3000, 5)), r.normal(-1, 1, (1000, 5))
