@@ -71,16 +71,14 @@ def _regions(name: str, attributes: str) -> int:
     return out
 
 
+#: to the > that ends a tag: a quote after = opens a value that ends with the same quote, other quotes are stray
+_TAG = re.compile(r"""(?>[^>=]+|=\s*(?:"[^"]*"|'[^']*')|=)*+>""")
+
+
 def _tag_end(page: str, at: int) -> int:
     """The place of the > that ends the tag at ``at``, quotes minded; -1 if the page ends before."""
-    end = page.find(">", at)
-    for quote in "\"'":
-        while end >= 0 and page.count(quote, at, end) % 2 and page.find("=" + quote, at, end) >= 0:
-            close = page.find(quote, end)
-            if close < 0 or close - at > 10_000:  # a stray quote
-                break
-            end = page.find(">", close)
-    return end
+    found = _TAG.match(page, at)
+    return found.end() - 1 if found else -1
 
 
 def blocks(page: str | None) -> list[Block]:

@@ -53,7 +53,7 @@ def block_features(page: list[Block]) -> list[list[int]]:
             x.append(AT["sentence"])
         if ". " in b.text:
             x.append(AT["inner stop"])
-        if "©" in b.text[:200]:
+        if "©" in b.text:
             x.append(AT["copyright"])
         if not b.nearest and size >= 2:
             x.append(AT["long and none"])

@@ -223,6 +223,15 @@ def test_bpe_automaton_on_small_merges():
             assert list(a.encode_word(word)) == ids
 
 
+def test_html_long_attributes_and_late_marks():
+    """A quoted value ends at its quote, however long; a stray quote opens none; the mark is found anywhere in a block."""
+    long = "<p>not text</p></div> " * 1000
+    page = f"<div class=x data-a=\"{long}\" data-b = '{long}' title=it's><p>one</p></div><p title=5\">two</p>"
+    assert [b.text for b in html_blocks.blocks(page)] == ["one", "two"]
+    late = html_blocks.blocks("<p>" + "word " * 100 + "© all</p>")
+    assert html_extract.AT["copyright"] in html_extract.block_features(late)[0]
+
+
 def test_hmm(docs, none):
     rows = hmm.score_documents(docs).collect()
     assert len(rows) == len(ROWS)
