@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from exprspark.llm import bpe, decontaminate, hmm, html_extract, line_dedup, pu_quality, quality_rules, simhash, substring_dedup, url_filter
+from exprspark.llm import (
+    bpe, decontaminate, hmm, html_extract, lexical_search, line_dedup, pu_quality, quality_rules, simhash, substring_dedup, url_filter)
 from exprspark.llm.common import table
 
 
@@ -67,6 +68,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), bpe_path()).drop("token_ids")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 OP1_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
@@ -128,6 +134,20 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_w
 FROM v JOIN p USING (lang, source)
 """
 
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+i AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+n AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+c AS (SELECT count(*) AS big_n, sum(n)::BIGINT AS l FROM n),
+m AS (SELECT doc_id, 75 + (25 * n * big_n) // l AS m FROM n, c),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM d SEMI JOIN i USING (term) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, c GROUP BY term, big_n),
+s AS (SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+      FROM tf JOIN i USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 20
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op2_url_filter": op2_url_filter,
@@ -139,5 +159,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
+    "op11_lexical_search": op11_lexical_search,
 }
-ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op2_url_filter": OP2_SQL, "op7_line_dedup": OP7_SQL, "op8_quality_rules": OP8_SQL}
+ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op2_url_filter": OP2_SQL, "op7_line_dedup": OP7_SQL, "op8_quality_rules": OP8_SQL, "op11_lexical_search": OP11_SQL}
