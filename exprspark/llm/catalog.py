@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from exprspark.llm import (
-    bpe, decontaminate, hmm, html_extract, lexical_search, line_dedup, pu_quality, quality_rules, simhash, substring_dedup, url_filter)
+    bpe, decontaminate, hmm, html_extract, lexical_search, line_dedup, pu_quality, quality_rules, simhash, substring_dedup,
+    token_alignment, url_filter)
 from exprspark.llm.common import table
 
 
@@ -73,6 +74,14 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the byte-level and the piece tokens of every document, with corpus-wide counts of their pairs."""
+    import public_tokenizers
+
+    out = token_alignment.align(table(spark, sf_dir, "documents"), bpe_path(), public_tokenizers.path("piece_bpe_32k.model"))
+    return out.drop("pairs", "links")
+
+
 OP1_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
@@ -160,5 +169,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
     "op11_lexical_search": op11_lexical_search,
+    "op13_token_alignment": op13_token_alignment,
 }
 ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op2_url_filter": OP2_SQL, "op7_line_dedup": OP7_SQL, "op8_quality_rules": OP8_SQL, "op11_lexical_search": OP11_SQL}

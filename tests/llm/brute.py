@@ -109,3 +109,48 @@ def contaminated(docs: list[tuple[int, str | None]], items: list[tuple[int, str
                     found |= who
         out[d] = (len(hit), found)
     return out
+
+
+def alignment(texts, byte_path, piece_path):
+    """What token alignment returns for each text, token by token: by the tokenizers library, with lists and sets."""
+    import hashlib
+    import json
+    from collections import Counter, defaultdict
+
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    first = Tokenizer.from_file(byte_path)
+    first.encode_special_tokens = True
+    second = sentencepiece.SentencePieceProcessor(model_file=piece_path)
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
+    vocab = {i: bytes(byte[c] for c in t) for t, i in json.load(open(byte_path, encoding="utf-8"))["model"]["vocab"].items() if t != "<|endoftext|>"}
+
+    def piece(i):
+        p = second.id_to_piece(i)
+        return bytes([int(p[3:5], 16)]) if second.is_byte(i) else p.replace("▁", " ").encode()
+
+    rows, held = [], Counter()
+    for text in texts:
+        a = first.encode(" " + text, add_special_tokens=False).ids if text else []
+        b = second.encode(text) if text else []
+        spelled = [[vocab[i] for i in a], [piece(i) for i in b]]
+        if not text or not b"".join(spelled[0]) == b"".join(spelled[1]) == (" " + text).encode():
+            a, b, spelled = [], [], [[], []]
+        ends = [[sum(map(len, s[:k + 1])) for k in range(len(s))] for s in spelled]
+        common = sorted(set(ends[0]) & set(ends[1]))
+        group = lambda end: sum(c < end for c in common)
+        sides = [defaultdict(list), defaultdict(list)]
+        for side, ids in enumerate((a, b)):
+            for i, end in zip(ids, ends[side]):
+                sides[side][group(end)].append(i)
+        links = [(x, y) for g in range(len(common)) for x in sides[0][g] for y in sides[1][g]]
+        shared = sum(max(e - len(s), f - len(t)) < min(e, f) for e, s in zip(ends[0], spelled[0]) for f, t in zip(ends[1], spelled[1]))
+        written = ";".join("|".join(",".join(map(str, s[g])) for s in sides) for g in range(len(common)))
+        rows.append([len(a), len(b), len(common), shared, links, hashlib.sha256(written.encode()).hexdigest() if a else ""])
+        held.update(set(links))
+    best = defaultdict(int)
+    for (x, _), n in held.items():
+        best[x] = max(best[x], n)
+    return [(n_a, n_b, n_g, over, len(links), sum(held[p] == best[p[0]] for p in links), sum(held[p] for p in links), sha) for n_a, n_b, n_g, over, links, sha in rows]
