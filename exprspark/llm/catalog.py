@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from exprspark.llm import (
     bpe, decontaminate, hmm, html_extract, lexical_search, line_dedup, pu_quality, quality_rules, simhash, substring_dedup,
-    token_alignment, url_filter)
+    token_alignment, url_filter, vector_search)
 from exprspark.llm.common import table
 
 
@@ -74,6 +74,12 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every hundredth one."""
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("vec"))
+    return vector_search.search(vectors)
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links between the byte-level and the piece tokens of every document, with corpus-wide counts of their pairs."""
     import public_tokenizers
@@ -169,6 +175,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_bpe": op10_bpe,
     "op11_lexical_search": op11_lexical_search,
+    "op12_hnsw": op12_hnsw,
     "op13_token_alignment": op13_token_alignment,
 }
 ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op2_url_filter": OP2_SQL, "op7_line_dedup": OP7_SQL, "op8_quality_rules": OP8_SQL, "op11_lexical_search": OP11_SQL}
