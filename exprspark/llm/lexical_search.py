@@ -74,9 +74,9 @@ def _count_batches(shared):
             ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
             flat = [np.concatenate(x) if x else np.zeros(0) for x in (ids, times)]
             yield pa.record_batch([
-                b.column("doc_id"), pa.array(n, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[0].astype(np.int32))),
+                b.column("doc_id"), b.column("hash"), pa.array(n, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[0].astype(np.int32))),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat[1].astype(np.int64))),
-            ], ["doc_id", "n", "ids", "times"])
+            ], ["doc_id", "hash", "n", "ids", "times"])
 
     return run
 
@@ -122,17 +122,18 @@ def _score(ids: np.ndarray, parts: np.ndarray, rows: np.ndarray, n_rows: int, in
 
 
 def _search_batches(shared, top: int | None):
-    """Rows (item, doc_id, score): the heaps of a task, or all scores if ``top`` is None."""
+    """Rows (no, doc_id, hash, score): the heaps of a task, without hashes, or all scores if ``top`` is None."""
 
-    def out(item: np.ndarray, doc: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
-        return pa.record_batch([pa.array(item.astype(np.int32)), pa.array(doc, pa.int64(), mask=doc == NO_ID), pa.array(score)], ["item", "doc_id", "score"])
+    def out(item: np.ndarray, doc: np.ndarray, hashes: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch([
+            pa.array(item.astype(np.int32)), pa.array(doc, pa.int64(), mask=doc == NO_ID), pa.array(hashes), pa.array(score)], ["no", "doc_id", "hash", "score"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         n_items, total, length = index["items"], index["documents"], index["length"]
         heaps = Heaps(n_items, top or 0)
         for b in batches:
-            doc = b.column("doc_id").fill_null(NO_ID).to_numpy()
+            doc, hashes = b.column("doc_id").fill_null(NO_ID).to_numpy(), b.column("hash").to_numpy()
             m = 75 + 25 * b.column("n").to_numpy() * total // length
             ends = b.column("ids").offsets.to_numpy().astype(np.int64)
             ids, times = b.column("ids").values.to_numpy(), b.column("times").values.to_numpy()
@@ -150,21 +151,21 @@ def _search_batches(shared, top: int | None):
                     heaps.push(doc[at:to], scores)
                 else:
                     row, item = np.nonzero(scores)
-                    yield out(item, doc[at:to][row], scores[row, item])
+                    yield out(item, doc[at:to][row], hashes[at:to][row], scores[row, item])
                 at = to
-        yield out(heaps.item, heaps.doc, heaps.score)
+        yield out(heaps.item, heaps.doc, np.zeros(heaps.doc.size, np.int64), heaps.score)
 
     return run
 
 
 def _search_block(docs: DataFrame, block: list, top: int | None) -> DataFrame:
-    """Rows (item, doc_id, score) for the collected items (item, terms, times) of one block, ``item`` as given."""
+    """Rows (item, piece, doc_id, hash, score) for the collected pieces of items of one block."""
     spark = docs.sparkSession
     vocabulary: dict[bytes, int] = {}
     term = np.array([vocabulary.setdefault(bytes(t), len(vocabulary)) for r in block for t in r["terms"]], np.int64)
     item = np.repeat(np.arange(len(block)), [len(r["terms"]) for r in block])
     times = np.array([x for r in block for x in r["times"]], np.int64)
-    counted = docs.mapInArrow(_count_batches(spark.sparkContext.broadcast(vocabulary)), "doc_id long, n long, ids array<int>, times array<long>")
+    counted = docs.mapInArrow(_count_batches(spark.sparkContext.broadcast(vocabulary)), "doc_id long, hash long, n long, ids array<int>, times array<long>")
     counts = stage(counted.filter("n > 0"))
     corpus = counts.agg(F.count("*").alias("documents"), F.coalesce(F.sum("n"), F.lit(1)).alias("length")).first()
     held = counts.select(F.explode("ids").alias("term")).groupBy("term").count().collect()  # at most one row a term of the block
@@ -179,15 +180,15 @@ def _search_block(docs: DataFrame, block: list, top: int | None) -> DataFrame:
         "first": np.cumsum(width) - width, "width": width, "item": item[order], "weight": weight, "items": len(block), "exact": most * 1e6 < 2**53,
         "documents": corpus["documents"], "length": corpus["length"],
     }
-    found = counts.mapInArrow(_search_batches(spark.sparkContext.broadcast(index), top), "item int, doc_id long, score long")
-    names = spark.createDataFrame([(i, r["item"]) for i, r in enumerate(block)], "no int, item long")
-    return found.withColumnRenamed("item", "no").join(F.broadcast(names), "no").select("item", "doc_id", "score")
+    found = counts.mapInArrow(_search_batches(spark.sparkContext.broadcast(index), top), "no int, doc_id long, hash long, score long")
+    names = spark.createDataFrame([(i, r["item"], r["piece"]) for i, r in enumerate(block)], "no int, item long, piece int")
+    return found.join(F.broadcast(names), "no").select("item", "piece", "doc_id", "hash", "score")
 
 
 def search(docs: DataFrame, items: DataFrame, top: int = TOP, block_terms: int = BLOCK_TERMS) -> DataFrame:
     """(item_id, rank, doc_id, score): the ``top`` documents of every item with a score above 0."""
     spark = docs.sparkSession
-    streamed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    streamed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), F.col("text").cast("binary").alias("text"))
     named = stage(items.select("item_id", "text").dropDuplicates().select("item_id", "text", F.monotonically_increasing_id().alias("item")))
     cut = stage(named.select("item", F.col("text").cast("binary").alias("text")).mapInArrow(
         _item_batches(block_terms), "item long, piece int, cut boolean, terms array<binary>, times array<long>").withColumn("size", F.size("terms").cast("long")))
@@ -199,22 +200,24 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP, block_terms: int =
     inside = F.sum("size").over(Window.partitionBy("group").orderBy("item", "piece"))
     placed = stage(sized.withColumn("upto", inside).join(F.broadcast(before), "group").withColumn(
         "block", F.floor((F.col("before") + F.col("upto") - 1) / block_terms)).drop("group", "before", "upto", "size"))
-    found = []
+    whole, parts = [], []
     for b in [r["block"] for r in placed.select("block").distinct().orderBy("block").collect()]:
-        rows = placed.filter(F.col("block") == b)
-        for whole in (True, False):
-            block = rows.filter(F.col("cut") != F.lit(whole)).orderBy("item", "piece").collect()
-            if block:
-                part = _search_block(streamed, block, top if whole else None)
-                found.append(part.select("item", "doc_id", "score", F.lit(whole).alias("whole")))
-    if not found:
-        return named.select("item_id", F.lit(0).alias("rank"), F.lit(0).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("score")).limit(0)
-    every = found[0]
-    for part in found[1:]:
-        every = every.unionByName(part)
-    if any(r["cut"] for r in placed.select("cut").distinct().collect()):
-        pieces = every.filter("not whole").groupBy("item", "doc_id").agg(F.sum("score").alias("score"))
-        every = every.filter("whole").drop("whole").unionByName(pieces)
+        block = placed.filter(F.col("block") == b).orderBy("item", "piece").collect()
+        if own := [r for r in block if not r["cut"]]:
+            whole.append(_search_block(streamed, own, top))
+        if cuts := [r for r in block if r["cut"]]:
+            parts.append(_search_block(streamed, cuts, None))
+    every = spark.createDataFrame([], "item long, doc_id long, score long")
+    for found in whole:
+        every = every.unionByName(found.select("item", "doc_id", "score"))
+    if parts:
+        pieces = parts[0]
+        for found in parts[1:]:
+            pieces = pieces.unionByName(found)
+        # repeated rows have equal scores in every piece: they are added up as one and then told apart again
+        same = pieces.groupBy("item", "piece", "doc_id", "hash").agg(F.max("score").alias("score"), F.count("*").alias("copies"))
+        summed = same.groupBy("item", "doc_id", "hash").agg(F.sum("score").alias("score"), F.max("copies").alias("copies"))
+        every = every.unionByName(summed.select("item", "doc_id", "score", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("item", "doc_id", "score"))
     order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     best = every.select("item", "doc_id", "score").withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
     return best.join(named.select("item", "item_id"), "item").select("item_id", "rank", "doc_id", "score")

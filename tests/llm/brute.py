@@ -115,7 +115,9 @@ def alignment(texts, byte_path, piece_path):
     """What token alignment returns for each text, token by token: by the tokenizers library, with lists and sets."""
     import hashlib
     import json
+    from bisect import bisect_left
     from collections import Counter, defaultdict
+    from itertools import accumulate
 
     import sentencepiece
     from tokenizers import Tokenizer
@@ -138,15 +140,16 @@ def alignment(texts, byte_path, piece_path):
         spelled = [[vocab[i] for i in a], [piece(i) for i in b]]
         if not text or not b"".join(spelled[0]) == b"".join(spelled[1]) == (" " + text).encode():
             a, b, spelled = [], [], [[], []]
-        ends = [[sum(map(len, s[:k + 1])) for k in range(len(s))] for s in spelled]
+        ends = [list(accumulate(map(len, s))) for s in spelled]
         common = sorted(set(ends[0]) & set(ends[1]))
-        group = lambda end: sum(c < end for c in common)
+        group = lambda end: bisect_left(common, end)
         sides = [defaultdict(list), defaultdict(list)]
         for side, ids in enumerate((a, b)):
             for i, end in zip(ids, ends[side]):
                 sides[side][group(end)].append(i)
         links = [(x, y) for g in range(len(common)) for x in sides[0][g] for y in sides[1][g]]
-        shared = sum(max(e - len(s), f - len(t)) < min(e, f) for e, s in zip(ends[0], spelled[0]) for f, t in zip(ends[1], spelled[1]))
+        of_byte = [[i for i, t in enumerate(s) for _ in t] for s in spelled]
+        shared = len(set(zip(*of_byte)))
         written = ";".join("|".join(",".join(map(str, s[g])) for s in sides) for g in range(len(common)))
         rows.append([len(a), len(b), len(common), shared, links, hashlib.sha256(written.encode()).hexdigest() if a else ""])
         held.update(set(links))
@@ -154,3 +157,43 @@ def alignment(texts, byte_path, piece_path):
     for (x, _), n in held.items():
         best[x] = max(best[x], n)
     return [(n_a, n_b, n_g, over, len(links), sum(held[p] == best[p[0]] for p in links), sum(held[p] for p in links), sha) for n_a, n_b, n_g, over, links, sha in rows]
+
+
+def lexical(docs, items, top=20):
+    """(item key, rank, doc_id, score) of every (key, text) in ``items`` against (doc_id, text) rows, one pair at a time."""
+    import math
+    import re
+    from collections import Counter
+
+    def terms(text):
+        lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lower)
+
+    counted = [(d, Counter(terms(t))) for d, t in docs]
+    counted = [(d, c, sum(c.values())) for d, c in counted if c]
+    n_docs, length = len(counted), sum(n for _, _, n in counted)
+    df = Counter(t for _, c, _ in counted for t in c)
+    out = []
+    for key, text in items:
+        scores = []
+        for d, c, n in counted:
+            m = 100 - 25 + (25 * n * n_docs) // length
+            s = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((1000000000 * c[t]) // (1000 * c[t] + 12 * m)) for t in terms(text) if c[t])
+            if s > 0:
+                scores.append((-s, d is None, d, s))
+        scores.sort(key=lambda x: (x[0], x[1], x[2] or 0))
+        out += [(key, i + 1, d, s) for i, (_, _, d, s) in enumerate(scores[:top])]
+    return out
+
+
+def nearest(rows, every, k):
+    """(query_id, rank, vec_id, score) of the rows that take part, by all distances."""
+    import math
+
+    rows = {(i, tuple(v)) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)}
+    out = []
+    for q, v in rows:
+        if q % every == 0:
+            near = sorted((math.sqrt(sum((float(a) - float(b)) ** 2 for a, b in zip(v, w))), i) for i, w in rows if i != q and len(w) == len(v))
+            out += [(q, r + 1, i, d) for r, (d, i) in enumerate(near[:k])]
+    return out
