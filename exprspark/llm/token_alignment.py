@@ -71,9 +71,6 @@ class Csr:
     def rows(self) -> np.ndarray:
         return np.repeat(np.arange(self.starts.size - 1), np.diff(self.starts))
 
-    def transposed(self) -> Csr:
-        return Csr.of(self.cols, self.rows(), self.n_cols, self.starts.size - 1, self.vals)
-
     def times(self, other: Csr) -> Iterator[tuple[int, Csr]]:
         """The product with ``other`` as (first row, block of rows), blocks cut by how many entries they expand to."""
         width = np.diff(other.starts)[self.cols]
@@ -96,9 +93,15 @@ def incidence(lengths: np.ndarray) -> Csr:
     return Csr(np.concatenate(([0], ends)), np.arange(n), np.ones(n, np.int64), n)
 
 
+def by_byte(lengths: np.ndarray) -> Csr:
+    """The same matrix turned around: every byte has one token."""
+    n = int(lengths.sum())
+    return Csr(np.arange(n + 1), np.repeat(np.arange(lengths.size), lengths), np.ones(n, np.int64), lengths.size)
+
+
 def overlaps(len_a: np.ndarray, len_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(token of A, token of B, bytes both cover) of every pair of tokens that share a byte."""
-    parts = [(at + block.rows(), block.cols, block.vals) for at, block in incidence(len_a).times(incidence(len_b).transposed())]
+    parts = [(at + block.rows(), block.cols, block.vals) for at, block in incidence(len_a).times(by_byte(len_b))]
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64),) * 3
 
 
@@ -124,28 +127,29 @@ def group_links(owner: np.ndarray, ids_a: np.ndarray, group_a: np.ndarray, ids_b
 
 
 def _digit_table(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The decimal digits of 0..n-1, left aligned in eight bytes, and their number."""
+    """The decimal digits of 0..n-1 in rows of eight bytes, zero behind them, and their number."""
     text = np.arange(n).astype("S8")
-    return text.view(np.uint8).reshape(n, 8), np.char.str_len(text).astype(np.int64)
+    return text.view(np.uint8).reshape(n, 8)[:, :len(str(n)) + 1].copy(), np.char.str_len(text).astype(np.int64)
 
 
 def group_text(ids_a: np.ndarray, group_a: np.ndarray, ids_b: np.ndarray, group_b: np.ndarray, digits) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of ``a1,a2|b1;a3|b2,b3;`` over all groups, and where each group's part ends (its ``;`` included)."""
     table, size = digits
-    ids, key = np.concatenate((ids_a, ids_b)), np.concatenate((2 * group_a, 2 * group_b + 1))
-    order = np.argsort(key, kind="stable")
-    ids, key = ids[order], key[order]
-    width = size[ids] + 1
-    ends = np.cumsum(width)
-    out = np.empty(int(ends[-1]) if ends.size else 0, np.uint8)
-    for d in range(8):
-        has = width - 1 > d
-        if not has.any():
-            break
-        out[(ends - width + d)[has]] = table[ids[has], d]
-    last = np.concatenate((key[1:] != key[:-1], [True])) if key.size else np.zeros(0, bool)
-    out[ends - 1] = np.where(last, np.where(key % 2 == 1, ord(";"), ord("|")), ord(","))
-    return out, ends[last & (key % 2 == 1)]
+    n_groups = int(group_a[-1]) + 1
+    upto_a, upto_b = (np.cumsum(np.bincount(g, minlength=n_groups)) for g in (group_a, group_b))
+    # a group's tokens of A stand behind all tokens of earlier groups, those of B behind its own of A as well
+    place_a = np.arange(ids_a.size) + np.concatenate(([0], upto_b))[group_a]
+    place_b = np.arange(ids_b.size) + upto_a[group_b]
+    rows = np.empty((ids_a.size + ids_b.size, table.shape[1]), np.uint8)
+    rows[place_a], rows[place_b] = table[ids_a], table[ids_b]
+    width = np.empty(len(rows), np.int64)
+    width[place_a], width[place_b] = size[ids_a] + 1, size[ids_b] + 1
+    last = upto_a + upto_b
+    mark = np.full(len(rows), ord(","), np.uint8)
+    mark[place_a[upto_a - 1]], mark[last - 1] = ord("|"), ord(";")
+    rows[np.arange(len(rows)), width - 1] = mark
+    flat = rows.ravel()
+    return flat[flat != 0], np.cumsum(width)[last - 1]
 
 
 class Encoders:
@@ -169,6 +173,7 @@ class Encoders:
         pieces = [self.second.id_to_piece(i) for i in range(self.second.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.second.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.size_a, self.size_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
+        self.spelled_b = np.frombuffer(b"".join(self.bytes_b), np.uint8), np.cumsum(self.size_b) - self.size_b
         self.digits = _digit_table(max(len(self.bytes_a), len(self.bytes_b)))
 
     def _first(self, text: str) -> list[int]:
@@ -184,12 +189,20 @@ class Encoders:
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of both, empty if either does not spell a space and the text."""
         if text:
-            whole = (" " + text).encode()
-            a, b = self._first(" " + text), self.second.encode(text)
-            if b"".join(map(self.bytes_a.__getitem__, a)) == whole == b"".join(map(self.bytes_b.__getitem__, b)):
-                return np.array(a, np.int64), np.array(b, np.int64)
+            whole = np.frombuffer((" " + text).encode(), np.uint8)
+            a, b = np.array(self._first(" " + text), np.int64), np.array(self.second.encode(text), np.int64)
+            # the first tokenizer works on bytes and cannot change them, only lose some; the second may replace characters
+            if self.size_a[a].sum() == whole.size and self._spells(b, whole):
+                return a, b
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def _spells(self, b: np.ndarray, whole: np.ndarray) -> bool:
+        size = self.size_b[b]
+        if size.sum() != whole.size:
+            return False
+        text, first = self.spelled_b
+        return bool((text[np.repeat(first[b] - np.cumsum(size) + size, size) + np.arange(whole.size)] == whole).all())
+
 
 class _Document:
     """What is summed up over the segments of one text."""
@@ -272,9 +285,17 @@ def _align_batches(byte_path: str, piece_path: str):
         enc = Encoders(byte_path, piece_path)
         docs, owners, segments, held = [], [], [], 0
         for batch in batches:
-            for at in range(batch.num_rows):
+            codes = batch.column("text").dictionary_encode().indices.fill_null(-1).to_numpy()
+            copies = set(np.flatnonzero(np.bincount(codes + 1) > 1).tolist())
+            seen: dict[int, _Document] = {}  # copies in a batch are worked through once
+            for at, code in enumerate((codes + 1).tolist()):
+                if code in seen:
+                    docs.append((batch.column("doc_id")[at].as_py(), seen[code]))
+                    continue
                 a, b = enc.encode(batch.column("text")[at].as_py())
                 d = _Document(a, b)
+                if code in copies:
+                    seen[code] = d
                 docs.append((batch.column("doc_id")[at].as_py(), d))
                 for segment in _segments(a, b, enc) if a.size else ():
                     owners.append(d)
