@@ -139,9 +139,15 @@ u AS (SELECT lang, source, metric, val FROM v UNPIVOT (val FOR metric IN (symbol
 f AS (SELECT lang, source, metric, CASE WHEN val < 64 THEN val ELSE (val >> (length(bin(val)) - 6)) << (length(bin(val)) - 6) END AS lo FROM u),
 lv AS (SELECT 2 AS depth, lang, source, metric, lo FROM f UNION ALL SELECT 1, lang, '', metric, lo FROM f UNION ALL SELECT 0, '', '', metric, lo FROM f),
 q AS (SELECT depth, lang, source, metric, count(*) AS total, quantile_disc(lo, 0.25) AS q1, quantile_disc(lo, 0.75) AS q3 FROM lv GROUP BY ALL),
-cut AS (SELECT *, q3 + greatest(6 * (q3 - q1), CASE metric WHEN 'symbols' THEN 100 WHEN 'dup_lines' THEN 600 ELSE 300 END) AS cut FROM q),
-lim AS (SELECT a.lang, a.source, a.metric, CASE WHEN a.total >= 200 THEN a.cut WHEN b.total >= 200 THEN b.cut ELSE e.cut END AS cut
-        FROM cut a JOIN cut b ON b.depth = 1 AND b.lang = a.lang AND b.metric = a.metric JOIN cut e ON e.depth = 0 AND e.metric = a.metric WHERE a.depth = 2),
+sh AS (SELECT depth, lang, source, metric, total::DOUBLE AS n, q1::DOUBLE AS q1, q3::DOUBLE AS q3,
+              sqrt(sum(least(greatest(lo - q3, 0), 100) * least(greatest(lo - q3, 0), 100))::DOUBLE / total) AS tail
+       FROM lv JOIN q USING (depth, lang, source, metric) GROUP BY depth, lang, source, metric, total, q1, q3),
+bl AS (SELECT a.lang, a.source, a.metric,
+              a.n / (a.n + 100) * a.q1 + (1 - a.n / (a.n + 100)) * (b.n / (b.n + 100) * b.q1 + (1 - b.n / (b.n + 100)) * e.q1) AS q1,
+              a.n / (a.n + 100) * a.q3 + (1 - a.n / (a.n + 100)) * (b.n / (b.n + 100) * b.q3 + (1 - b.n / (b.n + 100)) * e.q3) AS q3,
+              a.n / (a.n + 100) * a.tail + (1 - a.n / (a.n + 100)) * (b.n / (b.n + 100) * b.tail + (1 - b.n / (b.n + 100)) * e.tail) AS tail
+       FROM sh a JOIN sh b ON b.depth = 1 AND b.lang = a.lang AND b.metric = a.metric JOIN sh e ON e.depth = 0 AND e.metric = a.metric WHERE a.depth = 2),
+lim AS (SELECT lang, source, metric, q3 + 2 * (q3 - q1) + CASE metric WHEN 'word_length' THEN 4 ELSE 8 END * tail AS cut FROM bl),
 p AS (PIVOT lim ON metric IN ('symbols', 'dup_lines', 'repeats', 'word_length') USING max(cut) GROUP BY lang, source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed,
        NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND v.symbols <= p.symbols AND v.dup_lines <= p.dup_lines

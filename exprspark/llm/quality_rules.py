@@ -2,10 +2,16 @@
 
 Every document gets a few whole-number metrics. A sketch per (lang, source) and metric counts values in
 log-linear bins (64 bins per power of two at most, so a quantile is off by under 1/32 of itself). Sketches
-merge by adding counts: per task before the shuffle, and again from (lang, source) to lang to everything, which
-serves groups too small for quantiles of their own. The cutoff of a metric is its upper quartile plus
-``spread`` interquartile ranges, at least ``margin`` above that quartile. Bins and counts are whole numbers, so
-any partitioning gives the same cutoffs.
+merge by adding counts: per task before the shuffle, and again from (lang, source) to lang to everything.
+
+Three numbers are read from a sketch: both quartiles, and the tail, the root mean square of how far values lie above the
+upper quartile, each by at most ``CAP``. They are blended over the three levels: ``n`` documents of a group weigh ``n`` against
+``PRIOR`` of its language, and those of a language likewise against all. So a group's own values count the more the more
+it has, without a size at which anything switches. The cutoff is the upper quartile, plus ``SPREAD`` quartile ranges, plus
+``REACH`` tails. Most texts have no symbols, repeated lines or repeated words at all, so both quartiles are 0 there, and the
+tail follows how common such texts are in the group; capping keeps a few wild texts from raising it. For repeated words the
+cutoff falls below the base rule wherever fewer than about one text in seven repeats anything.
+Bins and counts are whole numbers, so any partitioning gives the same cutoffs.
 
 Defined results: a null text has no words and fails; null lang or source are groups of their own; rows that
 repeat are judged alike; an empty table gives an empty table; extra columns pass through untouched.
@@ -21,10 +27,13 @@ from exprspark.session import stage
 
 SYMBOLS = r"[^#*$%&|<>]+"
 WINDOW = 8
-#: metric: least distance of its cutoff from the upper quartile
-MARGINS = {"symbols": 100, "dup_lines": 600, "repeats": 300, "word_length": 300}
-SPREAD = 6
-LEAST_ROWS = 200
+#: tails above the quartiles that pass: the widest for metrics that are 0 in most texts, where the tail itself is small
+REACH = {"symbols": 8, "dup_lines": 8, "repeats": 8, "word_length": 4}
+SPREAD = 2
+#: an excess counts up to this: 10% of words or lines, one letter of mean word length
+CAP = 100
+#: documents of the next level that a group's own numbers are weighed against
+PRIOR = 100
 
 
 def _repeat_words(ws: Column) -> Column:
@@ -89,32 +98,43 @@ def sketches(measured: DataFrame) -> DataFrame:
             .groupBy("lang", "source", "x.metric", "x.bin").agg(F.count("*").alias("n")))
 
 
-def cutoffs(sketch: DataFrame, spread: int = SPREAD, least_rows: int = LEAST_ROWS) -> DataFrame:
+def cutoffs(sketch: DataFrame, prior: int = PRIOR) -> DataFrame:
     """(lang, source, one column per metric): the largest value that passes.
 
-    Sketches are merged upwards; a group uses the narrowest level with ``least_rows`` documents.
-    A group's bins are at most some thousands, so its running sum is small.
+    Sketches are merged upwards. A group's bins are at most some thousands, so its running sum is small.
     """
     levels = sketch.groupBy("lang", "source", "metric", "bin").agg(F.sum("n").alias("n"))
     by_lang = levels.groupBy("lang", "metric", "bin").agg(F.sum("n").alias("n"))
     overall = by_lang.groupBy("metric", "bin").agg(F.sum("n").alias("n"))
 
-    def quartiles(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-        """Bins as one sorted array per group and metric: bounded by the number of bins."""
+    def shape(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+        """Documents, and quartiles and tail of each metric; bins are one sorted array per group and metric, bounded by the number of bins."""
         bins = df.groupBy(*keys, "metric").agg(F.array_sort(F.collect_list(F.struct("bin", "n"))).alias("b"), F.sum("n").alias("total"))
         running = F.aggregate("b", F.array().cast("array<bigint>"), lambda a, x: F.concat(a, F.array(F.coalesce(F.element_at(F.when(F.size(a) > 0, a), -1), F.lit(0).cast("long")) + x["n"])))
         bins = bins.withColumn("r", running)
         at = lambda q: F.filter("b", lambda x, i: F.get(F.col("r"), i) * 4 >= F.col("total") * q)[0]["bin"]
-        out = bins.select(*keys, "metric", "total", _value(at(1)).alias("q1"), _value(at(3)).alias("q3"))
-        margin = F.create_map(*[F.lit(x) for kv in MARGINS.items() for x in kv])
-        out = out.withColumn("cut", F.col("q3") + F.greatest(spread * (F.col("q3") - F.col("q1")), margin[F.col("metric")].cast("long")))
-        return out.groupBy(*keys).agg(F.max("total").alias(f"{name}_rows"), *[F.max(F.when(F.col("metric") == k, F.col("cut"))).alias(f"{name}_{k}") for k in MARGINS])
-
-    own, lang, every = quartiles(levels, ["lang", "source"], "own"), quartiles(by_lang, ["lang"], "lang"), quartiles(overall, [], "all")
+        out = bins.select(*keys, "metric", "total", "b", _value(at(1)).alias("q1"), _value(at(3)).alias("q3"))
+        above = lambda x: F.least(F.greatest(_value(x["bin"]) - F.col("q3"), F.lit(0).cast("long")), F.lit(CAP).cast("long"))
+        squares = F.aggregate("b", F.lit(0).cast("long"), lambda a, x: a + x["n"] * above(x) * above(x))
+        numbers = F.struct(F.col("q1").cast("double").alias("q1"), F.col("q3").cast("double").alias("q3"), F.sqrt(squares.cast("double") / F.col("total")).alias("tail"))
+        out = out.select(*keys, "metric", "total", numbers.alias("s"))
+        return out.groupBy(*keys).agg(F.max("total").cast("double").alias(f"{name}_rows"), *[F.max(F.when(F.col("metric") == k, F.col("s"))).alias(f"{name}_{k}") for k in REACH])
+
+    own, lang, every = shape(levels, ["lang", "source"], "own"), shape(by_lang, ["lang"], "lang"), shape(overall, [], "all")
     lang = lang.withColumnRenamed("lang", "of_lang")
-    both = own.join(lang, own["lang"].eqNullSafe(lang["of_lang"]), "left").withColumn("_all", every.select(F.struct(*[f"all_{k}" for k in MARGINS])).scalar())
-    pick = lambda k: F.when(F.col("own_rows") >= least_rows, F.col(f"own_{k}")).when(F.col("lang_rows") >= least_rows, F.col(f"lang_{k}")).otherwise(F.col(f"_all.all_{k}"))
-    return both.select("lang", "source", *[pick(k).alias(k) for k in MARGINS])
+    both = own.join(lang, own["lang"].eqNullSafe(lang["of_lang"]), "left").withColumn("_all", every.select(F.struct(*[f"all_{k}" for k in REACH])).scalar())
+
+    def blended(k: str, field: str) -> Column:
+        weigh = lambda n: F.col(n) / (F.col(n) + F.lit(float(prior)))
+        mine, its, alls = F.col(f"own_{k}.{field}"), F.col(f"lang_{k}.{field}"), F.col(f"_all.all_{k}.{field}")
+        upper = weigh("lang_rows") * its + (1 - weigh("lang_rows")) * alls
+        return weigh("own_rows") * mine + (1 - weigh("own_rows")) * upper
+
+    def cut(k: str) -> Column:
+        q1, q3, tail = (blended(k, field) for field in ("q1", "q3", "tail"))
+        return q3 + F.lit(float(SPREAD)) * (q3 - q1) + F.lit(float(REACH[k])) * tail
+
+    return both.select("lang", "source", *[cut(k).alias(k) for k in REACH])
 
 
 def judge(measured: DataFrame, limits: DataFrame) -> DataFrame:
@@ -123,7 +143,7 @@ def judge(measured: DataFrame, limits: DataFrame) -> DataFrame:
     ``limits`` should be a written table: its true size then lets Spark broadcast it, or join by key if it is large.
     """
     failed = (F.col("_m.c.n_words") < 20) | (100 * F.col("_m.c.n_repeat_words") > 30 * F.col("_m.c.n_words"))
-    cut = limits.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), F.struct(*MARGINS).alias("_cut"))
+    cut = limits.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), F.struct(*REACH).alias("_cut"))
     fits = F.lit(True)
     for k, v in _rates("_m").items():
         fits = fits & (v <= F.col(f"_cut.{k}"))
@@ -141,11 +161,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
 
 def keep_documents(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with all their columns.
-
-    Metrics are computed for the sketches and again for the verdict: that costs less than a second copy of all texts on disk.
-    The generator keeps Spark from moving the verdict's conditions below it, which would compute them once more for each.
-    """
-    measured = docs.select(F.struct("*").alias("_row"), "lang", "source", F.explode_outer(F.array(metrics(F.col("text")))).alias("_m"))
-    judged = judge(measured, stage(cutoffs(sketches(measured.drop("_row")))))
+    """The documents that pass, with all their columns. Rows and their metrics are written once and read for both steps."""
+    measured = stage(docs.select(F.struct("*").alias("_row"), "lang", "source", metrics(F.col("text")).alias("_m")))
+    judged = judge(measured, stage(cutoffs(sketches(measured))))
     return judged.filter("_kept").select("_row.*")
