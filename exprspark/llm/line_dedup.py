@@ -42,7 +42,8 @@ def later_windows(docs: DataFrame) -> DataFrame:
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     windows = stage(explode_once(keyed, _windows(F.col("text")), "doc_id", "text_hash")
                     .select("h1", "h2", F.struct("doc_id", "text_hash", "j").alias("at")))
-    first = windows.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    # written first: a join of two tables as they are lets Spark split a window that very many documents share
+    first = stage(windows.groupBy("h1", "h2").agg(F.min("at").alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"))
     return (windows.join(first, ["h1", "h2"]).filter(~F.col("at").eqNullSafe(F.col("first")))
             .groupBy("at.doc_id", "at.text_hash").agg(F.array_sort(F.collect_set("at.j")).alias("starts")))
 
