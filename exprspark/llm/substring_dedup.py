@@ -191,7 +191,7 @@ def _removed_spans(docs: DataFrame, bucket: int) -> DataFrame:
     found = stage(every.join(shared, "h", "left_semi"))
     word = ["h", "d1", "d2"]
     first = stage(found.groupBy(*word).agg(F.min(F.struct("id", "text_hash", "start", "n")).alias("c")).select(*word, "c.*"))
-    several = first.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1")
+    several = stage(first.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1"))
     parts = F.ceil(F.col("k") / bucket).cast("long")
     asked = first.join(several, "h").select("id", "text_hash", F.struct(
         "h", F.pmod("d1", parts).cast("int").alias("salt"), (parts > 1).alias("split"), "d1", "d2", "start", "n").alias("x"))
@@ -201,7 +201,7 @@ def _removed_spans(docs: DataFrame, bucket: int) -> DataFrame:
     sorted_ = spread(packed, "h", "salt").sortWithinPartitions("h", "salt")
     counted = stage(sorted_.mapInArrow(_count, "h long, d1 long, d2 long, mask long, j int, w1 long, w2 long, id long"))
     dealt = counted.filter("j >= 0")
-    least = dealt.groupBy("w1", "w2").agg(F.min("id").alias("least"), F.max("id").alias("last")).filter("least < last").drop("last")
+    least = stage(dealt.groupBy("w1", "w2").agg(F.min("id").alias("least"), F.max("id").alias("last")).filter("least < last").drop("last"))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("j"))
     merged = (dealt.join(least, ["w1", "w2"]).filter("id > least").select(*word, bit.alias("bit")).groupBy(*word).agg(F.bit_or("bit").alias("mask")))
     masks = counted.filter("j < 0").select(*word, "mask").distinct().unionByName(merged)
