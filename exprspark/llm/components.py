@@ -11,13 +11,13 @@ from exprspark.session import stage
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node moves to the node's smallest neighbour."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = stage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
     return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every smaller neighbour of a node, and the node, move to the smallest; ``edges`` have u > v."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = stage(edges.groupBy("u").agg(F.min("v").alias("m")))
     moved = edges.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
@@ -25,7 +25,8 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of the links (a, b): the smallest node that it reaches. Nodes without links are left out.
 
-    Minima are aggregated before the shuffle and joined back, so a node with very many links is never gathered.
+    Minima are aggregated before the shuffle, written, and joined back: with two tables as they are Spark splits the links of
+    a node that has very many of them.
     Rounds end when nothing moves; their number grows with the logarithm of the longest chain.
     """
     high, low = F.greatest("a", "b"), F.least("a", "b")

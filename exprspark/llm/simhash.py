@@ -164,8 +164,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = stage(fingerprints(docs))
     heads = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     joined = components(stage(links(heads.select("fp"))))
-    rooted = heads.join(joined, heads["fp"] == joined["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    rooted = stage(heads.join(joined, heads["fp"] == joined["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    least = stage(rooted.groupBy("root").agg(F.min("least").alias("component_id")))  # written: see components
     named = stage(rooted.join(least, "root").select("fp", "component_id"))
     return rows.join(named, "fp").select("doc_id", "text_hash", "fp", "component_id")
 
