@@ -95,6 +95,68 @@ def test_quality_sketches_merge_and_adapt(spark):
     assert 999 not in kept and 998 in kept
 
 
+def clean(i, words=60):
+    """Words of three to six letters, no symbol, no line or window twice."""
+    r = random.Random(i)
+    return "\n".join(" ".join("".join(r.choices("abcdefghij", k=r.randint(3, 6))) for _ in range(12)) for _ in range(words // 12))
+
+
+def kept_ids(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    return {r["doc_id"] for r in quality_rules.score_documents(docs).filter("kept").collect()}
+
+
+def test_quality_rules_each_reject_alone(spark):
+    """Among clean texts, four that break one rule each go although the base rule passes them; a mild text of each kind stays."""
+    rows = [(i, clean(i), "en", f"s{i % 4}") for i in range(400)]
+    words = clean(1000, 240).split()
+    sentence = " ".join(words[:14])
+    odd = {
+        500: clean(500) + " #" * 60,  # a symbol a word
+        501: "\n".join(["one two"] + [" ".join(words[4 * i:4 * i + 4]) + "\none two" for i in range(40)]),  # every second line is short and the same
+        502: " ".join(words[:90]) + " " + sentence + " " + " ".join(words[90:]) + " " + sentence,  # about 11% of words in a repeated passage
+        503: " ".join("".join(random.Random(k).choices("abcdefghij", k=11)) for k in range(80)),
+    }
+    mild = {600: clean(600, 120) + " # $5", 601: clean(601, 240) + "\n" + clean(601, 240).split("\n")[0][:20] + "\nthe end", 603: clean(603) + " internationalisation"}
+    texts = rows + [(i, t, "en", "s0") for i, t in {**odd, **mild}.items()]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in quality_rules.score_documents(docs).collect()}
+    assert not any(got[i]["base_failed"] for i in (*odd, *mild))
+    assert [i for i in odd if got[i]["kept"]] == [] and [i for i in mild if not got[i]["kept"]] == []
+    assert sum(got[i]["kept"] for i in range(400)) >= 396
+
+
+def test_quality_cutoffs_differ_by_group_in_all_metrics(spark):
+    """What is rare in one source is usual in another: the same texts are judged by their own source."""
+    r = random.Random(1)
+    code = lambda i: clean(i) + " $" * r.randint(8, 20)
+    lists = lambda i: "\n".join(x for line in clean(i).split("\n") for x in (line, "- item") if r.random() < 0.9)
+    songs = lambda i: clean(i, 72) + "\n" + "\n".join(clean(i, 72).split("\n")[:1 if r.random() < 0.5 else 0])
+    long_words = lambda i: " ".join(w * 2 for w in clean(i).split())
+    made = {"code": code, "lists": lists, "songs": songs, "long": long_words, "plain": clean}
+    rows = [(1000 * k + i, f(1000 * k + i), "en", s) for k, (s, f) in enumerate(made.items()) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    measured = docs.select("lang", "source", quality_rules.metrics(F.col("text")).alias("_m"))
+    cut = {r["source"]: r for r in quality_rules.cutoffs(quality_rules.sketches(measured)).collect()}
+    for source, metric in (("code", "symbols"), ("lists", "dup_lines"), ("songs", "repeats"), ("long", "word_length")):
+        assert cut[source][metric] > 1.3 * cut["plain"][metric]
+    assert all(len({round(c[m], 3) for c in cut.values()}) == len(cut) for m in ("symbols", "dup_lines", "repeats", "word_length"))
+    kept = kept_ids(spark, rows)
+    assert all(sum(d // 1000 == k for d in kept) > 285 for k in range(5))
+
+
+def test_quality_cutoffs_have_no_jump(spark):
+    """A source of long words beside a large one of short words: its cutoff moves a little with every document that it gains."""
+    cuts = {}
+    for n in (10, 50, 199, 200, 201, 400):
+        rows = [(i, clean(i), "en", "short") for i in range(300)] + [(1000 + i, " ".join(w * 2 for w in clean(1000 + i).split()), "en", "long") for i in range(n)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+        measured = docs.select("lang", "source", quality_rules.metrics(F.col("text")).alias("_m"))
+        cuts[n] = {r["source"]: r["word_length"] for r in quality_rules.cutoffs(quality_rules.sketches(measured)).collect()}["long"]
+    assert cuts[10] < cuts[50] < cuts[199] < cuts[400]
+    assert abs(cuts[199] - cuts[200]) < 0.02 * cuts[200] and abs(cuts[201] - cuts[200]) < 0.02 * cuts[200]
+
+
 @pytest.mark.parametrize("value", [0, 1, 63, 64, 65, 127, 128, 1000, 12345, 10**9])
 def test_quality_bins(spark, value):
     b, v = spark.range(1).select(quality_rules._bin(F.lit(value).cast("long")).alias("b")).select("b", quality_rules._value(F.col("b"))).first()
@@ -277,6 +339,39 @@ def test_hmm_recursions():
         assert np.allclose(a, b)
 
 
+def test_hmm_blocks_and_segments(monkeypatch):
+    """Counts and scores do not depend on the size of blocks, nor on cutting long texts into segments."""
+    r = np.random.default_rng(1)
+    s, c = hmm.STATES, 30
+    m = hmm.Model(r.dirichlet(np.ones(s)), r.dirichlet(np.ones(s), s), r.dirichlet(np.ones(c), s).T)
+    seqs = [r.integers(0, c, n) for n in (1, 900, 7, 7, 40, 300, 2, 299)]
+    found = []
+    for block in (10_000, 400, 64, 7):
+        monkeypatch.setattr(hmm, "BLOCK", block)
+        sums = np.zeros(s), np.zeros((s, s)), np.zeros((c, s))
+        found.append((m.expect(seqs, sums), *sums, m.score(seqs)))
+    assert sum(found[0][1]) == pytest.approx(len(seqs)) and found[0][3].sum() == pytest.approx(sum(map(len, seqs)))
+    for other in found[1:]:
+        for a, b in zip(found[0], other):
+            assert np.allclose(a, b, rtol=1e-9)
+
+
+def test_hmm_pieces_of_a_batch(monkeypatch):
+    monkeypatch.setattr(hmm, "BYTES", 10)
+    batch = pa.record_batch([pa.array(["abc", None, "x" * 50, "", "12345678", "de"])], ["text"])
+    pieces = list(hmm._pieces(iter([batch, batch.slice(0, 0)]), "text"))
+    assert [t for p in pieces for t in p.column("text").to_pylist()] == batch.column("text").to_pylist() and len(pieces) == 3
+
+
+def test_hmm_one_very_long_text(spark, monkeypatch):
+    """A text of many blocks beside short ones, scored as in one block."""
+    docs = spark.createDataFrame([(i, prose(30_000 if i == 3 else 50, i)) for i in range(12)], "doc_id long, text string")
+    one = {r["doc_id"]: r["score"] for r in hmm.score_documents(docs).collect()}
+    monkeypatch.setattr(hmm, "BLOCK", 4000)
+    two = {r["doc_id"]: r["score"] for r in hmm.score_documents(docs).collect()}
+    assert one == pytest.approx(two)
+
+
 def test_hmm_trains_on_all_texts_until_settled(spark, monkeypatch):
     """The trained model is that of plain Baum-Welch over every training text, and its last round gained next to nothing."""
     docs = spark.createDataFrame([(i % 30, prose(40 + i, i)) for i in range(90)], "doc_id long, text string")  # doc_ids repeat
