@@ -7,12 +7,14 @@ negatives' risk without bias; where a batch makes it negative the step goes back
 The prior is estimated from the labels: the share of 1 among the labelled training rows, within [0.05, 0.95].
 Features are counts over the whole text: its make-up (word length, symbols, marks, capitals, digits, repeats of words and of
 lines, size) and hashed short letter groups of a word's edges, as rates. Their centre and scale are taken over every
-training row. Only the gradient steps use a sample: at most ``MAX_ROWS`` positives and as many unlabelled rows, those with
-the smallest hash of the doc_id, one row per doc_id. Scores use the text alone.
+training row. Positives are a bounded sample of the labelled rows: at most ``MAX_ROWS``, those with the smallest hash of the
+doc_id. The unlabelled risk is that of all training rows: steps on mini-batches of a sample of as many rows only choose where
+to begin, then ``STEPS`` steps follow whose gradient is summed by Spark over every training row. Scores use the text alone.
 
 Defined results: a null or empty text is scored like any other, from zero rates; a null doc_id has the checksum of the
-empty string; labels that disagree for a doc_id count as 1 if their mean is over 0.5, null labels are dropped; without
-positives every score is the prior; rows that repeat get the same score; other columns are ignored.
+empty string; labels that disagree for a doc_id count as 1 if their mean is over 0.5, null labels are dropped; of several
+texts of a sampled doc_id the one with the smallest hash is taken; without positives every score is the prior; rows that
+repeat get the same score, and each counts in the unlabelled risk; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ from exprspark.session import stage
 MAX_ROWS = 10_000
 HASHED = 512
 EPOCHS, BATCH, RATE, DECAY = 60, 512, 0.05, 1e-4
+#: steps over all training rows, and their rate
+STEPS, STEP = 25, 0.02
 #: characters counted one by one as rates
 MARKS = "#*$%&|<>!?.,;:()[]{}=_/\\\"'-@"
 DENSE = 12 + len(MARKS)
@@ -141,7 +145,8 @@ def _sample(rows: DataFrame, ids: DataFrame) -> np.ndarray:
     The ids are chosen without the texts, so that only texts of the sample are shuffled.
     """
     ids = stage(ids.select("doc_id").filter("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_ROWS))
-    picked = rows.join(F.broadcast(ids), "doc_id", "left_semi").dropDuplicates(["doc_id"])  # ids: MAX_ROWS at most
+    picked = rows.join(F.broadcast(ids), "doc_id", "left_semi")  # ids: MAX_ROWS at most
+    picked = picked.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -172,6 +177,59 @@ def _spread(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return mean, np.sqrt(np.maximum(q / np.maximum(n, 1) - mean * mean, 0))
 
 
+def _coded(rows: DataFrame, centre: np.ndarray, scale: np.ndarray) -> DataFrame:
+    """Standardised features of every row as 16-bit floats, written once for all steps."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 1000):
+                x = np.clip((features(b.column("text").slice(at, 1000)) - centre) / scale, -8, 8).astype(np.float16)
+                yield pa.record_batch([pa.array([r.tobytes() for r in x], pa.binary())], ["x"])
+
+    return stage(rows.select("text").mapInArrow(run, "x binary"))
+
+
+def _unlabelled_risk(coded: DataFrame, weights: np.ndarray, bias: float) -> tuple[float, np.ndarray]:
+    """Mean loss of calling every row negative, and its gradient (the bias last): summed per task, then over all tasks."""
+    shared = coded.sparkSession.sparkContext.broadcast((weights, bias))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w, b0 = shared.value
+        total = np.zeros(w.size + 3)  # gradient, its bias, loss, rows
+        for b in batches:
+            for at in range(0, b.num_rows, 2000):
+                x = np.frombuffer(b"".join(b.column("x").slice(at, 2000).to_pylist()), np.float16).reshape(-1, w.size).astype(np.float32)
+                z = (x @ w.astype(np.float32)).astype(float) + b0
+                g = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+                total += np.concatenate((x.T @ g.astype(np.float32), [g.sum(), np.logaddexp(0, z).sum(), len(z)]))
+        yield pa.record_batch([pa.array(np.arange(total.size)), pa.array(total)], ["at", "v"])
+
+    found = coded.mapInArrow(run, "at long, v double").groupBy("at").agg(F.sum("v").alias("v")).toArrow().sort_by("at").column("v").to_numpy()
+    shared.unpersist()
+    n = max(found[-1], 1.0)
+    return float(found[-2] / n), found[:-2] / n
+
+
+def refine(model: Model, positive: np.ndarray, coded: DataFrame, prior: float, steps: int = STEPS) -> Model:
+    """Steps on the same risk as ``fit``, with all rows of ``coded`` as the unlabelled text in each."""
+    p = np.clip((positive - model.centre) / model.scale, -8, 8)
+    w, b = model.weights.copy(), model.bias
+    m, v = np.zeros(w.size + 1), np.zeros(w.size + 1)
+    for t in range(1, steps + 1):
+        called, gu = _unlabelled_risk(coded, w, b)
+        zp = p @ w + b
+        sig = 1 / (1 + np.exp(-np.clip(zp, -30, 30)))
+        if called - prior * np.logaddexp(0, zp).mean() >= 0:
+            dp = -prior * (1 - sig) / len(p) - prior * sig / len(p)
+        else:
+            gu, dp = -gu, prior * sig / len(p)
+        g = gu + np.append(p.T @ dp + DECAY * w, dp.sum())
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        step = STEP / (1 + t / 10) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+        w, b = w - step[:-1], b - step[-1]
+    return Model(model.centre, model.scale, w, b)
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fits on training rows only."""
     known = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").filter(training_row(F.col("doc_id")))
@@ -181,7 +239,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(training_row(F.col("doc_id")))
     ids = rows.select("doc_id")
     positive = ids.join(known.filter("quality = 1").select("doc_id"), "doc_id", "left_semi")
-    return fit(_sample(rows, positive), _sample(rows, ids), prior, _spread(rows))
+    trusted = _sample(rows, positive)
+    begun = fit(trusted, _sample(rows, ids), prior, _spread(rows))
+    return refine(begun, trusted, _coded(rows, begun.centre, begun.scale), prior) if len(trusted) else begun
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
