@@ -40,11 +40,17 @@ def url_parts(url: Column) -> tuple[Column, Column]:
     return host, F.regexp_extract(u, r"(?s)\A.*?://[^/?#]*([^?#]*)", 1)
 
 
-def candidates(host: Column, path: Column, lengths: list[int]) -> Column:
-    """All rule strings that would fit, longest host first, then longest path. ``lengths``: those of the rules' paths."""
+def candidates(host: Column, path: Column, lengths: list[int], labels: int) -> Column:
+    """All rule strings that would fit, longest host first, then longest path.
 
-    def of(labels: Column) -> Column:
-        suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels) - i + 1), "."))
+    ``lengths`` are those of the rules' paths, ``labels`` the most labels that a rule's host has: longer suffixes fit none.
+    """
+
+    def of(every: Column) -> Column:
+        return let(F.slice(every, F.greatest(F.size(every) - labels + 1, F.lit(1)), F.lit(max(labels, 1))), ending)
+
+    def ending(last: Column) -> Column:
+        suffixes = F.transform(F.sequence(F.lit(1), F.size(last)), lambda i: F.array_join(F.slice(last, i, F.size(last) - i + 1), "."))
         prefixes = F.filter(F.array(*[F.lit(n) for n in sorted(lengths, reverse=True)]).cast("array<int>"), lambda n: n <= F.length(path))
         return F.flatten(F.transform(suffixes, lambda s: F.transform(prefixes, lambda n: F.concat(s, F.substr(path, F.lit(1), n)))))
 
@@ -143,7 +149,8 @@ def judge(pages: DataFrame, rules: DataFrame, max_rules: int = MAX_RULES) -> Dat
     lengths = [r["n"] for r in paths.collect()]  # path lengths, of which URLs allow some thousands
     host, path = url_parts(F.col("url"))
     parts = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
-    parts = parts.withColumn("c", candidates(F.col("host"), F.col("path"), lengths))
+    most = best.agg(F.max(F.size(F.split(F.substring_index("rule", "/", 1), r"\.")))).first()[0] or 0
+    parts = parts.withColumn("c", candidates(F.col("host"), F.col("path"), lengths, most))
     head = best.limit(max_rules + 1).collect()
     if len(head) > max_rules:
         return _by_join(parts, best)
