@@ -162,6 +162,28 @@ def count_by_five_prime(spark, d):
     return iv.count_overlaps(inputs.intervals(spark, d), features(spark, d), by_start=True, tile=1 << 12)
 
 
+cte("c_fragments", """
+    SELECT sample_id, read_id, chrom, "start", "end" FROM c_iv UNION ALL
+    SELECT sample_id, read_id, chrom, "start" + 100 + length(read_id) % 7 * 40, "end" + 100 + length(read_id) % 7 * 40 FROM c_iv WHERE strand = '+'""")
+
+
+def mates(spark, d):
+    """Forward reads get a mate some way downstream, often on another feature; reverse reads have none."""
+    first = inputs.intervals(spark, d).select("sample_id", "read_id", "chrom", "start", "end", "strand")
+    far = 100 + F.length("read_id") % 7 * 40
+    second = first.filter("strand = '+'").withColumn("start", F.col("start") + far).withColumn("end", F.col("end") + far)
+    return first.unionByName(second).drop("strand")
+
+
+@query("j15_count_by_pair", """
+    WITH h AS (SELECT i.sample_id, i.read_id, count(DISTINCT interval_id) AS n, min(interval_id) AS interval_id
+        FROM c_fragments i LEFT JOIN c_features f ON f.chrom = i.chrom AND f."start" < i."end" AND f."end" > i."start" GROUP BY 1, 2)
+    SELECT sample_id, CASE WHEN n = 0 THEN 'no_feature' WHEN n = 1 THEN 'assigned' ELSE 'ambiguous' END AS status, CASE WHEN n = 1 THEN interval_id END AS interval_id, count(*) AS n FROM h GROUP BY 1, 2, 3""")
+def count_by_pair(spark, d):
+    """Fragments by what either mate meets."""
+    return iv.count_overlaps(mates(spark, d), features(spark, d), by_pair=True)
+
+
 @query("a40_frip", """
     SELECT sample_id, CAST(a AS BIGINT) AS assigned, CAST(a + u AS BIGINT) AS total, round(a / (a + u), 9) AS frip FROM (
       SELECT sample_id, coalesce(sum(n) FILTER (status = 'assigned'), 0) AS a, coalesce(sum(n) FILTER (status = 'no_feature'), 0) AS u FROM c_assigned GROUP BY 1)""")
@@ -235,6 +257,39 @@ def mark_duplicate_pairs(spark, d):
     return iv.mark_duplicate_pairs(pairs(spark, d))
 
 
+cte("c_clipped", """
+    SELECT *, CASE length(read_id) % 4 WHEN 0 THEN '3S' WHEN 1 THEN '1H2S' ELSE '' END AS lead, CASE length(read_id) % 3 WHEN 0 THEN '2S' WHEN 1 THEN '4S1H' ELSE '' END AS tail FROM c_mates""")
+cte("c_clipped_five", """
+    SELECT *, CASE WHEN strand = '-' THEN "end" + CASE length(read_id) % 3 WHEN 0 THEN 2 WHEN 1 THEN 5 ELSE 0 END ELSE "start" - CASE WHEN length(read_id) % 4 < 2 THEN 3 ELSE 0 END END AS five FROM c_clipped""")
+
+
+def clipped_pairs(spark, d):
+    """The mates with clips at either side, which hide where equal fragments begin."""
+    n = F.length("read_id")
+    lead = F.when(n % 4 == 0, "3S").when(n % 4 == 1, "1H2S").otherwise("")
+    tail = F.when(n % 3 == 0, "2S").when(n % 3 == 1, "4S1H").otherwise("")
+    return pairs(spark, d).withColumn("cigar", F.concat(lead, (F.col("end") - F.col("start")).cast("string"), F.lit("M"), tail))
+
+
+@query("a45_mark_clipped_pairs", """
+    WITH a AS (SELECT *, chrom || ':' || five || ':' || strand AS e FROM c_clipped_five),
+    p AS (SELECT sample_id, read_id, min(e) AS e1, max(e) AS e2 FROM a WHERE flag & 256 = 0 GROUP BY 1, 2 HAVING count(*) = 2),
+    k AS (SELECT *, read_id <> min(read_id) OVER (PARTITION BY sample_id, e1, e2) AS dup FROM p)
+    SELECT a.sample_id, a.read_id, a.chrom, a."start", a."end", a.strand, coalesce(dup AND flag & 256 = 0, false) AS is_duplicate FROM a LEFT JOIN k USING (sample_id, read_id)""")
+def mark_clipped_pairs(spark, d):
+    return iv.mark_duplicate_pairs(clipped_pairs(spark, d)).drop("cigar", "flag")
+
+
+@query("a45_mark_clipped_reads", """
+    WITH a AS (SELECT *, CASE WHEN strand = '-' THEN "end" + CASE WHEN mapq % 30 = 0 THEN 5 ELSE 0 END ELSE "start" - CASE WHEN mapq % 20 = 0 THEN 3 ELSE 0 END END AS five FROM c_aln)
+    SELECT sample_id, read_id, chrom, "start", "end", strand, read_id <> min(read_id) OVER (PARTITION BY sample_id, chrom, five, strand) AS is_duplicate FROM a""")
+def mark_clipped_reads(spark, d):
+    """Single reads with clips at either side."""
+    a = inputs.alignments(spark, d)
+    cigar = F.concat(F.when(F.col("mapq") % 20 == 0, "1H2S").otherwise(""), (F.col("end") - F.col("start")).cast("string"), F.lit("M"), F.when(F.col("mapq") % 30 == 0, "5S").otherwise(""))
+    return iv.mark_duplicates(a.withColumn("cigar", cigar)).select("sample_id", "read_id", "chrom", "start", "end", "strand", "is_duplicate")
+
+
 @query("a46_enriched_windows", """
     WITH w AS (SELECT sample_id, chrom, CAST(floor(("start" + "end") / 2 / 2000) AS BIGINT) AS win, count(*) AS n FROM c_aln GROUP BY 1, 2, 3),
     t AS (SELECT sample_id, sum(n) AS tot FROM w GROUP BY 1), g AS (SELECT sum(ceil(size / 2000)) AS nw FROM (SELECT chrom, max("end") AS size FROM c_aln GROUP BY 1)),
@@ -337,3 +392,37 @@ def allele_fractions(spark, d):
     a = reads(spark, d).select(
         F.col("sample_id").alias("chrom"), (F.split_part("read_id", F.lit("_"), F.lit(2)).cast("bigint") * 80).alias("start"), "seq")
     return rd.allele_fractions(a).withColumn("fraction", r("fraction", 9))
+
+
+@query("a48_allele_fractions_cigar", """
+    WITH a AS (SELECT sample_id AS chrom, CAST(split_part(read_id, '_', 2) AS BIGINT) * 80 AS s, seq, CASE WHEN length(seq) < 20 THEN 0 ELSE CAST(split_part(read_id, '_', 1) AS BIGINT) % 4 END AS kind FROM c_reads),
+    b AS (SELECT chrom, CASE WHEN kind = 0 THEN s + i WHEN kind = 1 AND i >= 5 THEN s + i - 5 WHEN kind = 2 THEN s + i + CASE WHEN i < 10 THEN 0 ELSE 4 END
+                        WHEN kind = 3 AND i < 10 THEN s + i WHEN kind = 3 AND i >= 13 AND i < length(seq) - 2 THEN s + i - 3 END AS pos, seq[i + 1] AS base
+          FROM (SELECT *, unnest(range(0, length(seq))) AS i FROM a)),
+    g AS (SELECT chrom, pos, count(*) FILTER (base = 'A') AS a, count(*) FILTER (base = 'C') AS c, count(*) FILTER (base = 'G') AS g, count(*) FILTER (base = 'T') AS t FROM b WHERE pos IS NOT NULL GROUP BY 1, 2),
+    m AS (SELECT *, a + c + g + t AS coverage, list_sort([a, c, g, t], 'DESC')[2] AS minor FROM g)
+    SELECT chrom, pos, a, c, g, t, coverage, minor, round(minor / coverage, 9) AS fraction FROM m WHERE coverage >= 20 AND minor >= 4 AND minor / coverage >= 0.1""")
+def allele_fractions_cigar(spark, d):
+    """The same reads aligned with clips, deletions and insertions."""
+    n = F.length("seq")
+    kind = F.when(n < 20, 0).otherwise(F.split_part("read_id", F.lit("_"), F.lit(1)).cast("bigint") % 4)
+    cigar = F.when(kind == 1, F.concat(F.lit("5S"), n - 5, F.lit("M"))).when(kind == 2, F.concat(F.lit("10M4D"), n - 10, F.lit("M"))).when(
+        kind == 3, F.concat(F.lit("10M3I"), n - 15, F.lit("M2S"))).otherwise(F.concat(n, F.lit("M")))
+    a = reads(spark, d).select(
+        F.col("sample_id").alias("chrom"), (F.split_part("read_id", F.lit("_"), F.lit(2)).cast("bigint") * 80).alias("start"), "seq", cigar.alias("cigar"))
+    return rd.allele_fractions(a).withColumn("fraction", r("fraction", 9))
+
+
+@query("p35_trim_gaps", """
+    WITH p AS (SELECT read_id, sample_id, seq, unnest(range(0, length(seq) - 2)) AS i FROM c_reads),
+    o AS (SELECT read_id, seq, i, unnest(range(8, 13)) AS k FROM p),
+    w AS (SELECT read_id, i, min(levenshtein('ACGTACGTAC', seq[i + 1:i + k])) AS cost FROM o WHERE i + k <= length(seq) GROUP BY 1, 2),
+    h AS (SELECT read_id, i, min(levenshtein(left('ACGTACGTAC', CAST(l AS INTEGER)), seq[i + 1:]) + 2 - l // 5) AS cost FROM (SELECT *, unnest(range(3, 10)) AS l FROM p WHERE length(seq) - i <= 11) GROUP BY 1, 2),
+    b AS (SELECT read_id, i, min(cost) AS cost FROM (SELECT * FROM w UNION ALL SELECT * FROM h) WHERE cost <= 2 GROUP BY 1, 2),
+    f AS (SELECT *, min(i) OVER (PARTITION BY read_id) AS f FROM b),
+    c AS (SELECT read_id, arg_min(i, cost * 1000 + i) AS cut FROM f WHERE i <= f + 2 GROUP BY 1),
+    u AS (SELECT r.read_id, sample_id, left(seq, CAST(coalesce(cut, length(seq)) AS INTEGER)) AS seq FROM c_reads r LEFT JOIN c USING (read_id))
+    SELECT * FROM u WHERE length(seq) >= 31 AND length(seq) - length(replace(seq, 'N', '')) <= 0.2 * length(seq)""")
+def trim_gaps(spark, d):
+    """Two edits in the whole adapter, one in a prefix of five bases or more."""
+    return rd.trim_reads(reads(spark, d), adapter="ACGTACGTAC", max_n=0.2, errors=0.2, gaps=True).select("read_id", "sample_id", "seq")

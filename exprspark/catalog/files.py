@@ -193,7 +193,7 @@ def sam(spark, d):
     cigar = F.concat(F.lit("3S"), F.col("end") - F.col("start"), F.lit("M1I2D"))
     line = F.concat_ws("\t", "read_id", "flag", "chrom", F.col("start") + 1, "mapq", cigar, F.lit("="), F.col("start") + 8, "tlen", F.lit("*"), F.lit("*"))
     per_sample_text(a, line, path, F.lit("@HD\tVN:1.6\n@SQ\tSN:chr1\tLN:9"))
-    return rd.read_alignments(spark, f"{path}/*/*", SAMPLE_DIR).drop("seq")
+    return rd.read_alignments(spark, f"{path}/*/*", SAMPLE_DIR).drop("seq", "cigar")
 
 
 @query("s12_k4_bedgraph", """SELECT sample_id, chrom, "start", "end", value FROM c_depth WHERE value <> 0""")

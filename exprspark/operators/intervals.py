@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from exprspark.functions.stats import poisson_sf
-from exprspark.operators.ranking import bh_adjust, exact_quantiles, ordered_index, sweep
+from exprspark.operators.ranking import bh_adjust, exact_quantiles, sweep
 from exprspark.session import stage
 
 # Alignment flag bits.
@@ -28,6 +28,37 @@ def has_bits(flag: str | Column, bits: int) -> Column:
     return c.bitwiseAND(F.lit(bits)) == bits
 
 
+def cigar_blocks(cigar: Column, start: Column) -> Column:
+    """The aligned stretches of a record: an array of ``ref`` (position of the first base), ``at`` (its place in the read, from
+    1) and ``n`` (bases). Insertions and soft clips move along the read, deletions and skips along the reference.
+    """
+    def walk(state: Column, op: Column) -> Column:
+        n, kind = op.substr(F.lit(1), F.length(op) - 1).cast("int"), F.right(op, F.lit(1))
+        aligned, on_read, on_ref = kind.isin("M", "=", "X"), kind.isin("I", "S"), kind.isin("D", "N")
+        block = F.struct(state["ref"].alias("ref"), state["at"].alias("at"), n.alias("n"))
+        return F.struct(
+            (state["ref"] + F.when(aligned | on_ref, n).otherwise(0)).alias("ref"), (state["at"] + F.when(aligned | on_read, n).otherwise(0)).alias("at"),
+            F.when(aligned, F.concat(state["blocks"], F.array(block))).otherwise(state["blocks"]).alias("blocks"))
+
+    first = F.struct(start.cast("long").alias("ref"), F.lit(1).alias("at"), F.array().cast("array<struct<ref: bigint, at: int, n: int>>").alias("blocks"))
+    ops = F.regexp_extract_all(F.coalesce(cigar, F.lit("")), F.lit(r"(\d+[MIDNSHP=X])"), F.lit(1))
+    return F.aggregate(ops, first, walk, lambda state: state["blocks"])
+
+
+def _clipped(cigar: Column, pattern: str) -> Column:
+    found = F.regexp_extract_all(F.regexp_extract(F.coalesce(cigar, F.lit("")), pattern, 1), F.lit(r"(\d+)[SH]"), F.lit(1))
+    return F.aggregate(found, F.lit(0).cast("long"), lambda a, x: a + x.cast("long"))
+
+
+def five_prime(df: DataFrame) -> Column:
+    """The 5' end of a record: its start, or its end on the reverse strand. With a ``cigar`` column clipped bases are added back."""
+    start, end = F.col("start"), F.col("end")
+    if "cigar" in df.columns:
+        start = start - _clipped(F.col("cigar"), r"^((?:\d+[SH])+)")
+        end = end + _clipped(F.col("cigar"), r"((?:\d+[SH])+)$")
+    return F.when(F.col("strand") == "-", end).otherwise(start)
+
+
 def filter_alignments(
     df: DataFrame, min_mapq: int = 20, require: int = 0, remove: int = REMOVE_FLAGS, chrom: str | None = CHROMOSOMES
 ) -> DataFrame:
@@ -142,75 +173,121 @@ def average_tracks(tracks: DataFrame, n_tracks: int | None = None, tile: int = 1
     """Mean of all tracks on their common segments, absent stretches counting as zero.
 
     One sweep over all tracks at once, however many there are; values are summed as decimals of 15 places
-    and 21 digits before the point, so the running sum returns to exactly zero. A value beyond that fails.
+    and 22 digits before the point, so the running sum returns to exactly zero. A value beyond that fails.
     """
     n = tracks.agg(F.count_distinct("track")).scalar() if n_tracks is None else F.lit(n_tracks)
-    value = F.col("value").cast("decimal(28,16)")
+    value = F.col("value").cast("decimal(37,15)")
     seg = sweep(_events(tracks, ["chrom"], value), ["chrom"], ["delta"], tile=tile).filter("delta <> 0")
     return seg.select("chrom", "start", "end", (F.col("delta").cast("double") / n).alias("value"))
 
 
-def _counts_up_to(points: DataFrame, marks: DataFrame, tile: int) -> DataFrame:
-    """``chrom, pos, upto``: how many ``marks`` lie at or before each distinct position of ``points``.
+def _neighbour_codes(pieces: DataFrame, tile: int) -> DataFrame:
+    """``pieces`` with the codes of the piece before and of the piece behind (null at the ends of a sequence).
+
+    A window sees one tile of positions; the codes at the tiles' edges are carried over.
+    """
+    at = pieces.withColumn("_tile", F.floor(F.col("start") / F.lit(tile)))
+    inside = W.partitionBy("chrom", "_tile").orderBy("start")
+    order = W.partitionBy("chrom").orderBy("_tile")
+    edges = at.groupBy("chrom", "_tile").agg(F.max_by("c", "start").alias("last"), F.min_by("c", "start").alias("first")).select(
+        "chrom", "_tile", F.lag("last").over(order).alias("_before"), F.lead("first").over(order).alias("_behind"))
+    return at.withColumn("before", F.lag("c").over(inside)).withColumn("behind", F.lead("c").over(inside)).join(edges, ["chrom", "_tile"]).select(
+        *pieces.columns, F.coalesce("before", "_before").alias("before"), F.coalesce("behind", "_behind").alias("behind"))
+
 
-    Marks and points of one position are one row before any window; a window sees one tile of positions, and the
+def _running_at(points: DataFrame, events: DataFrame, sums: Sequence[str], xors: Sequence[str], tile: int) -> DataFrame:
+    """``chrom, pos`` of every distinct point with the running sums (exclusive-ors) of the events at or before it.
+
+    Events and points of one position are one row before any window; a window sees one tile of positions, and the
     totals of earlier tiles are carried over.
     """
-    both = points.select("chrom", "pos", F.lit(0).cast("long").alias("n"), F.lit(1).alias("asked")).unionByName(
-        marks.select("chrom", "pos", F.lit(1).cast("long").alias("n"), F.lit(0).alias("asked")))
-    at = both.groupBy("chrom", "pos").agg(F.sum("n").alias("n"), F.max("asked").alias("asked")).withColumn("_tile", F.floor(F.col("pos") / F.lit(tile)))
+    def total(c: str) -> Column:
+        return F.bit_xor(c) if c in xors else F.sum(c)
+
+    values = [*sums, *xors]
+    zero = [F.lit(0).cast("long").alias(c) for c in values]
+    both = points.select("chrom", "pos", *zero, F.lit(1).alias("asked")).unionByName(events.select("chrom", "pos", *values, F.lit(0).alias("asked")))
+    at = both.groupBy("chrom", "pos").agg(*[total(c).alias(c) for c in values], F.max("asked").alias("asked")).withColumn("_tile", F.floor(F.col("pos") / F.lit(tile)))
     inside = W.partitionBy("chrom", "_tile").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
     earlier = W.partitionBy("chrom").orderBy("_tile").rowsBetween(W.unboundedPreceding, -1)
-    carried = at.groupBy("chrom", "_tile").agg(F.sum("n").alias("_n")).select(
-        "chrom", "_tile", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    return (at.withColumn("_run", F.sum("n").over(inside)).join(carried, ["chrom", "_tile"]).filter("asked = 1")
-            .select("chrom", "pos", (F.col("_run") + F.col("_before")).alias("upto")))
+    carried = at.groupBy("chrom", "_tile").agg(*[total(c).alias(c) for c in values]).select(
+        "chrom", "_tile", *[F.coalesce(total(c).over(earlier), F.lit(0)).alias(f"_c_{c}") for c in values])
+    run = at.select("chrom", "_tile", "pos", "asked", *[total(c).over(inside).alias(c) for c in values]).join(carried, ["chrom", "_tile"]).filter("asked = 1")
+    return run.select("chrom", "pos", *[
+        (F.col(c).bitwiseXOR(F.col(f"_c_{c}")) if c in xors else F.col(c) + F.col(f"_c_{c}")).alias(c) for c in values])
+
+
+def _met(spots: DataFrame, intervals: DataFrame, tile: int) -> tuple[DataFrame, DataFrame]:
+    """``spots`` (with ``chrom, start, end``) with ``state`` and ``c``, the code of the only interval met; and codes with names.
+
+    The intervals are cut into disjoint pieces that know how many intervals cover them and, where it is one, which. Numbered
+    along the sequence, the pieces that a spot meets are a range. One sweep over piece edges and the spots' ends tells
+    the range's bounds, how many of its pieces are covered more than once, how often its code changes from piece to piece, and the code at its
+    end: so a spot costs two lookups, however many intervals or pieces it meets.
+    """
+    ids = stage(intervals.select("interval_id", "chrom", "start", "end").distinct())
+    names = stage(ids.select("interval_id").distinct().withColumn("c", F.monotonically_increasing_id() + 1))
+    if ids.count() > names.count():  # parts of one interval may overlap each other, which does not make a spot ambiguous
+        ids = merge_intervals(ids, ["interval_id", "chrom"], tile=tile)
+    edges = ids.join(names, "interval_id").select("chrom", "c", F.explode(F.array(
+        F.struct(F.col("start").alias("pos"), F.lit(1).cast("long").alias("k")),
+        F.struct(F.col("end").alias("pos"), F.lit(-1).cast("long").alias("k")),
+    )).alias("_e")).select("chrom", "_e.pos", "_e.k", "c")
+    # where exactly one interval covers a piece, the running exclusive-or of codes is that interval's code
+    pieces = _neighbour_codes(stage(sweep(edges, ["chrom"], ["k"], tile=tile, xors=["c"]).filter("k > 0")), tile)
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    many = F.when(F.col("k") > 1, one).otherwise(zero)
+    turned = F.when(F.col("before") != F.col("c"), one).otherwise(zero)  # the first piece of a sequence turns from nothing
+    turns = F.when(F.col("behind") != F.col("c"), one).otherwise(zero)
+    begin = [F.col("start").alias("pos"), one.alias("b"), many.alias("bm"), turned.alias("bt"), zero.alias("e"), zero.alias("em"), zero.alias("et"),
+             F.coalesce(F.col("c").bitwiseXOR(F.col("before")), "c").alias("x")]
+    end = [F.col("end").alias("pos"), zero.alias("b"), zero.alias("bm"), zero.alias("bt"), one.alias("e"), many.alias("em"), turns.alias("et"), zero.alias("x")]
+    events = pieces.select("chrom", F.explode(F.array(F.struct(*begin), F.struct(*end))).alias("_e")).select("chrom", "_e.*")
+    last = F.greatest("end", F.col("start") + 1) - 1
+    points = spots.select("chrom", F.explode(F.array(F.col("start"), last)).alias("pos"))
+    run = stage(_running_at(points, events, ["b", "bm", "bt", "e", "em", "et"], ["x"], tile))
+    low = run.select("chrom", F.col("pos").alias("start"), "e", "em", "et")
+    high = run.select("chrom", F.col("pos").alias("_last"), "b", "bm", "bt", "x")
+    at = spots.withColumn("_last", last).join(low, ["chrom", "start"], "left").join(high, ["chrom", "_last"], "left")
+    sole = (F.col("bm") == F.col("em")) & (F.col("bt") == F.col("et"))
+    state = F.when(F.coalesce(F.col("b") <= F.col("e"), F.lit(True)), "no_feature").when(sole, "assigned").otherwise("ambiguous")
+    told = at.withColumn("state", state).withColumn("c", F.when(F.col("state") == "assigned", F.col("x")))
+    return told.select(*spots.columns, "state", "c"), names
 
 
 def count_overlaps(
     reads: DataFrame, intervals: DataFrame, keys: Sequence[str] = ("sample_id",), by_start: bool = False,
-    tile: int = 1 << 20,
+    tile: int = 1 << 20, by_pair: bool = False,
 ) -> DataFrame:
-    """Reads per interval and key, plus the unassigned ones: ``keys, interval_id, n``.
+    """Reads per interval and key, plus the unassigned ones: ``keys, status, interval_id, n``.
 
-    ``intervals`` is ``interval_id, chrom, start, end``. A read that overlaps more than one interval
+    ``intervals`` is ``interval_id, chrom, start, end``; rows that share an ``interval_id`` are parts of one interval, and a
+    row that ends where it starts covers nothing. A read that overlaps more than one interval
     is ambiguous and not assigned (``interval_id`` null with status ``ambiguous``); one without an
     overlap has the status ``no_feature``. ``by_start`` counts by the 5' end only.
 
-    Equal reads are summed up first, and the intervals are cut into disjoint pieces that know how
-    many intervals cover them. Pieces are numbered along the chromosome, and counting piece ends before a read
-    gives the numbers of the first and last piece that it meets. So a read meets those pieces only, by equality,
-    however many intervals are stacked on one spot.
+    ``by_pair`` counts fragments: the records that share the keys and ``read_id``, on whatever chromosomes, are one. A
+    fragment meets what any of its records meets: one interval in all is assigned, more are ambiguous, whether one mate meets
+    them or both together.
+
+    Equal reads are summed up before they meet anything.
     """
     keys = list(keys)
     if by_start:
         five = F.when(F.col("strand") == "-", F.col("end") - 1).otherwise(F.col("start"))
         reads = reads.withColumn("_p", five).withColumn("start", F.col("_p")).withColumn("end", F.col("_p") + 1).drop("_p")
-    spots = stage(reads.groupBy(*keys, "chrom", "start", "end").agg(F.count(F.lit(1)).alias("n")))
-    ids = stage(intervals.select("interval_id", "chrom", "start", "end").distinct())
-    numbered = ordered_index(ids.select("interval_id").distinct(), [F.col("interval_id")], out="code")
-    marked = stage(ids.join(numbered, "interval_id"))
-    edges = marked.select("chrom", "code", F.explode(F.array(
-        F.struct(F.col("start").alias("pos"), F.lit(1).cast("long").alias("k")),
-        F.struct(F.col("end").alias("pos"), F.lit(-1).cast("long").alias("k")),
-    )).alias("_e")).select("chrom", "_e.pos", "_e.k", F.col("code").alias("c"))
-    # where exactly one interval covers a piece, the running exclusive-or of codes is that interval's code
-    pieces = stage(sweep(edges, ["chrom"], ["k"], tile=tile, xors=["c"]).filter("k > 0"))
-    begins, ends = pieces.select("chrom", F.col("start").alias("pos")), pieces.select("chrom", F.col("end").alias("pos"))
-    last = (F.greatest("end", F.col("start") + 1) - 1).alias("pos")
-    past = _counts_up_to(spots.select("chrom", F.col("start").alias("pos")), ends, tile).select("chrom", F.col("pos").alias("start"), F.col("upto").alias("past"))
-    upto = stage(_counts_up_to(spots.select("chrom", last).unionByName(begins), begins, tile))
-    p = pieces.join(upto, (pieces["chrom"] == upto["chrom"]) & (pieces["start"] == upto["pos"])).select(pieces["chrom"], F.col("upto").alias("ord"), "k", "c")
-    s = spots.withColumn("pos", last).join(upto, ["chrom", "pos"]).join(past, ["chrom", "start"]).filter("upto > past")
-    s = s.select(*keys, "chrom", "start", "end", F.explode(F.sequence(F.col("past") + 1, F.col("upto"))).alias("ord"))
-    hit = s.join(p, ["chrom", "ord"])
-    met = hit.groupBy(*keys, "chrom", "start", "end").agg(
-        F.max("k").alias("k"), F.min("c").alias("c"), (F.min("c") == F.max("c")).alias("same"))
-    found = spots.join(met, [*keys, "chrom", "start", "end"], "left")
-    sole = (F.col("k") == 1) & F.col("same")
-    status = F.when(F.col("k").isNull(), "no_feature").when(sole, "assigned").otherwise("ambiguous")
-    counted = found.groupBy(*keys, status.alias("status"), F.when(sole, F.col("c")).alias("c")).agg(F.sum("n").alias("n"))
-    names = marked.select(F.col("code").alias("c"), "interval_id").distinct()
+    if by_pair:
+        places = stage(reads.select("chrom", "start", "end").distinct())
+        told, names = _met(places, intervals, tile)
+        records = reads.join(stage(told), ["chrom", "start", "end"], "left")
+        found = records.groupBy(*keys, "read_id").agg(
+            F.min("c").alias("c"), ((F.min("c") != F.max("c")) | F.bool_or(F.col("state") == "ambiguous")).alias("several"))
+        status = F.when(F.coalesce("several", F.lit(False)), "ambiguous").when(F.col("c").isNotNull(), "assigned").otherwise("no_feature")
+        found = found.withColumn("state", status).withColumn("n", F.lit(1).cast("long")).withColumn("c", F.when(F.col("state") == "assigned", F.col("c")))
+    else:
+        spots = stage(reads.groupBy(*keys, "chrom", "start", "end").agg(F.count(F.lit(1)).alias("n")))
+        found, names = _met(spots, intervals, tile)
+    counted = found.groupBy(*keys, F.col("state").alias("status"), "c").agg(F.sum("n").alias("n"))
     return counted.join(names, "c", "left").select(*keys, "status", "interval_id", "n")
 
 
@@ -263,14 +340,13 @@ def mark_duplicate_pairs(alignments: DataFrame) -> DataFrame:
     """Flag both records of every pair but the first (by id) with the same two 5' ends; unmated reads pass unmarked.
 
     The mates of a pair share ``sample_id, read_id``. Where there are flags, records that are unmapped,
-    secondary or supplementary take no part. The 5' end is that of the aligned part: clipping is not undone.
+    secondary or supplementary take no part. Where there is a ``cigar``, 5' ends are those before clipping.
     The signature of a pair is built from both ends first; its kept pair is a pre-aggregated minimum.
     """
     part = alignments
     if "flag" in alignments.columns:
         part = alignments.filter(F.col("flag").bitwiseAND(F.lit(UNMAPPED | SECONDARY | SUPPLEMENTARY)) == 0)
-    five = F.when(F.col("strand") == "-", F.col("end")).otherwise(F.col("start"))
-    end = F.struct("chrom", five.alias("five"), "strand")
+    end = F.struct("chrom", five_prime(alignments).alias("five"), "strand")
     pairs = part.groupBy("sample_id", "read_id").agg(F.count(F.lit(1)).alias("_n"), F.min(end).alias("_a"), F.max(end).alias("_b")).filter("_n = 2")
     pairs = stage(pairs.drop("_n"))
     keepers = pairs.groupBy("sample_id", "_a", "_b").agg(F.min("read_id").alias("_first"))
@@ -283,12 +359,12 @@ def mark_duplicate_pairs(alignments: DataFrame) -> DataFrame:
 def mark_duplicates(alignments: DataFrame) -> DataFrame:
     """Flag every single read but the first (by id) with the same chromosome, 5' end and strand.
 
+    Where there is a ``cigar``, 5' ends are those before clipping.
     The kept read of each signature is a pre-aggregated minimum and is joined back by its unique
     id, so a signature shared by very many copies never gathers in one task.
     """
-    five = F.when(F.col("strand") == "-", F.col("end")).otherwise(F.col("start"))
     signature = ["sample_id", "chrom", "_five", "strand"]
-    keepers = alignments.withColumn("_five", five).groupBy(*signature).agg(F.min("read_id").alias("read_id"))
+    keepers = alignments.withColumn("_five", five_prime(alignments)).groupBy(*signature).agg(F.min("read_id").alias("read_id"))
     keepers = keepers.select("sample_id", "read_id").distinct().withColumn("_keep", F.lit(True))
     return alignments.join(keepers, ["sample_id", "read_id"], "left").withColumn(
         "is_duplicate", F.col("_keep").isNull()).drop("_keep").select(*alignments.columns, "is_duplicate")

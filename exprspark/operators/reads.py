@@ -9,12 +9,64 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from exprspark.operators.intervals import cigar_blocks
+
 # The common prefix of the sequencing adapters, and the transposase adapter.
 ADAPTER = "AGATCGGAAGAGC"
 TRANSPOSASE_ADAPTER = "CTGTCTCTTATACACATCT"
 
 
-def _cuts(seq: pa.Array, qual: pa.Array | None, adapter: str, min_overlap: int, errors: float, quality: int | None, block: int = 4096) -> np.ndarray:
+def _gapped_places(texts: list[bytes], keep: np.ndarray, adapter: str, min_overlap: int, errors: float) -> np.ndarray:
+    """Where the adapter begins in the kept part of every read, with insertions and deletions; ``keep`` where it does not.
+
+    The cost of a place is the least number of edits between the adapter and what follows the place, or, where the read ends
+    inside the adapter, between a prefix of ``n`` bases and the rest of the read, plus what ``n`` bases allow less than the whole
+    adapter does. A place fits at a cost of at most ``errors`` times the adapter's length. Of the first place that fits and
+    as many places behind it as errors are allowed, the one of least cost is taken, the first of equal ones.
+
+    Reads and adapter are walked from their ends. State i of a read is bit i: i bases of the reversed adapter are done; there is
+    one word of bits per number of errors, and one step of a whole block is a few operations on arrays of words.
+    """
+    m = len(adapter)
+    if m > 62:
+        raise ValueError("an adapter of more than 62 bases does not fit a word")
+    limit = int(m * errors + 1e-9)
+    word = np.uint64
+    mask = np.zeros(256, word)
+    for i, base in enumerate(adapter[::-1].encode()):
+        mask[base] |= word(1 << (i + 1))
+    # before the first base: i of the adapter's last bases hang over the read's end, or are left out at a cost
+    start = [limit + 1] * (m + 1)
+    for i in range(m + 1):
+        hang = limit - int((m - i) * errors + 1e-9) if m - i >= min_overlap or not i else limit + 1
+        start[i] = min(hang if i else 0, start[i - 1] + 1 if i else 0)
+    width = int(keep.max(initial=0))
+    reads = np.zeros((len(texts), width), np.uint8)
+    for row, (text, n) in enumerate(zip(texts, keep.tolist())):
+        reads[row, :n] = np.frombuffer(text, np.uint8)[:n][::-1]
+    state = [np.full(len(texts), sum(1 << i for i in range(m + 1) if start[i] <= k), word) for k in range(limit + 1)]
+    done, one = word(1 << m), word(1)
+    cost = np.full((len(texts), width + 1), limit + 1, np.int64)  # by number of bases from the read's end
+    for j in range(width):
+        fits = mask[reads[:, j]]
+        before = None
+        for k in range(limit + 1):
+            old = state[k]
+            new = (old << one) & fits | one
+            if k:
+                new |= before | before << one | state[k - 1] << one  # extra base in the read, other base, missing base
+            before, state[k] = old, new
+            hit = (new & done != 0) & (cost[:, j + 1] > k)
+            cost[hit, j + 1] = k
+    cost[np.arange(width + 1) > keep[:, None]] = limit + 1
+    place = keep[:, None] - np.arange(width + 1)
+    first = np.where(cost <= limit, place, width + 1).min(axis=1, initial=width + 1)
+    near = (cost <= limit) & (place >= first[:, None]) & (place <= first[:, None] + limit)
+    best = np.where(near, cost * (width + 2) + place, (limit + 2) * (width + 2)).min(axis=1, initial=(limit + 2) * (width + 2))
+    return np.where(first <= width, best % (width + 2), keep)
+
+
+def _cuts(seq: pa.Array, qual: pa.Array | None, adapter: str, min_overlap: int, errors: float, quality: int | None, gaps: bool = False, block: int = 4096) -> np.ndarray:
     """Bases to keep of every read: before the first place where the adapter fits, after quality trimming.
 
     All reads of a block are one padded matrix, compared with the adapter one base at a time.
@@ -36,6 +88,9 @@ def _cuts(seq: pa.Array, qual: pa.Array | None, adapter: str, min_overlap: int,
             best = tail.max(axis=1, initial=0)
             first = np.where(tail == best[:, None], np.arange(width), width).min(axis=1, initial=width)
             keep = np.where(best > 0, np.minimum(keep, first), keep)
+        if gaps:
+            out[at:at + block] = _gapped_places(texts, keep, adapter, min_overlap, errors)
+            continue
         bases = np.frombuffer(b"".join(x.ljust(width + want.size, b"\0") for x in texts), np.uint8).reshape(len(texts), -1)
         wrong = np.zeros((len(texts), width), np.int32)
         for j, base in enumerate(want.tolist()):
@@ -49,12 +104,12 @@ def _cuts(seq: pa.Array, qual: pa.Array | None, adapter: str, min_overlap: int,
 
 def trim_reads(
     reads: DataFrame, adapter: str = ADAPTER, min_overlap: int = 3, min_length: int = 31,
-    max_n: float = 0.1, paired: bool = False, errors: float = 0.0, quality: int | None = None,
+    max_n: float = 0.1, paired: bool = False, errors: float = 0.0, quality: int | None = None, gaps: bool = False,
 ) -> DataFrame:
     """Cut the adapter (whole, or a prefix of it at the 3' end), then drop short and N-rich reads.
 
-    ``errors`` is the share of the overlap that may differ (substitutions; insertions are not sought), and the first place
-    that fits is cut. ``quality`` first cuts the 3' end whose scores stay furthest below that limit in sum. Exact
+    ``errors`` is the share of the overlap that may differ, and the first place that fits is cut. Differences are substitutions,
+    with ``gaps`` also insertions and deletions (see :func:`_gapped_places`). ``quality`` first cuts the 3' end whose scores stay furthest below that limit in sum. Exact
     matches without quality trimming are one regular expression, the rest is compared in Arrow batches. With ``paired``
     both mates must pass.
     """
@@ -63,7 +118,7 @@ def trim_reads(
 
         @F.arrow_udf("int")
         def keep(seq: pa.Array, qual: pa.Array) -> pa.Array:
-            return pa.array(_cuts(seq, qual if has_quality else None, adapter, min_overlap, errors, quality), pa.int32())
+            return pa.array(_cuts(seq, qual if has_quality else None, adapter, min_overlap, errors, quality, gaps), pa.int32())
 
         t = reads.withColumn("_keep", keep("seq", F.col("qual") if has_quality else F.col("seq")))
         t = t.withColumn("seq", F.substring("seq", F.lit(1), F.col("_keep")))
@@ -158,12 +213,19 @@ def length_histogram(reads: DataFrame) -> DataFrame:
 def allele_fractions(
     alignments: DataFrame, min_coverage: int = 20, min_minor: int = 4, min_fraction: float = 0.1
 ) -> DataFrame:
-    """Base counts per position and the share of the second base; ``alignments`` is ``chrom, start, seq``.
+    """Base counts per position and the share of the second base; ``alignments`` is ``chrom, start, seq[, cigar]``.
 
+    With a ``cigar``, bases are placed by its aligned stretches: clipped and inserted bases have no place, deletions and
+    skips move what follows; a record whose ``cigar`` is null is left out. Without one the whole read is aligned.
     Kept are positions with enough coverage, minor bases and minor share. Equal alignments are
     counted once with a weight before their bases become rows.
     """
-    copies = alignments.groupBy("chrom", "start", "seq").agg(F.count(F.lit(1)).alias("w"))
+    if "cigar" in alignments.columns:
+        copies = alignments.groupBy("chrom", "start", "cigar", "seq").agg(F.count(F.lit(1)).alias("w"))
+        parts = copies.select("chrom", "seq", "w", F.explode(cigar_blocks(F.col("cigar"), F.col("start"))).alias("_b"))
+        copies = parts.select("chrom", F.col("_b.ref").alias("start"), F.substring("seq", F.col("_b.at"), F.col("_b.n")).alias("seq"), "w")
+    else:
+        copies = alignments.groupBy("chrom", "start", "seq").agg(F.count(F.lit(1)).alias("w"))
     bases = copies.select("chrom", "start", "w", F.posexplode(F.split("seq", "")).alias("o", "base"))
     by_base = bases.groupBy("chrom", (F.col("start") + F.col("o")).alias("pos")).agg(
         *[F.sum(F.when(F.col("base") == x, F.col("w")).otherwise(0)).alias(x.lower()) for x in "ACGT"])

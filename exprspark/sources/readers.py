@@ -201,7 +201,7 @@ def read_alignments(spark: SparkSession, path: str, name: str = r"([^/]+?)\.sam(
         (F.col("_3").cast("long") - 1 + length).alias("end"), F.when(flag.bitwiseAND(F.lit(16)) != 0, "-").otherwise("+").alias("strand"),
         F.col("_4").cast("int").alias("mapq"), flag.alias("flag"), F.col("_8").cast("int").alias("tlen"),
         F.when(F.col("_6") == "=", F.col("_2")).when(F.col("_6") != "*", F.col("_6")).alias("mate_chrom"),
-        (F.col("_7").cast("long") - 1).alias("mate_start"), F.col("_9").alias("seq"))
+        (F.col("_7").cast("long") - 1).alias("mate_start"), F.col("_9").alias("seq"), F.when(F.col("_5") != "*", F.col("_5")).alias("cigar"))
 
 
 _INTERVALS = {
