@@ -1,7 +1,7 @@
-"""Two-group differential expression: a negative-binomial GLM per feature and a two-part model for cells.
+"""Two-group differential expression: a negative-binomial GLM per feature, and cells summed to samples for it.
 
-Spark groups the data so that a task gets one block of features; the fits inside a block are numpy
-expressions over the whole block. Only per-sample constants and a handful of grid sums are held
+Spark gathers each feature's counts; a task fits some features at a time as numpy
+expressions over a dense block of them. Only per-sample constants and a handful of grid sums are held
 outside of the tasks.
 
 The dispersion estimator is defined here and makes no claim of equality with any other package:
@@ -12,6 +12,7 @@ log-spaced grid, and each feature maximizes its own curve plus ``prior_n`` times
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -19,12 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from exprspark.functions.stats import chi2_sf
+from exprspark.operators.hurdle import hurdle_de  # noqa: F401  (the cell-level test next to the sample-level one)
 from exprspark.operators.normalize import effective_library
 from exprspark.operators.ranking import bh_adjust
-from exprspark.session import spread, stage
+from exprspark.session import stage
 
 GRID = np.exp(np.linspace(math.log(1e-4), math.log(10.0), 21))
-BLOCK_CELLS = 1_000_000  # features x samples of one task's dense block
+PART_CELLS, BLOCK_CELLS = 1_000_000, 100_000  # features x samples of one partition, and of one dense block in it
 MAX_SAMPLES = 100_000
 
 
@@ -125,34 +127,36 @@ def differential_expression(
     n = len(info)
     index = matrix.sparkSession.createDataFrame(
         pd.DataFrame({"sample_id": info["sample_id"], "idx": np.arange(n)}), "sample_id string, idx int")
-    # A feature is one array of at most n entries; a block is a bounded number of features.
-    rows = matrix.join(F.broadcast(index), "sample_id").groupBy("feature_id").agg(
-        F.collect_list(F.struct("idx", "count")).alias("c"))
-    n_features = max(1, matrix.agg(F.approx_count_distinct("feature_id")).first()[0])
-    n_blocks = max(32, math.ceil(n_features * n / BLOCK_CELLS))
-    blocked = stage(rows.select(
-        F.pmod(F.xxhash64("feature_id"), F.lit(n_blocks)).cast("int").alias("block"), "feature_id",
-        F.col("c.idx").alias("idx"), F.col("c.count").alias("cnt")))
+    # A feature is one array of at most n entries; a task turns a few features at a time into a dense block.
+    rows = matrix.join(F.broadcast(index), "sample_id").groupBy("feature_id").agg(F.collect_list(F.struct("idx", "count")).alias("c"))
+    rows = rows.select("feature_id", F.col("c.idx").alias("idx"), F.col("c.count").cast("array<double>").alias("cnt"))
+    n_features = matrix.agg(F.approx_count_distinct("feature_id")).first()[0]
+    rows = rows.repartition(max(4 * matrix.sparkSession.sparkContext.defaultParallelism, math.ceil(n_features * n / PART_CELLS)), "feature_id")
+    step = max(1, BLOCK_CELLS // max(n, 1))
 
     def dense(pdf: pd.DataFrame) -> np.ndarray:
         y = np.zeros((len(pdf), n))
-        for i, (idx, cnt) in enumerate(zip(pdf["idx"], pdf["cnt"])):
-            y[i, idx] = cnt
+        size = [len(x) for x in pdf["idx"]]
+        y[np.repeat(np.arange(len(pdf)), size), np.concatenate(pdf["idx"].to_list())] = np.concatenate(pdf["cnt"].to_list())
         return y
 
+    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for i in range(0, len(pdf), step):
+                yield pdf.iloc[i:i + step]
+
     mean_curve = None
     if dispersion is None:
-        def curves(pdf: pd.DataFrame) -> pd.DataFrame:
-            step = max(1, 100_000 // n)
-            parts = [_profiles(dense(pdf.iloc[i : i + step]), sizes, group) for i in range(0, len(pdf), step)]
-            return pdf.assign(curve=list(np.concatenate(parts)))
+        def curves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in parts(batches):
+                yield pdf.assign(curve=list(_profiles(dense(pdf), sizes, group)))
 
-        fields = "block int, feature_id string, idx array<int>, cnt array<double>, curve array<double>"
-        blocked = stage(spread(blocked, "block", groups=n_blocks).groupBy("block").applyInPandas(curves, fields))
-        mean_curve = np.array(blocked.agg(*[F.avg(F.col("curve")[i]) for i in range(len(GRID))]).first(), dtype=float)
+        # the one table that is written: its mean curve is needed before any fit
+        rows = stage(rows.mapInPandas(curves, "feature_id string, idx array<int>, cnt array<double>, curve array<double>"))
+        mean_curve = np.array(rows.agg(*[F.avg(F.col("curve")[i]) for i in range(len(GRID))]).first(), dtype=float)
     prior_n = prior_df / max(n - 2, 1)
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+    def fit_part(pdf: pd.DataFrame) -> pd.DataFrame:
         y = dense(pdf)
         if dispersion is not None:
             phi = np.full(len(y), float(dispersion))
@@ -173,8 +177,11 @@ def differential_expression(
             "lr": np.maximum(2 * (full - null), 0.0), "dispersion": phi,
         })
 
-    fitted = spread(blocked, "block", groups=n_blocks).groupBy("block").applyInPandas(
-        fit, "feature_id string, log_fc double, log_cpm double, lr double, dispersion double")
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts(batches):
+            yield fit_part(pdf)
+
+    fitted = rows.mapInPandas(fit, "feature_id string, log_fc double, log_cpm double, lr double, dispersion double")
     tested = bh_adjust(fitted.withColumn("p_value", chi2_sf(F.col("lr"))))
     return tested.select("feature_id", "log_fc", "log_cpm", "lr", "p_value", "fdr", "dispersion")
 
@@ -183,112 +190,3 @@ def pseudobulk(matrix: DataFrame, cells: DataFrame) -> DataFrame:
     """Sum cells to samples, the sample-level form of a random intercept per sample."""
     return matrix.join(cells.select("cell_id", "sample_id"), "cell_id").groupBy("feature_id", "sample_id").agg(
         F.sum("count").alias("count"))
-
-
-def _logistic(x: np.ndarray, n: np.ndarray, k: np.ndarray):
-    """Grouped logistic regression: coefficients, deviance-type log likelihood, covariance, success."""
-    beta = np.zeros(x.shape[1])
-    rate = np.clip(k.sum() / n.sum(), 1e-6, 1 - 1e-6)
-    beta[0] = math.log(rate / (1 - rate))
-    cov = None
-    for _ in range(50):
-        eta = np.clip(x @ beta, -30, 30)
-        mu = 1 / (1 + np.exp(-eta))
-        w = n * mu * (1 - mu)
-        info = (x * w[:, None]).T @ x
-        try:
-            cov = np.linalg.inv(info)
-        except np.linalg.LinAlgError:
-            return beta, -math.inf, None, False
-        step = cov @ (x.T @ (k - n * mu))
-        beta = beta + np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-9:
-            break
-    eta = x @ beta
-    ll = float((k * -np.logaddexp(0, -eta) + (n - k) * -np.logaddexp(0, eta)).sum())
-    ok = bool(np.isfinite(ll)) and np.abs(beta).max() < 25
-    return beta, ll, cov, ok
-
-
-def _gaussian(x: np.ndarray, k: np.ndarray, s: np.ndarray, ss: float):
-    """Least squares from sums per covariate pattern: coefficients, residual sum, covariance, success."""
-    info = (x * k[:, None]).T @ x
-    total = k.sum()
-    if total <= x.shape[1] or np.linalg.matrix_rank(info) < x.shape[1]:
-        return None, math.nan, None, False
-    inv = np.linalg.inv(info)
-    beta = inv @ (x.T @ s)
-    rss = max(float(ss - beta @ (x.T @ s)), 0.0)
-    return beta, rss, inv * rss / (total - x.shape[1]), rss > 1e-12 * max(ss, 1.0)
-
-
-def hurdle_de(
-    matrix: DataFrame, cells: DataFrame, ref: str, trt: str, covariates: tuple[str, ...] = (),
-    value: str = "count", max_patterns: int = 1_000_000,
-) -> DataFrame:
-    """Two-part model per feature: logistic on detection and Gaussian on the values of detecting cells.
-
-    The two likelihood-ratio statistics of the group term are added (two degrees of freedom where
-    both parts can be fitted, else one). Covariates are fixed effects; the random intercept per
-    sample is re-aimed as :func:`pseudobulk` plus :func:`differential_expression`.
-
-    Cells with equal covariates are one pattern. Counts, sums and sums of squares per (feature,
-    pattern) are sufficient for both parts, so cells are summed up map-side and no task ever holds
-    the cells of a feature. Returns ``feature_id, log_fc, ci_low, ci_high, statistic, df, pct_ref,
-    pct_trt, p_value, fdr``; a feature that cannot be fitted has ``df`` 0 and null statistics.
-    """
-    x = cells.filter(F.col("group").isin(ref, trt)).withColumn("trt", F.when(F.col("group") == trt, 1.0).otherwise(0.0))
-    terms = ["trt", *covariates]
-    patterns = stage(x.groupBy(*terms).agg(F.count(F.lit(1)).alias("n")))
-    pats = patterns.orderBy(*terms).limit(max_patterns + 1).toPandas()
-    if len(pats) > max_patterns:
-        raise ValueError("covariates have too many distinct combinations; round or bin them")
-    pats["pattern"] = np.arange(len(pats), dtype="int32")
-    # the same value gives the same bits on the way out and back, so the join is exact
-    pat_df = matrix.sparkSession.createDataFrame(pats[[*terms, "pattern"]])
-    key = x.join(F.broadcast(pat_df), terms).select("cell_id", "pattern")
-    design_x = np.column_stack([np.ones(len(pats)), pats[terms].to_numpy(float)])
-    n_cells = pats["n"].to_numpy(float)
-    v = F.col(value)
-    sums = matrix.filter(v > 0).join(key, "cell_id").groupBy("feature_id", "pattern").agg(
-        F.count(F.lit(1)).alias("k"), F.sum(v).alias("s"), F.sum(v * v).alias("ss"))
-    n_features = max(1, matrix.agg(F.approx_count_distinct("feature_id")).first()[0])
-    n_blocks = max(32, math.ceil(n_features * len(pats) / BLOCK_CELLS))
-    in_trt = design_x[:, 1] == 1
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for feature, g in pdf.groupby("feature_id", sort=False):
-            k, s = np.zeros(len(n_cells)), np.zeros(len(n_cells))
-            k[g["pattern"]], s[g["pattern"]] = g["k"], g["s"]
-            ss = float(g["ss"].sum())
-            keep = np.arange(design_x.shape[1]) != 1
-            b1, l1, v1, d_ok = _logistic(design_x, n_cells, k)
-            _, l0, _, d_ok0 = _logistic(design_x[:, keep], n_cells, k)
-            d_ok = d_ok and d_ok0
-            c1, r1, w1, c_ok = _gaussian(design_x, k, s, ss)
-            _, r0, _, c_ok0 = _gaussian(design_x[:, keep], k, s, ss)
-            c_ok = c_ok and c_ok0
-            stat = (max(2 * (l1 - l0), 0.0) if d_ok else 0.0) + (max(k.sum() * math.log(r0 / r1), 0.0) if c_ok else 0.0)
-            if not (d_ok or c_ok):
-                stat = math.nan
-            fc, half = math.nan, math.nan
-            if d_ok and c_ok:
-                # expected value at the reference and at the treated level, covariates at their means
-                base = (design_x * n_cells[:, None]).sum(axis=0) / n_cells.sum()
-                lo, hi = base.copy(), base.copy()
-                lo[1], hi[1] = 0.0, 1.0
-                p = [1 / (1 + math.exp(-float(q @ b1))) for q in (lo, hi)]
-                m = [float(q @ c1) for q in (lo, hi)]
-                fc = p[1] * m[1] - p[0] * m[0]
-                gd = hi * m[1] * p[1] * (1 - p[1]) - lo * m[0] * p[0] * (1 - p[0])
-                gc = hi * p[1] - lo * p[0]
-                half = 1.959963984540054 * math.sqrt(max(float(gd @ v1 @ gd + gc @ w1 @ gc), 0.0))
-            out.append((feature, fc, fc - half, fc + half, stat, int(d_ok) + int(c_ok),
-                        k[~in_trt].sum() / n_cells[~in_trt].sum(), k[in_trt].sum() / n_cells[in_trt].sum()))
-        return pd.DataFrame(out, columns=["feature_id", "log_fc", "ci_low", "ci_high", "statistic", "df", "pct_ref", "pct_trt"])
-
-    blocked = sums.withColumn("block", F.pmod(F.xxhash64("feature_id"), F.lit(n_blocks)))
-    fitted = spread(blocked, "block", groups=n_blocks).groupBy("block").applyInPandas(
-        fit, "feature_id string, log_fc double, ci_low double, ci_high double, statistic double, df int, pct_ref double, pct_trt double")
-    return bh_adjust(fitted.withColumn("p_value", chi2_sf(F.col("statistic"), F.col("df"))))
