@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -63,46 +65,88 @@ def enrichment_scores(running: DataFrame) -> DataFrame:
     )
 
 
+def _extremes(pos: np.ndarray, w: np.ndarray, n: int, sizes: list[int]) -> list[float]:
+    """The score of the first m drawn positions for every m of ``sizes``."""
+    out = []
+    for m in sizes:
+        o = np.argsort(pos[:m])
+        r, x = pos[:m][o], w[:m][o]
+        cum = np.cumsum(x)
+        if len(r) < m or cum[-1] <= 0 or n == m:
+            out.append(0.0)
+            continue
+        miss = (r - np.arange(1, m + 1)) / (n - m)
+        top = np.round((cum / cum[-1] - miss).max(), DIGITS)
+        low = np.round(((cum - x) / cum[-1] - miss).min(), DIGITS)
+        out.append(top if top >= -low else low)
+    return out
+
+
+def _score_batches(n: int, sizes: list[int]):
+    """Reads draws sorted by permutation and hash, gives ``perm, m, es``. One permutation's draws are held at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        perm, held = None, []
+
+        def scored() -> pa.RecordBatch:
+            es = _extremes(np.concatenate([p for p, _ in held]), np.concatenate([w for _, w in held]), n, sizes)
+            return pa.record_batch([pa.array([perm] * len(sizes), pa.int32()), pa.array(sizes, pa.int32()), pa.array(es, pa.float64())], ["perm", "m", "es"])
+
+        for b in batches:
+            at = b.column("perm").to_numpy()
+            pos, w = b.column("pos").to_numpy(), b.column("w").to_numpy()
+            cuts = [0, *(np.flatnonzero(at[1:] != at[:-1]) + 1).tolist(), len(at)]
+            for i, j in zip(cuts, cuts[1:]):
+                if i == j:
+                    continue
+                if perm != at[i]:
+                    if held:
+                        yield scored()
+                    perm, held = int(at[i]), []
+                held.append((pos[i:j], w[i:j]))
+        if held:
+            yield scored()
+
+    return run
+
+
 def null_scores(ranked: DataFrame, sizes: list[int], nperm: int, seed: int = 1) -> DataFrame:
-    """``m, null_es`` (an array of ``nperm`` scores) for every distinct set size.
+    """``perm, m, es`` for every permutation and distinct set size.
 
     A permutation orders the positions by a hash of (seed, permutation, position), so it does not
-    depend on the partitioning; the m first positions are the random set of size m. Every task keeps
-    only the largest set's worth of positions per permutation before the shuffle.
+    depend on the partitioning; the m first positions are the random set of size m. Hashes are uniform, so a bound on them
+    keeps little more than the largest set's worth of positions before anything is sorted; should a permutation keep fewer
+    than the largest set needs, the bound is doubled.
     """
-    biggest = max(sizes)
-    total = ranked.agg(F.count(F.lit(1))).scalar()
+    biggest, n = max(sizes), ranked.count()
     perms = spread(ranked, "rank").select(
-        F.col("rank").alias("pos"), F.abs("score").alias("w"), total.alias("n"),
-        F.explode(F.sequence(F.lit(1), F.lit(nperm))).alias("perm"),
-    ).withColumn("h", F.substring(F.md5(F.concat_ws(":", F.lit(seed), "perm", "pos").cast("binary")), 1, 16))
-    order = F.row_number().over(W.partitionBy("perm").orderBy("h", "pos"))
-    drawn = perms.withColumn("k", order).filter(F.col("k") <= biggest)
-    wanted = sorted(sizes)
-
-    def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("k")
-        pos, w, n = pdf["pos"].to_numpy(), pdf["w"].to_numpy(), int(pdf["n"].iloc[0])
-        out = []
-        for m in wanted:
-            o = np.argsort(pos[:m])
-            r, x = pos[:m][o], w[:m][o]
-            cum = np.cumsum(x)
-            if len(r) < m or cum[-1] <= 0 or n == m:
-                out.append(0.0)
-                continue
-            miss = (r - np.arange(1, m + 1)) / (n - m)
-            top = np.round((cum / cum[-1] - miss).max(), DIGITS)
-            low = np.round(((cum - x) / cum[-1] - miss).min(), DIGITS)
-            out.append(top if top >= -low else low)
-        return pd.DataFrame({"perm": int(pdf["perm"].iloc[0]), "m": wanted, "es": out})
-
-    es = spread(drawn.select("perm", "pos", "w", "n", "k"), "perm", groups=nperm).groupBy("perm").applyInPandas(score, "perm int, m int, es double")
-    return es.groupBy("m").agg(F.collect_list("es").alias("null_es"))
-
-
-def _same_sign(es: Column):
-    return lambda x: F.when(es >= 0, x >= 0).otherwise(x < 0)
+        F.col("rank").alias("pos"), F.abs("score").alias("w"), F.explode(F.sequence(F.lit(1), F.lit(nperm))).alias("perm"))
+    hashed = perms.withColumn("h", F.substring(F.md5(F.concat_ws(":", F.lit(seed), "perm", "pos").cast("binary")), 1, 16))
+    need, share = min(biggest, n), (biggest + 8 * biggest**0.5 + 32) / max(n, 1)
+    while True:
+        drawn = hashed if share >= 1 else hashed.filter(F.col("h") < f"{int(share * 2**64):016x}")
+        drawn = stage(drawn)
+        least = drawn.groupBy("perm").agg(F.count(F.lit(1)).alias("k")).agg(F.min("k").alias("k"), F.count(F.lit(1)).alias("perms")).first()
+        if share >= 1 or (least["perms"] == nperm and least["k"] >= need):
+            break
+        share *= 2
+    sorted_draws = spread(drawn, "perm", groups=nperm).sortWithinPartitions("perm", "h", "pos").select("perm", "pos", "w")
+    return sorted_draws.mapInArrow(_score_batches(n, sorted(sizes)), "perm int, m int, es double")
+
+
+def _against_null(scores: DataFrame, null: DataFrame) -> DataFrame:
+    """``set_size, es`` of every score with how many null scores of its size and sign there are, their mean, and how many reach it.
+
+    Scores and null scores of one size and sign are walked together from the most extreme one down.
+    """
+    sign = (F.col("es") >= 0).alias("up")
+    null = null.select(F.col("m").cast("long").alias("set_size"), sign, F.abs("es").alias("a"), F.lit(1).alias("is_null"), F.col("es"))
+    asked = scores.select(F.col("set_size").cast("long").alias("set_size"), sign, F.abs("es").alias("a"), F.lit(0).alias("is_null"), "es").distinct()
+    walk = W.partitionBy("set_size", "up").orderBy(F.desc("a"), F.desc("is_null")).rowsBetween(W.unboundedPreceding, 0)
+    reached = null.unionByName(asked).withColumn("more", F.sum("is_null").over(walk)).filter("is_null = 0")
+    totals = null.groupBy("set_size", "up").agg(F.count(F.lit(1)).alias("same"), F.avg("a").alias("mean_abs"))
+    return reached.join(totals, ["set_size", "up"], "left").select(
+        "set_size", "es", "more", F.coalesce("same", F.lit(0)).alias("same"), "mean_abs")
 
 
 def gsea(
@@ -113,18 +157,13 @@ def gsea(
     ranked = stage(ranked.select("feature_id", "score", "rank"))
     scores = stage(enrichment_scores(running_score(ranked, gene_sets, min_size, max_size)))
     sizes = [row["set_size"] for row in scores.select("set_size").distinct().collect()]  # at most max_size values
-    empty = F.array().cast("array<double>")
     if sizes:
-        null = null_scores(ranked, sizes, nperm, seed).withColumnRenamed("m", "set_size")
-        t = scores.join(null.withColumn("set_size", F.col("set_size").cast("long")), "set_size")
+        told = _against_null(scores, stage(null_scores(ranked, sizes, nperm, seed)))
     else:
-        t = scores.withColumn("null_es", empty)
-    es = F.col("es")
-    t = t.withColumn("same", F.filter("null_es", _same_sign(es)))
-    more = F.size(F.filter("same", lambda x: F.abs(x) >= F.abs(es)))
-    mean_abs = F.aggregate("same", F.lit(0.0), lambda a, x: a + F.abs(x)) / F.size("same")
-    t = t.withColumn("p_value", (1 + more) / (1 + F.size("same")))
-    t = t.withColumn("nes", F.when(F.size("same") > 0, es / mean_abs)).drop("same", "null_es")
+        told = scores.select("set_size", "es", F.lit(0).alias("more"), F.lit(0).alias("same"), F.lit(0.0).alias("mean_abs"))
+    t = scores.join(told, ["set_size", "es"])
+    t = t.withColumn("p_value", (1 + F.col("more")) / (1 + F.col("same")))
+    t = t.withColumn("nes", F.when(F.col("same") > 0, F.col("es") / F.col("mean_abs"))).drop("same", "more", "mean_abs")
     t = bh_adjust(t, by=["collection"], out="p_adjust")
     return storey_q(t, ["collection"]).select(
         "collection", "term_id", "set_size", "es", "nes", "p_value", "p_adjust", "q_value",
