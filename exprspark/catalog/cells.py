@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from exprspark.catalog import enrichment  # noqa: F401  (defines the cell CTEs)
 from exprspark.catalog.registry import cte, query, r
 from exprspark.operators import cells as cl
+from exprspark.operators import communities as communities_of
 from exprspark.operators import normalize
 from exprspark.plans import inputs
 from exprspark.plans.inputs import table
@@ -188,3 +189,24 @@ def cluster(spark, d):
 @query("a36_neighbour_communities")
 def communities(spark, d):
     return cl.neighbour_communities(stage(inputs.vectors(spark, d)))
+
+
+cte("c_near", """
+    WITH d AS (SELECT q.vec_id :: VARCHAR AS a, x.vec_id :: VARCHAR AS b, row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_distance(q.embedding :: DOUBLE[], x.embedding :: DOUBLE[]), 9), x.vec_id :: VARCHAR) AS place
+        FROM embeddings q, embeddings x)
+    SELECT a, b FROM d WHERE place <= 20 UNION SELECT vec_id :: VARCHAR, vec_id :: VARCHAR FROM embeddings""")
+
+
+@query("a36_shared_neighbours", """
+    WITH s AS (SELECT a, list(b) AS s FROM c_near GROUP BY 1), p AS (SELECT DISTINCT least(a, b) AS a, greatest(a, b) AS b FROM c_near WHERE a <> b),
+    w AS (SELECT p.a, p.b, len(list_intersect(x.s, y.s)) AS n, len(x.s) + len(y.s) AS total FROM p JOIN s x ON x.a = p.a JOIN s y ON y.a = p.b)
+    SELECT a, b, CAST(round(n / (total - n) * 1000000) AS BIGINT) AS w FROM w WHERE n / (total - n) > 1 / 15""")
+def shared_neighbours(spark, d):
+    """The weighted neighbour graph that the communities are found in."""
+    return communities_of.shared_neighbours(stage(inputs.vectors(spark, d).select("cell_id", "vec")))
+
+
+@query("a36_modularity_clusters")
+def modularity_clusters(spark, d):
+    """Clusters at the default resolution."""
+    return communities_of.modularity_clusters(inputs.vectors(spark, d))

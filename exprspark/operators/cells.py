@@ -14,6 +14,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from exprspark.functions.stats import normal_two_sided
 from exprspark.operators.ranking import average_rank, bh_adjust, exact_quantiles, value_ranks
@@ -208,59 +209,109 @@ def _euclid(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(d, 0))
 
 
+PIVOT_VALUES = 1 << 24  # numbers in all pivots that are broadcast together (128 MB)
+
+
+class _Tree:
+    """Two levels of pivots for every key: a few top pivots, and under each the pivots nearest to it."""
+
+    def __init__(self, pivots: pd.DataFrame):
+        self.keys: dict[str, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
+        self.size = len(pivots)
+        first = 0
+        for key, part in pivots.groupby("key", sort=True):
+            centre = np.stack(part["rv"].to_numpy()).astype(float)
+            tops = centre[: max(1, int(len(centre) ** 0.5))]
+            owner = _euclid(centre, tops).argmin(axis=1)
+            ids = np.arange(first, first + len(centre), dtype=np.int32)
+            first += len(centre)
+            self.keys[key] = [(tops[t], centre[owner == t], ids[owner == t]) for t in range(len(tops)) if (owner == t).any()]
+
+    def place(self, key: str, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pivot that each vector belongs to, by way of its nearest top; distances to the pivot and to the top."""
+        branches = self.keys[key]
+        far = _euclid(x, np.stack([top for top, _, _ in branches]))
+        at = far.argmin(axis=1)
+        pivot, near = np.empty(len(x), np.int32), np.empty(len(x))
+        for t in np.unique(at):
+            rows = np.flatnonzero(at == t)
+            d = _euclid(x[rows], branches[t][1])
+            pivot[rows], near[rows] = branches[t][2][d.argmin(axis=1)], d.min(axis=1)
+        return pivot, near, far[np.arange(len(x)), at]
+
+    def reach(self, key: str, x: np.ndarray, bound: np.ndarray, radius: np.ndarray, cover: np.ndarray) -> list[np.ndarray]:
+        """Pivots whose ball may hold something within ``bound``; a top whose cover is out of reach closes all of its pivots."""
+        found: list[list[np.ndarray]] = [[] for _ in x]
+        for top, centre, ids in self.keys[key]:
+            rows = np.flatnonzero(_euclid(x, top[None])[:, 0] - cover[ids].max() <= bound + 1e-6)
+            if rows.size:
+                open_ = (_euclid(x[rows], centre) - radius[ids] <= bound[rows, None] + 1e-6) & np.isfinite(radius[ids])
+                for i, o in zip(rows.tolist(), open_):
+                    if o.any():
+                        found[i].append(ids[o])
+        return [np.concatenate(f) if f else np.zeros(0, np.int32) for f in found]
+
+
 def knn(
-    queries: DataFrame, reference: DataFrame, k: int, pivots: int | None = None, block: int = 2048
+    queries: DataFrame, reference: DataFrame, k: int, pivots: int | None = None, block: int = 2048, by: str | None = None, pairs=None,
 ) -> DataFrame:
     """Exact k nearest reference vectors: ``query_id, ref_id, distance, place``.
 
-    Both tables are ``cell_id, vec``. A reference that fits one block needs no pivots. Else reference vectors are assigned to their nearest pivot (a few
-    of the reference vectors, at most 512). A query first searches the blocks of its own pivot, whose k-th
-    distance bounds the answer; then only the pivots whose ball can hold something closer. Pivots
-    with many members are cut into blocks of bounded size on both sides, and a task multiplies two
-    blocks and keeps k rows per query, so neither all pairs nor a large group ever exist.
+    Both tables are ``cell_id, vec``; with ``by`` both also have that column, and a query meets the references of its key
+    only (``query_id`` may then occur once for each key, and the key is returned as ``by``).
+
+    A key's references are dealt to pivots, some of them chosen by hash, about half the root of their number, which are found through a
+    level of top pivots. A query first searches the blocks of its own pivot, whose k-th distance bounds the answer;
+    then only the pivots whose ball can hold something closer, and only under tops whose cover can. Pivots with many members
+    are cut into blocks of bounded size on both sides, and a task multiplies two blocks and keeps k rows
+    per query, so neither all pairs nor a large group ever exist. ``pairs`` is an accumulator that counts the products.
     """
     spark = queries.sparkSession
-    ref = reference.select(F.col("cell_id").alias("ref_id"), F.col("vec").alias("rv"))
-    n_ref = ref.count()
-    if pivots is None:
-        pivots = 1 if n_ref <= block else int(n_ref ** 0.5) // 2
-    wanted = min(512, max(1, pivots))
-    chosen = ref.orderBy(F.xxhash64("ref_id"), "ref_id").limit(wanted).toPandas()
-    if chosen.empty:
-        return spark.createDataFrame([], "query_id string, ref_id string, distance double, place int")
-    centre = np.stack(chosen["rv"].to_numpy()).astype(float)
+    key = F.coalesce(F.col(by).cast("string"), F.lit("")) if by else F.lit("")
+    r = stage(reference.select(key.alias("key"), F.col("cell_id").alias("id"), F.col("vec").alias("v")))
+    q = queries.select(key.alias("key"), F.col("cell_id").alias("id"), F.col("vec").alias("v"))
+    sizes = {row["key"]: row["count"] for row in r.groupBy("key").count().collect()}  # one row a key
+    schema = "key string, query_id string, ref_id string, distance double, place int"
+    if not sizes:
+        return _named(spark.createDataFrame([], schema), by)
+    width = len(r.select("v").first()["v"])
+    share = min(1.0, PIVOT_VALUES / max(1, width) / sum(int(n ** 0.5) + 1 for n in sizes.values()))
+    wanted = {x: min(n, pivots) if pivots else 1 if n <= block else max(1, int(n ** 0.5 * share) // 2) for x, n in sizes.items()}
+    order = F.row_number().over(W.partitionBy("key").orderBy(F.xxhash64("id"), "id"))
+    chosen = r.withColumn("nth", order).filter(F.col("nth") <= max(wanted.values())).select("key", F.col("v").alias("rv"), "nth").toPandas()
+    chosen = chosen[chosen["nth"] <= chosen["key"].map(wanted)].sort_values(["key", "nth"])
+    tree = spark.sparkContext.broadcast(_Tree(chosen))
 
     def nearest(batches):
         for pdf in batches:
-            d = _euclid(np.stack(pdf["v"].to_numpy()).astype(float), centre) if len(pdf) else np.zeros((0, len(centre)))
-            yield pd.DataFrame({"id": pdf["id"], "v": pdf["v"], "pivot": d.argmin(axis=1).astype("int32"), "d": d.min(axis=1) if len(pdf) else []})
-
-    schema = "id string, v array<double>, pivot int, d double"
-    r = ref.select(F.col("ref_id").alias("id"), F.col("rv").alias("v"))
-    q = queries.select(F.col("cell_id").alias("id"), F.col("vec").alias("v"))
-    if wanted == 1:
-        r, q = (t.withColumn("pivot", F.lit(0)).withColumn("d", F.lit(0.0)) for t in (r, q))
-    else:
-        r, q = stage(r.mapInPandas(nearest, schema)), stage(q.mapInPandas(nearest, schema))
-    ball = r.groupBy("pivot").agg(F.max("d").alias("radius"), F.count(F.lit(1)).alias("size")).collect()  # one row per pivot
-    radius = np.full(len(centre), -np.inf)
-    blocks = np.ones(len(centre), dtype=int)
-    for row in ball:
-        radius[row["pivot"]] = row["radius"]
-        blocks[row["pivot"]] = -(-row["size"] // block)
-    block_of = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), F.col("pivot") + 1)
-    r = r.withColumn("rb", F.pmod(F.xxhash64("id"), block_of).cast("int"))
+            for name, part in pdf.groupby("key", sort=False):
+                if name in tree.value.keys:
+                    pivot, d, top = tree.value.place(name, np.stack(part["v"].to_numpy()).astype(float))
+                    yield part.assign(pivot=pivot, d=d, top=top)
+
+    dealt = "key string, id string, v array<double>, pivot int, d double, top double"
+    r, q = stage(r.mapInPandas(nearest, dealt)), stage(q.mapInPandas(nearest, dealt))
+    ball = r.groupBy("pivot").agg(F.max("d").alias("radius"), F.max("top").alias("cover"), F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("blocks"))
+    balls = stage(ball)  # one row per pivot
+    shape = balls.toPandas()
+    radius, cover = np.full(len(chosen), -np.inf), np.full(len(chosen), -np.inf)
+    radius[shape["pivot"]], cover[shape["pivot"]] = shape["radius"], shape["cover"]
+    blocks = balls.select("pivot", "blocks")
+    r = r.join(blocks, "pivot").select("id", "v", "pivot", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("rb"))
 
     def search(routes: DataFrame) -> DataFrame:
-        """k best per query and reference block, for ``id, v, pivot, rb`` routes."""
-        sizes = routes.groupBy("pivot", "rb").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).alias("_b"))
-        salted = routes.join(sizes, ["pivot", "rb"]).withColumn("qb", F.pmod(F.xxhash64("id"), F.col("_b")).cast("int"))
-        copies = r.join(sizes, ["pivot", "rb"]).select(
+        """k best per query and reference block, for ``key, id, v, pivot`` routes."""
+        routes = routes.join(blocks, "pivot").select("key", "id", "v", "pivot", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("rb"))
+        loads = routes.groupBy("pivot", "rb").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).alias("_b"))
+        salted = routes.join(loads, ["pivot", "rb"]).withColumn("qb", F.pmod(F.xxhash64("id"), F.col("_b")).cast("int"))
+        copies = r.join(loads, ["pivot", "rb"]).select(
             "pivot", "rb", "id", "v", F.explode(F.sequence(F.lit(0), (F.col("_b") - 1).cast("int"))).alias("qb"))
 
         def multiply(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             if left.empty or right.empty:
-                return pd.DataFrame({"query_id": [], "ref_id": [], "distance": []})
+                return pd.DataFrame({"key": [], "query_id": [], "ref_id": [], "distance": []})
+            if pairs is not None:
+                pairs.add(len(left) * len(right))
             right = right.sort_values("id")
             a = np.stack(left["v"].to_numpy()).astype(float)
             b = np.stack(right["v"].to_numpy()).astype(float)
@@ -269,38 +320,36 @@ def knn(
             kk = min(k, len(right))
             at = np.argsort(d, axis=1, kind="stable")[:, :kk]
             return pd.DataFrame({
-                "query_id": np.repeat(left["id"].to_numpy(), kk), "ref_id": right["id"].to_numpy()[at.ravel()],
+                "key": np.repeat(left["key"].to_numpy(), kk), "query_id": np.repeat(left["id"].to_numpy(), kk), "ref_id": right["id"].to_numpy()[at.ravel()],
                 "distance": np.take_along_axis(d, at, axis=1).ravel()})
 
         keys = ("pivot", "rb", "qb")
         return spread(salted, *keys).groupBy(*keys).cogroup(spread(copies, *keys).groupBy(*keys)).applyInPandas(
-            multiply, "query_id string, ref_id string, distance double")
+            multiply, "key string, query_id string, ref_id string, distance double")
 
-    per_pivot = F.sequence(F.lit(0), block_of - 1)
-    home = search(q.select("id", "v", "pivot", F.explode(per_pivot).alias("rb")))
-    first = top_per_group(home, ["query_id"], k, [F.col("distance"), F.col("ref_id")])
-    if wanted == 1:
-        return first
+    best = [F.col("distance"), F.col("ref_id")]
+    first = top_per_group(search(q.select("key", "id", "v", "pivot")), ["key", "query_id"], k, best)
+    if len(chosen) == len(sizes):  # one pivot a key: all has been searched
+        return _named(first, by)
     first = stage(first)
-    bound = first.groupBy("query_id").agg(
-        F.when(F.count(F.lit(1)) >= k, F.max("distance")).otherwise(F.lit(float("inf"))).alias("bound"))
-    todo = q.join(bound, q.id == bound.query_id, "left").select("id", "v", F.col("pivot").alias("home"), F.coalesce("bound", F.lit(float("inf"))).alias("bound"))
+    bound = stage(first.groupBy("key", "query_id").agg(F.when(F.count(F.lit(1)) >= k, F.max("distance")).otherwise(F.lit(float("inf"))).alias("bound")))
+    todo = q.join(bound, (q.id == bound.query_id) & (q.key == bound.key), "left").select(
+        q.key, "id", "v", F.col("pivot").alias("home"), F.coalesce("bound", F.lit(float("inf"))).alias("bound"))
 
     def reach(batches):
         for pdf in batches:
-            if pdf.empty:
-                yield pd.DataFrame({"id": [], "v": [], "pivots": []})
-                continue
-            d = _euclid(np.stack(pdf["v"].to_numpy()).astype(float), centre)
-            open_ = (d - radius <= pdf["bound"].to_numpy()[:, None] + 1e-6) & np.isfinite(radius)
-            open_[np.arange(len(pdf)), pdf["home"].to_numpy()] = False
-            yield pd.DataFrame({"id": pdf["id"], "v": pdf["v"], "pivots": [np.nonzero(o)[0].astype("int32") for o in open_]})
+            for name, part in pdf.groupby("key", sort=False):
+                open_ = tree.value.reach(name, np.stack(part["v"].to_numpy()).astype(float), part["bound"].to_numpy(), radius, cover)
+                yield pd.DataFrame({"key": part["key"], "id": part["id"], "v": part["v"], "pivots": [o[o != h] for o, h in zip(open_, part["home"])]})
+
+    routes = todo.mapInPandas(reach, "key string, id string, v array<double>, pivots array<int>").select(
+        "key", "id", "v", F.explode("pivots").alias("pivot"))
+    both = first.select("key", "query_id", "ref_id", "distance").unionByName(search(stage(routes)))
+    return _named(top_per_group(both, ["key", "query_id"], k, best), by)
 
-    routes = todo.mapInPandas(reach, "id string, v array<double>, pivots array<int>").select(
-        "id", "v", F.explode("pivots").alias("pivot"))
-    rest = search(routes.select("id", "v", "pivot", F.explode(per_pivot).alias("rb")))
-    both = first.select("query_id", "ref_id", "distance").unionByName(rest)
-    return top_per_group(both, ["query_id"], k, [F.col("distance"), F.col("ref_id")])
+
+def _named(found: DataFrame, by: str | None) -> DataFrame:
+    return found.withColumnRenamed("key", by) if by else found.drop("key")
 
 
 def transfer_labels(reference: DataFrame, queries: DataFrame, k: int = 15) -> DataFrame:
@@ -319,38 +368,38 @@ def transfer_labels(reference: DataFrame, queries: DataFrame, k: int = 15) -> Da
     ).select("cell_id", F.col("b.label").alias("predicted_id"), (-F.col("b.s")).alias("max_score"), "scores")
 
 
+def _mean_vectors(rows: DataFrame, by: str, vec: str, out: str) -> DataFrame:
+    """The element-wise mean of ``vec`` for each ``by``: the vectors are summed up by component, never gathered."""
+    parts = rows.select(by, F.posexplode(vec).alias("i", "g")).groupBy(by, "i").agg(F.avg("g").alias("g"))
+    return parts.groupBy(by).agg(F.array_sort(F.collect_list(F.struct("i", "g"))).alias("s")).select(by, F.col("s.g").alias(out))
+
+
 def integrate_samples(vectors: DataFrame, sample: str, reference: str, k: int = 5, smooth: int = 5) -> DataFrame:
     """Move every sample onto the reference sample along its mutual nearest neighbours.
 
     Pairs that are among each other's ``k`` nearest give a difference vector; a cell is shifted by
-    the mean of the vectors at its ``smooth`` nearest paired cells of the same sample.
+    the mean of the vectors at its ``smooth`` nearest paired cells of the same sample. A sample without pairs stays.
+
+    All samples go through the same passes at once: the neighbour searches are keyed by sample. The samples hang on the
+    reference as on the root of a tree of depth one.
     """
-    base = vectors.filter(F.col(sample) == reference)
-    out = base.select("cell_id", F.col(sample), "vec")
-    others = [row[0] for row in vectors.select(sample).distinct().orderBy(sample).collect() if row[0] != reference]
-    for name in others:  # one job per sample, like a manifest loop
-        own = stage(vectors.filter(F.col(sample) == name))
-        ab = knn(own, base, k).select(F.col("query_id").alias("a"), F.col("ref_id").alias("b"))
-        ba = knn(base, own, k).select(F.col("query_id").alias("b"), F.col("ref_id").alias("a"))
-        mutual = ab.join(ba, ["a", "b"])
-        pairs = mutual.join(own.select(F.col("cell_id").alias("a"), F.col("vec").alias("va")), "a").join(
-            base.select(F.col("cell_id").alias("b"), F.col("vec").alias("vb")), "b")
-        gap = pairs.select("a", F.posexplode(F.zip_with("vb", "va", lambda x, y: x - y)).alias("i", "g"))
-        anchor = gap.groupBy("a", "i").agg(F.avg("g").alias("g"))
-        anchor = stage(anchor.groupBy("a").agg(F.array_sort(F.collect_list(F.struct("i", "g"))).alias("s")).select(
-            F.col("a").alias("cell_id"), F.col("s.g").alias("shift")))
-        if anchor.isEmpty():
-            out = out.unionByName(own.select("cell_id", sample, "vec"))
-            continue
-        anchors = anchor.join(own.select("cell_id", "vec"), "cell_id")
-        near = knn(own, anchors.select("cell_id", "vec"), smooth).join(
-            anchor.withColumnRenamed("cell_id", "ref_id"), "ref_id")
-        mean = near.select("query_id", F.posexplode("shift").alias("i", "g")).groupBy("query_id", "i").agg(F.avg("g").alias("g"))
-        mean = mean.groupBy(F.col("query_id").alias("cell_id")).agg(F.array_sort(F.collect_list(F.struct("i", "g"))).alias("s"))
-        moved = own.join(mean, "cell_id").select(
-            "cell_id", sample, F.zip_with("vec", F.col("s.g"), lambda x, y: x + y).alias("vec"))
-        out = out.unionByName(moved)
-    return out
+    cells = stage(vectors.select("cell_id", F.col(sample).cast("string").alias("_s"), "vec"))
+    base, own = cells.filter(F.col("_s") == reference), cells.filter(F.col("_s") != reference)
+    ab = stage(knn(own, base, k).select(F.col("query_id").alias("a"), F.col("ref_id").alias("b")))
+    # a reference cell is looked up in the samples that named it only
+    named = ab.join(own.select(F.col("cell_id").alias("a"), "_s"), "a").select(F.col("b").alias("cell_id"), "_s").distinct()
+    asked = named.join(base.select("cell_id", "vec"), "cell_id")
+    ba = knn(asked, own, k, by="_s").select(F.col("query_id").alias("b"), F.col("ref_id").alias("a"))
+    mutual = ab.join(ba, ["a", "b"])
+    pairs = mutual.join(own.select(F.col("cell_id").alias("a"), F.col("vec").alias("va")), "a").join(
+        base.select(F.col("cell_id").alias("b"), F.col("vec").alias("vb")), "b")
+    shifts = stage(_mean_vectors(pairs.select("a", F.zip_with("vb", "va", lambda x, y: x - y).alias("g")), "a", "g", "shift"))
+    anchors = own.join(shifts.select(F.col("a").alias("cell_id")), "cell_id", "left_semi")
+    near = knn(own, anchors, smooth, by="_s").join(shifts.withColumnRenamed("a", "ref_id"), "ref_id")
+    mean = stage(_mean_vectors(near, "query_id", "shift", "shift").withColumnRenamed("query_id", "cell_id"))
+    moved = F.zip_with("vec", "shift", lambda x, y: x + y)
+    placed = cells.join(mean, "cell_id", "left").select("cell_id", F.coalesce(moved, "vec").alias("vec"))
+    return vectors.select("cell_id", sample).join(placed, "cell_id").select("cell_id", sample, "vec")
 
 
 def cluster_cells(vectors: DataFrame, k: int, seed: int = 1) -> DataFrame:

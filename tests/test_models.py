@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from exprspark.operators import cells as cl
-from exprspark.operators import de, enrich, gsea, network, normalize
+from exprspark.operators import de, enrich, gsea, hurdle, network, normalize
 
 
 def long(spark, y):
@@ -100,7 +100,7 @@ def test_hurdle_covariate_matches_two_part_likelihood(spark):
     rng = np.random.default_rng(5)
     n = 300
     grp = np.where(np.arange(n) % 2 == 0, "a", "b")
-    cov = np.round(rng.normal(size=n), 1)
+    cov = rng.normal(size=n)  # a value of its own in every cell
     on = rng.random(n) < 1 / (1 + np.exp(-(0.2 + 0.9 * (grp == "b") - 0.5 * cov)))
     x = np.where(on, np.abs(2 + 0.7 * (grp == "b") + 0.3 * cov + rng.normal(size=n) * 0.4) + 0.01, 0)
     cells = spark.createDataFrame(pd.DataFrame({"cell_id": [str(i) for i in range(n)], "group": grp, "cov": cov}))
@@ -128,6 +128,74 @@ def test_hurdle_covariate_matches_two_part_likelihood(spark):
     assert got["ci_low"] < got["log_fc"] < got["ci_high"] and got["log_fc"] > 0
 
 
+def plain_hurdle(x, trt, covariates):
+    """Both parts of one feature by textbook regressions: statistic, degrees of freedom, change and half-width of its interval."""
+    on = x > 0
+    full = np.column_stack([np.ones(len(x)), trt, *covariates]).astype(float)
+    null = np.delete(full, 1, axis=1)
+
+    def logit(d):
+        b = np.zeros(d.shape[1])
+        for _ in range(200):
+            mu = 1 / (1 + np.exp(-d @ b))
+            cov = np.linalg.inv((d * (mu * (1 - mu))[:, None]).T @ d)
+            b = b + cov @ (d.T @ (on - mu))
+        mu = 1 / (1 + np.exp(-d @ b))
+        return b, np.log(np.where(on, mu, 1 - mu)).sum(), cov
+
+    def level(d):
+        d = d[on]
+        c = np.linalg.lstsq(d, x[on], rcond=None)[0]
+        rss = ((x[on] - d @ c) ** 2).sum()
+        return c, rss, np.linalg.inv(d.T @ d) * rss / (on.sum() - d.shape[1])
+
+    b, l1, v = logit(full)
+    _, l0, _ = logit(null)
+    c, r1, w = level(full)
+    _, r0, _ = level(null)
+    low, high = full.mean(axis=0), full.mean(axis=0)
+    low[1], high[1] = 0, 1
+    p = [1 / (1 + np.exp(-q @ b)) for q in (low, high)]
+    m = [q @ c for q in (low, high)]
+    gd = high * m[1] * p[1] * (1 - p[1]) - low * m[0] * p[0] * (1 - p[0])
+    gc = high * p[1] - low * p[0]
+    return 2 * (l1 - l0) + on.sum() * math.log(r0 / r1), p[1] * m[1] - p[0] * m[0], 1.959963984540054 * math.sqrt(gd @ v @ gd + gc @ w @ gc)
+
+
+@pytest.mark.parametrize("block, tile", [(20_000, 1_000_000), (3, 40)])
+def test_hurdle_with_detection_rate_and_proportion(spark, monkeypatch, block, tile):
+    """Two covariates that differ from cell to cell, several features, also in small blocks and tiles; features that cannot be fitted."""
+    monkeypatch.setattr(hurdle, "TILE", tile)
+    rng = np.random.default_rng(12)
+    n, genes = 240, 12
+    trt = np.arange(n) % 2
+    share = rng.dirichlet(np.ones(6))[np.arange(n) % 6]
+    base = rng.normal(size=genes)
+    on = rng.random((genes, n)) < 1 / (1 + np.exp(-(base[:, None] + 0.5 * trt - 2 * share)))
+    x = np.where(on, np.abs(2 + rng.normal(size=(genes, 1)) + 0.4 * trt + share + rng.normal(size=(genes, n)) * 0.5) + 0.01, 0)
+    x[10] = np.where(np.arange(n) < 2, 1.0, 0.0)  # two detecting cells: no level part
+    x[11] = 1.0  # found in all cells, always the same: neither part
+    f, c = np.nonzero(x)
+    m = spark.createDataFrame(pd.DataFrame({"feature_id": [f"f{i:02d}" for i in f], "cell_id": [str(j) for j in c], "count": x[f, c]}))
+    cells = spark.createDataFrame(pd.DataFrame({"cell_id": [str(j) for j in range(n)], "group": np.where(trt == 1, "b", "a"), "share": share}))
+    scaled = hurdle.detection_rate(m, cells)
+    rate = (x > 0).sum(axis=0)
+    rate = (rate - rate.mean()) / rate.std(ddof=1)
+    got_rate = {r["cell_id"]: r["detection"] for r in scaled.collect()}
+    assert [got_rate[str(j)] for j in range(n)] == pytest.approx(rate.tolist())
+    fit = hurdle.hurdle_fit(m, scaled, "a", "b", ("detection", "share"), block_features=block).toPandas().set_index("feature_id")
+    for i in range(10):
+        stat, change, half = plain_hurdle(x[i], trt, [rate, share])
+        row = fit.loc[f"f{i:02d}"]
+        assert row["df"] == 2 and row["statistic"] == pytest.approx(stat, rel=1e-6, abs=1e-7)
+        assert row["log_fc"] == pytest.approx(change, rel=1e-6) and row["ci_high"] - row["log_fc"] == pytest.approx(half, rel=1e-6)
+        assert row["pct_trt"] == pytest.approx((x[i] > 0)[trt == 1].mean()) and row["pct_ref"] == pytest.approx((x[i] > 0)[trt == 0].mean())
+    assert fit.loc["f10", "df"] <= 1 and fit.loc["f11", "df"] == 0 and np.isnan(fit.loc["f11", "statistic"])
+    tests = hurdle.hurdle_de(m, scaled, "a", "b", ("detection", "share"))
+    assert tests.columns[:2] == ["feature_id", "log_fc"] and tests.filter("fdr < p_value - 1e-12").isEmpty()
+    assert hurdle.hurdle_de(m.limit(0), scaled, "a", "b", ("share",)).count() == 0
+
+
 def full_running_sum(score, hit):
     w = np.abs(score) * hit
     walk = np.cumsum(np.where(hit, w / w.sum(), -1 / (~hit).sum()))
@@ -154,6 +222,30 @@ def test_gsea_equals_the_full_running_sum_and_finds_the_planted_set(spark):
     np.testing.assert_allclose(back.loc[["top", "low"], "es"], -got.loc[["top", "low"], "es"], atol=1e-8)
 
 
+def test_gsea_null_counts_equal_brute_force(spark):
+    """1,000 permutations by the documented order of hashes, sets drawn one by one."""
+    import hashlib
+
+    rng = np.random.default_rng(3)
+    n, nperm = 60, 1000
+    score = np.sort(rng.normal(size=n).round(3))[::-1]
+    ranked = spark.createDataFrame(pd.DataFrame({"feature_id": [f"g{i}" for i in range(n)], "score": score, "rank": np.arange(1, n + 1)}))
+    sets = {"a": rng.choice(n, 12, replace=False), "b": np.arange(12), "c": rng.choice(n, 25, replace=False), "d": np.arange(45, 60)}
+    gs = spark.createDataFrame([("c", t, f"g{i}") for t, idx in sets.items() for i in idx], "collection string, term_id string, feature_id string")
+    result = gsea.gsea(ranked, gs, nperm=nperm)
+    got = result.toPandas().set_index("term_id")
+    null = {m: [] for m in {len(x) for x in sets.values()}}
+    for perm in range(1, nperm + 1):
+        order = sorted(range(1, n + 1), key=lambda p: (hashlib.md5(f"1:{perm}:{p}".encode()).hexdigest()[:16], p))
+        for m in null:
+            null[m].append(round(full_running_sum(score, np.isin(np.arange(1, n + 1), order[:m])), 9))
+    for t, idx in sets.items():
+        es = got.loc[t, "es"]
+        same = [x for x in null[len(idx)] if (x >= 0) == (es >= 0)]
+        assert got.loc[t, "p_value"] == pytest.approx((1 + sum(abs(x) >= abs(es) for x in same)) / (1 + len(same)))
+        assert got.loc[t, "nes"] == pytest.approx(es / np.mean(np.abs(same)))
+
+
 def test_overlap_test_p_value(spark):
     a = spark.createDataFrame([(f"g{i}",) for i in range(30)], "feature_id string")
     b = spark.createDataFrame([(f"g{i}",) for i in range(20, 60)], "feature_id string")
@@ -187,6 +279,28 @@ def test_similarity_is_exact_and_copies_share_a_profile(spark):
         assert got == want
 
 
+def test_a_feature_of_half_of_all_terms_makes_few_candidates(spark):
+    """Half of the terms share one feature and little else: candidates stay within a few times the result."""
+    rng = np.random.default_rng(6)
+    members = {f"t{i:03d}": set(rng.choice(4000, rng.integers(15, 40), replace=False).tolist()) | ({-1} if i % 2 else set()) for i in range(300)}
+    for i in range(0, 60, 2):  # some pairs that do reach the limit
+        members[f"t{i + 1:03d}"] = set(list(members[f"t{i:03d}"])[3:]) | {-1}
+    sets = spark.createDataFrame([(t, f"g{x}") for t, m in members.items() for x in m], "term_id string, feature_id string")
+    made = []
+    real = network._candidates
+    network._candidates = lambda *args: made.append(real(*args)) or made[-1]
+    try:
+        edges, _ = network.term_similarity(sets, 0.2)
+        got = {(r["term_1"], r["term_2"]): r["jaccard"] for r in edges.collect()}
+    finally:
+        network._candidates = real
+    names = sorted(members)
+    want = {(a, b): pytest.approx(len(members[a] & members[b]) / len(members[a] | members[b]))
+            for i, a in enumerate(names) for b in names[i + 1:] if len(members[a] & members[b]) / len(members[a] | members[b]) >= 0.2}
+    assert got == want and len(want) >= 30
+    assert made[0].count() <= 5 * len(want)  # the feature alone is in 11,175 pairs
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     edges = [(f"a{i:03d}", f"a{i + 1:03d}") for i in range(60)] + [("hub", f"h{i}") for i in range(80)]
     nodes = sorted({n for e in edges for n in e} | {"alone"})
@@ -229,6 +343,45 @@ def test_nearest_neighbours_are_exact(spark, pivots, block):
         np.testing.assert_allclose(mine["distance"], [w[0] for w in want])
 
 
+def test_neighbour_products_grow_below_the_square(spark):
+    rng = np.random.default_rng(1)
+    counts = {}
+    for n in (1000, 4000):
+        x = rng.random((n, 2))
+        df = spark.createDataFrame([(f"{i:05d}", v.tolist()) for i, v in enumerate(x)], "cell_id string, vec array<double>")
+        pairs = spark.sparkContext.accumulator(0)
+        got = cl.knn(df, df, 5, block=16, pairs=pairs).toPandas()
+        d = np.round(np.sqrt(((x[:50, None] - x) ** 2).sum(-1)), 9)
+        for i in range(50):
+            assert sorted(got[got["query_id"] == f"{i:05d}"]["distance"]) == sorted(d[i])[:5]
+        counts[n] = pairs.value
+    assert counts[4000] < 10 * counts[1000] and counts[4000] < 4000**2 / 5  # the square would be 16 times
+
+
+def test_neighbours_by_key(spark):
+    rng = np.random.default_rng(2)
+    rows = [(f"{i:03d}", "ab"[i % 2] if i < 150 else "c", rng.normal(size=3).tolist()) for i in range(160)]
+    df = spark.createDataFrame(rows, "cell_id string, s string, vec array<double>")
+    asked = spark.createDataFrame([("q1", "a", [0.0] * 3), ("q1", "c", [0.0] * 3), ("q2", "none", [0.0] * 3)], "cell_id string, s string, vec array<double>")
+    got = {(r["query_id"], r["s"], r["place"]): r["ref_id"] for r in cl.knn(asked, df, 4, pivots=5, block=8, by="s").collect()}
+    for s in "ac":
+        want = sorted((round(float(np.sqrt((np.array(v) ** 2).sum())), 9), i) for i, t, v in rows if t == s)[:4]
+        assert [got["q1", s, p] for p in range(1, 5)] == [i for _, i in want]
+    assert len(got) == 8
+
+
+def test_integration_of_four_samples_in_one_pass(spark):
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(60, 4)) * np.array([0.02, 1, 1, 1])
+    shifts = {"a": 0.0, "b": 0.8, "c": -0.7, "d": 0.5, "e": 0.9}
+    rows = [(f"{s}{i:02d}", s, (v + rng.normal(size=4) * 0.03 + np.array([d, 0, 0, 0])).tolist()) for s, d in shifts.items() for i, v in enumerate(base)]
+    v = spark.createDataFrame(rows, "cell_id string, sample_id string, vec array<double>")
+    got = cl.integrate_samples(v, "sample_id", "a").toPandas()
+    assert len(got) == 300
+    mean = {s: np.stack(g["vec"].to_numpy())[:, 0].mean() for s, g in got.groupby("sample_id")}
+    assert all(abs(mean[s] - mean["a"]) < 0.1 * abs(d) for s, d in shifts.items() if d)
+
+
 def test_integration_removes_a_sample_shift(spark):
     rng = np.random.default_rng(8)
     # mutual neighbours assume that the sample effect is orthogonal to the differences between cells
