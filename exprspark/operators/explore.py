@@ -16,7 +16,6 @@ from exprspark.functions.stats import t_quantile_col
 from exprspark.operators.ranking import exact_quantiles, ordered_index
 from exprspark.session import spread, stage
 
-DRIVER_SAMPLES = 2048  # the largest sample-by-sample matrix that may reach the driver
 EXTRA = 10  # directions iterated besides the wanted components
 RESIDUAL = 1e-7  # largest residual of a settled component, as a share of the first eigenvalue
 
@@ -83,9 +82,8 @@ def pca_samples(
     """Principal components of samples: ``(sample_id, pc, score)`` and ``(pc, sdev, proportion, cumulative)``.
 
     ``scale="sample"`` standardizes each sample over the features, ``scale="feature"`` each feature
-    over the samples; then features are centred. Up to ``DRIVER_SAMPLES`` samples the sample-by-sample
-    matrix is solved in the driver; beyond, the first ``k`` components come from
-    :func:`_leading_components`, with the same results up to ``RESIDUAL``.
+    over the samples; then features are centred. The first ``k`` components come from :func:`_leading_components`, each
+    with a residual of at most ``RESIDUAL``, for any number of samples.
     """
     spark = values.sparkSession
     zero = F.lit(zero) if isinstance(zero, (int, float)) else zero
@@ -101,33 +99,7 @@ def pca_samples(
         m = x.groupBy("feature_id").agg(F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("ss"))
         sd = m.select("feature_id", F.sqrt((F.col("ss") - F.col("s") * F.col("s") / n) / (n - 1)).alias("sd")).filter("sd > 1e-12")
         x = x.join(sd, "feature_id").select("feature_id", "sample_id", (F.col("x") / F.col("sd")).alias("x"))
-    if n > DRIVER_SAMPLES:
-        return _leading_components(x, samples, k, n, n_features if scale == "sample" else None)
-    gram, ids = sample_gram(x, "x")
-    g = np.zeros((n, n))
-    entries = gram.toPandas()
-    g[entries["i"], entries["j"]] = entries["dot"]
-    g = g + np.triu(g, 1).T
-    names = [row["sample_id"] for row in ids.orderBy("idx").collect()]
-    if scale == "sample":
-        s = {row["sample_id"]: row["s"] for row in x.groupBy("sample_id").agg(F.sum("x").alias("s")).collect()}
-        mean = np.array([s[name] for name in names]) / n_features
-        cov = g - n_features * np.outer(mean, mean)
-        sd = np.sqrt(np.diag(cov) / (n_features - 1))
-        g = cov / np.outer(sd, sd)
-    h = np.eye(n) - 1.0 / n
-    w, v = np.linalg.eigh(h @ g @ h)
-    order = np.argsort(w)[::-1]
-    w, v = np.maximum(w[order], 0), v[:, order]
-    scores = v * np.sqrt(w)
-    scores = scores * np.where(scores[np.abs(scores).argmax(axis=0), np.arange(n)] < 0, -1, 1)
-    rows = [(names[a], c + 1, float(scores[a, c])) for c in range(min(k, n)) for a in range(n)]
-    share = w / w.sum()
-    importance = [(c + 1, float(np.sqrt(w[c] / (n - 1))), float(share[c]), float(share[: c + 1].sum())) for c in range(min(k, n))]
-    return (
-        spark.createDataFrame(rows, "sample_id string, pc int, score double"),
-        spark.createDataFrame(importance, "pc int, sdev double, proportion double, cumulative double"),
-    )
+    return _leading_components(x, samples, k, n, n_features if scale == "sample" else None)
 
 
 def _leading_components(x: DataFrame, samples: DataFrame, k: int, n: int, n_features: int | None) -> tuple[DataFrame, DataFrame]:

@@ -71,21 +71,24 @@ def test_pca_equals_a_singular_value_decomposition(spark):
         np.testing.assert_allclose(importance.toPandas()["proportion"], (d**2 / (d**2).sum())[:3], atol=1e-9)
 
 
-def test_pca_of_more_samples_than_the_driver_takes(spark, monkeypatch):
-    """Beyond the bound components come from the executors, equal to the solution in the driver."""
+def test_pca_of_more_samples_than_directions(spark):
+    """Components come from the executors in several rounds, equal to a singular value decomposition."""
     rng = np.random.default_rng(4)
     x = rng.poisson(rng.gamma(1, 3, (80, 1)) * rng.gamma(5, 0.2, (1, 60)) * np.exp(0.5 * rng.normal(size=(80, 3)) @ rng.normal(size=(3, 60)))).astype(float)
     f, s = np.nonzero(x)
     df = spark.createDataFrame(pd.DataFrame({"feature_id": [f"f{i}" for i in f], "sample_id": [f"s{j:02d}" for j in s], "v": x[f, s]}))
     for mode in ("sample", "feature"):
-        monkeypatch.setattr(explore, "DRIVER_SAMPLES", 2048)
-        want = [t.toPandas() for t in explore.pca_samples(df, "v", 3, 85, scale=mode)]
-        monkeypatch.setattr(explore, "DRIVER_SAMPLES", 59)
-        got = [t.toPandas() for t in explore.pca_samples(df, "v", 3, 85, scale=mode)]
-        a, b = (t[0].pivot(index="sample_id", columns="pc", values="score") for t in (got, want))
-        assert a.shape == (60, 3) and list(a.index) == list(b.index)
-        np.testing.assert_allclose(a, b, atol=1e-5)
-        np.testing.assert_allclose(got[1], want[1], rtol=1e-8)
+        full = np.vstack([x, np.zeros((5, 60))])  # five features are absent everywhere
+        if mode == "sample":
+            z = ((full - full.mean(0)) / full.std(0, ddof=1)).T
+        else:
+            z = (x[x.std(1) > 0] / x[x.std(1) > 0].std(1, ddof=1)[:, None]).T
+        u, d, _ = np.linalg.svd(z - z.mean(0), full_matrices=False)
+        scores, importance = explore.pca_samples(df, "v", 3, 85, scale=mode)
+        got = scores.toPandas().pivot(index="sample_id", columns="pc", values="score").to_numpy()
+        np.testing.assert_allclose(np.abs(got), np.abs(u[:, :3] * d[:3]), atol=1e-5)
+        assert (got[np.abs(got).argmax(axis=0), range(3)] > 0).all()
+        np.testing.assert_allclose(importance.toPandas()["proportion"], (d**2 / (d**2).sum())[:3], rtol=1e-8)
 
 
 def test_markers_with_a_hot_value_equal_the_rank_sum(spark):
