@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from exprspark.operators.ranking import ordered_index
@@ -23,13 +23,37 @@ def term_profiles(sets: DataFrame) -> DataFrame:
     return g.join(same, ["size", "h1", "h2", "h3"]).select("term_id", "profile", "size")
 
 
+def _candidates(prefix: DataFrame, limit: Column) -> DataFrame:
+    """Pairs that may reach the limit, as ``term_1 < term_2`` with sizes, from ``feature_id, term_id, size, place``.
+
+    If the feature at these places is the first that two sets share, they share at most ``1 + min(size - place)`` features in
+    all, which must be ``limit / (1 + limit)`` of the sum of both sizes. So from its place alone a set knows the largest
+    partner that this feature can lead to. Sets are joined by feature and band of sizes, the smaller set going into the bands
+    from its own size up to that: a feature that very many sets share meets nobody where it stands too late to matter,
+    and where it does matter it is split by band.
+    """
+    band = lambda size: F.floor(F.log2(size.cast("double")) * 4)
+    room = 1 + F.col("size") - F.col("place")
+    most = F.least(F.floor(F.col("size") / limit), F.floor(room * (1 + limit) / limit + 1e-9) - F.col("size"))
+    small = prefix.withColumn("_most", most).filter(F.col("_most") >= F.col("size")).select(
+        "feature_id", F.col("term_id").alias("a"), F.col("size").alias("size_a"), room.alias("room_a"), "_most",
+        F.explode(F.sequence(band(F.col("size")), band(F.col("_most")))).alias("band"))
+    large = prefix.select("feature_id", F.col("term_id").alias("b"), F.col("size").alias("size_b"), room.alias("room_b"), band(F.col("size")).alias("band"))
+    ordered = (F.col("size_a") < F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("a") < F.col("b")))
+    reach = F.least("room_a", "room_b") >= limit * (F.col("size_a") + F.col("size_b")) / (1 + limit)
+    pairs = small.join(large, ["feature_id", "band"]).filter(ordered & reach & (F.col("size_b") <= F.col("_most"))).select("a", "b", "size_a", "size_b").distinct()
+    swap = F.col("a") > F.col("b")
+    pick = lambda x, y: F.when(swap, F.col(x)).otherwise(F.col(y))
+    return pairs.select(pick("b", "a").alias("term_1"), pick("a", "b").alias("term_2"), pick("size_b", "size_a").alias("size_1"), pick("size_a", "size_b").alias("size_2"))
+
+
 def term_similarity(sets: DataFrame, min_jaccard: float) -> tuple[DataFrame, DataFrame]:
     """All pairs of distinct profiles with a Jaccard index of at least ``min_jaccard``.
 
     Returns ``term_1, term_2, shared, jaccard`` over profiles, and the profile table; terms with equal
     members are one profile, so copies never multiply. Two sets that reach the limit must share one
-    of their ``size - ceil(limit * size) + 1`` rarest features, so only these are joined; candidates
-    whose sizes cannot reach the limit are dropped at once and the others are counted exactly.
+    of their ``size - ceil(limit * size) + 1`` rarest features, so only these are joined, in bands of sizes that can reach
+    the limit from there (see :func:`_candidates`), and the candidates are counted exactly.
     """
     if not 0 < min_jaccard <= 1:
         raise ValueError("min_jaccard must be above 0")
@@ -39,20 +63,8 @@ def term_similarity(sets: DataFrame, min_jaccard: float) -> tuple[DataFrame, Dat
     freq = rows.groupBy("feature_id").agg(F.count(F.lit(1)).alias("freq"))
     placed = ordered_index(rows.join(freq, "feature_id"), [F.col("freq"), F.col("feature_id")], by=["term_id"], out="place")
     limit = F.lit(min_jaccard) - 1e-12
-    prefix = stage(
-        placed.filter(F.col("place") <= F.col("size") - F.ceil(limit * F.col("size")) + 1)
-        .select("feature_id", "term_id", "size", "place")
-    )
-    a = prefix.select("feature_id", F.col("term_id").alias("term_1"), F.col("size").alias("size_1"), F.col("place").alias("place_1"))
-    b = prefix.select("feature_id", F.col("term_id").alias("term_2"), F.col("size").alias("size_2"), F.col("place").alias("place_2"))
-    best = F.least("size_1", "size_2")
-    left = 1 + F.least(F.col("size_1") - F.col("place_1"), F.col("size_2") - F.col("place_2"))
-    # A shared prefix feature at these places leaves room for this many shared features at most.
-    candidates = a.join(b, "feature_id").filter(
-        (F.col("term_1") < F.col("term_2")) & (best >= limit * F.greatest("size_1", "size_2"))
-    ).groupBy("term_1", "term_2", "size_1", "size_2").agg(F.max(left).alias("reach")).filter(
-        F.col("reach") >= limit * (F.col("size_1") + F.col("size_2")) / (1 + limit)
-    )
+    candidates = _candidates(stage(
+        placed.filter(F.col("place") <= F.col("size") - F.ceil(limit * F.col("size")) + 1).select("feature_id", "term_id", "size", "place")), limit)
     first = candidates.join(rows.select(F.col("term_id").alias("term_1"), "feature_id"), "term_1")
     both = first.join(rows.select(F.col("term_id").alias("term_2"), "feature_id"), ["term_2", "feature_id"])
     counted = both.groupBy("term_1", "term_2", "size_1", "size_2").agg(F.count(F.lit(1)).alias("shared"))
