@@ -1,5 +1,8 @@
 """Filters, joins, aggregates, top-k and reshapes on the annotated result table and the matrix."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from exprspark.catalog.registry import cte, query, r
@@ -622,12 +625,27 @@ def heatmap_matrix(spark, d):
 
 
 @query("r1_r5_pivot_unpivot", """
-    SELECT feature_id, sample_id, coalesce(cnt, 0) AS value FROM (SELECT DISTINCT feature_id FROM c_matrix WHERE sample_id IN ('1', '2', '3'))
-    CROSS JOIN (SELECT unnest(['1', '2', '3']) AS sample_id) LEFT JOIN c_matrix USING (feature_id, sample_id)""")
+    WITH g AS (SELECT feature_id, grp AS sample_id, sum(cnt) AS value FROM c_matrix JOIN c_samples USING (sample_id) GROUP BY 1, 2)
+    SELECT f.feature_id, r_name AS sample_id, coalesce(value, 0) AS value FROM (SELECT DISTINCT feature_id FROM g) f CROSS JOIN region LEFT JOIN g ON g.feature_id = f.feature_id AND g.sample_id = r_name""")
 def pivot_unpivot(spark, d):
-    names = ["1", "2", "3"]
-    wide = clean.to_wide(inputs.matrix(spark, d).filter(F.col("sample_id").isin(names)), "count", names)
-    return clean.to_long(wide, ["feature_id"])
+    """Counts summed by group, one column per group, and back."""
+    names = sorted(row["r_name"] for row in table(spark, d, "region").collect())
+    grouped = inputs.matrix(spark, d).join(inputs.samples(spark, d), "sample_id").groupBy("feature_id", F.col("group").alias("sample_id")).agg(F.sum("count").alias("count"))
+    return clean.to_long(clean.to_wide(grouped, "count", names), ["feature_id"])
+
+
+@query("r4_interleaved_lists", """
+    WITH l AS (SELECT 1 AS place, 'up_strong' AS name, feature_id, log_fc FROM c_fc WHERE log_fc > 0 AND p_value <= 0.5 UNION ALL SELECT 2, 'dn_strong', feature_id, log_fc FROM c_fc WHERE log_fc < 0 AND p_value <= 0.5
+          UNION ALL SELECT 3, 'up_all', feature_id, log_fc FROM c_fc WHERE log_fc > 0 UNION ALL SELECT 4, 'dn_all', feature_id, log_fc FROM c_fc WHERE log_fc < 0)
+    SELECT CAST(place AS INTEGER) AS place, name, feature_id, log_fc FROM l""")
+def interleaved_lists(spark, d):
+    """Lists of risen and fallen features, alternating from the strictest limit on."""
+    t = stage(inputs.fold_changes(spark, d))
+    limits = {"strong": F.col("p_value") <= 0.5, "all": F.lit(True)}
+    up = {f"up_{k}": t.filter((F.col("log_fc") > 0) & c) for k, c in limits.items()}
+    dn = {f"dn_{k}": t.filter((F.col("log_fc") < 0) & c) for k, c in limits.items()}
+    parts = [part.select(F.lit(i).alias("place"), F.lit(name).alias("name"), "feature_id", "log_fc") for i, (name, part) in enumerate(report.interleave(up, dn).items(), 1)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("a60_ranked_list", """
