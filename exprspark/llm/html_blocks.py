@@ -1,10 +1,17 @@
-"""Leaf blocks of an HTML page, with what their ancestors say about them."""
+"""Leaf blocks of an HTML page, with what their ancestors say about them.
+
+Tags and whole class, id and role names that stand for a part of a page are one kind of evidence. A name that only holds such a
+word (``site-footer``, ``commentlist``, but ``popular-science`` and ``ad-free`` as well) is another, weaker kind: the model
+learns what each is worth next to the text.
+"""
 
 from __future__ import annotations
 
 import html
 import re
+import zlib
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 #: not text of the page, whatever is inside
 RAW = {"script", "style", "template", "noscript", "title", "textarea", "svg", "iframe", "object", "select", "canvas"}
@@ -33,14 +40,18 @@ BIT = {name: 1 << i for i, name in enumerate(REGIONS)}
 _BY_TAG = {t: BIT[r] for r, (tags, _) in REGIONS.items() for t in tags}
 _BY_WORD = {w: BIT[r] for r, (_, words) in REGIONS.items() for w in words}
 _ATTR = re.compile(r"""(class|id|role|style|aria-hidden|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/"']|$)""", re.I)
-_PARTS = re.compile(r"[a-z]+")
+_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_LONG_WORDS = [(w, b) for w, b in _BY_WORD.items() if len(w) >= 5]
 
 
 @dataclass(slots=True)
 class Block:
     tag: str  # innermost block-level tag
     regions: int  # bits of all ancestors' regions
-    nearest: int  # bit or bits of the innermost ancestor that has any
+    hints: int  # bits of regions that words inside ancestors' names hint at
+    nearest: int  # regions of the innermost ancestor that has any region or hint
+    nearest_hints: int
+    words: tuple[int, ...]  # hashed words of the names of that ancestor
     text: str
     linked: int  # characters inside links
 
@@ -49,26 +60,51 @@ class Block:
 class _Open:
     name: str
     regions: int
+    hints: int
     nearest: int
+    nearest_hints: int
+    words: tuple[int, ...]
     block: str
     links: int = field(default=0)
 
 
-def _regions(name: str, attributes: str) -> int:
-    out = _BY_TAG.get(name, 0)
+#: slots that words of names are hashed into
+SLOTS = 256
+
+
+@lru_cache(maxsize=1 << 16)
+def _named(name: str) -> tuple[int, int, tuple[int, ...]]:
+    """Regions that a class, id or role stands for, or, if it is none of the known names, those it hints at and its hashed words."""
+    whole = _BY_WORD.get(name.lower(), 0)
+    if whole:
+        return whole, 0, ()
+    hints, words = 0, []
+    for part in _PARTS.findall(name):
+        part = part.lower()
+        words.append(zlib.crc32(part.encode()) % SLOTS)
+        hints |= _BY_WORD.get(part, 0)
+        for word, bit in _LONG_WORDS:
+            if part != word and (part.startswith(word) or part.endswith(word)):
+                hints |= bit
+    return 0, hints, tuple(words)
+
+
+def _regions(name: str, attributes: str) -> tuple[int, int, tuple[int, ...]]:
+    out, hints, words = _BY_TAG.get(name, 0), 0, ()
     if attributes and name not in ("html", "body"):
         for key, *values in _ATTR.findall(attributes):
-            key, value = key.lower(), "".join(values).lower()
+            key, value = key.lower(), "".join(values)
             if key == "style":
-                out |= BIT["hidden"] if "display:none" in value.replace(" ", "") else 0
+                out |= BIT["hidden"] if "display:none" in value.lower().replace(" ", "") else 0
             elif key == "aria-hidden":
-                out |= BIT["hidden"] if value == "true" else 0
+                out |= BIT["hidden"] if value.lower() == "true" else 0
             elif key == "hidden":
                 out |= BIT["hidden"]
             else:
-                for word in (*_PARTS.findall(value), *value.split()):
-                    out |= _BY_WORD.get(word, 0)
-    return out
+                for word in value.split():
+                    whole, hint, parts = _named(word)
+                    out, hints, words = out | whole, hints | hint, words + parts
+    return out, hints, tuple(sorted(set(words)))[:16]
 
 
 #: to the > that ends a tag: a quote after = opens a value that ends with the same quote, other quotes are stray
@@ -85,7 +121,7 @@ def blocks(page: str | None) -> list[Block]:
     """The non-empty leaf blocks in page order."""
     page = page or ""
     out: list[Block] = []
-    root = _Open("", 0, 0, "body")
+    root = _Open("", 0, 0, 0, 0, (), "body")
     stack, count = [root], {"": 1}
     text: list[str] = []
     linked, at, size, lower = 0, 0, len(page), None
@@ -96,7 +132,7 @@ def blocks(page: str | None) -> list[Block]:
             joined = " ".join(html.unescape("".join(text)).split())
             if joined:
                 top = stack[-1]
-                out.append(Block(top.block, top.regions, top.nearest, joined, linked))
+                out.append(Block(top.block, top.regions, top.hints, top.nearest, top.nearest_hints, top.words, joined, linked))
             text.clear()
         linked = 0
 
@@ -167,8 +203,9 @@ def blocks(page: str | None) -> list[Block]:
             shut = CLOSES.get(name)
             while shut and len(stack) > 1 and (stack[-1].name in shut or stack[-1].name in INLINE):
                 count[stack.pop().name] -= 1
-        top, own = stack[-1], _regions(name, attributes)
-        stack.append(_Open(name, top.regions | own, own or top.nearest, top.block if inline else name, top.links + (name == "a")))
+        top, (own, hint, words) = stack[-1], _regions(name, attributes)
+        near = (own, hint, words) if own or hint else (top.nearest, top.nearest_hints, top.words)
+        stack.append(_Open(name, top.regions | own, top.hints | hint, *near, top.block if inline else name, top.links + (name == "a")))
         count[name] = count.get(name, 0) + 1
     flush()
     return out

@@ -1,7 +1,7 @@
 """HTML main-text extraction by a linear-chain conditional random field over leaf blocks.
 
-A page is cut into leaf blocks; each has features of its ancestors (regions that tags, classes, ids and roles name), of
-its own tag and of its text (size, links, marks). The model has a weight for each feature and label and for each pair of
+A page is cut into leaf blocks; each has features of its ancestors (regions that tags, classes, ids and roles name or hint at), of
+its own tag, of its text (size, links, marks, share of the page) and of its neighbours' texts. The model has a weight for each feature and label and for each pair of
 neighbouring labels, fitted by gradient steps on the exact conditional likelihood of labelled pages, and is decoded
 by Viterbi. Blocks labelled main are joined by line breaks.
 
@@ -11,6 +11,7 @@ element is white space; rows are judged one by one, so ties and repeats do not m
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -19,43 +20,87 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from exprspark.llm.html_blocks import BIT, Block, blocks
+from exprspark.llm.html_blocks import BIT, SLOTS, Block, blocks
 from exprspark.llm.html_training import labelled_pages
 
-PAGES, EPOCHS, RATE, DECAY = 300, 100, 0.1, 1e-4
+PAGES, EPOCHS, RATE, DECAY = 500, 120, 0.1, 2e-4
 TAGS = ("p", "h1", "h2", "h3", "h4", "li", "td", "th", "div", "section", "article", "main", "body", "pre", "blockquote", "button", "footer", "header", "nav", "ul", "figcaption", "dd", "dt")
-FIXED = ["bias", *[f"in {r}" for r in BIT], *[f"near {r}" for r in BIT], "near none", *[f"tag {t}" for t in TAGS], "tag other",
-         *[f"size {i}" for i in range(6)], *[f"links {i}" for i in range(4)], "sentence", "inner stop", "copyright", "first", "last",
-         *[f"main and {r}" for r in BIT if r != "main"], "long and none"]
+FIXED = ["bias", *[f"in {r}" for r in BIT], *[f"hint {r}" for r in BIT], *[f"near {r}" for r in BIT], *[f"near hint {r}" for r in BIT], "near none", *[f"tag {t}" for t in TAGS], "tag other",
+         *[f"size {i}" for i in range(6)], *[f"links {i}" for i in range(4)], "sentence", "inner stop", "commas", "copyright", "first", "last", "prose", "prose near", "prose around", "large share", "no prose on page", "top group", "prose in top group", "only group",
+         *[f"main and {r}" for r in BIT if r != "main"], *[f"prose and {r}" for r in BIT], *[f"prose and hint {r}" for r in BIT], "long and none", *[f"word {i}" for i in range(SLOTS)]]
 AT = {name: i for i, name in enumerate(FIXED)}
 _SIZES = (15, 40, 100, 250, 600)
+#: marks and phrases of ownership (fixed values)
+_OWNED = re.compile(r"©|\(c\)|copyright|all rights reserved|tous droits réservés|todos los derechos reservados|alle rechte vorbehalten", re.I)
 
 
-@lru_cache(maxsize=4096)
-def _place(tag: str, regions: int, nearest: int) -> tuple[int, ...]:
+@lru_cache(maxsize=1 << 14)
+def _place(tag: str, regions: int, hints: int, nearest: int, nearest_hints: int, words: tuple[int, ...], prose: bool) -> tuple[int, ...]:
     out = [AT["bias"], AT.get(f"tag {tag}", AT["tag other"])]
-    out += [AT[f"in {r}"] for r, bit in BIT.items() if regions & bit]
-    out += [AT[f"near {r}"] for r, bit in BIT.items() if nearest & bit] or [AT["near none"]]
-    if regions & BIT["main"]:
-        out += [AT[f"main and {r}"] for r, bit in BIT.items() if regions & bit and r != "main"]
+    for r, bit in BIT.items():
+        if regions & bit:
+            out.append(AT[f"in {r}"])
+            if prose:
+                out.append(AT[f"prose and {r}"])
+            if r != "main" and regions & BIT["main"]:
+                out.append(AT[f"main and {r}"])
+        elif hints & bit:
+            out.append(AT[f"hint {r}"])
+            if prose:
+                out.append(AT[f"prose and hint {r}"])
+        if nearest & bit:
+            out.append(AT[f"near {r}"])
+        elif nearest_hints & bit:
+            out.append(AT[f"near hint {r}"])
+    if not nearest and not nearest_hints:
+        out.append(AT["near none"])
+    out += [AT["word 0"] + i for i in words]
     return tuple(out)
 
 
 def block_features(page: list[Block]) -> list[list[int]]:
     """Numbers of the features that hold for each block."""
+    total = sum(len(b.text) for b in page)
+    # running text: some length, few links, and an end or an inner stop of a sentence
+    prose = [len(b.text) > 60 and b.linked < 0.4 * len(b.text) and (b.text[-1] in ".!?…:" or ". " in b.text) for b in page]
+    # blocks whose ancestors say the same are a group; the one with most running text is likely the article's
+    weight: dict[tuple, int] = {}
+    groups = [(b.regions, b.hints, b.nearest, b.nearest_hints) for b in page]
+    for group, b, is_prose in zip(groups, page, prose):
+        weight[group] = weight.get(group, 0) + len(b.text) * is_prose
+    top = max(weight, key=weight.__getitem__, default=None)
     out = []
-    for b in page:
+    for i, b in enumerate(page):
         n = len(b.text)
         size = sum(n > s for s in _SIZES)
         share = min(b.linked / n, 1)
-        x = [*_place(b.tag, b.regions, b.nearest), AT["size 0"] + size, AT["links 0"] + (0 if not share else 1 if share < 0.3 else 2 if share < 0.8 else 3)]
+        x = [*_place(b.tag, b.regions, b.hints, b.nearest, b.nearest_hints, b.words, prose[i]), AT["size 0"] + size, AT["links 0"] + (0 if not share else 1 if share < 0.3 else 2 if share < 0.8 else 3)]
         if b.text[-1] in ".!?…":
             x.append(AT["sentence"])
         if ". " in b.text:
             x.append(AT["inner stop"])
-        if "©" in b.text:
+        if b.text.count(",") > 1:
+            x.append(AT["commas"])
+        if _OWNED.search(b.text):
             x.append(AT["copyright"])
-        if not b.nearest and size >= 2:
+        if prose[i]:
+            x.append(AT["prose"])
+        near = prose[max(0, i - 2):i] + prose[i + 1:i + 3]
+        if any(near):
+            x.append(AT["prose near"])
+        if any(prose[max(0, i - 3):i]) and any(prose[i + 1:i + 4]):
+            x.append(AT["prose around"])
+        if n > 0.2 * total and len(page) > 3:
+            x.append(AT["large share"])
+        if not any(prose):
+            x.append(AT["no prose on page"])
+        elif groups[i] == top:
+            x.append(AT["top group"])
+            if prose[i]:
+                x.append(AT["prose in top group"])
+            if weight[top] > 0.8 * sum(weight.values()):
+                x.append(AT["only group"])
+        if not b.nearest and not b.nearest_hints and size >= 2:
             x.append(AT["long and none"])
         out.append(x)
     if out:

@@ -520,6 +520,62 @@ def test_html_field_on_unseen_layouts():
     assert right / total > 0.97
 
 
+@pytest.fixture(scope="module")
+def field():
+    return html_extract.train(html_training.labelled_pages(html_extract.PAGES))
+
+
+RIVER = "The river rose slowly in the night, and nobody in the village noticed it until the morning came. Then, at dawn, the bells rang out. "
+STORY = ["A river rises", RIVER * 2, RIVER, "What came after", RIVER * 3, "First, the cellars had to be emptied.", "Second came the roads.", RIVER]
+
+
+def story(items="ul"):
+    t = STORY
+    return (f"<h1>{t[0]}</h1><p>{t[1]}</p><p>{t[2]}</p><h2>{t[3]}</h2><p>{t[4]}</p><{items}><li>{t[5]}</li><li>{t[6]}</li></{items}><p>{t[7]}</p>")
+
+
+def links(n):
+    return "".join(f'<li><a href="/{i}">Item {i}</a></li>' for i in range(n))
+
+
+#: layouts written by hand, none of them in html_training: everything but the story is to go
+LAYOUTS = [
+    f'<div class="td-header-menu-wrap"><ul id="menu-primary-1">{links(6)}</ul></div><div class="hentry single-post"><div class="entry-content">{story()}</div></div><div id="secondary" class="widget-area">'
+    f'<h3>Recent posts</h3><ul>{links(5)}</ul></div><div class="site-info">Proudly made in the village. &copy; 2019</div>',
+    f'<table class="layout"><tr><td class="leftnav"><ul>{links(8)}</ul></td><td class="maincol">{story("ol")}</td><td class="rightrail"><p>Buy our boats now!</p><p><a href="/b">Boats</a></p></td></tr></table><p><small>Copyright Village Press. All rights reserved.</small></p>',
+    f'<header class="MuiAppBar"><a href="/">Village</a><a href="/in">Sign in</a></header><main class="css-1x2y3z"><section>{story()}</section></main><section class="css-9q8w7e relatedStories"><h3>More like this</h3><ul>{links(4)}</ul></section><footer><p>About</p><p>Help</p></footer>',
+    f'<div id="cookieConsentBar">We use cookies to make this site better for you. By going on you agree.</div><div class="row"><div class="col-md-8 blogPostBody">{story()}<div class="sharethis-buttons"><span>Share</span><span>Tweet</span></div></div><div class="col-md-4 sideBar"><h4>Archive</h4><ul>{links(7)}</ul></div></div>',
+    f'<nav aria-label="Main"><ul>{links(5)}</ul></nav><article itemscope>{story()}</article><ol class="commentlist"><li><p>I like this very much, thank you for writing it. Great.</p></li><li><p>So do I, and my neighbours too. Well done.</p></li></ol><form id="commentform"><label>Name</label><button>Send</button></form>',
+    f'<div class="story popular-science">{story()}</div><footer>&copy; 2020 Village</footer>',
+    f'<ul class="topNav">{links(4)}</ul><div class="no-subscribe">{story()}</div><div class="newsletterSignup"><p>Get the news by mail each week.</p><button>Subscribe</button></div>',
+    f'<div id="content">{story()}</div><div>Copyright Village Press 2021. All rights reserved.</div>',
+    f'<ul class="crumbs">{links(3)}</ul><article><header><h1>{STORY[0]}</h1></header><p>{STORY[1]}</p><p>{STORY[2]}</p><section id="related-work"><h2>{STORY[3]}</h2><p>{STORY[4]}</p><ul><li>{STORY[5]}</li><li>{STORY[6]}</li></ul><p>{STORY[7]}</p></section></article>',
+    f'<div class="ad-free layout"><div class="wrap">{story()}</div></div><div class="adSlot">Boats at half price, today only!</div><div class="footerLinks"><ul>{links(6)}</ul></div>',
+]
+
+
+def test_html_on_layouts_of_other_hands(field):
+    """Characters found and lost over all layouts, and that no page loses its story."""
+    want = " ".join(" ".join(x.split()) for x in STORY)
+    found = wrong = 0
+    for page in LAYOUTS:
+        lines = html_extract.main_text(f"<html><body>{page}</body></html>", field).split("\n")
+        mine = sum(len(x) for x in lines if x in want)
+        assert mine >= 0.8 * len(want) - 10, page[:80]
+        found, wrong = found + mine, wrong + sum(len(x) for x in lines if x not in want)
+    assert found >= 0.95 * len(LAYOUTS) * (len(want) - len(STORY) + 1) and found >= 0.95 * (found + wrong)
+
+
+def test_html_names_that_only_look_like_a_part():
+    """A whole name is a region, a word inside one is a hint; words are hashed for the model."""
+    of = lambda markup: html_blocks.blocks(markup)[0]
+    bit = html_blocks.BIT
+    assert of('<div class="sidebar">x').regions == bit["aside"] and not of('<div class="sidebar">x').hints
+    for name, region in (("site-footer", "footer"), ("commentlist", "comment"), ("popular-science", "aside"), ("postBody", "main")):
+        b = of(f'<div class="{name}"><p>x')
+        assert not b.regions and b.hints & bit[region] and b.nearest_hints == b.hints and b.words
+
+
 def test_html_viterbi_is_the_best_path():
     import itertools
 

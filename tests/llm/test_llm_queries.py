@@ -13,7 +13,7 @@ import pytest
 from support import SF, spark_result, sql_result
 
 import corpus_pipeline
-from exprspark.llm import catalog
+from exprspark.llm import catalog, html_blocks
 
 
 def documents(name="documents"):
@@ -62,6 +62,13 @@ def test_op4(spark):
     pages = {r["page_id"]: r for r in documents("pages")}
     rows = catalog.QUERIES["op4_html_crf"](spark, SF).collect()
     assert len(rows) == len(pages)
+    there = found = given = 0
+    for r in rows:
+        page = pages[r["page_id"]]["html"]
+        want = [b.text for b in html_blocks.blocks(page[page.index("<article>"):page.index("</article>")])]
+        lines = r["text"].split("\n")
+        there, given, found = there + sum(map(len, want)), given + sum(map(len, lines)), found + sum(len(x) for x in lines if x in want)
+    assert found >= 0.95 * there and found >= 0.95 * given
     for r in rows:
         page = pages[r["page_id"]]["html"]
         article = page[page.index("<article>"):page.index("</article>")]
