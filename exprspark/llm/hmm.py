@@ -1,9 +1,8 @@
 """LM scoring with a hidden Markov model over all tokens of the corpus.
 
-Counts of every training token are taken over the whole corpus. A token seen at least ``OWN`` times that makes at least one
-``CLASSES``-th of all tokens is a class of its own (so there are at most ``CLASSES`` such, and their number grows with the
-corpus up to there), all others fall into classes by form (length, capital, last letters). States emit classes, a class emits
-its tokens by their counts, so
+Counts of every training token are taken over the whole corpus. A token with at least one ``CLASSES``-th of all
+tokens is a class of its own (so there are at most ``CLASSES`` such), all others fall into classes by form (length,
+capital, last letters). States emit classes, a class emits its tokens by their counts, so
 
     log10 P(text) = log10 P(classes), by the scaled forward recursion, + sum of log10 P(token | class).
 
@@ -39,8 +38,7 @@ from exprspark.session import stage
 STATES = 6
 #: training ends with the first round that gains less than this share of the log-likelihood
 GAIN = 1e-5
-CLASSES, SHAPES, HEAD = 1 << 20, 2048, 1 << 20
-OWN = 16
+CLASSES, SHAPES, HEAD = 8192, 2048, 1 << 20
 ADD = 0.1
 #: tokens in one block of the recursions, and bytes of a batch that are worked on at a time: both bound memory
 BLOCK, BYTES = 500_000, 12 << 20
@@ -111,7 +109,7 @@ class Vocabulary:
         self.total, self.distinct = total, distinct
         self.head = pa.array([t for _, t in order], pa.string())
         self.counts = np.array([c for c, _ in order], np.int64)
-        self.own = int(((self.counts * CLASSES >= max(total, 1)) & (self.counts >= OWN)).sum())
+        self.own = int((self.counts * CLASSES >= max(total, 1)).sum())
         self.classes = self.own + SHAPES
         c, v = np.zeros(SHAPES), np.zeros(SHAPES)
         for s, n, k in by_shape:
@@ -234,7 +232,7 @@ class Model:
         Values are scaled to a sum of one at every ``EVERY``-th and the last time, where their sum is the scale; it is one at the others.
         """
         emit = np.take(self.emit, cls, axis=0)
-        alpha, scale, ones = np.empty_like(emit), np.ones(cls.size), np.ones(STATES)
+        alpha, scale, ones = np.empty_like(emit), np.ones(cls.size, emit.dtype), np.ones(STATES, emit.dtype)
         a, e = before, 0
         for t, n in enumerate(live.tolist()):
             s, e = e, e + n
@@ -295,7 +293,7 @@ class Model:
         alpha, scale, emit = self.forward(cls, live, edge)
         _, last = self._places(live, 0 if after is None else after.shape[0])
         ends = alpha[last].sum(axis=1)
-        likelihood = float(np.log(scale).sum() + np.log(ends).sum())
+        likelihood = float(np.log(scale[scale != 1].astype(np.float64)).sum() + np.log(ends.astype(np.float64)).sum())
         beta, behind, back = np.empty_like(alpha), after, np.ascontiguousarray(self.move.T)
         beta[last] = 1 / ends[:, None]
         s = cls.size
@@ -311,10 +309,11 @@ class Model:
         if behind is not None:
             move += self.move * (alpha[-1:].T @ behind)
         prior = np.arange(n, cls.size) - np.repeat(live[:-1], live[1:])  # the same sequence one time earlier
-        move += self.move * (np.take(alpha, prior, axis=0).T @ emit[n:])
+        for at in range(0, prior.size, 8192):
+            move += self.move * (np.take(alpha, prior[at:at + 8192], axis=0).T @ emit[n + at:n + at + 8192])
         alpha *= beta  # from here on the states' probabilities
         if edge is None:
-            start += alpha[:n].sum(axis=0)
+            start += alpha[:n].sum(axis=0, dtype=np.float64)
         for j in range(STATES):
             emitted[:, j] += np.bincount(cls, alpha[:, j], emitted.shape[0])
         return likelihood, after.copy()
@@ -329,7 +328,7 @@ def _expect(model):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
-        sums = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros_like(m.emit)
+        sums = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros(m.emit.shape)
         likelihood = np.zeros((1, STATES))
         for b in _pieces(batches, "classes"):
             likelihood[0, 0] += m.expect(_sequences(b.column("classes")), sums)
