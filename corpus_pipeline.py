@@ -1,4 +1,10 @@
-"""Corpus preparation: documents in, token ids out. Each stage works on what the one before it kept."""
+"""Corpus preparation: documents in, token ids out. Each stage works on what the one before it kept.
+
+Defined results: a null or empty text fails the quality rules and goes there; null languages and sources are groups of their own;
+a null doc_id is kept like any other and comes last where one document of a group is chosen; rows that repeat doc_id and text are
+one document from near-dedup on; very long texts pass through whole; other columns, whatever their names, stay until the last
+stage; an empty table gives empty tables.
+"""
 
 from __future__ import annotations
 
