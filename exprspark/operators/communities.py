@@ -1,7 +1,7 @@
 """Communities of a weighted graph by modularity at a resolution, level by level.
 
-A graph is a table ``(u, v, w)`` that holds every link in both directions with a whole-number weight; ``(u, u, w)`` carries
-twice the weight of a loop. Sums of weights are whole numbers, so results do not depend on partitioning.
+A graph is a table ``(u, v, w)`` of node names that holds every link in both directions with a whole-number weight; ``(u, u, w)``
+carries twice the weight of a loop. Sums of weights are whole numbers, so results do not depend on partitioning.
 
 On each level every node starts on its own and moves to the neighbouring community with the largest gain in modularity, a
 share of the nodes at a time, until a round gains little. A round that does not raise modularity is taken back and repeated with
@@ -23,7 +23,9 @@ from exprspark.session import stage
 #: weight of a pair with equal neighbour sets
 UNIT = 1_000_000
 #: a level that gains less ends the search, a round that gains less ends its level; the smallest share of nodes that is tried
-GAIN, ROUND_GAIN, LEAST_SHARE = 1e-5, 1e-3, 1 / 4
+GAIN, ROUND_GAIN, LEAST_SHARE = 1e-5, 2e-4, 1 / 4
+#: behind a node's name: the community that it alone began
+ALONE = "\x01"
 
 
 def shared_neighbours(vectors: DataFrame, k: int = 20, prune: float = 1 / 15) -> DataFrame:
@@ -82,8 +84,11 @@ def _plan(graph: DataFrame, nodes: DataFrame, total: float, resolution: float) -
         F.max(F.when(~F.col("mine"), F.struct("gain", F.col("to_weight").alias("by"), "to"))).alias("best"),
         F.max(F.when(F.col("mine"), F.col("gain"))).alias("stay"), F.max(F.when(F.col("mine"), F.col("all"))).alias("inside"))
     stay = F.coalesce("stay", -pull * (F.col("weight") - F.col("degree")))
+    # nodes that move at once can end where none of them gains: such a node may also leave for a community of its own
+    better = F.col("best.gain") > stay + 1e-9
+    wanted = F.when(better & (F.col("best.gain") >= 0), F.col("best.to")).when(stay < -1e-9, F.concat("u", F.lit(ALONE))).when(better, F.col("best.to"))
     return own.join(best, "u", "left").select(
-        F.col("u").alias("node"), "degree", "community", F.when(F.col("best.gain") > stay + 1e-9, F.col("best.to")).alias("best"),
+        F.col("u").alias("node"), "degree", "community", wanted.alias("best"),
         F.coalesce("inside", F.lit(0)).alias("inside"), F.when(F.col("u") == F.col("head"), F.col("weight")).alias("weight"))
 
 
