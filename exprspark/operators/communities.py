@@ -107,16 +107,19 @@ def _one_level(graph: DataFrame, total: float, resolution: float, level: int, st
     share, rounds, kept, quality = 0.6, 0, None, None
     while True:
         plan = stage(_plan(graph, nodes, total, resolution))
-        t = plan.agg(F.sum("inside").alias("inside"), F.sum(F.col("weight").cast("double") * F.col("weight")).alias("squares"), F.count("best").alias("movers")).first()
+        t = plan.agg(F.sum("inside").alias("inside"), F.sum(F.col("weight").cast("double") * F.col("weight")).alias("squares"), F.count("best").alias("movers"),
+            F.min(F.when(F.col("best").isNotNull(), F.xxhash64("node", F.lit(level), F.lit(rounds)))).alias("least")).first()
         now = t["inside"] / total - resolution * t["squares"] / total**2
         if kept is None or now > quality:
             slow = kept is not None and now - quality < ROUND_GAIN
-            kept, quality, movers = plan, now, t["movers"]
+            kept, quality, movers, least, seen = plan, now, t["movers"], t["least"], rounds
         else:
             slow, share = False, share / 2
         if slow or not movers or share < LEAST_SHARE:
             return Level(quality, rounds, kept.select("node", "community"))
-        turn = F.pmod(F.xxhash64("node", F.lit(level), F.lit(rounds)), F.lit(1 << 20)) < int(share * (1 << 20))
+        # one mover always moves, so that few of them are not passed over
+        drawn = F.pmod(F.xxhash64("node", F.lit(level), F.lit(rounds)), F.lit(1 << 20)) < int(share * (1 << 20))
+        turn = drawn | (F.xxhash64("node", F.lit(level), F.lit(seen)) == F.lit(least))
         nodes = kept.select("node", "degree", F.when(turn, F.coalesce("best", "community")).otherwise(F.col("community")).alias("community"))
         rounds += 1
 
