@@ -3,7 +3,7 @@
 import numpy as np
 import pandas as pd
 
-from exprspark.operators import explore
+from exprspark.operators import de, explore
 
 
 def test_gram_of_a_sparse_matrix_copies_no_row_to_all_tiles(spark, monkeypatch):
@@ -27,3 +27,27 @@ def test_gram_of_a_sparse_matrix_copies_no_row_to_all_tiles(spark, monkeypatch):
         got[r["i"], r["j"]] = r["dot"]
     np.testing.assert_allclose(got, np.triu(x.T @ x))
     assert dealt[0] == 60 * 12  # the dense feature alone; all rows were copied to 12 tiles before
+
+
+def test_nb_fit_reads_absent_pairs_from_a_table():
+    """What a feature costs depends on its counts, not on the libraries; the sums equal those over all libraries."""
+    rng = np.random.default_rng(3)
+    lib = rng.lognormal(8, 2, 5000)
+    sums = de._Sums(lib)
+    t = np.r_[np.linspace(-80, 40, 500), -700.0]
+    z = np.exp(t)[:, None] * lib
+    value, slope = sums.at(t)
+    np.testing.assert_allclose(value, np.log1p(z).sum(axis=1), rtol=1e-11)
+    np.testing.assert_allclose(slope, (z / (1 + z)).sum(axis=1), rtol=1e-11)
+    y = np.zeros((4, 5000))
+    y[0, :7], y[1, 3], y[2, ::2] = rng.integers(1, 90, 7), 5, 4
+    row, at = np.nonzero(y)
+    for phi in (1e-4, 0.3, 10.0):
+        beta, ll, weight = de._fit_rate(de._Counts(4, row, y[row, at], lib[at]), sums, np.full(4, phi))
+        mu = np.exp(beta)[:, None] * lib
+        score = ((y - mu) / (1 + phi * mu)).sum(axis=1)
+        np.testing.assert_allclose(score[:3] / y[:3].sum(axis=1), 0, atol=1e-8)
+        assert beta[3] == -700
+        plain = y.sum(axis=1) * np.where(beta > -700, beta, 0) + y @ np.log(lib) - ((y + 1 / phi) * np.log1p(phi * mu)).sum(axis=1)
+        np.testing.assert_allclose(ll, plain, rtol=1e-9)
+        np.testing.assert_allclose(weight, (mu / (1 + phi * mu)).sum(axis=1), rtol=1e-9)
