@@ -5,7 +5,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from exprspark.catalog import files
-from exprspark.operators import de, explore
+from exprspark.operators import clean, de, explore
 
 
 def test_gram_of_a_sparse_matrix_copies_no_row_to_all_tiles(spark, monkeypatch):
@@ -62,3 +62,14 @@ def test_lines_of_one_sample_are_written_by_many_tasks(spark, tmp_path):
     assert sorted(back["value"]) == sorted(["@HD\tVN:1.6", *(f"r\t{i}" for i in range(1000))])
     assert back["f"].nunique() == 6 and back["f"].min() == back["f"][back["value"] == "@HD\tVN:1.6"].item()
     assert back.groupby("f").size().max() <= 200  # one task wrote all lines of a sample before
+
+
+def test_annotated_values_gather_no_joined_rows(spark):
+    """Repeated rows on either side are one, and the joined rows are not shuffled to find that out."""
+    v = spark.createDataFrame([("f", "s", 1.0), ("f", "s", 1.0), ("f", "t", 1.0), (None, "s", 2.0), ("g", "s", 3.0)], "feature_id string, sample_id string, count double")
+    a = spark.createDataFrame([("f", "x", None), ("f", "x", None), ("f", "y", "b"), (None, "z", "c")], "feature_id string, symbol string, biotype string")
+    got = clean.with_annotations(v, a)
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted((tuple(r) for r in got.collect()), key=key) == sorted([("f", t, 1.0, *s) for t in "st" for s in (("x", None), ("y", "b"))], key=key)
+    top = got._jdf.queryExecution().optimizedPlan().toString().split("\n")[0]
+    assert not top.startswith("Aggregate")
