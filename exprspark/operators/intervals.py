@@ -21,6 +21,7 @@ PAIRED, PROPER, UNMAPPED, MATE_UNMAPPED, REVERSE = 1, 2, 4, 8, 16
 SECONDARY, QC_FAIL, DUPLICATE, SUPPLEMENTARY = 256, 512, 1024, 2048
 REMOVE_FLAGS, REMOVE_FLAGS_KEEP_DUPLICATES = 3332, 2308
 CHROMOSOMES = "chr[1-9,X,Y]"  # found anywhere in the name
+TILE_ROWS, WIDEST = 1 << 12, 1 << 20  # intervals that a tile should hold on average; positions it may span for that
 
 
 def has_bits(flag: str | Column, bits: int) -> Column:
@@ -106,6 +107,18 @@ def _events(df: DataFrame, keys: Sequence[str], weight: Column) -> DataFrame:
     return df.filter((F.col("start") < F.col("end")) & known).select(*keys, edge.alias("_e")).select(*keys, "_e.pos", "_e.delta")
 
 
+def _width(df: DataFrame, keys: Sequence[str], tile: int) -> int:
+    """Positions of a tile: ``tile``, or more where so few intervals lie in it that nearly each would have a tile of its own.
+
+    Segments do not depend on the width, only the number of tiles whose totals are carried over does.
+    """
+    if tile >= WIDEST:
+        return tile
+    spans = df.filter(F.col("start") < F.col("end")).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), (F.max("end") - F.min("start")).alias("w"))
+    n, w = spans.agg(F.sum("n"), F.sum("w")).first()
+    return tile if (n or 0) < TILE_ROWS else max(tile, min(WIDEST, int(w) * TILE_ROWS // n))
+
+
 def coverage(
     df: DataFrame, keys: Sequence[str] = ("chrom",), scale: DataFrame | None = None,
     sizes: DataFrame | None = None, tile: int = 1 << 20,
@@ -117,6 +130,7 @@ def coverage(
     the integer depth at the end.
     """
     keys = list(keys)
+    tile = _width(df, keys, tile)
     events = _events(df, keys, F.lit(1).cast("long"))
     if sizes is None:
         seg = sweep(events, keys, ["delta"], tile=tile).filter("delta <> 0")
@@ -141,6 +155,7 @@ def coverage(
 def merge_intervals(df: DataFrame, keys: Sequence[str] = ("chrom",), min_length: int = 0, tile: int = 1 << 20) -> DataFrame:
     """Union of intervals: overlapping and touching ones become one."""
     keys = list(keys)
+    tile = _width(df, keys, tile)
     depth = sweep(_events(df, keys, F.lit(1).cast("long")), keys, ["delta"], tile=tile).filter("delta > 0")
     # the covered segments touch inside an island, so their inner edges cancel
     islands = sweep(_events(depth, keys, F.lit(1).cast("long")), keys, ["delta"], tile=tile).filter("delta > 0")
@@ -161,7 +176,7 @@ def union_tracks(tracks: DataFrame, tile: int = 1 << 20) -> DataFrame:
     equality joins find the range, and the output is as large as the result itself. Segments where
     a track has no value are absent (zero).
     """
-    seg = stage(_breakpoints(tracks, tile))
+    seg = stage(_breakpoints(tracks, _width(tracks, ["chrom"], tile)))
     first = seg.select("chrom", F.col("start"), F.col("seg").alias("_a"))
     last = seg.select("chrom", F.col("end"), F.col("seg").alias("_b"))
     spans = tracks.join(first, ["chrom", "start"]).join(last, ["chrom", "end"]).select(
@@ -175,7 +190,9 @@ def average_tracks(tracks: DataFrame, n_tracks: int | None = None, tile: int = 1
     One sweep over all tracks at once, however many there are; values are summed as decimals of 15 places
     and 22 digits before the point, so the running sum returns to exactly zero. A value beyond that fails.
     """
+    tracks = stage(tracks.select("chrom", "start", "end", "track", "value"))
     n = tracks.agg(F.count_distinct("track")).scalar() if n_tracks is None else F.lit(n_tracks)
+    tile = _width(tracks, ["chrom"], tile)
     value = F.col("value").cast("decimal(37,15)")
     seg = sweep(_events(tracks, ["chrom"], value), ["chrom"], ["delta"], tile=tile).filter("delta <> 0")
     return seg.select("chrom", "start", "end", (F.col("delta").cast("double") / n).alias("value"))
@@ -225,6 +242,7 @@ def _met(spots: DataFrame, intervals: DataFrame, tile: int) -> tuple[DataFrame,
     the range's bounds, how many of its pieces are covered more than once, how often its code changes from piece to piece, and the code at its
     end: so a spot costs two lookups, however many intervals or pieces it meets.
     """
+    tile = _width(spots, ["chrom"], tile)
     ids = stage(intervals.select("interval_id", "chrom", "start", "end").distinct())
     names = stage(ids.select("interval_id").distinct().withColumn("c", F.monotonically_increasing_id() + 1))
     if ids.count() > names.count():  # parts of one interval may overlap each other, which does not make a spot ambiguous

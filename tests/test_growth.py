@@ -5,7 +5,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from exprspark.catalog import files
-from exprspark.operators import clean, de, explore
+from exprspark.operators import clean, de, explore, intervals
 
 
 def test_gram_of_a_sparse_matrix_copies_no_row_to_all_tiles(spark, monkeypatch):
@@ -73,3 +73,13 @@ def test_annotated_values_gather_no_joined_rows(spark):
     assert sorted((tuple(r) for r in got.collect()), key=key) == sorted([("f", t, 1.0, *s) for t in "st" for s in (("x", None), ("y", "b"))], key=key)
     top = got._jdf.queryExecution().optimizedPlan().toString().split("\n")[0]
     assert not top.startswith("Aggregate")
+
+
+def test_sparse_intervals_get_wide_tiles(spark):
+    """Tiles of a few positions over far apart intervals are as many as the intervals; few intervals keep the asked width."""
+    x = spark.range(5000).select(F.lit("c").alias("chrom"), (F.col("id") * 1000).alias("start"), (F.col("id") * 1000 + 30 + F.col("id") % 2 * 980).alias("end"))
+    assert intervals._width(x, ["chrom"], 16) > 500_000
+    assert intervals._width(x.limit(100), ["chrom"], 16) == 16
+    assert intervals._width(x, ["chrom"], 1 << 22) == 1 << 22
+    got = [tuple(r) for r in intervals.merge_intervals(x, ["chrom"], tile=16).orderBy("start").collect()]
+    assert got == [("c", 0, 30)] + [("c", i * 1000, (i + 1) * 1000 + 30) for i in range(1, 4998, 2)] + [("c", 4_999_000, 5_000_010)]
