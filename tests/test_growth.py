@@ -5,7 +5,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from exprspark.catalog import files
-from exprspark.operators import clean, de, explore, intervals
+from exprspark.operators import cells, clean, de, explore, intervals
 
 
 def test_gram_of_a_sparse_matrix_copies_no_row_to_all_tiles(spark, monkeypatch):
@@ -83,3 +83,23 @@ def test_sparse_intervals_get_wide_tiles(spark):
     assert intervals._width(x, ["chrom"], 1 << 22) == 1 << 22
     got = [tuple(r) for r in intervals.merge_intervals(x, ["chrom"], tile=16).orderBy("start").collect()]
     assert got == [("c", 0, 30)] + [("c", i * 1000, (i + 1) * 1000 + 30) for i in range(1, 4998, 2)] + [("c", 4_999_000, 5_000_010)]
+
+
+def test_a_query_travels_to_a_group_of_pivots_once(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    ref, q = rng.normal(size=(1500, 12)), rng.normal(size=(40, 12))  # bounds that close hardly any pivot
+    frame = lambda x, t: spark.createDataFrame([(f"{t}{i:04d}", v.tolist()) for i, v in enumerate(x)], "cell_id string, vec array<double>")
+    sent, spread = [], cells.spread
+
+    def counted(rows, *cols, **more):
+        if "pivots" in rows.columns:
+            sent.append(rows.count())
+        return spread(rows, *cols, **more)
+
+    monkeypatch.setattr(cells, "spread", counted)
+    got = cells.knn(frame(q, "q"), frame(ref, "r"), 5, pivots=60, block=500).toPandas()
+    d = np.round(np.sqrt(((q[:, None] - ref[None]) ** 2).sum(-1)), 9)
+    for i in range(40):
+        want = sorted((d[i, j], f"r{j:04d}") for j in range(1500))[:5]
+        assert list(got[got["query_id"] == f"q{i:04d}"].sort_values("place")["ref_id"]) == [w[1] for w in want]
+    assert sent[0] == 40 and sent[1] <= 40 * 6  # it went to each of up to 59 pivots before
