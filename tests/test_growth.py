@@ -103,3 +103,21 @@ def test_a_query_travels_to_a_group_of_pivots_once(spark, monkeypatch):
         want = sorted((d[i, j], f"r{j:04d}") for j in range(1500))[:5]
         assert list(got[got["query_id"] == f"q{i:04d}"].sort_values("place")["ref_id"]) == [w[1] for w in want]
     assert sent[0] == 40 and sent[1] <= 40 * 6  # it went to each of up to 59 pivots before
+
+
+def test_pca_of_samples_without_a_gap_takes_few_rounds(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(260, 400)) * (rng.random((260, 400)) < 0.4)
+    s, f = np.nonzero(x)
+    df = spark.createDataFrame(pd.DataFrame({"feature_id": [f"f{j}" for j in f], "sample_id": [f"s{i:03d}" for i in s], "v": x[s, f]}))
+    staged, stage = [], explore.stage
+    monkeypatch.setattr(explore, "stage", lambda rows: staged.append(1) or stage(rows))
+    scores, importance = explore.pca_samples(df, "v", 3, 400, scale="sample")
+    z = (x - x.mean(axis=1, keepdims=True)) / x.std(axis=1, ddof=1, keepdims=True)
+    u, d, _ = np.linalg.svd(z - z.mean(axis=0), full_matrices=False)
+    got = importance.orderBy("pc").toPandas()
+    np.testing.assert_allclose(got["sdev"], d[:3] / np.sqrt(259), rtol=1e-9)
+    np.testing.assert_allclose(got["proportion"], d[:3] ** 2 / (d**2).sum(), rtol=1e-9)
+    wide = scores.toPandas().pivot(index="sample_id", columns="pc", values="score").to_numpy()
+    np.testing.assert_allclose(np.abs(wide), np.abs(u[:, :3] * d[:3]), atol=1e-4)
+    assert len(staged) < 30  # 85 before: more rounds, and more tables in each
