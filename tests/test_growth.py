@@ -121,3 +121,20 @@ def test_pca_of_samples_without_a_gap_takes_few_rounds(spark, monkeypatch):
     wide = scores.toPandas().pivot(index="sample_id", columns="pc", values="score").to_numpy()
     np.testing.assert_allclose(np.abs(wide), np.abs(u[:, :3] * d[:3]), atol=1e-4)
     assert len(staged) < 30  # 85 before: more rounds, and more tables in each
+
+
+def test_few_pairs_of_near_rows_are_measured_one_by_one():
+    """A matrix product tells which pairs may be near; ties, copies and what is not a number stay in."""
+    rng = np.random.default_rng(6)
+    a, b = rng.normal(size=(50, 32)), rng.normal(size=(2000, 32))
+    b[7] = b[3] = a[0]
+    b[11] = np.nan
+    exact = np.round(np.sqrt(((b - a[:, None]) ** 2).sum(-1)), 9)
+    for limit in (np.full(50, np.inf), np.sort(exact, axis=1)[:, 2]):
+        one, at = cells._within(a, b, 5, limit)
+        kept = set(zip(one.tolist(), at.tolist()))
+        assert len(kept) < 50 * 8 and all((i, 11) in kept for i in range(50))  # all 100,000 pairs were measured before
+        for i in range(50):
+            need = np.flatnonzero(exact[i] <= min(np.sort(exact[i])[4], limit[i]))
+            assert all((i, j) in kept for j in need.tolist())
+    assert len(cells._within(a, b, 5, np.zeros(50))[0]) == 52  # two copies of the first, and a pair of each with the row of NaN
