@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 from exprspark.session import stage
 
 TILES = 64
+FEW = 4096  # distinct values that a group holds in one tile
 
 
 def value_ranks(
@@ -24,7 +25,8 @@ def value_ranks(
     """One row per distinct value of each group: ``by, value, tile, n, below, total``.
 
     ``below`` counts the rows with a smaller value, so the average rank of a tie is
-    ``below + (n + 1) / 2`` and the last rank is ``below + n``. Null and NaN values have no rank.
+    ``below + (n + 1) / 2`` and the last rank is ``below + n``. Null and NaN values have no rank. Only groups of
+    more than ``FEW`` distinct values are cut into tiles, so very many small groups cost one sort.
     """
     by = list(by)
     n = F.sum(weight) if weight else F.count(F.lit(1))
@@ -32,10 +34,11 @@ def value_ranks(
     distinct = stage(df.filter(known).groupBy(*by, value).agg(n.alias("n")))
     marks = F.percentile_approx(value, [i / tiles for i in range(1, tiles)])
     if by:
-        cut = distinct.join(distinct.groupBy(*by).agg(marks.alias("cuts")), by)
+        large = distinct.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > FEW).select(*by)
+        cut = distinct.join(distinct.join(large, by, "left_semi").groupBy(*by).agg(marks.alias("cuts")), by, "left")
     else:
         cut = distinct.withColumn("cuts", distinct.agg(marks.alias("cuts")).scalar())
-    tile = F.size(F.filter("cuts", lambda c: c < F.col(value)))
+    tile = F.when(F.col("cuts").isNull(), 0).otherwise(F.size(F.filter("cuts", lambda c: c < F.col(value))))
     tiled = cut.withColumn("tile", tile).drop("cuts")
     totals = tiled.groupBy(*by, "tile").agg(F.sum("n").alias("tile_n"))
     earlier = W.partitionBy(*by).orderBy("tile").rowsBetween(W.unboundedPreceding, -1)
