@@ -65,8 +65,12 @@ def term_similarity(sets: DataFrame, min_jaccard: float) -> tuple[DataFrame, Dat
     limit = F.lit(min_jaccard) - 1e-12
     candidates = _candidates(stage(
         placed.filter(F.col("place") <= F.col("size") - F.ceil(limit * F.col("size")) + 1).select("feature_id", "term_id", "size", "place")), limit)
-    first = candidates.join(rows.select(F.col("term_id").alias("term_1"), "feature_id"), "term_1")
-    both = first.join(rows.select(F.col("term_id").alias("term_2"), "feature_id"), ["term_2", "feature_id"])
+    # the smaller set of a candidate gives its members, which are looked up in the larger one
+    first_smaller = F.col("size_1") <= F.col("size_2")
+    sided = candidates.withColumn("_small", F.when(first_smaller, F.col("term_1")).otherwise(F.col("term_2"))).withColumn(
+        "_large", F.when(first_smaller, F.col("term_2")).otherwise(F.col("term_1")))
+    members = sided.join(rows.select(F.col("term_id").alias("_small"), "feature_id"), "_small").drop("_small")
+    both = members.join(rows.select(F.col("term_id").alias("_large"), "feature_id"), ["_large", "feature_id"])
     counted = both.groupBy("term_1", "term_2", "size_1", "size_2").agg(F.count(F.lit(1)).alias("shared"))
     jaccard = F.col("shared") / (F.col("size_1") + F.col("size_2") - F.col("shared"))
     edges = counted.select("term_1", "term_2", "shared", jaccard.alias("jaccard")).filter(F.col("jaccard") >= limit)
