@@ -5,7 +5,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from exprspark.catalog import files
-from exprspark.operators import cells, clean, de, explore, intervals
+from exprspark.operators import cells, clean, de, explore, intervals, network, ranking
 
 
 def test_gram_of_a_sparse_matrix_copies_no_row_to_all_tiles(spark, monkeypatch):
@@ -138,3 +138,22 @@ def test_few_pairs_of_near_rows_are_measured_one_by_one():
             need = np.flatnonzero(exact[i] <= min(np.sort(exact[i])[4], limit[i]))
             assert all((i, j) in kept for j in need.tolist())
     assert len(cells._within(a, b, 5, np.zeros(50))[0]) == 52  # two copies of the first, and a pair of each with the row of NaN
+
+
+def test_only_large_groups_are_cut_into_tiles(spark, monkeypatch):
+    x = pd.DataFrame({"g": ["a"] * 300 + ["b"] * 5, "v": [float(i * 37 % 300) for i in range(300)] + [3.0, 1.0, 4.0, 1.0, 5.0]})
+    monkeypatch.setattr(ranking, "FEW", 50)
+    df = spark.createDataFrame(x)
+    tiles = {r["g"]: r["n"] for r in ranking.value_ranks(df, ["g"], "v").groupBy("g").agg(F.count_distinct("tile").alias("n")).collect()}
+    assert tiles["a"] > 10 and tiles["b"] == 1  # the five values of b had tiles of their own before
+    got = ranking.exact_quantiles(df, ["g"], "v", {"q": 0.3}).toPandas().set_index("g")["q"]
+    for g in "ab":
+        np.testing.assert_allclose(got[g], np.quantile(x["v"][x["g"] == g], 0.3))
+
+
+def test_the_smaller_set_of_a_candidate_gives_its_members(spark):
+    rows = [("big", f"f{i}") for i in range(400)] + [(f"small{j}", f"f{i}") for j in range(6) for i in range(j * 40, j * 40 + 40)]
+    edges, _ = network.term_similarity(spark.createDataFrame(rows, "term_id string, feature_id string"), 0.05)
+    assert sorted(tuple(r) for r in edges.collect()) == [("big", f"small{j}", 40, 0.1) for j in range(6)]
+    plan = edges._jdf.queryExecution().optimizedPlan().toString()
+    assert "_small" in plan and "_large" in plan  # "big" gave its 400 members to each of six candidates before
