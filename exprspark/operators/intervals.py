@@ -21,6 +21,7 @@ PAIRED, PROPER, UNMAPPED, MATE_UNMAPPED, REVERSE = 1, 2, 4, 8, 16
 SECONDARY, QC_FAIL, DUPLICATE, SUPPLEMENTARY = 256, 512, 1024, 2048
 REMOVE_FLAGS, REMOVE_FLAGS_KEEP_DUPLICATES = 3332, 2308
 CHROMOSOMES = "chr[1-9,X,Y]"  # found anywhere in the name
+PART_ROWS = 1 << 20  # spots of a tile that one window sees
 TILE_ROWS, WIDEST = 1 << 12, 1 << 20  # intervals that a tile should hold on average; positions it may span for that
 
 
@@ -198,79 +199,78 @@ def average_tracks(tracks: DataFrame, n_tracks: int | None = None, tile: int = 1
     return seg.select("chrom", "start", "end", (F.col("delta").cast("double") / n).alias("value"))
 
 
-def _neighbour_codes(pieces: DataFrame, tile: int) -> DataFrame:
-    """``pieces`` with the codes of the piece before and of the piece behind (null at the ends of a sequence).
-
-    A window sees one tile of positions; the codes at the tiles' edges are carried over.
-    """
-    at = pieces.withColumn("_tile", F.floor(F.col("start") / F.lit(tile)))
-    inside = W.partitionBy("chrom", "_tile").orderBy("start")
-    order = W.partitionBy("chrom").orderBy("_tile")
-    edges = at.groupBy("chrom", "_tile").agg(F.max_by("c", "start").alias("last"), F.min_by("c", "start").alias("first")).select(
-        "chrom", "_tile", F.lag("last").over(order).alias("_before"), F.lead("first").over(order).alias("_behind"))
-    return at.withColumn("before", F.lag("c").over(inside)).withColumn("behind", F.lead("c").over(inside)).join(edges, ["chrom", "_tile"]).select(
-        *pieces.columns, F.coalesce("before", "_before").alias("before"), F.coalesce("behind", "_behind").alias("behind"))
+def _coded(intervals: DataFrame, tile: int) -> tuple[DataFrame, DataFrame]:
+    """Parts of intervals with a code in place of the name (``chrom, start, end, c``), and codes with names. Parts of one interval do not overlap."""
+    parts = intervals.select("interval_id", "chrom", "start", "end").filter(F.col("interval_id").isNotNull()).distinct()
+    ids = stage(parts.withColumn("c", F.monotonically_increasing_id() + 1))
+    names = ids.select("interval_id", "c")
+    if ids.count() > ids.agg(F.count_distinct("interval_id")).first()[0]:  # parts of one interval may overlap each other, which does not make a spot ambiguous
+        names = stage(ids.groupBy("interval_id").agg(F.min("c").alias("c")))
+        ids = merge_intervals(ids.drop("c").join(names, "interval_id"), ["c", "chrom"], tile=tile)
+    return ids, names
 
 
-def _running_at(points: DataFrame, events: DataFrame, sums: Sequence[str], xors: Sequence[str], tile: int) -> DataFrame:
-    """``chrom, pos`` of every distinct point with the running sums (exclusive-ors) of the events at or before it.
+def _pieces(ids: DataFrame, tile: int) -> DataFrame:
+    """Disjoint pieces of the intervals: ``chrom, start, end, c, far``.
 
-    Events and points of one position are one row before any window; a window sees one tile of positions, and the
-    totals of earlier tiles are carried over.
+    ``c`` is the code of the only interval that covers the piece, null where there are more. ``far`` is the end of the last piece,
+    this one or one before it, that is covered more than once or has another code than this one; null where the piece before has the same ``far``.
+    A window sees one tile of positions; the last piece of earlier tiles is carried over.
     """
-    def total(c: str) -> Column:
-        return F.bit_xor(c) if c in xors else F.sum(c)
-
-    values = [*sums, *xors]
-    zero = [F.lit(0).cast("long").alias(c) for c in values]
-    both = points.select("chrom", "pos", *zero, F.lit(1).alias("asked")).unionByName(events.select("chrom", "pos", *values, F.lit(0).alias("asked")))
-    at = both.groupBy("chrom", "pos").agg(*[total(c).alias(c) for c in values], F.max("asked").alias("asked")).withColumn("_tile", F.floor(F.col("pos") / F.lit(tile)))
-    inside = W.partitionBy("chrom", "_tile").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
-    earlier = W.partitionBy("chrom").orderBy("_tile").rowsBetween(W.unboundedPreceding, -1)
-    carried = at.groupBy("chrom", "_tile").agg(*[total(c).alias(c) for c in values]).select(
-        "chrom", "_tile", *[F.coalesce(total(c).over(earlier), F.lit(0)).alias(f"_c_{c}") for c in values])
-    run = at.select("chrom", "_tile", "pos", "asked", *[total(c).over(inside).alias(c) for c in values]).join(carried, ["chrom", "_tile"]).filter("asked = 1")
-    return run.select("chrom", "pos", *[
-        (F.col(c).bitwiseXOR(F.col(f"_c_{c}")) if c in xors else F.col(c) + F.col(f"_c_{c}")).alias(c) for c in values])
-
-
-def _met(spots: DataFrame, intervals: DataFrame, tile: int) -> tuple[DataFrame, DataFrame]:
-    """``spots`` (with ``chrom, start, end``) with ``state`` and ``c``, the code of the only interval met; and codes with names.
-
-    The intervals are cut into disjoint pieces that know how many intervals cover them and, where it is one, which. Numbered
-    along the sequence, the pieces that a spot meets are a range. One sweep over piece edges and the spots' ends tells
-    the range's bounds, how many of its pieces are covered more than once, how often its code changes from piece to piece, and the code at its
-    end: so a spot costs two lookups, however many intervals or pieces it meets.
-    """
-    tile = _width(spots, ["chrom"], tile)
-    ids = stage(intervals.select("interval_id", "chrom", "start", "end").distinct())
-    names = stage(ids.select("interval_id").distinct().withColumn("c", F.monotonically_increasing_id() + 1))
-    if ids.count() > names.count():  # parts of one interval may overlap each other, which does not make a spot ambiguous
-        ids = merge_intervals(ids, ["interval_id", "chrom"], tile=tile)
-    edges = ids.join(names, "interval_id").select("chrom", "c", F.explode(F.array(
+    edges = ids.select("chrom", "c", F.explode(F.array(
         F.struct(F.col("start").alias("pos"), F.lit(1).cast("long").alias("k")),
         F.struct(F.col("end").alias("pos"), F.lit(-1).cast("long").alias("k")),
     )).alias("_e")).select("chrom", "_e.pos", "_e.k", "c")
     # where exactly one interval covers a piece, the running exclusive-or of codes is that interval's code
-    pieces = _neighbour_codes(stage(sweep(edges, ["chrom"], ["k"], tile=tile, xors=["c"]).filter("k > 0")), tile)
-    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
-    many = F.when(F.col("k") > 1, one).otherwise(zero)
-    turned = F.when(F.col("before") != F.col("c"), one).otherwise(zero)  # the first piece of a sequence turns from nothing
-    turns = F.when(F.col("behind") != F.col("c"), one).otherwise(zero)
-    begin = [F.col("start").alias("pos"), one.alias("b"), many.alias("bm"), turned.alias("bt"), zero.alias("e"), zero.alias("em"), zero.alias("et"),
-             F.coalesce(F.col("c").bitwiseXOR(F.col("before")), "c").alias("x")]
-    end = [F.col("end").alias("pos"), zero.alias("b"), zero.alias("bm"), zero.alias("bt"), one.alias("e"), many.alias("em"), turns.alias("et"), zero.alias("x")]
-    events = pieces.select("chrom", F.explode(F.array(F.struct(*begin), F.struct(*end))).alias("_e")).select("chrom", "_e.*")
-    last = F.greatest("end", F.col("start") + 1) - 1
-    points = spots.select("chrom", F.explode(F.array(F.col("start"), last)).alias("pos"))
-    run = stage(_running_at(points, events, ["b", "bm", "bt", "e", "em", "et"], ["x"], tile))
-    low = run.select("chrom", F.col("pos").alias("start"), "e", "em", "et")
-    high = run.select("chrom", F.col("pos").alias("_last"), "b", "bm", "bt", "x")
-    at = spots.withColumn("_last", last).join(low, ["chrom", "start"], "left").join(high, ["chrom", "_last"], "left")
-    sole = (F.col("bm") == F.col("em")) & (F.col("bt") == F.col("et"))
-    state = F.when(F.coalesce(F.col("b") <= F.col("e"), F.lit(True)), "no_feature").when(sole, "assigned").otherwise("ambiguous")
-    told = at.withColumn("state", state).withColumn("c", F.when(F.col("state") == "assigned", F.col("x")))
-    return told.select(*spots.columns, "state", "c"), names
+    covered = stage(sweep(edges, ["chrom"], ["k"], tile=tile, xors=["c"]).filter("k > 0"))
+    at = covered.select("chrom", F.floor(F.col("start") / F.lit(tile)).alias("_tile"), "start", "end", F.when(F.col("k") == 1, F.col("c")).alias("c"))
+    inside, order = W.partitionBy("chrom", "_tile").orderBy("start"), W.partitionBy("chrom").orderBy("_tile")
+    carried = at.groupBy("chrom", "_tile").agg(F.max("end").alias("_e"), F.max_by("c", "start").alias("_c")).select(
+        "chrom", "_tile", F.lag("_e").over(order).alias("_e"), F.lag("_c").over(order).alias("_c"))
+    near = at.withColumn("_end", F.lag("end").over(inside)).withColumn("_code", F.lag("c").over(inside)).join(carried, ["chrom", "_tile"])
+    code = F.when(F.col("_end").isNull(), F.col("_c")).otherwise(F.col("_code"))
+    far = F.when(F.col("c").isNull(), F.col("end")).when(~code.eqNullSafe(F.col("c")), F.coalesce("_end", "_e"))
+    return stage(near.select("chrom", "start", "end", "c", far.alias("far")))
+
+
+def _met(spots: DataFrame, keep: Sequence[str], intervals: DataFrame, tile: int) -> tuple[DataFrame, DataFrame]:
+    """``keep`` of every spot (with ``chrom, start, end``) with ``state`` and ``c``, the code of the only interval met; and codes with names.
+
+    The intervals are cut into disjoint pieces. Of those, the last one that begins at or before the spot's last base tells all: the spot
+    meets none if it begins at or behind that piece's end, more than one if it begins before the piece's ``far``, else that piece's interval. So
+    spots and pieces are sorted together once, and a spot costs one row of one shuffle, however many intervals or pieces it meets.
+
+    A window sees one tile of positions, and what earlier tiles end with is carried over. Tiles of more than ``PART_ROWS`` spots are dealt to
+    several windows, each of which has all pieces of the tile.
+    """
+    tile = _width(spots, ["chrom"], tile)
+    ids, names = _coded(intervals, tile)
+    none, place = F.lit(None).cast("long"), F.floor(F.col("_pos") / F.lit(tile))
+    pieces = _pieces(ids, tile).select("chrom", F.col("start").alias("_pos"), F.col("end").alias("_end"), F.col("far").alias("_far"), F.col("c").alias("_c")).withColumn("_tile", place)
+    at = spots.withColumn("_pos", F.greatest("end", F.col("start") + 1) - 1).withColumn("_tile", place).select(*dict.fromkeys([*keep, "chrom", "start"]), "_pos", "_tile")
+    known = F.col("chrom").isNotNull() & F.col("_pos").isNotNull()
+    inner = pieces.withColumn("n", F.lit(0).cast("long")).unionByName(
+        at.filter(known).select("chrom", "_tile", F.lit(1).cast("long").alias("n"), *[none.alias(c) for c in ("_pos", "_end", "_far", "_c")]))
+    earlier = W.partitionBy("chrom").orderBy("_tile").rowsBetween(W.unboundedPreceding, -1)
+    tiles = stage(inner.groupBy("chrom", "_tile").agg(
+        F.sum("n").alias("n"), F.max("_end").alias("_end"), F.max("_far").alias("_far"), F.max_by("_c", "_pos").alias("_c")).select(
+        "chrom", "_tile", "n", F.max("_end").over(earlier).alias("_end"), F.max("_far").over(earlier).alias("_far"), F.last("_c", True).over(earlier).alias("_c")))
+    carried = tiles.filter("n > 0 and _end is not null").select("chrom", (F.col("_tile") * tile - 1).alias("_pos"), "_end", "_far", "_c", "_tile")
+    told, parts = pieces.unionByName(carried), F.lit(1).cast("long")
+    large = tiles.filter(F.col("n") > PART_ROWS).select("chrom", "_tile", F.ceil(F.col("n") / PART_ROWS).alias("_parts"))
+    if not large.isEmpty():
+        large, parts = stage(large), F.coalesce("_parts", F.lit(1).cast("long"))
+        told, at = told.join(large, ["chrom", "_tile"], "left"), at.join(large, ["chrom", "_tile"], "left")
+    told = told.select("chrom", "_tile", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("_part"), "_pos", F.lit(0).alias("_asked"), "_end", "_far", "_c")
+    # spots without a place meet no piece, so any number of windows will do
+    part = F.pmod(F.xxhash64(*keep, "start"), F.when(known, parts).otherwise(F.lit(1 << 12).cast("long")))
+    at = at.select(*dict.fromkeys([*keep, "chrom", "start"]), "_tile", part.alias("_part"), "_pos", F.lit(1).alias("_asked"))
+    begun = W.partitionBy("chrom", "_tile", "_part").orderBy("_pos", "_asked").rowsBetween(W.unboundedPreceding, 0)
+    run = at.unionByName(told, allowMissingColumns=True).select(
+        *keep, "start", "_asked", F.max("_end").over(begun).alias("_end"), F.max("_far").over(begun).alias("_far"), F.last("_c", True).over(begun).alias("_c")).filter("_asked = 1")
+    met, several = F.coalesce(F.col("start") < F.col("_end"), F.lit(False)), F.coalesce(F.col("start") < F.col("_far"), F.lit(False))
+    state = F.when(~met, "no_feature").when(several, "ambiguous").otherwise("assigned")
+    return run.select(*keep, state.alias("state"), F.when(met & ~several, F.col("_c")).alias("c")), names
 
 
 def count_overlaps(
@@ -288,23 +288,21 @@ def count_overlaps(
     fragment meets what any of its records meets: one interval in all is assigned, more are ambiguous, whether one mate meets
     them or both together.
 
-    Equal reads are summed up before they meet anything.
+    Equal reads are summed up before they meet anything; the records of fragments keep their ids and meet intervals one by one.
     """
     keys = list(keys)
     if by_start:
         five = F.when(F.col("strand") == "-", F.col("end") - 1).otherwise(F.col("start"))
         reads = reads.withColumn("_p", five).withColumn("start", F.col("_p")).withColumn("end", F.col("_p") + 1).drop("_p")
     if by_pair:
-        places = stage(reads.select("chrom", "start", "end").distinct())
-        told, names = _met(places, intervals, tile)
-        records = reads.join(stage(told), ["chrom", "start", "end"], "left")
+        records, names = _met(reads, [*keys, "read_id"], intervals, tile)
         found = records.groupBy(*keys, "read_id").agg(
             F.min("c").alias("c"), ((F.min("c") != F.max("c")) | F.bool_or(F.col("state") == "ambiguous")).alias("several"))
         status = F.when(F.coalesce("several", F.lit(False)), "ambiguous").when(F.col("c").isNotNull(), "assigned").otherwise("no_feature")
         found = found.withColumn("state", status).withColumn("n", F.lit(1).cast("long")).withColumn("c", F.when(F.col("state") == "assigned", F.col("c")))
     else:
         spots = stage(reads.groupBy(*keys, "chrom", "start", "end").agg(F.count(F.lit(1)).alias("n")))
-        found, names = _met(spots, intervals, tile)
+        found, names = _met(spots, [*keys, "n"], intervals, tile)
     counted = found.groupBy(*keys, F.col("state").alias("status"), "c").agg(F.sum("n").alias("n"))
     return counted.join(names, "c", "left").select(*keys, "status", "interval_id", "n")
 

@@ -128,6 +128,21 @@ def test_counts_by_read_and_by_pair(spark, tile):
     assert iv.count_overlaps(rs.limit(0), fs).count() == 0
 
 
+@pytest.mark.parametrize("tile", [16, 1 << 20])
+def test_large_tiles_are_dealt_to_several_windows(spark, monkeypatch, tile):
+    """Every window of a tile has all its pieces and what earlier tiles end with; records without a place meet nothing."""
+    r = random.Random(4)
+    features = [(f"f{r.randrange(9)}", r.choice(["c1", "c2"]), s, s + r.randint(1, 60)) for s in (r.randint(0, 150) for _ in range(20))]
+    records = [(f"r{i}", "c1", s, s + r.choice([0, 3, 50])) for i, s in enumerate(r.randint(0, 60) for _ in range(500))] + [("q", "c2", 70, 80)] * 200
+    lost = [("n1", None, 5, 9), ("n2", "c1", None, None), ("n3", "c1", None, 9), ("n4", None, None, None)]
+    fs = spark.createDataFrame([*features, ("nowhere", None, 0, 100)], "interval_id string, chrom string, start int, end int")
+    rs = spark.createDataFrame([("s", *x) for x in records + lost], "sample_id string, read_id string, chrom string, start int, end int")
+    monkeypatch.setattr(iv, "PART_ROWS", 20)
+    for by_pair, key in ((False, lambda x, n=itertools.count(): next(n)), (True, lambda x: x[0])):
+        want = brute_count(records, features, key) + Counter({("no_feature", None): len(lost)})
+        assert {(g["status"], g["interval_id"]): g["n"] for g in iv.count_overlaps(rs, fs, tile=tile, by_pair=by_pair).collect()} == want
+
+
 def test_one_pair_on_two_features_is_ambiguous(spark):
     fs = spark.createDataFrame([("a", "c", 0, 10), ("b", "c", 50, 60)], "interval_id string, chrom string, start long, end long")
     rs = spark.createDataFrame(

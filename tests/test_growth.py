@@ -85,6 +85,34 @@ def test_sparse_intervals_get_wide_tiles(spark):
     assert got == [("c", 0, 30)] + [("c", i * 1000, (i + 1) * 1000 + 30) for i in range(1, 4998, 2)] + [("c", 4_999_000, 5_000_010)]
 
 
+def _staged_rows(monkeypatch):
+    rows, stage = [], intervals.stage
+
+    def counted(df):
+        out = stage(df)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(intervals, "stage", counted)
+    return rows
+
+
+def _reads_and_features(spark):
+    reads = spark.range(4000).select(F.lit("s").alias("sample_id"), F.concat(F.lit("r"), F.col("id") % 3000).alias("read_id"), F.lit("c").alias("chrom"),
+                                     (F.col("id") * 5).alias("start"), (F.col("id") * 5 + 7).alias("end"))
+    return reads, spark.createDataFrame([(f"f{i}", "c", i * 400, i * 400 + 90) for i in range(50)], "interval_id string, chrom string, start long, end long")
+
+
+def test_records_of_fragments_are_written_and_joined_nowhere(spark, monkeypatch):
+    rows = _staged_rows(monkeypatch)
+    reads, features = _reads_and_features(spark)
+    got = intervals.count_overlaps(reads, features, by_pair=True)
+    assert sum(rows) < 1000  # places, what they met and the running sums at both ends of each were written before, 16,000 rows
+    assert got.agg(F.sum("n")).first()[0] == 3000
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1  # the names of the codes; the records were joined to what their places met before
+
+
 def test_a_query_travels_to_a_group_of_pivots_once(spark, monkeypatch):
     rng = np.random.default_rng(4)
     ref, q = rng.normal(size=(1500, 12)), rng.normal(size=(40, 12))  # bounds that close hardly any pivot
