@@ -113,6 +113,16 @@ def test_records_of_fragments_are_written_and_joined_nowhere(spark, monkeypatch)
     assert plan.count("Join") == 1  # the names of the codes; the records were joined to what their places met before
 
 
+def test_a_read_is_looked_up_once(spark, monkeypatch):
+    rows = _staged_rows(monkeypatch)
+    reads, features = _reads_and_features(spark)
+    got = intervals.count_overlaps(reads, features)
+    assert sum(rows) < 4000 + 1000  # the distinct reads; the running sums at both ends of each were written too before
+    assert got.agg(F.sum("n")).first()[0] == 4000
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1  # two lookups were two more
+
+
 def test_a_query_travels_to_a_group_of_pivots_once(spark, monkeypatch):
     rng = np.random.default_rng(4)
     ref, q = rng.normal(size=(1500, 12)), rng.normal(size=(40, 12))  # bounds that close hardly any pivot
