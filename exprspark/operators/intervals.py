@@ -295,7 +295,8 @@ def count_overlaps(
         five = F.when(F.col("strand") == "-", F.col("end") - 1).otherwise(F.col("start"))
         reads = reads.withColumn("_p", five).withColumn("start", F.col("_p")).withColumn("end", F.col("_p") + 1).drop("_p")
     if by_pair:
-        records, names = _met(reads, [*keys, "read_id"], intervals, tile)
+        placed = reads.withColumn("start", F.when(F.col("end").isNotNull(), F.col("start")))  # a record without an end meets nothing
+        records, names = _met(placed, [*keys, "read_id"], intervals, tile)
         found = records.groupBy(*keys, "read_id").agg(
             F.min("c").alias("c"), ((F.min("c") != F.max("c")) | F.bool_or(F.col("state") == "ambiguous")).alias("several"))
         status = F.when(F.coalesce("several", F.lit(False)), "ambiguous").when(F.col("c").isNotNull(), "assigned").otherwise("no_feature")

@@ -136,10 +136,12 @@ def test_large_tiles_are_dealt_to_several_windows(spark, monkeypatch, tile):
     records = [(f"r{i}", "c1", s, s + r.choice([0, 3, 50])) for i, s in enumerate(r.randint(0, 60) for _ in range(500))] + [("q", "c2", 70, 80)] * 200
     lost = [("n1", None, 5, 9), ("n2", "c1", None, None), ("n3", "c1", None, 9), ("n4", None, None, None)]
     fs = spark.createDataFrame([*features, ("nowhere", None, 0, 100)], "interval_id string, chrom string, start int, end int")
-    rs = spark.createDataFrame([("s", *x) for x in records + lost], "sample_id string, read_id string, chrom string, start int, end int")
+    endless = [(f"e{i}", "c1", i, None) for i in range(0, 60, 7)]  # a read of one base; as a record of a fragment it meets nothing
+    rs = spark.createDataFrame([("s", *x) for x in records + lost + endless], "sample_id string, read_id string, chrom string, start int, end int")
     monkeypatch.setattr(iv, "PART_ROWS", 20)
     for by_pair, key in ((False, lambda x, n=itertools.count(): next(n)), (True, lambda x: x[0])):
-        want = brute_count(records, features, key) + Counter({("no_feature", None): len(lost)})
+        short = [] if by_pair else [(i, c, a, a) for i, c, a, _ in endless]
+        want = brute_count(records + short, features, key) + Counter({("no_feature", None): len(lost) + len(endless) - len(short)})
         assert {(g["status"], g["interval_id"]): g["n"] for g in iv.count_overlaps(rs, fs, tile=tile, by_pair=by_pair).collect()} == want
 
 
