@@ -47,7 +47,8 @@ def candidates(host: Column, path: Column, lengths: list[int], labels: int) -> C
     """
 
     def of(every: Column) -> Column:
-        return let(F.slice(every, F.greatest(F.size(every) - labels + 1, F.lit(1)), F.lit(max(labels, 1))), ending)
+        n = max(labels, 1)  # without rules there are no labels, but a host has one
+        return let(F.slice(every, F.greatest(F.size(every) - n + 1, F.lit(1)), F.lit(n)), ending)
 
     def ending(last: Column) -> Column:
         suffixes = F.transform(F.sequence(F.lit(1), F.size(last)), lambda i: F.array_join(F.slice(last, i, F.size(last) - i + 1), "."))
