@@ -108,16 +108,21 @@ def _events(df: DataFrame, keys: Sequence[str], weight: Column) -> DataFrame:
     return df.filter((F.col("start") < F.col("end")) & known).select(*keys, edge.alias("_e")).select(*keys, "_e.pos", "_e.delta")
 
 
-def _width(df: DataFrame, keys: Sequence[str], tile: int) -> int:
+def _width(df: DataFrame, keys: Sequence[str], tile: int, beyond: bool = False) -> int:
     """Positions of a tile: ``tile``, or more where so few intervals lie in it that nearly each would have a tile of its own.
 
-    Segments do not depend on the width, only the number of tiles whose totals are carried over does.
+    Segments do not depend on the width, only the number of tiles whose totals are carried over does. A tile has at most ``WIDEST``
+    positions, so that a window is bounded; ``beyond`` lets it have more where no sequence has more edges than that.
     """
-    if tile >= WIDEST:
+    if tile >= WIDEST and not beyond:
         return tile
-    spans = df.filter(F.col("start") < F.col("end")).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), (F.max("end") - F.min("start")).alias("w"))
-    n, w = spans.agg(F.sum("n"), F.sum("w")).first()
-    return tile if (n or 0) < TILE_ROWS else max(tile, min(WIDEST, int(w) * TILE_ROWS // n))
+    length = F.max("end").cast("double") - F.min("start").cast("double")
+    spans = df.filter(F.col("start") < F.col("end")).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), length.alias("w"))
+    n, w, most = spans.agg(F.sum("n"), F.sum("w"), F.max("n")).first()
+    if (n or 0) < TILE_ROWS:
+        return tile
+    wide = int(w) * TILE_ROWS // n
+    return max(tile, wide if beyond and 2 * most <= WIDEST else min(WIDEST, wide))
 
 
 def coverage(
@@ -245,6 +250,7 @@ def _met(spots: DataFrame, keep: Sequence[str], intervals: DataFrame, tile: int)
     """
     tile = _width(spots, ["chrom"], tile)
     ids, names = _coded(intervals, tile)
+    tile = _width(ids, ["chrom"], tile, beyond=True)  # large tiles are dealt to several windows below
     none, place = F.lit(None).cast("long"), F.floor(F.col("_pos") / F.lit(tile))
     pieces = _pieces(ids, tile).select("chrom", F.col("start").alias("_pos"), F.col("end").alias("_end"), F.col("far").alias("_far"), F.col("c").alias("_c")).withColumn("_tile", place)
     at = spots.withColumn("_pos", F.greatest("end", F.col("start") + 1) - 1).withColumn("_tile", place).select(*dict.fromkeys([*keep, "chrom", "start"]), "_pos", "_tile")

@@ -123,6 +123,18 @@ def test_a_read_is_looked_up_once(spark, monkeypatch):
     assert plan.count("Join") == 1  # two lookups were two more
 
 
+def test_tiles_of_few_features_do_not_grow_with_the_sequence(spark, monkeypatch):
+    rows = _staged_rows(monkeypatch)
+    at = spark.range(5000).select("id", F.lit("c").alias("chrom"), (F.col("id") * (1 << 20)).alias("start"))
+    features = at.select(F.concat(F.lit("f"), "id").alias("interval_id"), "chrom", "start", (F.col("start") + 90).alias("end"))
+    from_, to = F.when(F.col("id") % 3 == 1, 90).otherwise(50), F.when(F.col("id") % 3 == 2, (1 << 20) + 10).otherwise(100)
+    reads = at.select(F.lit("s").alias("sample_id"), "chrom", (F.col("start") + from_).alias("start"), (F.col("start") + to).alias("end"))
+    got = intervals.count_overlaps(reads, features)
+    assert rows[-1] < 10  # tiles with what earlier ones end with; one for each feature before
+    want = {("s", "assigned", f"f{i}"): 1 for i in range(0, 5000, 3)} | {("s", "no_feature", None): 1667, ("s", "ambiguous", None): 1666}
+    assert {(r["sample_id"], r["status"], r["interval_id"]): r["n"] for r in got.collect()} == want
+
+
 def test_a_query_travels_to_a_group_of_pivots_once(spark, monkeypatch):
     rng = np.random.default_rng(4)
     ref, q = rng.normal(size=(1500, 12)), rng.normal(size=(40, 12))  # bounds that close hardly any pivot
