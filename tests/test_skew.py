@@ -128,3 +128,22 @@ def test_densify_keeps_all_samples(spark):
     got = {r["sample_id"]: r["count"] for r in normalize.densify(v, "count", s).collect()}
     assert got == {"a": 1.0, "b": 0.0, "c": 0.0}
     assert normalize.row_zscore(v, "count", 3).select(F.round("z", 6)).first()[0] == 1.154701
+
+
+def test_correlation_lists_pairs_without_a_common_feature(spark):
+    """All pairs of samples are returned, also those whose products are absent or cancel; several tiles and blocks."""
+    rng = np.random.default_rng(6)
+    x = np.zeros((40, 23))
+    for f in range(40):
+        group = rng.choice(12, 3, replace=False) + (11 if f % 2 else 0)  # two halves that share no feature but the last ones
+        x[f, group] = rng.integers(1, 9, 3)
+    x[0, :12] = 2
+    f, s = np.nonzero(x)
+    df = spark.createDataFrame(pd.DataFrame({"feature_id": [f"f{i}" for i in f], "sample_id": [f"s{j:02d}" for j in s], "v": x[f, s]}))
+    want = np.corrcoef(x.T)
+    for tile, block in ((None, 4096), (5, 7), (4, 3)):
+        got = explore.sample_correlation(df, "v", 40, tile=tile, block=block).toPandas()
+        assert len(got) == 23 * 22 // 2 and not got.duplicated(["sample_1", "sample_2"]).any()
+        i, j = (got[c].str[1:].astype(int).to_numpy() for c in ("sample_1", "sample_2"))
+        assert (i < j).all() and ((x.T @ x)[i, j] == 0).any()
+        np.testing.assert_allclose(got["correlation"], want[i, j], atol=1e-12)
