@@ -207,3 +207,20 @@ def test_the_smaller_set_of_a_candidate_gives_its_members(spark):
     assert sorted(tuple(r) for r in edges.collect()) == [("big", f"small{j}", 40, 0.1) for j in range(6)]
     plan = edges._jdf.queryExecution().optimizedPlan().toString()
     assert "_small" in plan and "_large" in plan  # "big" gave its 400 members to each of six candidates before
+
+
+def test_pca_of_many_samples_keeps_directions(spark, monkeypatch):
+    """Where few directions are iterated at once, many are kept, so that close eigenvalues take fewer rounds; blocks are not moved again."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(400, 600)) * (rng.random((400, 600)) < 0.3)
+    s, f = np.nonzero(x)
+    df = spark.createDataFrame(pd.DataFrame({"feature_id": [f"f{j}" for j in f], "sample_id": [f"s{i:03d}" for i in s], "v": x[s, f]}))
+    rounds, stage = [], explore.stage
+    monkeypatch.setattr(explore, "stage", lambda rows: rounds.append(rows.columns == ["tile", "q", "u"]) or stage(rows))
+    monkeypatch.setattr(explore, "DIRECTIONS", 0)
+    scores, importance = explore.pca_samples(df, "v", 3, 600, scale="sample")
+    z = (x - x.mean(axis=1, keepdims=True)) / x.std(axis=1, ddof=1, keepdims=True)
+    d = np.linalg.svd(z - z.mean(axis=0), compute_uv=False)
+    np.testing.assert_allclose(importance.orderBy("pc").toPandas()["sdev"], d[:3] / np.sqrt(399), rtol=1e-9)
+    assert scores.count() == 1200
+    assert 5 < sum(rounds) < 24  # 27 before
