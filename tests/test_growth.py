@@ -224,3 +224,25 @@ def test_pca_of_many_samples_keeps_directions(spark, monkeypatch):
     np.testing.assert_allclose(importance.orderBy("pc").toPandas()["sdev"], d[:3] / np.sqrt(399), rtol=1e-9)
     assert scores.count() == 1200
     assert 5 < sum(rounds) < 24  # 27 before
+
+
+def test_neighbour_vectors_are_copied_a_bounded_number_of_times(spark, monkeypatch):
+    """Groups grow with the table: a vector without near neighbours travels to 16 groups or so, not to one for each few blocks."""
+    rng = np.random.default_rng(10)
+    v = rng.normal(size=(600, 24))
+    df = spark.createDataFrame(pd.DataFrame({"cell_id": [f"c{i:03d}" for i in range(600)], "vec": v.tolist()}))
+    dealt, spread = [], cells.spread
+
+    def counted(rows, *cols, **more):
+        dealt.append(rows.count())
+        return spread(rows, *cols, **more)
+
+    monkeypatch.setattr(cells, "spread", counted)
+    monkeypatch.setattr(cells, "FOUND", 100, raising=False)
+    got = cells.knn(df, df, 4, block=2).groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("place", "ref_id", "distance"))).alias("n")).toPandas()
+    d = np.round(np.sqrt(((v[:, None] - v) ** 2).sum(axis=2)), 9)
+    for q, n in zip(got["query_id"], got["n"]):
+        best = np.argsort(d[int(q[1:])], kind="stable")[:4]
+        assert [r["ref_id"] for r in n] == [f"c{i:03d}" for i in best]
+        np.testing.assert_allclose([r["distance"] for r in n], d[int(q[1:])][best], atol=1e-9)
+    assert sum(dealt) < 600 * 2 * 24
